@@ -134,15 +134,20 @@ def sold_quantities(sales: DataFrame) -> DataFrame:
         F.sum("quantity").alias("qty"))
 
 
-def cogs_posts(sales: DataFrame, purchases: DataFrame) -> DataFrame:
-    """B6 (COGS) and B11 (Inventory deduction), one value per sale year.
+def cogs_by_year(sales: DataFrame, purchases: DataFrame) -> DataFrame:
+    """Cost of goods sold per sale year (negative), NULL where no sale has a cost.
 
     Both sides are aggregates keyed by product; Spark (with AQE) picks a
     broadcast or sort-merge join from their measured size.
     """
     j = sold_quantities(sales).join(product_costs(purchases), "product_name", "left")
-    per_year = j.groupBy("year").agg(
-        F.sum(-(F.col("qty") * F.col("cost_sum"))).alias("amt"))
+    return j.groupBy("year").agg(
+        amount(F.sum(-(F.col("qty") * F.col("cost_sum")))).alias("amt"))
+
+
+def cogs_posts(sales: DataFrame, purchases: DataFrame) -> DataFrame:
+    """B6 (COGS) and B11 (Inventory deduction), one value per sale year."""
+    per_year = cogs_by_year(sales, purchases)
     return per_year.select(F.inline(F.array(
         F.struct(F.lit("B6").alias("rule"), F.col("year"), F.lit("COGS").alias("account"),
                  amount(F.col("amt")).alias("amt")),
