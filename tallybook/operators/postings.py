@@ -2,11 +2,13 @@
 
 Design (Spark-first, one scan per table):
 
-* Each table is read once. Every rule that reads the table contributes one
-  struct ``(rule, year, account, amt, keep)`` to an array; ``inline`` turns the
-  array into rows and ``keep`` filters them, all inside one codegen stage.
-* Postings are summed per (rule, year, account). The partial aggregate runs
-  map-side, so the shuffle carries at most rules x years rows per partition.
+* Each table is read once and first reduced to its distinct posting keys
+  (the years each rule books to, the payment type, flags), summing the value:
+  every rule is linear in the value, so this is one map-side aggregate update
+  per source row and the shuffle carries a handful of rows per partition.
+* Every rule then contributes one struct ``(rule, year, account, amt, keep)``
+  per reduced row; ``inline`` turns the array into rows, ``keep`` filters them,
+  and postings are summed per (rule, year, account).
 * Equipment is posted once per payment, keyed by its first year; the eleven
   depreciation years are generated after the aggregate (the schedule is linear
   in cost), so no per-asset fan-out reaches the shuffle.
@@ -18,7 +20,6 @@ Design (Spark-first, one scan per table):
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -60,67 +61,94 @@ LEGACY = RuleSet(
 )
 
 
-def _post(rule: str, date: Column, account: Column | str, amt: Column,
+def _post(rule: str, year: Column, account: Column | str, amt: Column,
           keep: Column | None = None) -> Column:
     acc = F.lit(account) if isinstance(account, str) else account
     return F.struct(
         F.lit(rule).alias("rule"),
-        F.year(date).alias("year"),
+        year.cast("int").alias("year"),
         acc.alias("account"),
         amount(amt).alias("amt"),
         (keep if keep is not None else F.lit(True)).alias("keep"),
     )
 
 
-def _explode_posts(df: DataFrame, posts: list[Column]) -> DataFrame:
-    return (df.select(F.inline(F.array(*posts)))
-              .filter(F.col("keep"))
-              .select("rule", "year", "account", "amt"))
+def _explode_posts(reduced: DataFrame, posts: list[Column]) -> DataFrame:
+    return (reduced.select(F.inline(F.array(*posts)))
+                   .filter(F.col("keep"))
+                   .select("rule", "year", "account", "amt"))
+
+
+def _reduce(df: DataFrame, keys: list[Column], value: Column) -> DataFrame:
+    """Sum a table's value per distinct posting key (years, type, flags).
+
+    Every rule is linear in the row's value, so posting the reduced rows gives
+    the same sums. Per source row this is one map-side aggregate update; the
+    explode into postings runs on the few reduced rows.
+    """
+    return df.groupBy(*keys).agg(F.sum(value).alias("v"))
 
 
 def sales_posts(sales: DataFrame) -> DataFrame:
-    v = F.col("quantity") * F.col("price")
     method = F.col("payment_method")
-    return _explode_posts(sales, [
-        _post("B1", F.col("sale_at"), "Revenue", v),
-        _post("B2", cash_lag_date(F.col("sale_at"), method), "Cash", v),
-        _post("B9", F.col("payment_at"), "Accounts_Receivable", v,
-              (method != "cash") & (F.month("payment_at") == 12)),
+    ar = (method != "cash") & (F.month("payment_at") == 12)
+    r = _reduce(sales, [
+        F.year("sale_at").alias("y_sale"),
+        F.year(cash_lag_date(F.col("sale_at"), method)).alias("y_cash"),
+        F.when(ar, F.year("payment_at")).alias("y_ar"),
+    ], F.col("quantity") * F.col("price"))
+    v, y_ar = F.col("v"), F.col("y_ar")
+    return _explode_posts(r, [
+        _post("B1", F.col("y_sale"), "Revenue", v),
+        _post("B2", F.col("y_cash"), "Cash", v),
+        _post("B9", y_ar, "Accounts_Receivable", v, y_ar.isNotNull()),
     ])
 
 
 def purchases_posts(purchases: DataFrame) -> DataFrame:
-    v = F.col("quantity") * F.col("amount")
-    return _explode_posts(purchases, [
-        _post("B4", cash_lag_date(F.col("purchase_at"), F.col("payment_method")), "Cash", -v),
-        _post("B10", F.col("purchase_at"), "Inventory", v),
+    r = _reduce(purchases, [
+        F.year(cash_lag_date(F.col("purchase_at"), F.col("payment_method"))).alias("y_cash"),
+        F.year("purchase_at").alias("y_buy"),
+    ], F.col("quantity") * F.col("amount"))
+    v = F.col("v")
+    return _explode_posts(r, [
+        _post("B4", F.col("y_cash"), "Cash", -v),
+        _post("B10", F.col("y_buy"), "Inventory", v),
     ])
 
 
 def loans_posts(loans: DataFrame) -> DataFrame:
-    return _explode_posts(loans, [
-        _post("B3", F.col("loan_at"), "Cash", F.col("value")),
-        _post("B12", F.col("loan_at"), "Loan_Principal", F.col("value")),
+    r = _reduce(loans, [F.year("loan_at").alias("y_loan")], F.col("value"))
+    v = F.col("v")
+    return _explode_posts(r, [
+        _post("B3", F.col("y_loan"), "Cash", v),
+        _post("B12", F.col("y_loan"), "Loan_Principal", v),
     ])
 
 
 def payments_posts(payments: DataFrame, rules: RuleSet) -> DataFrame:
     pd = F.col("payment_date")
-    ptype = F.col("payment_type")
-    amt = F.col("amount")
-    accrued = ptype.isin(list(rules.accrual_types)) & in_years(pd, rules.accrual_years)
+    accrued = F.col("payment_type").isin(list(rules.accrual_types)) & in_years(pd, rules.accrual_years)
+    r = _reduce(payments, [
+        F.col("payment_type").alias("ptype"),
+        F.year(pd).alias("y_pay"),
+        # set only for accrued payments, so it doubles as the accrual flag
+        F.when(accrued, F.year(prior_month_start(pd))).alias("y_accr"),
+    ], F.col("amount"))
+    v, ptype, y_pay, y_accr = F.col("v"), F.col("ptype"), F.col("y_pay"), F.col("y_accr")
+    is_accr = y_accr.isNotNull()
     posts = [
-        _post("B5", pd, "Cash", -amt, ptype.isin(list(rules.cash_types))),
-        _post("B13", pd, "Loan_Principal", -amt, ptype == "loan"),
-        _post("B14", prior_month_start(pd), ptype, -amt, accrued),
-        _post("B16", prior_month_start(pd), "Accounts_Payable", amt, accrued),
-        _post("B17", pd, "Accounts_Payable", -amt,
-              (accrued & pd.isNotNull()) if rules.ap_payment_requires_date else accrued),
-        _post(_EQ_RULE, pd, EQUIPMENT, amt, ptype == EQUIPMENT),
+        _post("B5", y_pay, "Cash", -v, ptype.isin(list(rules.cash_types))),
+        _post("B13", y_pay, "Loan_Principal", -v, ptype == "loan"),
+        _post("B14", y_accr, ptype, -v, is_accr),
+        _post("B16", y_accr, "Accounts_Payable", v, is_accr),
+        _post("B17", y_pay, "Accounts_Payable", -v,
+              (is_accr & y_pay.isNotNull()) if rules.ap_payment_requires_date else is_accr),
+        _post(_EQ_RULE, y_pay, EQUIPMENT, v, ptype == EQUIPMENT),
     ]
     if rules.rent_rule:
-        posts.append(_post("B15", pd, "rent", -amt, ptype == "rent"))
-    return _explode_posts(payments, posts)
+        posts.append(_post("B15", y_pay, "rent", -v, ptype == "rent"))
+    return _explode_posts(r, posts)
 
 
 def product_costs(purchases: DataFrame) -> DataFrame:
@@ -185,12 +213,14 @@ def _expand_equipment(agg: DataFrame, years: DataFrame, life: int) -> DataFrame:
 
 
 def ledger_postings(ledger: Ledger, years: DataFrame, rules: RuleSet = PIPELINE,
-                    end_year: int | None = None) -> DataFrame:
+                    end_year: int | None = None, by_rule: bool = True) -> DataFrame:
     """Postings summed per (rule, year, account): the union of the 17 rules.
 
     ``years`` are the calendar years that bound the depreciation schedule.
     With ``end_year`` set, later years are dropped before the shuffle; this is
-    safe for running balances, which only look back.
+    safe for running balances, which only look back. With ``by_rule=False``
+    the posting rows are returned unsummed; they are already reduced (a few
+    rows per table partition), for callers that aggregate them anyway.
     """
     raw = (sales_posts(ledger.sales)
            .unionByName(purchases_posts(ledger.purchases))
@@ -205,4 +235,6 @@ def ledger_postings(ledger: Ledger, years: DataFrame, rules: RuleSet = PIPELINE,
         posted = posted.filter(F.col("year") <= end_year)
         cogs = cogs.filter(F.col("year") <= end_year)
     out = posted.unionByName(cogs)
+    if not by_rule:
+        return out
     return out.groupBy("rule", "year", "account").agg(F.sum("amt").alias("amt"))

@@ -6,12 +6,16 @@ Monthly view (per asset, 10 years of calendar months):
     per year    = sum of accumulated over the year's rows, unioned with the
                   year's purchases, then a running total over years.
 
-Scale: the range join on the calendar is an equi-join on the month bucket
-after generating each asset's 121 candidate buckets; the calendar side is
-small and Spark sizes the join. Rows are then reduced to (id, month) before
-any window, so a window partition never exceeds the calendar length even if
-one id holds a third of all payments. The division by n is done once per
-(year, n) group, in exact decimals.
+Scale: an id with a single equipment payment (the normal case) has a
+schedule that depends only on its payment date and is linear in its amount,
+so those payments are summed per payment date first and the month grid is
+generated per distinct date (a few thousand rows whatever the data size).
+Only ids that carry several payments, whose months mix, get their own grid;
+it is reduced to (id, month) before any window, so a window partition never
+exceeds the calendar length, even when one id holds a third of all payments.
+The range join on the calendar is an equi-join on the month bucket after
+generating the 121 candidate buckets; Spark sizes that join. The division by
+n happens once per (year, n) group, in exact decimals.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from .schedules import EQUIPMENT, LIFE_YEARS, depreciation_rate
 from .statements import running_total
 
 PPE_ACCOUNT = "Property, Plant & Equipment"
+_KEYS = ["grp_id", "grp_date"]
 
 
 def _equipment(payments: DataFrame) -> DataFrame:
@@ -32,29 +37,48 @@ def _equipment(payments: DataFrame) -> DataFrame:
         "id", "payment_date", "amount")
 
 
-def equipment_months(payments: DataFrame, calendar: DataFrame,
+def schedule_groups(payments: DataFrame) -> DataFrame:
+    """(grp_id, grp_date, payment_date, amount): one schedule per group.
+
+    Single-payment ids are merged per payment date (grp_id NULL); ids with
+    several payments keep their rows (grp_date NULL). Both branches read the
+    same per-id aggregate, which Spark computes once (reused exchange).
+    """
+    eq = _equipment(payments)
+    per_id = eq.groupBy("id").agg(F.count(F.lit(1)).alias("c"),
+                                  F.min("payment_date").alias("pd"), F.sum("amount").alias("amt"))
+    single = (per_id.filter(F.col("c") == 1).groupBy("pd").agg(F.sum("amt").alias("amount"))
+              .select(F.lit(None).cast("long").alias("grp_id"), F.col("pd").alias("grp_date"),
+                      F.col("pd").alias("payment_date"), "amount"))
+    multi = (eq.join(per_id.filter(F.col("c") > 1).select("id"), "id", "left_semi")
+             .select(F.col("id").alias("grp_id"), F.lit(None).cast("date").alias("grp_date"),
+                     "payment_date", "amount"))
+    return single.unionByName(multi)
+
+
+def equipment_months(groups: DataFrame, calendar: DataFrame,
                      life_years: int = LIFE_YEARS) -> DataFrame:
-    """(id, amount, calendar_at, year) for calendar dates in [payment, payment + life)."""
+    """Group rows x calendar dates in [payment, payment + life)."""
     months = 12 * life_years
     pd = F.col("payment_date")
     first = F.trunc(pd, "MM")
-    eq = _equipment(payments).select(
-        "id", "payment_date", "amount",
+    g = groups.select(
+        *_KEYS, "payment_date", "amount",
         F.explode(F.sequence(first, F.add_months(first, months), F.expr("INTERVAL 1 MONTH")))
         .alias("bucket"))
     cal = calendar.select("calendar_at", "year", month_start(F.col("calendar_at")).alias("bucket"))
-    rows = eq.join(cal, "bucket")
+    rows = g.join(cal, "bucket")
     return rows.filter((F.col("calendar_at") >= pd) & (F.col("calendar_at") < F.add_months(pd, months)))
 
 
-def _per_id_month(payments: DataFrame, calendar: DataFrame, life_years: int) -> DataFrame:
-    """Per (id, month): m rows, amount sum a, the id's month count n and running A."""
-    g = equipment_months(payments, calendar, life_years).groupBy("id", "calendar_at", "year").agg(
-        F.count(F.lit(1)).alias("m"), F.sum("amount").alias("a"))
-    by_id = Window.partitionBy("id")
-    run = Window.partitionBy("id").orderBy("calendar_at")
+def _per_group_month(payments: DataFrame, calendar: DataFrame, life_years: int) -> DataFrame:
+    """Per (group, month): m rows, amount sum a, the group's month count n, running A."""
+    g = equipment_months(schedule_groups(payments), calendar, life_years).groupBy(
+        *_KEYS, "calendar_at", "year").agg(F.count(F.lit(1)).alias("m"), F.sum("amount").alias("a"))
+    whole = Window.partitionBy(*_KEYS)
+    run = Window.partitionBy(*_KEYS).orderBy("calendar_at")
     return g.select("year", "m", "a",
-                    F.sum("m").over(by_id).alias("n"),
+                    F.sum("m").over(whole).alias("n"),
                     F.sum("a").over(run).alias("run_a"))
 
 
@@ -68,14 +92,14 @@ def _divide_by_n(df: DataFrame, numer: str) -> DataFrame:
 def accumulated_depreciation_by_year(payments: DataFrame, calendar: DataFrame,
                                      life_years: int = LIFE_YEARS) -> DataFrame:
     """Per year, the sum of every asset-month's accumulated depreciation (positive)."""
-    g = _per_id_month(payments, calendar, life_years)
+    g = _per_group_month(payments, calendar, life_years)
     return _divide_by_n(g.withColumn("ma", F.col("m") * F.col("run_a")), "ma")
 
 
 def periodic_depreciation_by_year(payments: DataFrame, calendar: DataFrame,
                                   life_years: int = LIFE_YEARS) -> DataFrame:
     """Per year, the depreciation charged in that year's months (positive)."""
-    return _divide_by_n(_per_id_month(payments, calendar, life_years), "a")
+    return _divide_by_n(_per_group_month(payments, calendar, life_years), "a")
 
 
 def equipment_purchases_by_year(payments: DataFrame) -> DataFrame:

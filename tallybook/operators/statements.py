@@ -25,10 +25,13 @@ def running_total(value: Column, *partition: str, order: str = "year") -> Column
 def yearly_summaries(postings: DataFrame) -> DataFrame:
     """Annual movement per (year, account) and its running balance per account.
 
-    Input is already aggregated (years x accounts rows), so the window,
-    partitioned by account, works on a handful of rows per task.
+    ``postings`` are reduced rows, bounded by rules x years x accounts
+    whatever the data size (years of a DATE are at most 9,999). They go to a
+    single partition once; the aggregate, the window by account and any
+    later pivot or sort by year then need no further shuffle.
     """
-    mov = postings.groupBy("year", "account").agg(F.sum("amt").alias("annual_movement"))
+    mov = postings.repartition(1).groupBy("year", "account").agg(
+        F.sum("amt").alias("annual_movement"))
     return mov.select("year", "account", "annual_movement",
                       running_total(F.col("annual_movement"), "account").alias("running_balance"))
 

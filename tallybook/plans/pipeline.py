@@ -23,23 +23,40 @@ def default_years(spark: SparkSession, start: dt.date = YEARLY_START,
 
 
 def postings_for(spark: SparkSession, ledger: Ledger, rules: RuleSet = PIPELINE,
-                 end_year: int | None = None, years: DataFrame | None = None) -> DataFrame:
+                 end_year: int | None = None, years: DataFrame | None = None,
+                 by_rule: bool = True) -> DataFrame:
     if years is None:
         years = default_years(spark)
-    return ledger_postings(ledger, years, rules, end_year=end_year)
+    return ledger_postings(ledger, years, rules, end_year=end_year, by_rule=by_rule)
+
+
+# The statements are a view in the reference: built once, read by the audits
+# and reports. Here the lazy plan is built once per ledger and end year and
+# re-executed on every read (no data is cached).
+_VIEWS: dict[tuple[int, str, int], DataFrame] = {}
+
+
+def _statements(spark: SparkSession, ledger: Ledger, rules: RuleSet, end_year: int,
+                years: DataFrame | None, **names: str) -> DataFrame:
+    key = (id(ledger), rules.name, end_year)
+    if years is None and key in _VIEWS:
+        return _VIEWS[key]
+    post = postings_for(spark, ledger, rules, end_year=end_year, years=years, by_rule=False)
+    df = dashboard(yearly_summaries(post), end_year, rules, **names)
+    if years is None:
+        _VIEWS[key] = df
+    return df
 
 
 def build_statements(spark: SparkSession, ledger: Ledger,
                      end_year: int = DASHBOARD_END_YEAR,
                      years: DataFrame | None = None) -> DataFrame:
     """The yearly dashboard (income statement and balance sheet measures)."""
-    post = postings_for(spark, ledger, PIPELINE, end_year=end_year, years=years)
-    return dashboard(yearly_summaries(post), end_year, PIPELINE)
+    return _statements(spark, ledger, PIPELINE, end_year, years)
 
 
 def build_legacy_statements(spark: SparkSession, ledger: Ledger,
                             end_year: int = LEGACY_END_YEAR,
                             years: DataFrame | None = None) -> DataFrame:
-    post = postings_for(spark, ledger, LEGACY, end_year=end_year, years=years)
-    return dashboard(yearly_summaries(post), end_year, LEGACY,
-                     cash_name="cash_bal", inventory_name="inventory_bal")
+    return _statements(spark, ledger, LEGACY, end_year, years,
+                       cash_name="cash_bal", inventory_name="inventory_bal")
