@@ -62,8 +62,13 @@ loans AS (
 )"""
 
 
+_USE_ADAPTER = [True]
+
+
 def _with(*ctes: str) -> str:
-    return "WITH " + ",\n".join([ADAPTER.strip()] + [c.strip() for c in ctes])
+    head = [ADAPTER.strip()] if _USE_ADAPTER[0] else []
+    parts = head + [c.strip() for c in ctes]
+    return ("WITH " + ",\n".join(parts)) if parts else ""
 
 
 def _lag(d: str) -> str:
@@ -285,7 +290,17 @@ SELECT year, 'Property, Plant & Equipment' AS account,
 FROM u"""
 
 
-def oracle_queries() -> dict[str, str]:
+def oracle_queries(adapter: bool = True) -> dict[str, str]:
+    """SQL per query. ``adapter=False``: read ledger tables named sales,
+    purchases, payments and loans directly (for hand-made fixtures)."""
+    _USE_ADAPTER[0] = adapter
+    try:
+        return _oracle_queries()
+    finally:
+        _USE_ADAPTER[0] = True
+
+
+def _oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
 
     q["load_ledger"] = _with() + f"""

@@ -14,127 +14,121 @@ from pyspark.sql import functions as F
 
 from ..operators import accounts, audits, calendars, ppe, reports, retained, schedules, statements
 from ..operators.postings import LEGACY, PIPELINE
-from ..sources.adapter import ledger_from_driver
+from ..sources.adapter import Ledger, ledger_from_driver
 from ..sources.loader import as_text, load_summary
 from ..sources.schemas import AMOUNT
 from .pipeline import build_legacy_statements, build_statements, default_years, postings_for
 
 Query = Callable[[SparkSession, str], DataFrame]
+LedgerQuery = Callable[[SparkSession, Ledger], DataFrame]
 
 
-def _ledger(spark, d):
-    return ledger_from_driver(spark, d)
-
-
-def q_load_ledger(spark, d):
-    led = _ledger(spark, d)
+def q_load_ledger(spark, led):
     return load_summary(spark, {k: as_text(v) for k, v in led.tables().items()})
 
 
-def q_calendar_yearly(spark, d):
-    return calendars.calendar_yearly(spark, span=calendars.activity_span(_ledger(spark, d)))
+def q_calendar_yearly(spark, led):
+    return calendars.calendar_yearly(spark, span=calendars.activity_span(led))
 
 
-def q_calendar_monthly(spark, d):
-    return calendars.calendar_monthly(spark, span=calendars.activity_span(_ledger(spark, d)))
+def q_calendar_monthly(spark, led):
+    return calendars.calendar_monthly(spark, span=calendars.activity_span(led))
 
 
-def q_date_dim(spark, d):
-    return calendars.date_dim(spark, span=calendars.activity_span(_ledger(spark, d)))
+def q_date_dim(spark, led):
+    return calendars.date_dim(spark, span=calendars.activity_span(led))
 
 
-def q_depreciation_schedule(spark, d):
-    return schedules.depreciation_schedule(_ledger(spark, d).payments, default_years(spark))
+def q_depreciation_schedule(spark, led):
+    return schedules.depreciation_schedule(led.payments, default_years(spark))
 
 
-def q_accrual_schedule(spark, d):
-    return schedules.accrual_schedule(_ledger(spark, d).payments)
+def q_accrual_schedule(spark, led):
+    return schedules.accrual_schedule(led.payments)
 
 
-def q_ledger_postings(spark, d):
-    p = postings_for(spark, _ledger(spark, d), PIPELINE)
+def q_ledger_postings(spark, led):
+    p = postings_for(spark, led, PIPELINE)
     return p.select("rule", "year", "account", F.col("amt").cast(AMOUNT).alias("amt"))
 
 
-def q_yearly_summaries(spark, d):
-    s = statements.yearly_summaries(postings_for(spark, _ledger(spark, d), PIPELINE))
+def q_yearly_summaries(spark, led):
+    s = statements.yearly_summaries(postings_for(spark, led, PIPELINE))
     return s.select("year", "account", F.col("annual_movement").cast(AMOUNT).alias("annual_movement"),
                     F.col("running_balance").cast(AMOUNT).alias("running_balance"))
 
 
-def q_dashboard_flux(spark, d):
-    return build_statements(spark, _ledger(spark, d))
+def q_dashboard_flux(spark, led):
+    return build_statements(spark, led)
 
 
-def q_dashboard_aggregation(spark, d):
-    return build_legacy_statements(spark, _ledger(spark, d))
+def q_dashboard_aggregation(spark, led):
+    return build_legacy_statements(spark, led)
 
 
-def q_account_ar(spark, d):
-    return accounts.account_ar(_ledger(spark, d).sales)
+def q_account_ar(spark, led):
+    return accounts.account_ar(led.sales)
 
 
-def q_account_cash(spark, d):
-    return accounts.account_cash(_ledger(spark, d))
+def q_account_cash(spark, led):
+    return accounts.account_cash(led)
 
 
-def q_monthly_cash(spark, d):
-    return accounts.monthly_cash(_ledger(spark, d))
+def q_monthly_cash(spark, led):
+    return accounts.monthly_cash(led)
 
 
-def q_account_inventory(spark, d):
-    return accounts.account_inventory(_ledger(spark, d))
+def q_account_inventory(spark, led):
+    return accounts.account_inventory(led)
 
 
-def q_account_loan(spark, d):
-    return accounts.account_loan(_ledger(spark, d))
+def q_account_loan(spark, led):
+    return accounts.account_loan(led)
 
 
-def q_ppe_monthly(spark, d):
-    return ppe.ppe_monthly(_ledger(spark, d).payments, calendars.calendar_monthly(spark))
+def q_ppe_monthly(spark, led):
+    return ppe.ppe_monthly(led.payments, calendars.calendar_monthly(spark))
 
 
-def q_ppe_monthly_corrected(spark, d):
-    return ppe.ppe_monthly(_ledger(spark, d).payments, calendars.calendar_monthly(spark),
+def q_ppe_monthly_corrected(spark, led):
+    return ppe.ppe_monthly(led.payments, calendars.calendar_monthly(spark),
                            corrected=True)
 
 
-def q_ppe_half_year(spark, d):
-    return ppe.ppe_half_year(_ledger(spark, d).payments)
+def q_ppe_half_year(spark, led):
+    return ppe.ppe_half_year(led.payments)
 
 
-def q_retained_earnings(spark, d):
-    return retained.retained_earnings(_ledger(spark, d), calendars.calendar_monthly(spark))
+def q_retained_earnings(spark, led):
+    return retained.retained_earnings(led, calendars.calendar_monthly(spark))
 
 
-def q_retained_earnings_corrected(spark, d):
-    return retained.retained_earnings(_ledger(spark, d), calendars.calendar_monthly(spark),
+def q_retained_earnings_corrected(spark, led):
+    return retained.retained_earnings(led, calendars.calendar_monthly(spark),
                                       corrected=True)
 
 
-def q_audit_revenue(spark, d):
-    led = _ledger(spark, d)
+def q_audit_revenue(spark, led):
     return audits.audit_revenue(build_statements(spark, led), led.sales)
 
 
-def q_audit_cash(spark, d):
-    led = _ledger(spark, d)
+def q_audit_cash(spark, led):
     return audits.audit_cash(build_statements(spark, led), led)
 
 
-def q_statement_compare(spark, d):
-    return reports.statement_compare(build_statements(spark, _ledger(spark, d)))
+def q_statement_compare(spark, led):
+    return reports.statement_compare(build_statements(spark, led))
 
 
-def q_flux_yoy(spark, d):
-    return reports.flux_yoy(build_statements(spark, _ledger(spark, d)))
+def q_flux_yoy(spark, led):
+    return reports.flux_yoy(build_statements(spark, led))
 
 
-def q_export_rows(spark, d):
-    return reports.export_rows(_ledger(spark, d).sales)
+def q_export_rows(spark, led):
+    return reports.export_rows(led.sales)
 
 
-QUERIES: dict[str, Query] = {
+LEDGER_QUERIES: dict[str, LedgerQuery] = {
     "load_ledger": q_load_ledger,
     "calendar_yearly": q_calendar_yearly,
     "calendar_monthly": q_calendar_monthly,
@@ -161,3 +155,15 @@ QUERIES: dict[str, Query] = {
     "flux_yoy": q_flux_yoy,
     "export_rows": q_export_rows,
 }
+
+
+def _on_driver_tables(fn: LedgerQuery) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(spark, ledger_from_driver(spark, sf_dir))
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+# The registered form: (spark, sf_dir) over the driver's tables.
+QUERIES: dict[str, Query] = {k: _on_driver_tables(f) for k, f in LEDGER_QUERIES.items()}
