@@ -162,20 +162,24 @@ def sold_quantities(sales: DataFrame) -> DataFrame:
         F.sum("quantity").alias("qty"))
 
 
-def cogs_by_year(sales: DataFrame, purchases: DataFrame) -> DataFrame:
-    """Cost of goods sold per sale year (negative), NULL where no sale has a cost.
+def cogs_from(sold: DataFrame, costs: DataFrame) -> DataFrame:
+    """COGS per year from (product, year, qty) and (product, cost_sum).
 
     Both sides are aggregates keyed by product; Spark (with AQE) picks a
     broadcast or sort-merge join from their measured size.
     """
-    j = sold_quantities(sales).join(product_costs(purchases), "product_name", "left")
+    j = sold.join(costs, "product_name", "left")
     return j.groupBy("year").agg(
         amount(F.sum(-(F.col("qty") * F.col("cost_sum")))).alias("amt"))
 
 
-def cogs_posts(sales: DataFrame, purchases: DataFrame) -> DataFrame:
-    """B6 (COGS) and B11 (Inventory deduction), one value per sale year."""
-    per_year = cogs_by_year(sales, purchases)
+def cogs_by_year(sales: DataFrame, purchases: DataFrame) -> DataFrame:
+    """Cost of goods sold per sale year (negative), NULL where no sale has a cost."""
+    return cogs_from(sold_quantities(sales), product_costs(purchases))
+
+
+def cogs_posts_from(per_year: DataFrame) -> DataFrame:
+    """B6 (COGS) and B11 (Inventory deduction) from COGS per year."""
     return per_year.select(F.inline(F.array(
         F.struct(F.lit("B6").alias("rule"), F.col("year"), F.lit("COGS").alias("account"),
                  amount(F.col("amt")).alias("amt")),
@@ -184,7 +188,12 @@ def cogs_posts(sales: DataFrame, purchases: DataFrame) -> DataFrame:
     )))
 
 
-def _expand_equipment(agg: DataFrame, years: DataFrame, life: int) -> DataFrame:
+def cogs_posts(sales: DataFrame, purchases: DataFrame) -> DataFrame:
+    """B6 (COGS) and B11 (Inventory deduction), one value per sale year."""
+    return cogs_posts_from(cogs_by_year(sales, purchases))
+
+
+def expand_equipment(agg: DataFrame, years: DataFrame, life: int = LIFE_YEARS) -> DataFrame:
     """Turn the EQ rows (cost by first year) into Depr_Exp and PPE_Snapshot rows.
 
     Runs after the aggregate, on at most (#rules x #years) rows, with no split
@@ -229,7 +238,7 @@ def ledger_postings(ledger: Ledger, years: DataFrame, rules: RuleSet = PIPELINE,
     if end_year is not None:
         raw = raw.filter(F.col("year") <= end_year)
     agg = raw.groupBy("rule", "year", "account").agg(F.sum("amt").alias("amt"))
-    posted = _expand_equipment(agg, years, rules.life)
+    posted = expand_equipment(agg, years, rules.life)
     cogs = cogs_posts(ledger.sales, ledger.purchases)
     if end_year is not None:
         posted = posted.filter(F.col("year") <= end_year)

@@ -74,3 +74,26 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, *parts)
+
+
+def cluster_conf(input_bytes: int, executor_cores: int = 4,
+                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Starting settings for a cluster run over ``input_bytes`` of ledger data.
+
+    Scan splits of ~256 MB; an initial shuffle width that gives ~256 MB per
+    reducer before AQE coalesces the small post-aggregation shuffles down
+    (most shuffles here carry pre-aggregated rows and shrink to a few
+    partitions); skew-join splitting on for the joins keyed by id/product.
+    """
+    width = max(200, int(input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 ** 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.executor.cores": str(executor_cores),
+    }

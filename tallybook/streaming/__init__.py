@@ -1,0 +1,3 @@
+from .live_ledger import live_statements, start_live_postings
+
+__all__ = ["live_statements", "start_live_postings"]
