@@ -97,3 +97,20 @@ def audit_cash(dashboard: DataFrame, ledger: Ledger, years: Iterable[int] | None
         diff.cast(REPORT).alias("diff"),
         (F.abs(diff) < F.lit(tol)).alias("is_match"),
     ).orderBy(F.col("year").asc_nulls_last())
+
+
+def audit_report(audit: DataFrame) -> DataFrame:
+    """Audit lines as labelled, formatted text: one row per (year, component).
+
+    Labels are the column names with ``_`` as spaces in title case; amounts
+    use thousands separators and 2 decimals, as the audit logs print them.
+    """
+    value_cols = [c for c, t in audit.dtypes if t.startswith("decimal")]
+    long = audit.select("year", "is_match", *value_cols).unpivot(
+        ["year", "is_match"], value_cols, "component", "value")
+    return long.select(
+        "year", "component",
+        F.initcap(F.regexp_replace("component", "_", " ")).alias("label"),
+        F.format_number(F.col("value"), 2).alias("formatted"),
+        "is_match",
+    )

@@ -14,6 +14,26 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import shared_path
 
 
+def read_tables(spark: SparkSession, names: list[str], fmt: str = "parquet",
+                location: str | None = None, options: dict | None = None,
+                partitioning: dict[str, dict] | None = None) -> dict[str, DataFrame]:
+    """Read named ledger tables from files (``location/name``) or a database.
+
+    For ``fmt="jdbc"`` each table is read in parallel slices: pass, per table,
+    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``
+    in ``partitioning``; without them JDBC reads a table in one task.
+    """
+    out = {}
+    for name in names:
+        r = spark.read.format(fmt).options(**(options or {}))
+        if fmt == "jdbc":
+            r = r.option("dbtable", name).options(**(partitioning or {}).get(name, {}))
+            out[name] = r.load()
+        else:
+            out[name] = r.load(f"{location.rstrip('/')}/{name}")
+    return out
+
+
 def save_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
                partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` and return a frame that reads the written files."""

@@ -199,3 +199,28 @@ def test_prefilter_equals_postfilter(spark):
     pre = postings_for(spark, led, PIPELINE, end_year=2022)
     post = postings_for(spark, led, PIPELINE).filter(F.col("year") <= 2022)
     assert sorted(map(tuple, pre.collect())) == sorted(map(tuple, post.collect()))
+
+
+def test_audit_report_formats_labels(spark):
+    led = make_ledger(spark, payments=[payment("2021-06-01", "equipment", 1234.5)])
+    rep = audits.audit_report(audits.audit_cash(build_statements(spark, led), led, years=[2021]))
+    rows = {r.component: r for r in rep.collect()}
+    assert rows["expense_out"].label == "Expense Out"
+    assert rows["expense_out"].formatted == "1,234.50"
+
+
+def test_materialize_and_reload(spark, tmp_path):
+    from tallybook.sources.tables import materialize, read_tables
+    led = make_ledger(spark, sales=[sale("2021-12-15", 10, 100, "credit", paid="2021-12-20")])
+    ar = materialize(accounts.account_ar(led.sales), "account_ar", str(tmp_path / "account_ar"))
+    assert spark.table("account_ar").count() == 1 and ar.count() == 1
+    again = read_tables(spark, ["account_ar"], location=str(tmp_path))["account_ar"]
+    assert [tuple(r) for r in again.collect()] == [tuple(r) for r in ar.collect()]
+
+
+def test_export_csv_roundtrip(spark, tmp_path):
+    from tallybook.operators.reports import export_csv, export_rows
+    led = make_ledger(spark, sales=[sale("2021-12-15", 10, 100), sale("2024-01-02", 1, 5, id_=2)])
+    export_csv(export_rows(led.sales, 2023), str(tmp_path / "out"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "out")).collect()
+    assert len(back) == 1 and back[0].sale_at == "2021-12-15" and back[0].price == "100.00"
