@@ -157,9 +157,13 @@ def product_costs(purchases: DataFrame) -> DataFrame:
 
 
 def sold_quantities(sales: DataFrame) -> DataFrame:
-    """Sold quantity per (product, sale year): a hot product is a few rows here."""
+    """Sold quantity and value per (product, sale year): a hot product is a few rows here.
+
+    Carries the sales value too, so a caller that needs revenue by year reads
+    it from this aggregate instead of scanning the sales again.
+    """
     return sales.groupBy("product_name", F.year("sale_at").alias("year")).agg(
-        F.sum("quantity").alias("qty"))
+        F.sum("quantity").alias("qty"), F.sum(F.col("quantity") * F.col("price")).alias("value"))
 
 
 def cogs_from(sold: DataFrame, costs: DataFrame) -> DataFrame:
@@ -168,7 +172,7 @@ def cogs_from(sold: DataFrame, costs: DataFrame) -> DataFrame:
     Both sides are aggregates keyed by product; Spark (with AQE) picks a
     broadcast or sort-merge join from their measured size.
     """
-    j = sold.join(costs, "product_name", "left")
+    j = sold.select("product_name", "year", "qty").join(costs, "product_name", "left")
     return j.groupBy("year").agg(
         amount(F.sum(-(F.col("qty") * F.col("cost_sum")))).alias("amt"))
 
@@ -237,8 +241,11 @@ def ledger_postings(ledger: Ledger, years: DataFrame, rules: RuleSet = PIPELINE,
            .unionByName(payments_posts(ledger.payments, rules)))
     if end_year is not None:
         raw = raw.filter(F.col("year") <= end_year)
-    agg = raw.groupBy("rule", "year", "account").agg(F.sum("amt").alias("amt"))
-    posted = expand_equipment(agg, years, rules.life)
+    # The expansion is linear, so it can run on the reduced rows directly
+    # when the caller aggregates anyway.
+    if by_rule:
+        raw = raw.groupBy("rule", "year", "account").agg(F.sum("amt").alias("amt"))
+    posted = expand_equipment(raw, years, rules.life)
     cogs = cogs_posts(ledger.sales, ledger.purchases)
     if end_year is not None:
         posted = posted.filter(F.col("year") <= end_year)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import amount, month_start, round2
-from ..sources.schemas import REPORT
+from ..sources.schemas import FINE, REPORT
 from .schedules import EQUIPMENT, LIFE_YEARS, depreciation_rate
 from .statements import running_total
 
@@ -71,9 +71,9 @@ def equipment_months(groups: DataFrame, calendar: DataFrame,
     return rows.filter((F.col("calendar_at") >= pd) & (F.col("calendar_at") < F.add_months(pd, months)))
 
 
-def _per_group_month(payments: DataFrame, calendar: DataFrame, life_years: int) -> DataFrame:
+def _per_group_month(groups: DataFrame, calendar: DataFrame, life_years: int) -> DataFrame:
     """Per (group, month): m rows, amount sum a, the group's month count n, running A."""
-    g = equipment_months(schedule_groups(payments), calendar, life_years).groupBy(
+    g = equipment_months(groups, calendar, life_years).groupBy(
         *_KEYS, "calendar_at", "year").agg(F.count(F.lit(1)).alias("m"), F.sum("amount").alias("a"))
     whole = Window.partitionBy(*_KEYS)
     run = Window.partitionBy(*_KEYS).orderBy("calendar_at")
@@ -90,21 +90,28 @@ def _divide_by_n(df: DataFrame, numer: str) -> DataFrame:
 
 
 def accumulated_depreciation_by_year(payments: DataFrame, calendar: DataFrame,
-                                     life_years: int = LIFE_YEARS) -> DataFrame:
+                                     life_years: int = LIFE_YEARS,
+                                     groups: DataFrame | None = None) -> DataFrame:
     """Per year, the sum of every asset-month's accumulated depreciation (positive)."""
-    g = _per_group_month(payments, calendar, life_years)
+    groups = schedule_groups(payments) if groups is None else groups
+    g = _per_group_month(groups, calendar, life_years)
     return _divide_by_n(g.withColumn("ma", F.col("m") * F.col("run_a")), "ma")
 
 
 def periodic_depreciation_by_year(payments: DataFrame, calendar: DataFrame,
-                                  life_years: int = LIFE_YEARS) -> DataFrame:
+                                  life_years: int = LIFE_YEARS,
+                                  groups: DataFrame | None = None) -> DataFrame:
     """Per year, the depreciation charged in that year's months (positive)."""
-    return _divide_by_n(_per_group_month(payments, calendar, life_years), "a")
+    groups = schedule_groups(payments) if groups is None else groups
+    return _divide_by_n(_per_group_month(groups, calendar, life_years), "a")
 
 
-def equipment_purchases_by_year(payments: DataFrame) -> DataFrame:
-    return _equipment(payments).groupBy(F.year("payment_date").alias("year")).agg(
-        F.sum("amount").alias("amt"))
+def equipment_purchases_by_year(payments: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """Equipment bought per year. From the schedule groups when given: they
+    carry every payment's amount (merged per date or per id), so the payments
+    are not scanned again."""
+    src = _equipment(payments) if groups is None else groups
+    return src.groupBy(F.year("payment_date").alias("year")).agg(F.sum("amount").alias("amt"))
 
 
 def ppe_monthly(payments: DataFrame, calendar: DataFrame, corrected: bool = False,
@@ -117,12 +124,17 @@ def ppe_monthly(payments: DataFrame, calendar: DataFrame, corrected: bool = Fals
     ``corrected=True``: one row per year, purchases minus the depreciation of
     that year's months, accumulated.
     """
-    buys = equipment_purchases_by_year(payments)
+    groups = schedule_groups(payments)
+    # Cast before the union: Spark widens decimal(38,10) with decimal(38,2)
+    # to decimal(38,2), which would round the depreciation to cents.
+    buys = equipment_purchases_by_year(payments, groups).select(
+        "year", F.col("amt").cast(FINE).alias("amt"))
     if not corrected:
-        u = accumulated_depreciation_by_year(payments, calendar, life_years).unionByName(buys)
+        dep = accumulated_depreciation_by_year(payments, calendar, life_years, groups)
+        u = dep.select("year", F.col("amt").cast(FINE).alias("amt")).unionByName(buys)
     else:
-        dep = periodic_depreciation_by_year(payments, calendar, life_years)
-        u = buys.unionByName(dep.select("year", (-F.col("amt")).alias("amt")))
+        dep = periodic_depreciation_by_year(payments, calendar, life_years, groups)
+        u = buys.unionByName(dep.select("year", (-F.col("amt")).cast(FINE).alias("amt")))
         u = u.groupBy("year").agg(F.sum("amt").alias("amt"))
     return u.select(
         "year", F.lit(PPE_ACCOUNT).alias("account"),

@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import amount, round2
+from ..functions import round2
+from ..sources.schemas import FINE
 from ..sources.adapter import Ledger
 from .calendars import calendar_years
-from .postings import cogs_by_year
+from .postings import cogs_from, product_costs, sold_quantities
 from .ppe import accumulated_depreciation_by_year, periodic_depreciation_by_year
 
 # Line labels and their presentation order.
@@ -33,8 +34,10 @@ END_LINE = ("RE - Ending Balance", 999)
 
 
 def _line(df: DataFrame, label: tuple[str, int]) -> DataFrame:
+    # One exact type for every line (depreciation carries 10 places), so the
+    # union neither widens nor rounds and the output is rounded once.
     return df.select("year", F.lit(label[0]).alias("transaction_type"),
-                     F.lit(label[1]).alias("order_process"), amount(F.col("amt")).alias("amt"))
+                     F.lit(label[1]).alias("order_process"), F.col("amt").cast(FINE).alias("amt"))
 
 
 def retained_earnings(ledger: Ledger, calendar_monthly: DataFrame,
@@ -45,10 +48,10 @@ def retained_earnings(ledger: Ledger, calendar_monthly: DataFrame,
     (not periodic) depreciation, shown positive. ``corrected=True`` books the
     depreciation of the year's months as an expense (negative).
     """
-    sales = ledger.sales
-    revenue = sales.groupBy(F.year("sale_at").alias("year")).agg(
-        F.sum(F.col("quantity") * F.col("price")).alias("amt"))
-    cogs = cogs_by_year(sales, ledger.purchases)
+    # Revenue and COGS read one (product, year) aggregate of the sales.
+    sold = sold_quantities(ledger.sales)
+    revenue = sold.groupBy("year").agg(F.sum("value").alias("amt"))
+    cogs = cogs_from(sold, product_costs(ledger.purchases))
     if corrected:
         dep = periodic_depreciation_by_year(ledger.payments, calendar_monthly)
         dep = dep.select("year", (-F.col("amt")).alias("amt"))
@@ -63,7 +66,7 @@ def retained_earnings(ledger: Ledger, calendar_monthly: DataFrame,
     expenses = (ledger.payments.filter(ptype.isin(list(EXPENSE_LINES)))
                 .groupBy(F.year("payment_date").alias("year"),
                          label.alias("transaction_type"), order.alias("order_process"))
-                .agg(amount(-F.sum("amount")).alias("amt")))
+                .agg((-F.sum("amount")).cast(FINE).alias("amt")))
 
     years = calendar_years(calendar_monthly)
     bounds = years.select("year", F.lit(0).cast("decimal(1,0)").alias("amt"))

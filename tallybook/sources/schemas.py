@@ -13,6 +13,8 @@ LOAN_MONEY = T.DecimalType(14, 2)
 # Posted amounts and sums. 38 digits leave room for 100 TB of sales.
 AMOUNT = T.DecimalType(38, 4)
 REPORT = T.DecimalType(38, 2)
+# Results of a division by a month count (exact to 10 places, 28 integer digits).
+FINE = T.DecimalType(38, 10)
 DEPRECIATION = T.DecimalType(18, 4)
 
 SALES = T.StructType([
