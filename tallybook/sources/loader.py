@@ -38,14 +38,13 @@ def parse_records(raw: DataFrame, schema: T.StructType) -> DataFrame:
         else:
             typed.append(F.lit(None).cast(f.dataType).alias(f.name))
     reason = F.concat_ws(",", *failed) if failed else F.lit("")
-    x = raw.select(*typed, reason.alias("_reason"),
-                   F.to_json(F.struct(*[F.col(c) for c in raw.columns])).alias("_raw"))
-    bad = F.col("_reason") != ""
-    return x.select(
-        *[f.name for f in schema.fields],
+    bad = reason != ""
+    return raw.select(
+        *typed,
         F.when(bad, F.lit(REJECTED)).otherwise(F.lit(OK)).alias("_status"),
-        F.when(bad, F.col("_reason")).alias("_reason"),
-        F.when(bad, F.col("_raw")).alias("_record"),
+        F.when(bad, reason).alias("_reason"),
+        # serialised only for rejected rows (CASE evaluates lazily)
+        F.when(bad, F.to_json(F.struct(*[F.col(c) for c in raw.columns]))).alias("_record"),
     )
 
 
