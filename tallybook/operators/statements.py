@@ -40,23 +40,44 @@ def _pick(account: str, col: str) -> Column:
     return F.max(F.when(F.col("account") == account, F.col(col)))
 
 
+BALANCES = ("Cash", "Accounts_Receivable", "Accounts_Payable", "Loan_Principal", "Inventory",
+            "Depr_Exp")
+
+
 def dashboard(summaries: DataFrame, end_year: int, rules: RuleSet = PIPELINE,
-              cash_name: str = "cash", inventory_name: str = "inventory") -> DataFrame:
-    """One row per year <= end_year: 9 rounded measures, ordered by year."""
-    ppe = or_zero(_pick("PPE_Snapshot", "annual_movement"))
-    depr = or_zero(_pick("Depr_Exp", "running_balance"))
+              cash_name: str = "cash", inventory_name: str = "inventory",
+              carry_forward: bool = False) -> DataFrame:
+    """One row per year <= end_year: 9 rounded measures, ordered by year.
+
+    As in the reference, a balance account without movement in a year shows 0
+    there. ``carry_forward=True`` shows its last balance instead (a window
+    over the few year rows).
+    """
     s = summaries.filter(F.col("year") <= end_year)
-    return s.groupBy("year").agg(
-        round2(or_zero(_pick("Revenue", "annual_movement"))).alias("revenue"),
-        round2(F.sum(F.when(F.col("account").isin(list(rules.pl_accounts)),
-                            F.col("annual_movement")))).alias("net_income"),
-        round2(or_zero(_pick("Cash", "running_balance"))).alias(cash_name),
-        round2(or_zero(_pick("Accounts_Receivable", "running_balance"))).alias("accounts_receivable"),
-        round2(or_zero(_pick("Accounts_Payable", "running_balance"))).alias("accounts_payable"),
-        round2(or_zero(_pick("Loan_Principal", "running_balance"))).alias("debt_remaining"),
-        round2(or_zero(_pick("Inventory", "running_balance"))).alias(inventory_name),
+    bal = {a: _pick(a, "running_balance") for a in BALANCES}
+    wide = s.groupBy("year").agg(
+        _pick("Revenue", "annual_movement").alias("_rev"),
+        F.sum(F.when(F.col("account").isin(list(rules.pl_accounts)),
+                     F.col("annual_movement"))).alias("_ni"),
+        _pick("PPE_Snapshot", "annual_movement").alias("_ppe"),
+        *[c.alias(f"_b_{a}") for a, c in bal.items()],
+    )
+    b = {a: F.col(f"_b_{a}") for a in BALANCES}
+    if carry_forward:
+        w = Window.orderBy(F.col("year").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+        b = {a: F.last(c, ignorenulls=True).over(w) for a, c in b.items()}
+    ppe = or_zero(F.col("_ppe"))
+    return wide.select(
+        "year",
+        round2(or_zero(F.col("_rev"))).alias("revenue"),
+        round2(F.col("_ni")).alias("net_income"),
+        round2(or_zero(b["Cash"])).alias(cash_name),
+        round2(or_zero(b["Accounts_Receivable"])).alias("accounts_receivable"),
+        round2(or_zero(b["Accounts_Payable"])).alias("accounts_payable"),
+        round2(or_zero(b["Loan_Principal"])).alias("debt_remaining"),
+        round2(or_zero(b["Inventory"])).alias(inventory_name),
         round2(ppe).alias("gross_ppe"),
-        round2(F.greatest(F.lit(0).cast("decimal(1,0)"), ppe + depr)).alias("net_ppe"),
+        round2(F.greatest(F.lit(0).cast("decimal(1,0)"), ppe + or_zero(b["Depr_Exp"]))).alias("net_ppe"),
     ).orderBy(F.col("year").asc_nulls_last())
 
 

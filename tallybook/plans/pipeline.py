@@ -33,16 +33,16 @@ def postings_for(spark: SparkSession, ledger: Ledger, rules: RuleSet = PIPELINE,
 # The statements are a view in the reference: built once, read by the audits
 # and reports. Here the lazy plan is built once per ledger and end year and
 # re-executed on every read (no data is cached).
-_VIEWS: dict[tuple[int, str, int], DataFrame] = {}
+_VIEWS: dict[tuple[int, str, int, bool], DataFrame] = {}
 
 
 def _statements(spark: SparkSession, ledger: Ledger, rules: RuleSet, end_year: int,
-                years: DataFrame | None, **names: str) -> DataFrame:
-    key = (id(ledger), rules.name, end_year)
+                years: DataFrame | None, carry_forward: bool = False, **names: str) -> DataFrame:
+    key = (id(ledger), rules.name, end_year, carry_forward)
     if years is None and key in _VIEWS:
         return _VIEWS[key]
     post = postings_for(spark, ledger, rules, end_year=end_year, years=years, by_rule=False)
-    df = dashboard(yearly_summaries(post), end_year, rules, **names)
+    df = dashboard(yearly_summaries(post), end_year, rules, carry_forward=carry_forward, **names)
     if years is None:
         _VIEWS[key] = df
     return df
@@ -50,9 +50,9 @@ def _statements(spark: SparkSession, ledger: Ledger, rules: RuleSet, end_year: i
 
 def build_statements(spark: SparkSession, ledger: Ledger,
                      end_year: int = DASHBOARD_END_YEAR,
-                     years: DataFrame | None = None) -> DataFrame:
+                     years: DataFrame | None = None, carry_forward: bool = False) -> DataFrame:
     """The yearly dashboard (income statement and balance sheet measures)."""
-    return _statements(spark, ledger, PIPELINE, end_year, years)
+    return _statements(spark, ledger, PIPELINE, end_year, years, carry_forward)
 
 
 def build_legacy_statements(spark: SparkSession, ledger: Ledger,

@@ -224,3 +224,10 @@ def test_export_csv_roundtrip(spark, tmp_path):
     export_csv(export_rows(led.sales, 2023), str(tmp_path / "out"))
     back = spark.read.option("header", True).csv(str(tmp_path / "out")).collect()
     assert len(back) == 1 and back[0].sale_at == "2021-12-15" and back[0].price == "100.00"
+
+
+def test_carry_forward_option(spark):
+    led = make_ledger(spark, sales=[sale("2022-03-01", 1, 10)], loans=[loan("2021-05-01", 500)])
+    d = {r.year: r for r in build_statements(spark, led, carry_forward=True).collect()}
+    assert d[2021].debt_remaining == 500 and d[2022].debt_remaining == 500
+    assert d[2022].cash == 510
