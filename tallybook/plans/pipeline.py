@@ -7,14 +7,20 @@ only builds the plan, Catalyst optimises it and AQE sizes the shuffles.
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.calendars import YEARLY_END, YEARLY_START, calendar_yearly, calendar_years
+from ..operators.calendars import (YEARLY_END, YEARLY_START, calendar_monthly, calendar_yearly,
+                                   calendar_years)
+from ..operators.schedules import accrual_schedule, depreciation_schedule
 from ..operators.postings import LEGACY, PIPELINE, RuleSet, ledger_postings
 from ..operators.statements import (DASHBOARD_END_YEAR, LEGACY_END_YEAR, dashboard,
                                     yearly_summaries)
 from ..sources.adapter import Ledger
+from ..sources.loader import load_ledger
+from ..sources.schemas import LEDGER_SCHEMAS
+from ..sources.tables import create_or_replace_view, materialize
 
 
 def default_years(spark: SparkSession, start: dt.date = YEARLY_START,
@@ -60,3 +66,40 @@ def build_legacy_statements(spark: SparkSession, ledger: Ledger,
                             years: DataFrame | None = None) -> DataFrame:
     return _statements(spark, ledger, LEGACY, end_year, years,
                        cash_name="cash_bal", inventory_name="inventory_bal")
+
+
+def run_pipeline(spark: SparkSession, sources: dict, target_dir: str,
+                 end_year: int = DASHBOARD_END_YEAR, fmt: str = "csv",
+                 options: dict | None = None) -> dict[str, DataFrame]:
+    """The whole refresh: load the raw tables, write the derived tables, create the view.
+
+    1. ``load_ledger``: typed tables and rejects, written below ``target_dir``;
+    2. the calendar and the depreciation and accrual schedules, written as
+       snapshot tables (as the reference creates them);
+    3. the statements as the live view ``dashboard_flux_analysis`` over the
+       loaded tables.
+    Every step is a Spark job; nothing passes through the driver.
+    """
+    tables, rejects = load_ledger(spark, sources, os.path.join(target_dir, "raw"), fmt=fmt,
+                                  options=options)
+    for name in ("sales", "purchases", "payments", "loans"):
+        if name not in tables:
+            tables[name] = spark.createDataFrame([], LEDGER_SCHEMAS[name])
+    ledger = Ledger(**tables)
+    years = default_years(spark)
+    out = {
+        "rejects": rejects,
+        "calendar": materialize(calendar_yearly(spark), "calendar", os.path.join(target_dir, "calendar")),
+        "calendar_monthly": materialize(calendar_monthly(spark), "calendar_monthly",
+                                        os.path.join(target_dir, "calendar_monthly")),
+        "equipment_depreciation_schedule": materialize(
+            depreciation_schedule(ledger.payments, years), "equipment_depreciation_schedule",
+            os.path.join(target_dir, "equipment_depreciation_schedule")),
+        "expense_accrual_schedule": materialize(
+            accrual_schedule(ledger.payments), "expense_accrual_schedule",
+            os.path.join(target_dir, "expense_accrual_schedule")),
+    }
+    out["dashboard_flux_analysis"] = create_or_replace_view(
+        build_statements(spark, ledger, end_year), "dashboard_flux_analysis")
+    out.update(tables)
+    return out
