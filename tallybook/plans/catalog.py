@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import accounts, audits, calendars, ppe, reports, retained, schedules, statements
-from ..operators.postings import LEGACY, PIPELINE
+from ..operators.postings import PIPELINE
 from ..sources.adapter import Ledger, ledger_from_driver
 from ..sources.loader import as_text, load_summary
 from ..sources.schemas import AMOUNT
