@@ -10,6 +10,7 @@ read. Written tables go below the shared folder of the cluster
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..session import shared_path
 
@@ -71,3 +72,28 @@ def insert_into(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 def drop_view(spark: SparkSession, name: str) -> None:
     """DROP .. IF EXISTS for a registered view (silent when absent)."""
     spark.catalog.dropTempView(name)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def create_table_if_not_exists(spark: SparkSession, path: str, schema: T.StructType,
+                               fmt: str = "parquet") -> DataFrame:
+    """CREATE TABLE IF NOT EXISTS: an empty table with ``schema`` unless one is there."""
+    if not _exists(spark, path):
+        spark.createDataFrame([], schema).write.format(fmt).save(path)
+    return spark.read.format(fmt).schema(schema).load(path)
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """DROP TABLE IF EXISTS for a path table (silent when absent).
+
+    Spark has no CASCADE for dependents; callers rebuild dependents in order.
+    """
+    if _exists(spark, path):
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

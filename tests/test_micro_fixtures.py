@@ -231,3 +231,15 @@ def test_carry_forward_option(spark):
     d = {r.year: r for r in build_statements(spark, led, carry_forward=True).collect()}
     assert d[2021].debt_remaining == 500 and d[2022].debt_remaining == 500
     assert d[2022].cash == 510
+
+
+def test_create_insert_drop_table(spark, tmp_path):
+    from tallybook.sources.schemas import LOANS
+    from tallybook.sources.tables import create_table_if_not_exists, drop_table, insert_into
+    path = str(tmp_path / "loans")
+    assert create_table_if_not_exists(spark, path, LOANS).count() == 0
+    insert_into(make_ledger(spark, loans=[loan("2021-05-01", 500)]).loans, path)
+    assert create_table_if_not_exists(spark, path, LOANS).count() == 1  # kept
+    drop_table(spark, path)
+    drop_table(spark, path)  # silent when absent
+    assert create_table_if_not_exists(spark, path, LOANS).count() == 0
