@@ -129,6 +129,11 @@ def loans_posts(loans: DataFrame) -> DataFrame:
 def payments_posts(payments: DataFrame, rules: RuleSet) -> DataFrame:
     pd = F.col("payment_date")
     accrued = F.col("payment_type").isin(list(rules.accrual_types)) & in_years(pd, rules.accrual_years)
+    # Every payments rule is conditioned on the type: keep only the types some
+    # rule uses, so Parquet skips the rest and odd values never reach the shuffle.
+    used = sorted(set(rules.cash_types) | set(rules.accrual_types)
+                  | {"loan", EQUIPMENT} | ({"rent"} if rules.rent_rule else set()))
+    payments = payments.filter(F.col("payment_type").isin(used))
     r = _reduce(payments, [
         F.col("payment_type").alias("ptype"),
         F.year(pd).alias("y_pay"),
