@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,30 +29,52 @@ def default_years(spark: SparkSession, start: dt.date = YEARLY_START,
     return calendar_years(calendar_yearly(spark, start, end))
 
 
+class _PlanCache:
+    """Lazy plans per ledger object. Keyed by id() but checked through a weak
+    reference, so a new ledger that reuses a freed id never gets a stale plan."""
+
+    def __init__(self) -> None:
+        self._d: dict[tuple, tuple[weakref.ref, DataFrame]] = {}
+
+    def get(self, ledger: Ledger, key: tuple, build):
+        k = (id(ledger),) + key
+        hit = self._d.get(k)
+        if hit is not None and hit[0]() is ledger:
+            return hit[1]
+        df = build()
+        self._d[k] = (weakref.ref(ledger), df)
+        return df
+
+
+_POSTINGS = _PlanCache()
+
+
 def postings_for(spark: SparkSession, ledger: Ledger, rules: RuleSet = PIPELINE,
                  end_year: int | None = None, years: DataFrame | None = None,
                  by_rule: bool = True) -> DataFrame:
-    if years is None:
-        years = default_years(spark)
-    return ledger_postings(ledger, years, rules, end_year=end_year, by_rule=by_rule)
+    """Postings of a ledger; with the default calendar the lazy plan is built
+    once per ledger and reused (it holds no data)."""
+    if years is not None:
+        return ledger_postings(ledger, years, rules, end_year=end_year, by_rule=by_rule)
+    return _POSTINGS.get(ledger, (rules.name, end_year, by_rule), lambda: ledger_postings(
+        ledger, default_years(spark), rules, end_year=end_year, by_rule=by_rule))
 
 
 # The statements are a view in the reference: built once, read by the audits
 # and reports. Here the lazy plan is built once per ledger and end year and
 # re-executed on every read (no data is cached).
-_VIEWS: dict[tuple[int, str, int, bool], DataFrame] = {}
+_VIEWS = _PlanCache()
 
 
 def _statements(spark: SparkSession, ledger: Ledger, rules: RuleSet, end_year: int,
                 years: DataFrame | None, carry_forward: bool = False, **names: str) -> DataFrame:
-    key = (id(ledger), rules.name, end_year, carry_forward)
-    if years is None and key in _VIEWS:
-        return _VIEWS[key]
-    post = postings_for(spark, ledger, rules, end_year=end_year, years=years, by_rule=False)
-    df = dashboard(yearly_summaries(post), end_year, rules, carry_forward=carry_forward, **names)
-    if years is None:
-        _VIEWS[key] = df
-    return df
+    def build() -> DataFrame:
+        post = postings_for(spark, ledger, rules, end_year=end_year, years=years, by_rule=False)
+        return dashboard(yearly_summaries(post), end_year, rules, carry_forward=carry_forward,
+                         **names)
+    if years is not None:
+        return build()
+    return _VIEWS.get(ledger, (rules.name, end_year, carry_forward), build)
 
 
 def build_statements(spark: SparkSession, ledger: Ledger,
