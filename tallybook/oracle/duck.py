@@ -197,7 +197,18 @@ span AS (
         UNION ALL SELECT loan_at, loan_at FROM loans)
 )"""
 
-MONTHLY_DEP = """
+def _div_n(s: str) -> str:
+    """s / n as DECIMAL(38,10), rounded half away from zero, in integer arithmetic.
+
+    DuckDB's decimal division yields a DOUBLE, whose sums depend on the
+    (parallel) summation order; integers keep the oracle exact and repeatable.
+    """
+    c = f"CAST(round({s} * 100) AS HUGEINT)"
+    q = f"((2 * abs({c}) * 100000000 + n) // (2 * n))"
+    return (f"CAST(sign({c}) * {q} AS DECIMAL(38,0)) * CAST(0.0000000001 AS DECIMAL(38,10))")
+
+
+MONTHLY_DEP = f"""
 eq AS (SELECT id, payment_date, amount FROM payments WHERE payment_type = 'equipment'),
 asset_months AS (
     SELECT e.id, c.calendar_at, c.year, e.amount,
@@ -207,12 +218,17 @@ asset_months AS (
      AND c.calendar_at < CAST(e.payment_date + INTERVAL 10 YEAR AS DATE)
 ),
 asset_acc AS (
-    SELECT id, calendar_at, year, CAST(amount AS DOUBLE) / n AS monthly,
-           sum(CAST(amount AS DOUBLE) / n) OVER (PARTITION BY id ORDER BY calendar_at) AS acc
+    -- accumulated amount per asset (peers included); its share is acc / n
+    SELECT year, n, amount,
+           sum(amount) OVER (PARTITION BY id ORDER BY calendar_at) AS acc
     FROM asset_months
 ),
-dep_acc AS (SELECT year, sum(acc) AS amt FROM asset_acc GROUP BY year),
-dep_per AS (SELECT year, sum(monthly) AS amt FROM asset_acc GROUP BY year),
+per_n AS (
+    -- sum of x / n over rows = (sum of x) / n for rows with the same n
+    SELECT year, n, sum(acc) AS s_acc, sum(amount) AS s_per FROM asset_acc GROUP BY year, n
+),
+dep_acc AS (SELECT year, sum({_div_n('s_acc')}) AS amt FROM per_n GROUP BY year),
+dep_per AS (SELECT year, sum({_div_n('s_per')}) AS amt FROM per_n GROUP BY year),
 eq_buys AS (SELECT CAST(year(payment_date) AS INTEGER) AS year, sum(amount) AS amt FROM eq GROUP BY 1)"""
 
 
@@ -243,11 +259,11 @@ def _retained(corrected: bool) -> str:
     return _with(MONTHLY_CAL, COSTS, MONTHLY_DEP, f"""
 lines AS (
     SELECT CAST(year(sale_at) AS INTEGER) AS year, 'Revenue' AS transaction_type, 1 AS order_process,
-           CAST(sum(quantity * price) AS DOUBLE) AS amt
+           CAST(sum(quantity * price) AS DECIMAL(38,10)) AS amt
     FROM sales GROUP BY 1
     UNION ALL
     SELECT CAST(year(s.sale_at) AS INTEGER), 'Cost of Goods Sold', 2,
-           CAST(-sum(c.unit_cost * s.quantity) AS DOUBLE)
+           CAST(-sum(c.unit_cost * s.quantity) AS DECIMAL(38,10))
     FROM sales s LEFT JOIN costs c ON s.product_name = c.product_name GROUP BY 1
     UNION ALL
     SELECT year, 'Depreciation', 3, amt FROM ({dep})
@@ -256,7 +272,7 @@ lines AS (
            CASE payment_type WHEN 'interest' THEN 'Interest Expense' WHEN 'wage' THEN 'Wage Expense'
                 WHEN 'tax' THEN 'Tax Expense' ELSE 'Operational Expense' END,
            CASE payment_type WHEN 'interest' THEN 4 WHEN 'wage' THEN 5 WHEN 'tax' THEN 6 ELSE 7 END,
-           CAST(-sum(amount) AS DOUBLE)
+           CAST(-sum(amount) AS DECIMAL(38,10))
     FROM payments WHERE payment_type IN ('interest', 'wage', 'utility', 'tax', 'rent')
     GROUP BY 1, 2, 3
     UNION ALL
@@ -275,14 +291,14 @@ def _ppe_monthly(corrected: bool) -> str:
         body = """
 u AS (
     SELECT year, sum(amt) AS amt FROM (
-        SELECT year, CAST(amt AS DOUBLE) AS amt FROM eq_buys
+        SELECT year, CAST(amt AS DECIMAL(38,10)) AS amt FROM eq_buys
         UNION ALL SELECT year, -amt FROM dep_per) GROUP BY year
 )"""
     else:
         body = """
 u AS (
     SELECT year, amt FROM dep_acc
-    UNION ALL SELECT year, CAST(amt AS DOUBLE) FROM eq_buys
+    UNION ALL SELECT year, CAST(amt AS DECIMAL(38,10)) FROM eq_buys
 )"""
     return _with(MONTHLY_CAL, MONTHLY_DEP, body) + f"""
 SELECT year, 'Property, Plant & Equipment' AS account,
