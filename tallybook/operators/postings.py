@@ -205,8 +205,9 @@ def cogs_posts(sales: DataFrame, purchases: DataFrame) -> DataFrame:
 def expand_equipment(agg: DataFrame, years: DataFrame, life: int = LIFE_YEARS) -> DataFrame:
     """Turn the EQ rows (cost by first year) into Depr_Exp and PPE_Snapshot rows.
 
-    Runs after the aggregate, on at most (#rules x #years) rows, with no split
-    of the aggregate (a filter would be pushed below it and rescan the table).
+    Runs on the reduced posting rows (a few per table partition), never on
+    raw rows, and without splitting them (a filter would be pushed below the
+    reduce and rescan the table).
     """
     is_eq = F.col("rule") == _EQ_RULE
     i = F.col("i")
@@ -246,10 +247,8 @@ def ledger_postings(ledger: Ledger, years: DataFrame, rules: RuleSet = PIPELINE,
            .unionByName(payments_posts(ledger.payments, rules)))
     if end_year is not None:
         raw = raw.filter(F.col("year") <= end_year)
-    # The expansion is linear, so it can run on the reduced rows directly
-    # when the caller aggregates anyway.
-    if by_rule:
-        raw = raw.groupBy("rule", "year", "account").agg(F.sum("amt").alias("amt"))
+    # The expansion is linear, so it runs on the reduced rows directly: one
+    # aggregate (here, or the caller's) sums everything at the end.
     posted = expand_equipment(raw, years, rules.life)
     cogs = cogs_posts(ledger.sales, ledger.purchases)
     if end_year is not None:
