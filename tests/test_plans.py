@@ -41,3 +41,43 @@ def test_year_filter_reaches_the_scan(spark, tmp_path):
 def test_dashboard_windows_follow_one_single_partition_exchange(spark):
     s = shape(QUERIES["dashboard_flux"](spark, SF))
     assert s["single"] == 1 and s["windows"] == 1
+
+
+def _children_of(plan_text: str, node: str) -> list[str]:
+    """Lines directly below each ``node`` line in an indented tree string."""
+    lines = plan_text.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if node in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            for nxt in lines[i + 1:]:
+                d = len(nxt) - len(nxt.lstrip(" :+-"))
+                if d <= depth:
+                    break
+                out.append(nxt.strip(" :+-"))
+    return out
+
+
+def test_product_join_reads_aggregates_only(spark):
+    """A product with a third of all sales is a few rows at the join."""
+    from tallybook.operators.postings import cogs_by_year
+    led = ledger_from_driver(spark, SF)
+    plan = cogs_by_year(led.sales, led.purchases)._jdf.queryExecution().executedPlan().treeString()
+    plan = plan.split("== Initial Plan ==")[-1]
+    for line in plan.splitlines():
+        if ("SortMergeJoin" in line or "BroadcastHashJoin" in line) and "product_name" in line:
+            below = _children_of(plan, line.strip(" :+-"))
+            # each side of the product join is a HashAggregate before any scan
+            firsts = [x for x in below if x.startswith(("HashAggregate", "FileScan"))]
+            assert firsts and firsts[0].startswith("HashAggregate"), firsts[:3]
+
+
+def test_windows_never_read_raw_scans_directly(spark):
+    for name in ("dashboard_flux", "ppe_monthly", "retained_earnings", "monthly_cash"):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().treeString()
+        plan = plan.split("== Initial Plan ==")[-1]
+        for line in plan.splitlines():
+            if line.strip(" :+-").startswith("Window "):
+                below = _children_of(plan, line.strip(" :+-"))
+                firsts = [x for x in below if x.startswith(("HashAggregate", "FileScan"))]
+                assert firsts and firsts[0].startswith("HashAggregate"), (name, firsts[:3])
