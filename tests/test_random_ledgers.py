@@ -36,7 +36,9 @@ def _money(rng, hi=5000):
     return Decimal(rng.randrange(1, hi * 100)) / 100
 
 
-def random_ledger(spark, seed, n=300):
+def random_ledger(spark, seed, n=300, hot=False):
+    """With ``hot``, one product gets a third of the sales and one id a third
+    of the payments (the skew the plans are built for)."""
     rng = random.Random(seed)
     products = [f"P{i}" for i in range(12)]
     sales, purchases, payments, loans = [], [], [], []
@@ -44,7 +46,8 @@ def random_ledger(spark, seed, n=300):
         d = _day(rng)
         paid = None if rng.random() < 0.1 else d + dt.timedelta(days=rng.randrange(0, 60))
         method = rng.choice(["cash", "credit", None])
-        sales.append((i, d, paid, method, rng.choice(products), rng.randrange(1, 20), _money(rng, 300)))
+        product = "P0" if hot and i % 3 == 0 else rng.choice(products)
+        sales.append((i, d, paid, method, product, rng.randrange(1, 20), _money(rng, 300)))
     for i in range(n // 2):
         d = _day(rng)
         amount = None if rng.random() < 0.05 else Decimal(rng.choice([100, 250, 399, 1234])) / 100
@@ -52,8 +55,11 @@ def random_ledger(spark, seed, n=300):
                           rng.choice(products[:9]), rng.randrange(1, 30), amount))
     for i in range(n):
         pid = rng.randrange(0, 40) if rng.random() < 0.3 else 1000 + i   # duplicate ids
+        ptype = rng.choice(TYPES)
+        if hot and i % 3 == 0:
+            pid, ptype = 7, "equipment"                                  # one hot asset id
         d = None if rng.random() < 0.03 else _day(rng)
-        payments.append((pid, d, rng.choice(TYPES), _money(rng)))
+        payments.append((pid, d, ptype, _money(rng)))
     for i in range(8):
         loans.append((i, _day(rng), _money(rng, 90000)))
     return make_ledger(spark, sales, purchases, payments, loans)
@@ -62,8 +68,8 @@ def random_ledger(spark, seed, n=300):
 @pytest.fixture(scope="module")
 def cases(spark):
     out = []
-    for seed in (7, 11):
-        led = random_ledger(spark, seed)
+    for seed, hot in ((7, False), (11, False), (5, True)):
+        led = random_ledger(spark, seed, hot=hot)
         out.append((led, duck_for(led)))
     return out
 
