@@ -59,3 +59,16 @@ def export_rows(sales: DataFrame, end_year: int = 2023) -> DataFrame:
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write with a header row and no index column; one file per partition."""
     df.write.mode(mode).option("header", True).csv(path)
+
+
+def to_client(df: DataFrame, max_rows: int = 10_000):
+    """A small report as a pandas frame for a client (the chart feed).
+
+    Only bounded results go to the driver: more than ``max_rows`` rows is an
+    error rather than a silent truncation. Statements and reports here have
+    one row per year or measure.
+    """
+    n = df.limit(max_rows + 1).count()
+    if n > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; write it to a table instead")
+    return df.toPandas()

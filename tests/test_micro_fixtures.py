@@ -243,3 +243,13 @@ def test_create_insert_drop_table(spark, tmp_path):
     drop_table(spark, path)
     drop_table(spark, path)  # silent when absent
     assert create_table_if_not_exists(spark, path, LOANS).count() == 0
+
+
+def test_to_client_is_bounded(spark):
+    import pytest
+    from tallybook.operators.reports import statement_compare, to_client
+    led = make_ledger(spark, sales=[sale("2021-12-15", 10, 100), sale("2022-01-15", 1, 5, id_=2)])
+    pdf = to_client(statement_compare(build_statements(spark, led)))
+    assert list(pdf.columns) == ["metric", "section", "y2021", "y2022"] and len(pdf) == 6
+    with pytest.raises(ValueError):
+        to_client(led.sales, max_rows=1)
