@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -42,19 +43,27 @@ def _write(df: DataFrame, path: str, table: str, batch_id: int) -> None:
 
 def _batch_writer(table: str, sink: str, rules: RuleSet):
     def write(batch: DataFrame, batch_id: int) -> None:
-        if table == "sales":
-            posts = sales_posts(batch)
-            _write(sold_quantities(batch), os.path.join(sink, "sold"), table, batch_id)
-        elif table == "purchases":
-            posts = purchases_posts(batch)
-            _write(batch.select("product_name", "amount").distinct(),
-                   os.path.join(sink, "costs"), table, batch_id)
-        elif table == "payments":
-            posts = payments_posts(batch, rules)
-        else:
-            posts = loans_posts(batch)
-        _write(posts.groupBy("rule", "year", "account").agg(F.sum("amt").alias("amt")),
-               os.path.join(sink, "postings"), table, batch_id)
+        two_outputs = table in ("sales", "purchases")
+        if two_outputs:
+            # two writes read the batch: keep it for their duration only
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if table == "sales":
+                posts = sales_posts(batch)
+                _write(sold_quantities(batch), os.path.join(sink, "sold"), table, batch_id)
+            elif table == "purchases":
+                posts = purchases_posts(batch)
+                _write(batch.select("product_name", "amount").distinct(),
+                       os.path.join(sink, "costs"), table, batch_id)
+            elif table == "payments":
+                posts = payments_posts(batch, rules)
+            else:
+                posts = loans_posts(batch)
+            _write(posts.groupBy("rule", "year", "account").agg(F.sum("amt").alias("amt")),
+                   os.path.join(sink, "postings"), table, batch_id)
+        finally:
+            if two_outputs:
+                batch.unpersist()
     return write
 
 
