@@ -74,7 +74,8 @@ def drop_view(spark: SparkSession, name: str) -> None:
     spark.catalog.dropTempView(name)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists on its filesystem (local, HDFS, object store)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
@@ -83,7 +84,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def create_table_if_not_exists(spark: SparkSession, path: str, schema: T.StructType,
                                fmt: str = "parquet") -> DataFrame:
     """CREATE TABLE IF NOT EXISTS: an empty table with ``schema`` unless one is there."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         spark.createDataFrame([], schema).write.format(fmt).save(path)
     return spark.read.format(fmt).schema(schema).load(path)
 
@@ -93,7 +94,7 @@ def drop_table(spark: SparkSession, path: str) -> None:
 
     Spark has no CASCADE for dependents; callers rebuild dependents in order.
     """
-    if _exists(spark, path):
+    if path_exists(spark, path):
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

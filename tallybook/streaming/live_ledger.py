@@ -33,6 +33,7 @@ from ..operators.statements import dashboard, yearly_summaries
 from ..plans.pipeline import default_years
 from ..session import shared_path
 from ..sources.schemas import LEDGER_SCHEMAS
+from ..sources.tables import path_exists
 
 
 def _write(df: DataFrame, path: str, table: str, batch_id: int) -> None:
@@ -88,7 +89,7 @@ def start_live_postings(spark: SparkSession, sources: dict[str, str], sink: str,
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    if os.path.isdir(path):
+    if path_exists(spark, path):
         return spark.read.parquet(path)
     return spark.createDataFrame([], schema)
 
