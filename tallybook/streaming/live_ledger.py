@@ -51,7 +51,8 @@ def _batch_writer(table: str, sink: str, rules: RuleSet):
         try:
             if table == "sales":
                 posts = sales_posts(batch)
-                _write(sold_quantities(batch), os.path.join(sink, "sold"), table, batch_id)
+                _write(sold_quantities(batch).select("product_name", "year", "qty"),
+                       os.path.join(sink, "sold"), table, batch_id)
             elif table == "purchases":
                 posts = purchases_posts(batch)
                 _write(batch.select("product_name", "amount").distinct(),
@@ -88,23 +89,136 @@ def start_live_postings(spark: SparkSession, sources: dict[str, str], sink: str,
     return queries
 
 
+_KINDS = {
+    "postings": ("rule string, year int, account string, amt decimal(38,4), "
+                 "source_table string, batch_id int"),
+    "sold": "product_name string, year int, qty bigint, source_table string, batch_id int",
+    "costs": "product_name string, amount decimal(12,2), source_table string, batch_id int",
+}
+# How each kind folds: postings and quantities sum, cost pairs stay distinct.
+_FOLD = {
+    "postings": (["source_table", "rule", "year", "account"], "amt"),
+    "sold": (["source_table", "product_name", "year"], "qty"),
+    "costs": (["source_table", "product_name", "amount"], None),
+}
+
+
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     if path_exists(spark, path):
         return spark.read.parquet(path)
     return spark.createDataFrame([], schema)
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _snapshots(spark: SparkSession, sink: str) -> list[int]:
+    """Generations of complete snapshots (those whose marker was written), ascending."""
+    root = os.path.join(sink, "snapshots")
+    if not path_exists(spark, root):
+        return []
+    fs, p = _fs(spark, root)
+    gens = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.isdigit() and path_exists(spark, os.path.join(root, name, "_COMPLETE")):
+            gens.append(int(name))
+    return sorted(gens)
+
+
+def _cols(kind: str) -> list[str]:
+    return [c.split()[0] for c in _KINDS[kind].split(", ") if not c.startswith("batch_id")]
+
+
+def _partials(spark: SparkSession, sink: str, kind: str) -> DataFrame:
+    return _read(spark, os.path.join(sink, kind), _KINDS[kind])
+
+
+def _after(parts: DataFrame, cutoffs: DataFrame | None, upto: bool = False) -> DataFrame:
+    """Partials after (or, with ``upto``, at or before) each table's cutoff."""
+    if cutoffs is None:
+        return parts if not upto else parts.limit(0)
+    j = parts.join(F.broadcast(cutoffs), "source_table", "left")  # one cutoff row per table
+    after = F.col("upto").isNull() | (F.col("batch_id") > F.col("upto"))
+    return j.filter(~after if upto else after).drop("upto")
+
+
+def _current(spark: SparkSession, sink: str, kind: str) -> DataFrame:
+    """The latest complete snapshot of ``kind`` plus the partials after its cutoffs."""
+    parts = _partials(spark, sink, kind)
+    gens = _snapshots(spark, sink)
+    if not gens:
+        return parts.select(*_cols(kind))
+    snap = os.path.join(sink, "snapshots", str(gens[-1]))
+    cut = spark.read.parquet(os.path.join(snap, "cutoffs"))
+    newer = _after(parts, cut).select(*_cols(kind))
+    return spark.read.parquet(os.path.join(snap, kind)).select(*_cols(kind)).unionByName(newer)
+
+
+def compact_live(spark: SparkSession, sink: str) -> int:
+    """Fold every complete batch into a new snapshot; returns its generation.
+
+    A batch counts as complete once its postings are written (they are written
+    last). The new snapshot is the previous one plus the partials between the
+    old and the new cutoffs, folded. It is marked complete only after all its
+    parts are written, and readers use the latest complete snapshot plus later
+    batches, so a reader never sees a batch twice or misses one. Partials
+    folded by the previous generation are then deleted: one generation of
+    grace for readers that started before this snapshot.
+    """
+    gens = _snapshots(spark, sink)
+    gen = (gens[-1] + 1) if gens else 1
+    prev = os.path.join(sink, "snapshots", str(gens[-1])) if gens else None
+    prev_cut = spark.read.parquet(os.path.join(prev, "cutoffs")) if prev else None
+    snap = os.path.join(sink, "snapshots", str(gen))
+    parts = _partials(spark, sink, "postings")
+    parts.groupBy("source_table").agg(F.max("batch_id").alias("upto")).write.parquet(
+        os.path.join(snap, "cutoffs"))
+    cut = spark.read.parquet(os.path.join(snap, "cutoffs"))
+    for kind, (keys, summed) in _FOLD.items():
+        new_rows = _after(_after(_partials(spark, sink, kind), prev_cut), cut, upto=True)
+        rows = new_rows.select(*_cols(kind))
+        if prev:
+            rows = spark.read.parquet(os.path.join(prev, kind)).select(*_cols(kind)).unionByName(rows)
+        if summed:
+            folded = rows.groupBy(*keys).agg(F.sum(summed).alias(summed))
+        else:
+            folded = rows.select(*keys).distinct()
+        folded.write.parquet(os.path.join(snap, kind))
+    fs, marker = _fs(spark, os.path.join(snap, "_COMPLETE"))
+    fs.create(marker, True).close()
+    if prev:
+        _drop_folded(spark, sink, prev)
+    return gen
+
+
+def _drop_folded(spark: SparkSession, sink: str, snap: str) -> None:
+    """Delete partial partitions at or below an older snapshot's cutoffs."""
+    for r in spark.read.parquet(os.path.join(snap, "cutoffs")).collect():  # one row per table
+        for kind in _KINDS:
+            base = os.path.join(sink, kind, f"source_table={r.source_table}")
+            if not path_exists(spark, base):
+                continue
+            fs, p = _fs(spark, base)
+            for st in fs.listStatus(p):
+                name = st.getPath().getName()
+                if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= r.upto:
+                    fs.delete(st.getPath(), True)
+
+
 def live_statements(spark: SparkSession, sink: str, end_year: int = 2023,
                     rules: RuleSet = PIPELINE, years: DataFrame | None = None) -> DataFrame:
-    """The statements from the partials written so far."""
+    """The statements from the latest snapshot and the partials written since."""
     if years is None:
         years = default_years(spark)
-    posts = _read(spark, os.path.join(sink, "postings"),
-                  "rule string, year int, account string, amt decimal(38,4)")
+    posts = _current(spark, sink, "postings")
     agg = posts.groupBy("rule", "year", "account").agg(F.sum("amt").alias("amt"))
-    sold = _read(spark, os.path.join(sink, "sold"), "product_name string, year int, qty bigint")
+    sold = _current(spark, sink, "sold")
     sold = sold.groupBy("product_name", "year").agg(F.sum("qty").alias("qty"))
-    pairs = _read(spark, os.path.join(sink, "costs"), "product_name string, amount decimal(12,2)")
+    pairs = _current(spark, sink, "costs")
     costs = pairs.groupBy("product_name").agg(F.sum_distinct("amount").alias("cost_sum"))
     post = (expand_equipment(agg, years, rules.life)
             .unionByName(cogs_posts_from(cogs_from(sold, costs))))
