@@ -23,8 +23,12 @@ def or_zero(c: Column) -> Column:
 
 
 def pct_change(value: Column, prev: Column) -> Column:
-    """Percent change against |prev|; NULL when the base is NULL or zero."""
-    v = value.cast("double")
-    p = prev.cast("double")
-    return F.when(p.isNull() | (p == 0), F.lit(None).cast("double")).otherwise(
-        F.round((v - p) / F.abs(p) * 100.0, 2))
+    """Percent change against |prev|, 2 places; NULL when the base is NULL or zero.
+
+    Exact decimals: with these operand types Spark keeps the quotient to 10
+    places (decimal(38,10)) before rounding half up to 2.
+    """
+    num = ((value - prev) * F.lit(100)).cast("decimal(28,2)")
+    den = F.abs(prev).cast("decimal(20,2)")
+    return F.when(prev.isNull() | (prev == 0), F.lit(None).cast(REPORT)).otherwise(
+        F.round(num / den, 2).cast(REPORT))

@@ -462,15 +462,19 @@ FROM comp c FULL JOIN dash d ON c.year = d.year ORDER BY 1"""
     measures = ["revenue", "net_income", "cash", "accounts_receivable", "accounts_payable",
                 "debt_remaining", "inventory", "gross_ppe", "net_ppe"]
     long = "\nUNION ALL ".join(f"SELECT '{m}' AS measure, year, {m} AS value FROM dash" for m in measures)
+    # percent x 1e10, half away from zero, in integers: (v - p) * 100 / |p|
+    dv = "CAST(round((value - prev_value) * 100) AS HUGEINT)"
+    pc = "CAST(round(abs(prev_value) * 100) AS HUGEINT)"
+    pct10 = (f"CAST(sign({dv}) * ((2 * abs({dv}) * 1000000000000 + {pc}) // (2 * {pc})) "
+             f"AS DECIMAL(38,0)) * CAST(0.0000000001 AS DECIMAL(38,10))")
     q["flux_yoy"] = _with(*_flux_ctes(), f"""
 long AS ({long}),
 lagged AS (SELECT measure, year, value,
                   lag(value) OVER (PARTITION BY measure ORDER BY year ASC NULLS LAST) AS prev_value
-           FROM long)""") + """
+           FROM long)""") + f"""
 SELECT measure, year, value, prev_value,
        CASE WHEN prev_value IS NULL OR prev_value = 0 THEN NULL
-            ELSE round((CAST(value AS DOUBLE) - CAST(prev_value AS DOUBLE))
-                       / abs(CAST(prev_value AS DOUBLE)) * 100.0, 2) END AS yoy_pct
+            ELSE CAST(round({pct10}, 2) AS DECIMAL(38,2)) END AS yoy_pct
 FROM lagged"""
 
     q["export_rows"] = _with() + """
