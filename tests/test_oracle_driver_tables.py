@@ -39,3 +39,11 @@ def test_entry_golden_sf0001(spark):
     assert got[2023] == ["13822923.20", "-27382923.55", "-112695580.04", "1346410.00", "0.00",
                          "-8818543.65", "-4336581.66", "11556414.90", "9759921.06"]
     assert got[2020][1] == "-2779695.61" and got[2020][4] == "2779695.61"
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_arrow_types_match_oracle(spark, name):
+    """Same Arrow type per column (decimal precision/scale, int width, date32)."""
+    s = {f.name: str(f.type) for f in E.queries()[name](spark, SF).toArrow().schema}
+    d = {f.name: str(f.type) for f in _con().sql(E.oracle_sql()[name]).arrow().schema}
+    assert s == d
