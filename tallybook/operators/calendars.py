@@ -42,12 +42,11 @@ def activity_span(ledger: Ledger) -> DataFrame:
         ledger.payments.select(F.col("payment_date").alias("a"), F.col("payment_date").alias("b")),
         ledger.loans.select(F.col("loan_at").alias("a"), F.col("loan_at").alias("b")),
     ]
-    # Each branch is reduced to one row per partition before the union.
-    mins = [p.agg(F.min("a").alias("lo"), F.max("b").alias("hi")) for p in parts]
-    u = mins[0]
-    for m in mins[1:]:
-        u = u.unionByName(m)
-    return u.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    # one global aggregate: partial min/max per partition, one row each to the final
+    return u.agg(F.min("a").alias("lo"), F.max("b").alias("hi"))
 
 
 def series(span: DataFrame, step: str) -> DataFrame:

@@ -105,15 +105,18 @@ def load_summary(spark: SparkSession, sources: dict[str, DataFrame]) -> DataFram
     money = {"sales": F.col("quantity") * F.col("price"),
              "purchases": F.col("quantity") * F.col("amount"),
              "payments": F.col("amount"), "loans": F.col("value")}
-    out = None
+    rows = None
     for name, schema in LEDGER_SCHEMAS.items():
         if name not in sources:
             continue
-        p = parse_records(sources[name], schema)
-        s = p.agg(
-            F.sum(F.when(F.col("_status") == OK, 1).otherwise(0)).cast("long").alias("loaded_rows"),
-            F.sum(F.when(F.col("_status") == REJECTED, 1).otherwise(0)).cast("long").alias("rejected_rows"),
-            F.sum(F.when(F.col("_status") == OK, money[name])).cast("decimal(38,2)").alias("loaded_total"),
-        ).select(F.lit(name).alias("table_name"), "*")
-        out = s if out is None else out.unionByName(s)
-    return out
+        p = parse_records(sources[name], schema).select(
+            F.lit(name).alias("table_name"), "_status",
+            money[name].cast("decimal(38,2)").alias("money"))
+        rows = p if rows is None else rows.unionByName(p)
+    ok = F.col("_status") == OK
+    # one aggregate over all tables: partial counts per partition, one shuffle
+    return rows.groupBy("table_name").agg(
+        F.sum(F.when(ok, 1).otherwise(0)).cast("long").alias("loaded_rows"),
+        F.sum(F.when(~ok, 1).otherwise(0)).cast("long").alias("rejected_rows"),
+        F.sum(F.when(ok, F.col("money"))).cast("decimal(38,2)").alias("loaded_total"),
+    )
