@@ -38,7 +38,8 @@ def get_session(master: str | None = None, app: str = "tallybook",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    # The shared folder is only needed by steps that write stages
+    # (materialize, streaming); shared_path() asks for it when they run.
     return spark
 
 
