@@ -253,3 +253,12 @@ def test_to_client_is_bounded(spark):
     assert list(pdf.columns) == ["metric", "section", "y2021", "y2022"] and len(pdf) == 6
     with pytest.raises(ValueError):
         to_client(led.sales, max_rows=1)
+
+
+def test_materialize_defaults_to_shared_folder(spark):
+    from tallybook.session import ensure_checkpoint_dir
+    from tallybook.sources.tables import materialize
+    led = make_ledger(spark, loans=[loan("2021-05-01", 500)])
+    out = materialize(led.loans, "loans_snapshot")
+    base = ensure_checkpoint_dir(spark).replace("file:", "")
+    assert out.inputFiles() and all(base in f for f in out.inputFiles())
