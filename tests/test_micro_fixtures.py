@@ -262,3 +262,17 @@ def test_materialize_defaults_to_shared_folder(spark):
     out = materialize(led.loans, "loans_snapshot")
     base = ensure_checkpoint_dir(spark).replace("file:", "")
     assert out.inputFiles() and all(base in f for f in out.inputFiles())
+
+
+def test_legacy_rules_differ_as_documented(spark):
+    from tallybook.plans.pipeline import build_legacy_statements
+    led = make_ledger(spark, payments=[payment("2021-06-01", "equipment", 100, id_=1),
+                                       payment("2021-07-01", "loan", 30, id_=2),
+                                       payment("2021-08-01", "rent", 20, id_=3)])
+    new = {r.year: r for r in build_statements(spark, led).collect()}
+    old = {r.year: r for r in build_legacy_statements(spark, led).collect()}
+    # pipeline: equipment and loan payments are not cash outflows; rent is, and is an expense
+    assert new[2021].cash == -20
+    # legacy: all seven types leave cash, and rent is never posted as an expense
+    assert old[2021].cash_bal == -150
+    assert new[2021].net_income < old[2021].net_income
