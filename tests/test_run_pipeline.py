@@ -23,3 +23,10 @@ def test_run_pipeline_from_csv(spark, tmp_path):
     assert spark.table("calendar").count() == 6
     view = sorted(tuple(r) for r in spark.table("dashboard_flux_analysis").collect())
     assert view == sorted(tuple(r) for r in build_statements(spark, led).collect())
+
+
+def test_command_line_statements(spark, capsys):
+    from tallybook.__main__ import main
+    main(["statements", "--tables", SF])
+    out = capsys.readouterr().out
+    assert "12926904.40" in out and "net_income" in out
