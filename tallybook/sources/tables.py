@@ -10,9 +10,12 @@ read. Written tables go below the shared folder of the cluster
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import shared_path
+from .adapter import Ledger
+from .schemas import LEDGER_SCHEMAS
 
 
 def read_tables(spark: SparkSession, names: list[str], fmt: str = "parquet",
@@ -98,3 +101,21 @@ def drop_table(spark: SparkSession, path: str) -> None:
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def read_ledger(spark: SparkSession, location: str, fmt: str = "parquet") -> Ledger:
+    """Open stored ledger tables ``location/{sales,purchases,payments,loans}``.
+
+    Columns are selected by name and cast to the ledger schema (S1, table
+    scan): extra columns are ignored, a missing one is an error. Nothing is
+    read until a query runs; filters and column pruning still reach the scan.
+    """
+    frames = {}
+    for name, schema in LEDGER_SCHEMAS.items():
+        df = spark.read.format(fmt).load(f"{location.rstrip('/')}/{name}")
+        missing = [f.name for f in schema.fields if f.name not in df.columns]
+        if missing:
+            raise ValueError(f"{name}: missing columns {missing}")
+        frames[name] = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                                   for f in schema.fields])
+    return Ledger(**frames)

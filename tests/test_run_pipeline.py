@@ -30,3 +30,13 @@ def test_command_line_statements(spark, capsys):
     main(["statements", "--tables", SF])
     out = capsys.readouterr().out
     assert "12926904.40" in out and "net_income" in out
+
+
+def test_read_ledger_from_stored_tables(spark, tmp_path):
+    from tallybook.sources.tables import read_ledger
+    led = ledger_from_driver(spark, SF)
+    for name, df in led.tables().items():
+        df.write.parquet(str(tmp_path / "ledger" / name))
+    back = read_ledger(spark, str(tmp_path / "ledger"))
+    assert sorted(tuple(r) for r in build_statements(spark, back).collect()) == \
+        sorted(tuple(r) for r in build_statements(spark, led).collect())
