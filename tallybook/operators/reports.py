@@ -56,8 +56,15 @@ def export_rows(sales: DataFrame, end_year: int = 2023) -> DataFrame:
     return sales.filter(year_at_most(F.col("sale_at"), end_year))
 
 
-def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write with a header row and no index column; one file per partition."""
+def export_csv(df: DataFrame, path: str, end_year: int | None = None,
+               mode: str = "overwrite") -> None:
+    """Write with a header row and no index column; one file per partition.
+
+    With ``end_year``, only sales of years up to it are written (``df`` then
+    needs ``sale_at``).
+    """
+    if end_year is not None:
+        df = export_rows(df, end_year)
     df.write.mode(mode).option("header", True).csv(path)
 
 

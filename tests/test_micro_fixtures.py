@@ -224,6 +224,8 @@ def test_export_csv_roundtrip(spark, tmp_path):
     export_csv(export_rows(led.sales, 2023), str(tmp_path / "out"))
     back = spark.read.option("header", True).csv(str(tmp_path / "out")).collect()
     assert len(back) == 1 and back[0].sale_at == "2021-12-15" and back[0].price == "100.00"
+    export_csv(led.sales, str(tmp_path / "out2"), end_year=2023)
+    assert spark.read.option("header", True).csv(str(tmp_path / "out2")).count() == 1
 
 
 def test_carry_forward_option(spark):
