@@ -18,7 +18,7 @@ from ..operators.schedules import accrual_schedule, depreciation_schedule
 from ..operators.postings import LEGACY, PIPELINE, RuleSet, ledger_postings
 from ..operators.statements import (DASHBOARD_END_YEAR, LEGACY_END_YEAR, dashboard,
                                     yearly_summaries)
-from ..sources.adapter import Ledger
+from ..sources.adapter import Ledger, ledger_from_driver
 from ..sources.loader import load_ledger
 from ..sources.schemas import LEDGER_SCHEMAS
 from ..sources.tables import create_or_replace_view, materialize
@@ -77,17 +77,22 @@ def _statements(spark: SparkSession, ledger: Ledger, rules: RuleSet, end_year: i
     return _VIEWS.get(ledger, (rules.name, end_year, carry_forward), build)
 
 
-def build_statements(spark: SparkSession, ledger: Ledger,
+def _as_ledger(spark: SparkSession, ledger: Ledger | str) -> Ledger:
+    """A Ledger, or a folder of the driver's tables opened through the adapter."""
+    return ledger_from_driver(spark, ledger) if isinstance(ledger, str) else ledger
+
+
+def build_statements(spark: SparkSession, ledger: Ledger | str,
                      end_year: int = DASHBOARD_END_YEAR,
                      years: DataFrame | None = None, carry_forward: bool = False) -> DataFrame:
     """The yearly dashboard (income statement and balance sheet measures)."""
-    return _statements(spark, ledger, PIPELINE, end_year, years, carry_forward)
+    return _statements(spark, _as_ledger(spark, ledger), PIPELINE, end_year, years, carry_forward)
 
 
-def build_legacy_statements(spark: SparkSession, ledger: Ledger,
+def build_legacy_statements(spark: SparkSession, ledger: Ledger | str,
                             end_year: int = LEGACY_END_YEAR,
                             years: DataFrame | None = None) -> DataFrame:
-    return _statements(spark, ledger, LEGACY, end_year, years,
+    return _statements(spark, _as_ledger(spark, ledger), LEGACY, end_year, years,
                        cash_name="cash_bal", inventory_name="inventory_bal")
 
 

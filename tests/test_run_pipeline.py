@@ -40,3 +40,8 @@ def test_read_ledger_from_stored_tables(spark, tmp_path):
     back = read_ledger(spark, str(tmp_path / "ledger"))
     assert sorted(tuple(r) for r in build_statements(spark, back).collect()) == \
         sorted(tuple(r) for r in build_statements(spark, led).collect())
+
+
+def test_build_statements_from_a_folder(spark):
+    by_dir = sorted(tuple(r) for r in build_statements(spark, SF).collect())
+    assert by_dir == sorted(tuple(r) for r in build_statements(spark, ledger_from_driver(spark, SF)).collect())
