@@ -81,3 +81,12 @@ def test_windows_never_read_raw_scans_directly(spark):
                 below = _children_of(plan, line.strip(" :+-"))
                 firsts = [x for x in below if x.startswith(("HashAggregate", "FileScan"))]
                 assert firsts and firsts[0].startswith("HashAggregate"), (name, firsts[:3])
+
+
+def test_cluster_conf_sizes_the_shuffle():
+    from tallybook.session import cluster_conf
+    tb100 = cluster_conf(100 * 1024 ** 4)
+    assert int(tb100["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    assert tb100["spark.sql.adaptive.enabled"] == "true"
+    assert tb100["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_conf(10)["spark.sql.shuffle.partitions"]) == 200  # floor for small inputs
