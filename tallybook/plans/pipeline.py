@@ -122,7 +122,8 @@ def run_pipeline(spark: SparkSession, sources: dict, target_dir: str,
                                         os.path.join(target_dir, "calendar_monthly")),
         "equipment_depreciation_schedule": materialize(
             depreciation_schedule(ledger.payments, years), "equipment_depreciation_schedule",
-            os.path.join(target_dir, "equipment_depreciation_schedule")),
+            os.path.join(target_dir, "equipment_depreciation_schedule"),
+            partition_by=["year"]),  # at most 9,999 year folders; readers filter by year
         "expense_accrual_schedule": materialize(
             accrual_schedule(ledger.payments), "expense_accrual_schedule",
             os.path.join(target_dir, "expense_accrual_schedule")),

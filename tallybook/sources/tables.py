@@ -48,7 +48,8 @@ def save_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "pa
     return df.sparkSession.read.format(fmt).load(path)
 
 
-def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, path: str | None = None,
+                partition_by: list[str] | None = None) -> DataFrame:
     """CREATE MATERIALIZED VIEW / CREATE TABLE AS: snapshot ``df`` and register it.
 
     Writing also cuts the lineage: readers no longer replay the source plan,
@@ -56,7 +57,7 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     target = path or shared_path(spark, "tables", name)
-    out = save_table(df, target)
+    out = save_table(df, target, partition_by=partition_by)
     out.createOrReplaceTempView(name)
     return out
 
