@@ -45,9 +45,12 @@ def random_ledger(spark, seed, n=300, hot=False):
     for i in range(n):
         d = _day(rng)
         paid = None if rng.random() < 0.1 else d + dt.timedelta(days=rng.randrange(0, 60))
-        method = rng.choice(["cash", "credit", None])
+        method = rng.choice(["cash", "credit", None, "card"])
+        if rng.random() < 0.02:
+            d = None                                  # a sale without a date: a NULL-year group
         product = "P0" if hot and i % 3 == 0 else rng.choice(products)
-        sales.append((i, d, paid, method, product, rng.randrange(1, 20), _money(rng, 300)))
+        qty = None if rng.random() < 0.02 else rng.randrange(1, 20)
+        sales.append((i, d, paid, method, product, qty, _money(rng, 300)))
     for i in range(n // 2):
         d = _day(rng)
         amount = None if rng.random() < 0.05 else Decimal(rng.choice([100, 250, 399, 1234])) / 100
