@@ -54,7 +54,10 @@ def random_ledger(spark, seed, n=300, hot=False):
     for i in range(n // 2):
         d = _day(rng)
         amount = None if rng.random() < 0.05 else Decimal(rng.choice([100, 250, 399, 1234])) / 100
-        purchases.append((i, d, d + dt.timedelta(days=rng.randrange(0, 40)), rng.choice(["cash", "credit"]),
+        paid = d + dt.timedelta(days=rng.randrange(0, 40))
+        if rng.random() < 0.02:
+            d = None                                  # a purchase without a date
+        purchases.append((i, d, paid, rng.choice(["cash", "credit", None]),
                           rng.choice(products[:9]), rng.randrange(1, 30), amount))
     for i in range(n):
         pid = rng.randrange(0, 40) if rng.random() < 0.3 else 1000 + i   # duplicate ids
@@ -62,9 +65,9 @@ def random_ledger(spark, seed, n=300, hot=False):
         if hot and i % 3 == 0:
             pid, ptype = 7, "equipment"                                  # one hot asset id
         d = None if rng.random() < 0.03 else _day(rng)
-        payments.append((pid, d, ptype, _money(rng)))
+        payments.append((pid, d, ptype, None if rng.random() < 0.02 else _money(rng)))
     for i in range(8):
-        loans.append((i, _day(rng), _money(rng, 90000)))
+        loans.append((i, None if i == 7 else _day(rng), _money(rng, 90000)))
     return make_ledger(spark, sales, purchases, payments, loans)
 
 
