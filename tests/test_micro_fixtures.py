@@ -278,3 +278,21 @@ def test_legacy_rules_differ_as_documented(spark):
     # legacy: all seven types leave cash, and rent is never posted as an expense
     assert old[2021].cash_bal == -150
     assert new[2021].net_income < old[2021].net_income
+
+
+def test_retained_earnings_lines(spark):
+    from tallybook.operators.retained import retained_earnings
+    led = make_ledger(spark, sales=[sale("2022-03-01", 2, 50)],
+                      payments=[payment("2022-04-01", "rent", 10, id_=1),
+                                payment("2022-05-01", "utility", 5, id_=2),
+                                payment("2022-06-01", "wage", 7, id_=3)])
+    rows = retained_earnings(led, calendars.calendar_monthly(spark)).collect()
+    y = [r for r in rows if r.year == 2022]
+    got = {r.transaction_type: (r.total_amount, r.running_total) for r in y}
+    assert got["Revenue"] == (100, 100)
+    assert got["Cost of Goods Sold"][0] is None          # no purchases: NULL, skipped in the total
+    assert got["Wage Expense"] == (-7, 93)
+    assert got["Operational Expense"] == (-15, 78)        # rent and utility on one line
+    assert got["RE - Beginning Balance"] == (0, 0) and got["RE - Ending Balance"] == (0, 78)
+    begins = [r for r in rows if r.transaction_type == "RE - Beginning Balance"]
+    assert len(begins) == 30 and {r.year for r in begins} == set(range(2021, 2051))
