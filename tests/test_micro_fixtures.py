@@ -296,3 +296,33 @@ def test_retained_earnings_lines(spark):
     assert got["RE - Beginning Balance"] == (0, 0) and got["RE - Ending Balance"] == (0, 78)
     begins = [r for r in rows if r.transaction_type == "RE - Beginning Balance"]
     assert len(begins) == 30 and {r.year for r in begins} == set(range(2021, 2051))
+
+
+def test_account_cash_lags_on_payment_date(spark):
+    led = make_ledger(spark,
+                      sales=[sale("2021-11-10", 1, 100, "credit", paid="2021-12-20", id_=1),
+                             sale("2021-11-10", 1, 10, "cash", paid="2021-12-20", id_=2)],
+                      payments=[payment("2021-06-01", "equipment", 30)])
+    rows = {r.year: r.total_amount for r in accounts.account_cash(led).collect()}
+    assert rows[2021] == 10 - 30 and rows[2022] == 10 - 30 + 100
+
+
+def test_account_loan_is_cumulative(spark):
+    led = make_ledger(spark, loans=[loan("2021-05-01", 500)],
+                      payments=[payment("2022-05-01", "loan", 100)])
+    rows = [(r.year, r.cumulative_loan_amount) for r in accounts.account_loan(led).collect()]
+    assert rows == [(2021, 500), (2022, 400)]
+
+
+def test_ppe_half_year_runs_down_to_zero(spark):
+    led = make_ledger(spark, payments=[payment("2021-03-01", "equipment", 1000)])
+    rows = {r.year: r.net_ppe_balance for r in ppe.ppe_half_year(led.payments).collect()}
+    assert rows[2021] == 950 and rows[2022] == 850 and rows[2030] == 50 and rows[2031] == 0
+    assert sorted(rows) == list(range(2021, 2032))
+
+
+def test_flux_yoy_percent(spark):
+    from tallybook.operators.reports import flux_yoy
+    led = make_ledger(spark, sales=[sale("2021-06-01", 1, 100, id_=1), sale("2022-06-01", 1, 90, id_=2)])
+    rev = {r.year: r for r in flux_yoy(build_statements(spark, led)).collect() if r.measure == "revenue"}
+    assert rev[2021].yoy_pct is None and rev[2022].yoy_pct == Decimal("-10.00")
