@@ -326,3 +326,14 @@ def test_flux_yoy_percent(spark):
     led = make_ledger(spark, sales=[sale("2021-06-01", 1, 100, id_=1), sale("2022-06-01", 1, 90, id_=2)])
     rev = {r.year: r for r in flux_yoy(build_statements(spark, led)).collect() if r.measure == "revenue"}
     assert rev[2021].yoy_pct is None and rev[2022].yoy_pct == Decimal("-10.00")
+
+
+def test_statement_compare_values(spark):
+    from tallybook.operators.reports import statement_compare
+    led = make_ledger(spark, sales=[sale("2021-06-01", 1, 100, id_=1), sale("2022-06-01", 1, 90, id_=2)],
+                      payments=[payment("2022-03-01", "rent", 40)], loans=[loan("2021-02-01", 500)])
+    rows = {r.metric: r for r in statement_compare(build_statements(spark, led)).collect()}
+    assert (rows["revenue"].y2021, rows["revenue"].y2022) == (100, 90)
+    assert rows["net_income"].y2022 == 50 and rows["total_expenses"].y2022 == 40
+    assert rows["cash"].y2021 == 600 and rows["cash"].y2022 == 650
+    assert rows["debt_remaining"].section == "Balance Sheet" and rows["revenue"].section == "P&L"
