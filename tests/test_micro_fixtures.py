@@ -337,3 +337,17 @@ def test_statement_compare_values(spark):
     assert rows["net_income"].y2022 == 50 and rows["total_expenses"].y2022 == 40
     assert rows["cash"].y2021 == 600 and rows["cash"].y2022 == 650
     assert rows["debt_remaining"].section == "Balance Sheet" and rows["revenue"].section == "P&L"
+
+
+def test_csv_load_names_every_bad_column(spark, tmp_path):
+    raw = tmp_path / "sales"
+    raw.mkdir()
+    (raw / "part-0.csv").write_text(
+        "id,sale_at,payment_at,payment_method,product_name,quantity,price\n"
+        "1,2021-03-01,2021-03-08,cash,P,2,10.50\n"
+        "2,2021-13-45,,credit,P,many,3.00\n")
+    tables, rejects = load_ledger(spark, {"sales": str(raw)}, fmt="csv")
+    ok = tables["sales"].collect()
+    assert len(ok) == 1 and ok[0].quantity == 2 and ok[0].price == Decimal("10.50")
+    bad = rejects.collect()
+    assert len(bad) == 1 and bad[0].reason == "sale_at,quantity" and '"id":"2"' in bad[0].record
