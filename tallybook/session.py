@@ -78,15 +78,19 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 
 def cluster_conf(input_bytes: int, executor_cores: int = 4,
-                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+                 target_partition_bytes: int = 256 * 1024 ** 2,
+                 shuffled_fraction: float = 0.05) -> dict[str, str]:
     """Starting settings for a cluster run over ``input_bytes`` of ledger data.
 
-    Scan splits of ~256 MB; an initial shuffle width that gives ~256 MB per
-    reducer before AQE coalesces the small post-aggregation shuffles down
-    (most shuffles here carry pre-aggregated rows and shrink to a few
-    partitions); skew-join splitting on for the joins keyed by id/product.
+    Scan splits of ~256 MB. The shuffle width is sized to what is shuffled,
+    not to the input: every large shuffle here carries pre-aggregated rows
+    (the biggest are the product-level COGS aggregates, a few percent of the
+    input), so ~256 MB per reducer of that, clamped to 200..50,000, keeps the
+    map-output bookkeeping small; AQE coalesces further at run time.
+    Skew-join splitting is on for the joins keyed by id or product.
     """
-    width = max(200, int(input_bytes // target_partition_bytes))
+    shuffled = input_bytes * shuffled_fraction
+    width = min(50_000, max(200, int(shuffled // target_partition_bytes)))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(width),

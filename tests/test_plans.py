@@ -86,7 +86,8 @@ def test_windows_never_read_raw_scans_directly(spark):
 def test_cluster_conf_sizes_the_shuffle():
     from tallybook.session import cluster_conf
     tb100 = cluster_conf(100 * 1024 ** 4)
-    assert int(tb100["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    assert int(tb100["spark.sql.shuffle.partitions"]) == int(100 * 1024 ** 4 * 0.05 // (256 * 1024 ** 2))
+    assert int(cluster_conf(10 * 1024 ** 5)["spark.sql.shuffle.partitions"]) == 50_000  # capped
     assert tb100["spark.sql.adaptive.enabled"] == "true"
     assert tb100["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_conf(10)["spark.sql.shuffle.partitions"]) == 200  # floor for small inputs
