@@ -141,10 +141,10 @@ units as (select distinct doc_id, trim(regexp_replace(u, '[ \\n]+', ' ', 'g')) a
     string_split_regex(t, '\\n ?(\\n ?)+')), [t])) as u from norm)),
 words as (select doc_id, unit, string_split(unit, ' ') as w from units
   where length(unit) - length(replace(unit, ' ', '')) between 1 and 400),
-grams as (select doc_id, unit, list_transform(range(1, len(w)), k -> w[k] || ' ' || w[k + 1]) as g from words),
+grams as (select doc_id, unit, list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]) as g from words),
 tried as (select distinct doc_id, unit, license_id, 2000 * cast(list_sum(list_transform(bag,
-    b -> least(b.times, len(list_filter(g, x -> x = b.gram))))) as bigint) // (len(g) + n) as permille
-  from grams join templates on list_has_any(g, list_transform(bag, b -> b.gram)))
+    lambda b: least(b.times, len(list_filter(g, lambda x: x = b.gram))))) as bigint) // (len(g) + n) as permille
+  from grams join templates on list_has_any(g, list_transform(bag, lambda b: b.gram)))
 select doc_id, license_id, count(*) as n_units, max(permille) as best_permille
 from (select *, max(permille) over (partition by doc_id, unit) as top from tried)
 where permille >= 800 and permille = top group by doc_id, license_id"""
