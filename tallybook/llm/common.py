@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from tallybook.session import ensure_checkpoint_dir
 
-#: Code points a word may not hold: space and the ASCII controls 9 to 13.
-BLANK = "\x20\x09-\x0D"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -74,9 +73,15 @@ def sha(text: str | bytes) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it again.
 
-    Cuts lineage for good: a lost executor costs no recomputation before it.
+    Cuts lineage for good: a lost executor costs no recomputation before it. The
+    shuffle files of the write are let go at once, nothing reads them again.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,9 +11,10 @@ from tallybook.llm.near_dup import op2_minhash_near_dup
 from tallybook.llm.pii import op6_pii
 from tallybook.llm.quality import op7_quality_rules
 from tallybook.llm.secrets import op8_secret_scan
+from tallybook.llm.suffix_dedup import op1_suffix_dedup
 from tallybook.llm.token_counts import op3_token_counts
 
-QUERIES = {f.__name__: f for f in (op2_minhash_near_dup, op3_token_counts, op4_byte_bpe, op5_decontaminate, op6_pii, op7_quality_rules, op8_secret_scan,
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_near_dup, op3_token_counts, op4_byte_bpe, op5_decontaminate, op6_pii, op7_quality_rules, op8_secret_scan,
                                   op9_line_dedup, op10_license_scan)}
 
 ORACLE: dict[str, str] = {"op9_line_dedup": line_dedup.ORACLE, "op10_license_scan": licenses.oracle()}
