@@ -24,7 +24,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm.common import documents, id_text, sha, ship_package
+from tallybook.llm.common import documents, id_text, sha
 from tallybook.llm.perfect_hash import PerfectHash
 
 
@@ -116,11 +116,14 @@ class Encoder:
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: dict[bytes, int] | None = None,
            pattern: str | None = None, slice_rows: int = 128) -> DataFrame:
-    """doc_id, ids (array<int>), decoded (binary, made from the ids)."""
-    return _run(docs, id_col, text_col, ranks, pattern, slice_rows,
-                lambda encoder, ids: (np.array(got := ids.split(), np.int32).tolist(),
-                                      encoder.decode(list(map(int, got)))),
-                [("ids", pa.list_(pa.int32())), ("decoded", pa.binary())], "ids array<int>, decoded binary")
+    """doc_id, n_tokens, ids (array<int>), decoded (binary, made from the ids)."""
+    def row(encoder: Encoder, ids: str) -> tuple:
+        got = list(map(int, ids.split()))
+        return len(got), got, encoder.decode(got)
+
+    return _run(docs, id_col, text_col, ranks, pattern, slice_rows, row,
+                [("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())],
+                "n_tokens long, ids array<int>, decoded binary")
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: dict[bytes, int] | None = None,
@@ -138,7 +141,6 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ran
 def _run(docs, id_col, text_col, ranks, pattern, slice_rows, row, fields, ddl) -> DataFrame:
     import public_tokenizers
 
-    ship_package(docs.sparkSession)
     table = read_ranks() if ranks is None else ranks  # a fixed vocabulary, about 1 MB
     split = pattern or public_tokenizers.PATTERN
 

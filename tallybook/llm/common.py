@@ -33,17 +33,40 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Just (doc_id long, text string): further columns, whatever their names,
-    never reach an operator, and no null check is left to it but the text's."""
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns called __c0, __c1, ...: no names clash, in any case."""
     ship_package(docs.sparkSession)
-    return docs.select(_named(docs, id_col).cast("long").alias("doc_id"),
-                       _named(docs, text_col).cast("string").alias("text"))
+    return docs.toDF(*(f"__c{k}" for k in range(len(docs.columns))))
+
+
+def column(docs: DataFrame, name: str) -> str:
+    """The numbered name of the first column called exactly ``name``, or else the
+    first that differs in case only."""
+    names = docs.columns
+    lower = [n.lower() for n in names]
+    return f"__c{names.index(name) if name in names else lower.index(name.lower())}"
 
 
-def _named(df: DataFrame, name: str) -> Column:
-    """The column of exactly this name, also beside ones that differ in case only."""
-    return df[df.columns.index(name)] if name in df.columns else df[name]
+def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Just (doc_id long, text string): further columns never reach an operator."""
+    return numbered(docs).select(F.col(column(docs, id_col)).cast("long").alias("doc_id"),
+                                 F.col(column(docs, text_col)).cast("string").alias("text"))
+
+
+def keep_rows(docs: DataFrame, judge: Callable[[], Callable[..., bool]], cols: list[str]) -> DataFrame:
+    """The rows, with all columns, that the predicate keeps: ``judge()`` makes it
+    once a task, and it gets the values of ``cols``. One pass, no shuffle."""
+    at = [int(column(docs, c)[3:]) for c in cols]
+    plain = numbered(docs)
+
+    def run(batches):
+        keep = judge()
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                yield part.filter(pa.array([keep(*v) for v in zip(*(part.column(i).to_pylist() for i in at))], pa.bool_()))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def map_texts(docs: DataFrame, row: Callable[[str], tuple], fields: list[tuple[str, pa.DataType]],

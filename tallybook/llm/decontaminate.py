@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm.common import documents, id_text, ship_package
+from tallybook.llm.common import documents, id_text, keep_rows
 
 _WORD = re.compile(r"\w+")
 _PAD = -1
@@ -173,26 +173,42 @@ def blocks(items: list[tuple[int, str]], block_words: int) -> list[list[tuple[in
     return out
 
 
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_words: int) -> list[list[tuple[int, str]]]:
+    items = id_text(benchmark, item_col, item_text_col).orderBy("doc_id", "text").collect()
+    return blocks([(r[0], r[1]) for r in items], block_words)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text", percent: int = 80, walks: int = 8, bits: int = 2,
           tables: int = 96, block_words: int = 2_000_000) -> DataFrame:
     """doc_id, item_id, n_words, distance."""
-    ship_package(docs.sparkSession)
-    items = [(r[0], r[1]) for r in id_text(benchmark, item_col, item_text_col).orderBy("doc_id", "text").collect()]
-
     def searched(block: list[tuple[int, str]]) -> DataFrame:
         def run(batches):
-            tables_of = Items(block, percent, walks, bits, tables)
+            items = Items(block, percent, walks, bits, tables)
             for batch in batches:
                 rows = [(doc, *hit) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                        if text for hit in tables_of.search(text)]
+                        if text for hit in items.search(text)]
                 cols = zip(*rows) if rows else [()] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
                                                  names=["doc_id", "item_id", "n_words", "distance"])
 
         return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, item_id long, n_words long, distance long")
 
-    return reduce(DataFrame.unionAll, map(searched, blocks(items, block_words)))
+    return reduce(DataFrame.unionAll, map(searched, _blocks(benchmark, item_col, item_text_col, block_words)))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+          item_text_col: str = "text", percent: int = 80, walks: int = 8, bits: int = 2, tables: int = 96,
+          block_words: int = 2_000_000) -> DataFrame:
+    """The documents that hold no item, with all their columns."""
+    def without(rest: DataFrame, block: list[tuple[int, str]]) -> DataFrame:
+        def judge():
+            items = Items(block, percent, walks, bits, tables)
+            return lambda text: not (text and items.search(text))
+
+        return keep_rows(rest, judge, [text_col])
+
+    return reduce(without, _blocks(benchmark, item_col, item_text_col, block_words), docs)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

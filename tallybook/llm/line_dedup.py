@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.llm.common import documents, id_text, ship_package, stage
+from tallybook.llm.common import column, documents, id_text, numbered, stage
 from tallybook.llm.perfect_hash import PerfectHash
 
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -178,11 +178,9 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """All columns of ``docs`` with the shared lines gone from the text, then
     ``__n_lines`` (before) and ``__n_dropped``."""
-    ship_package(docs.sparkSession)
     lost = lost_keys(id_text(docs, id_col, text_col), min_chars, min_docs)
     names = [f"__c{k}" for k in range(len(docs.columns))]
-    plain = docs.toDF(*names)
-    key, text = names[docs.columns.index(id_col)], docs.columns.index(text_col)
+    plain, key, text = numbered(docs), column(docs, id_col), names.index(column(docs, text_col))
     lost = lost.withColumnsRenamed({"doc_id": "__id", "keys": "__keys"}).hint("shuffle_hash")
     joined = plain.join(lost, F.col(key).cast("long").eqNullSafe(F.col("__id")), "left").drop("__id")
     schema = T.StructType([*plain.schema.fields, T.StructField("__n_lines", T.LongType()),

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import documents, id_text, ship_package, stage
+from tallybook.llm.common import column, documents, id_text, numbered, stage
 from tallybook.llm.components import stars
 from tallybook.llm.perfect_hash import mix
 
@@ -149,7 +149,6 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
                bands: int = 30, rows: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
-    ship_package(docs.sparkSession)
     docs = id_text(docs, id_col, text_col)
     sig = stage(signatures(docs, k, bands, rows), "signatures")
     full = sig.where("set_key is not null")
@@ -206,6 +205,14 @@ def _links(docs: DataFrame, nodes: DataFrame, k: int, percent: int, minima_: int
     return stars(links.unionAll(_confirmed(stage(rest, "rest"), sets, percent)))
 
 
+def one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, its smallest doc_id, with all its columns.
+    Rows that repeat that doc_id stay, too."""
+    kept = components(docs, id_col, text_col, k, percent).where("kept").select(F.col("doc_id").alias("__id")).distinct()
+    key = F.col(column(docs, id_col)).cast("long").eqNullSafe(F.col("__id"))
+    return numbered(docs).join(kept.hint("shuffle_hash"), key, "left_semi").toDF(*docs.columns)
+
+
 def op2_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's near-duplicate components of all documents."""
     return components(documents(spark, sf_dir), k=3, percent=85)

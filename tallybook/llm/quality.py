@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import _named, documents, ship_package
+from tallybook.llm.common import column, documents, keep_rows, numbered
 
 #: Character classes: vowels and consonants as ASCII letters of their own kind,
 #: other letters, upper case, digits, blanks, sentence marks, other marks.
@@ -119,10 +119,11 @@ def js_distance(p: list[float], q: list[float]) -> float:
 
 
 def _typed(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    ship_package(docs.sparkSession)
-    lang = _named(docs, lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
-    return docs.select(_named(docs, id_col).cast("long").alias("doc_id"),
-                       _named(docs, text_col).cast("string").alias("text"), lang.alias("lang"))
+    has_lang = lang_col.lower() in [c.lower() for c in docs.columns]
+    lang = F.col(column(docs, lang_col)) if has_lang else F.lit(None)
+    return numbered(docs).select(F.col(column(docs, id_col)).cast("long").alias("doc_id"),
+                                 F.col(column(docs, text_col)).cast("string").alias("text"),
+                                 lang.cast("string").alias("lang"))
 
 
 def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -167,32 +168,43 @@ def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out
 
 
+@dataclass
+class Judge:
+    """The rules, with the references and limits they hold texts against."""
+    refs: dict[str | None, tuple[dict[str, int], list[int]]]
+    max_class: float = 0.25
+    max_word: float = 0.75
+    min_letters: int = 200
+    min_words: int = 50
+
+    def __post_init__(self):
+        self.words_of = {lang: [w.encode() for w in common] for lang, (common, _) in self.refs.items()}
+
+    def __call__(self, text: str, lang: str | None) -> tuple:
+        """The features, both distances, base_failed, kept."""
+        got = Text.of(text)
+        base = got.features(text)
+        n, failed = base[0], base_failed(base[0], base[4])
+        common, classes = self.refs.get(lang, ({}, []))
+        class_js = js_distance(got.class_counts(), classes) if any(classes) and len(text) >= self.min_letters else 0.0
+        word_js = 0.0
+        if common and n >= self.min_words:
+            count = [got.count.get(w, 0) for w in self.words_of[lang]]
+            word_js = js_distance(count, list(common.values())) if any(count) else 1.0
+        return (*base, class_js, word_js, failed,
+                not failed and class_js <= self.max_class and word_js <= self.max_word + 1 / math.sqrt(n))
+
+
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-            max_class: float = 0.25, max_word: float = 0.75, min_letters: int = 200, min_words: int = 50,
-            refs: dict | None = None) -> DataFrame:
+            judge: Judge | None = None) -> DataFrame:
     """doc_id, the base features, both distances, base_failed and kept."""
     docs = _typed(docs, id_col, text_col, lang_col)
-    refs = references(docs) if refs is None else refs
+    judge = judge or Judge(references(docs))
     schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in
                         ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
                         ("class_js", pa.float64()), ("word_js", pa.float64()),
                         ("base_failed", pa.bool_()), ("kept", pa.bool_())])
 
-    words_of = {lang: [w.encode() for w in common] for lang, (common, _) in refs.items()}
-
-    def judge(text: str, lang: str | None) -> tuple:
-        got = Text.of(text)
-        base = got.features(text)
-        n, failed = base[0], base_failed(base[0], base[4])
-        common, classes = refs.get(lang, ({}, []))
-        class_js = js_distance(got.class_counts(), classes) if any(classes) and len(text) >= min_letters else 0.0
-        word_js = 0.0
-        if common and n >= min_words:
-            count = [got.count.get(w, 0) for w in words_of[lang]]
-            word_js = js_distance(count, list(common.values())) if any(count) else 1.0
-        return (*base, class_js, word_js, failed,
-                not failed and class_js <= max_class and word_js <= max_word + 1 / math.sqrt(n))
-
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -205,6 +217,12 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                                 "n_repeat_words long, class_js double, word_js double, base_failed boolean, kept boolean")
 
 
+def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The documents that pass, with all their columns."""
+    judge = Judge(references(docs, id_col, text_col, lang_col))
+    return keep_rows(docs, lambda: lambda text, lang: judge(text or "", lang)[-1], [text_col, lang_col])
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features and verdict of every document."""
     return quality(documents(spark, sf_dir)).select(

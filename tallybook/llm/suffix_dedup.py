@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import documents, id_text, ship_package, stage
+from tallybook.llm.common import documents, id_text, stage
 
 WINDOW = 200
 #: A perfect difference set: each difference modulo 91 occurs once.
@@ -198,7 +198,6 @@ def _cover(group: Group, at: np.ndarray) -> np.ndarray:
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, spans (array of removed [start, end) in bytes), kept (binary)."""
     spark = docs.sparkSession
-    ship_package(spark)
     docs = id_text(docs, id_col, text_col)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     width = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
