@@ -50,7 +50,7 @@ NAME = 72
 GROUP_BYTES = 8 << 20
 #: Bytes of keys in a range, about, at the most.
 RANGE_BYTES = 16 << 20
-_CHUNK = 1 << 18
+_CHUNK = 1 << 15  # whose arrays stay in a core's cache
 _SEEDS = tuple(tuple(np.uint64(c) for c in s) for s in (
     (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD),
     (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0xC4CEB9FE1A85EC53)))
