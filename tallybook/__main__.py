@@ -4,8 +4,9 @@
     python -m tallybook run --raw RAW_DIR --target WAREHOUSE [--format csv]
 
 ``run`` is the whole refresh (load with rejects, snapshot tables, live view)
-over raw folders RAW_DIR/{sales,purchases,payments,loans}; both commands
-print the yearly statements.
+over raw folders RAW_DIR/{sales,purchases,payments,loans}. Both commands print
+every year of the statements, or write them as CSV to ``--out``. The shuffle
+width is sized from the input files.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import argparse
 import os
 
 from .plans.pipeline import build_statements, run_pipeline
-from .session import get_session
+from .session import get_session, size_session
 from .sources.adapter import ledger_from_driver
 from .sources.tables import path_exists
 
@@ -30,10 +31,13 @@ def main(argv: list[str] | None = None) -> None:
     rn.add_argument("--target", required=True)
     rn.add_argument("--format", default="csv")
     rn.add_argument("--end-year", type=int, default=2023)
+    for p in (st, rn):
+        p.add_argument("--out", default=None, help="write the statements here instead of printing them")
     ap.add_argument("--master", default=None, help="e.g. local[*]; omit on a cluster")
     args = ap.parse_args(argv)
 
     spark = get_session(args.master)
+    size_session(spark, [args.tables if args.cmd == "statements" else args.raw])
     if args.cmd == "statements":
         df = build_statements(spark, ledger_from_driver(spark, args.tables), args.end_year)
     else:
@@ -42,7 +46,12 @@ def main(argv: list[str] | None = None) -> None:
         out = run_pipeline(spark, sources, args.target, args.end_year, fmt=args.format)
         print(f"rejected records: {out['rejects'].count()}")
         df = out["dashboard_flux_analysis"]
-    df.show(truncate=False)
+    if args.out:
+        df.coalesce(1).write.mode("overwrite").option("header", True).csv(args.out)
+        return
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():  # a row per year
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 if __name__ == "__main__":

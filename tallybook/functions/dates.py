@@ -9,10 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def year_of(c: Column) -> Column:
-    return F.year(c)
-
-
 def cash_lag_date(date: Column, method: Column) -> Column:
     """Cash moves on ``date`` for cash deals, one month later otherwise.
 

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import amount, cash_lag_date, month_start
 from ..sources.adapter import Ledger
-from ..sources.schemas import REPORT
-from .postings import LEGACY, sold_quantities
+from ..sources.schemas import AMOUNT, MONEY, REPORT
+from .postings import LEGACY
 from .statements import running_total
 
 
@@ -83,26 +83,34 @@ def monthly_cash(ledger: Ledger) -> DataFrame:
     ).orderBy(F.col("month").asc_nulls_last())
 
 
-def product_max_cost(purchases: DataFrame) -> DataFrame:
-    return purchases.groupBy("product_name").agg(F.max("amount").alias("unit_cost"))
-
-
 def account_inventory(ledger: Ledger) -> DataFrame:
     """Cumulative inventory: purchases at cost minus sales at the highest unit cost.
 
-    Sales of products never purchased drop out (inner join). Sales are reduced
-    to (product, year) quantities before the join, so a hot product is a few
-    rows and the join never fans out.
+    Sales of products never purchased drop out. Both tables are read once and
+    reduced together to (product, year) rows; the highest cost of a product is
+    then a window over its years.
     """
-    added = ledger.purchases.select(
-        F.year("purchase_at").alias("year"),
-        amount(F.col("quantity") * F.col("amount")).alias("amt"))
-    sold = sold_quantities(ledger.sales).join(product_max_cost(ledger.purchases), "product_name")
-    removed = sold.select("year", amount(-(F.col("qty") * F.col("unit_cost"))).alias("amt"))
-    per_year = added.unionByName(removed).groupBy("year").agg(F.sum("amt").alias("amt"))
+    none = F.lit(None)
+    moves = ledger.purchases.select(
+        "product_name", F.year("purchase_at").alias("year"), F.lit(1).alias("bought"), none.cast("long").alias("sold"),
+        amount(F.col("quantity") * F.col("amount")).alias("added"), F.col("amount").alias("unit_cost"),
+    ).unionByName(ledger.sales.filter(F.col("product_name").isNotNull()).select(
+        "product_name", F.year("sale_at").alias("year"), F.lit(0).alias("bought"),
+        F.col("quantity").cast("long").alias("sold"),
+        none.cast(AMOUNT).alias("added"), none.cast(MONEY).alias("unit_cost")))
+    per = moves.groupBy("product_name", "year").agg(
+        F.sum("bought").alias("bought"), F.sum("sold").alias("sold"), F.sum("added").alias("added"),
+        F.max("unit_cost").alias("unit_cost"))
+    product = Window.partitionBy("product_name")  # a row per year
+    per = per.select("year", "added", F.sum("bought").over(product).alias("ever_bought"),
+                     amount(-(F.col("sold") * F.max("unit_cost").over(product))).alias("removed"))
+    per = per.filter(F.col("ever_bought") > 0)
+    per_year = per.groupBy("year").agg(F.sum("added").alias("added"), F.sum("removed").alias("removed"))
+    net = F.when(F.col("added").isNotNull() | F.col("removed").isNotNull(),
+                 F.coalesce("added", F.lit(0)) + F.coalesce("removed", F.lit(0)))
     return per_year.select(
         "year", F.lit("Inventory").alias("account"),
-        running_total(F.col("amt")).cast(REPORT).alias("total_amount"),
+        running_total(net).cast(REPORT).alias("total_amount"),
     ).orderBy(F.col("year").asc_nulls_last())
 
 

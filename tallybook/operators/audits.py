@@ -7,9 +7,10 @@ full-joined on year, and the verdict is a column. Nothing is collected.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import amount, cash_lag_date, in_years
@@ -31,10 +32,11 @@ def audit_revenue(dashboard: DataFrame, sales: DataFrame, years: Iterable[int] |
                   tol: float = TOLERANCE) -> DataFrame:
     """Revenue in the statements vs SUM(quantity x price) of the sales, per year.
 
-    diff = statements - raw; is_match when |diff| < tol. Missing sides are 0.
+    diff = statements - raw; is_match when |diff| < tol. Missing sides are 0. A
+    year that the statements do not show has ``in_view`` false and no verdict.
     """
     years = None if years is None else list(years)
-    view = dashboard.select("year", F.col("revenue").alias("view_revenue"))
+    view = dashboard.select("year", F.col("revenue").alias("view_revenue"), F.lit(True).alias("in_view"))
     if years is not None:
         view = view.filter(F.col("year").isin(years))
     raw = _restrict(sales, "sale_at", years).groupBy(F.year("sale_at").alias("year")).agg(
@@ -43,29 +45,50 @@ def audit_revenue(dashboard: DataFrame, sales: DataFrame, years: Iterable[int] |
     diff = _zero("view_revenue") - _zero("raw_revenue")
     return j.select(
         "year", _zero("view_revenue").alias("view_revenue"), _zero("raw_revenue").alias("raw_revenue"),
-        diff.cast(REPORT).alias("diff"), (F.abs(diff) < F.lit(tol)).alias("is_match"),
+        diff.cast(REPORT).alias("diff"), *_verdict(diff, tol),
     ).orderBy(F.col("year").asc_nulls_last())
 
 
-def cash_components(ledger: Ledger) -> DataFrame:
+def _verdict(diff: Column, tol: float) -> list[Column]:
+    in_view = F.coalesce("in_view", F.lit(False))
+    return [in_view.alias("in_view"), F.when(in_view, F.abs(diff) < F.lit(tol)).alias("is_match")]
+
+
+def _lagged(df: DataFrame, date_col: str, years: Iterable[int] | None) -> DataFrame:
+    """Rows whose cash may move in ``years``: the lag reaches one month back."""
+    if years is None:
+        return df
+    back = in_years(F.add_months(F.col(date_col), 1), years)
+    lo, hi = dt.date(min(years) - 1, 12, 1), dt.date(max(years) + 1, 1, 1)
+    # the plain range reaches the scan, the lagged one cannot
+    return df.filter((F.col(date_col) >= F.lit(lo)) & (F.col(date_col) < F.lit(hi))
+                     & (in_years(F.col(date_col), years) | back))
+
+
+def cash_components(ledger: Ledger, years: Iterable[int] | None = None) -> DataFrame:
     """Per year: sales cash in, loans in, purchases out, all payments out.
 
-    One scan per table, one aggregate over the union.
+    One scan per table, one aggregate over the union. With ``years`` the scans
+    skip what cannot move cash in them.
     """
-    s, p = ledger.sales, ledger.purchases
+    years = None if years is None else list(years)
+    s, p = _lagged(ledger.sales, "sale_at", years), _lagged(ledger.purchases, "purchase_at", years)
+    loans, payments = _restrict(ledger.loans, "loan_at", years), _restrict(ledger.payments, "payment_date", years)
     parts = [
         s.select(F.year(cash_lag_date(F.col("sale_at"), F.col("payment_method"))).alias("year"),
                  F.lit("sales_cash_in").alias("c"), amount(F.col("quantity") * F.col("price")).alias("v")),
-        ledger.loans.select(F.year("loan_at").alias("year"), F.lit("loan_in").alias("c"),
+        loans.select(F.year("loan_at").alias("year"), F.lit("loan_in").alias("c"),
                             amount(F.col("value")).alias("v")),
         p.select(F.year(cash_lag_date(F.col("purchase_at"), F.col("payment_method"))).alias("year"),
                  F.lit("purchase_out").alias("c"), amount(F.col("quantity") * F.col("amount")).alias("v")),
-        ledger.payments.select(F.year("payment_date").alias("year"), F.lit("expense_out").alias("c"),
+        payments.select(F.year("payment_date").alias("year"), F.lit("expense_out").alias("c"),
                                amount(F.col("amount")).alias("v")),
     ]
     u = parts[0]
     for x in parts[1:]:
         u = u.unionByName(x)
+    if years is not None:
+        u = u.filter(F.col("year").isin(years))
     return u.groupBy("year").agg(*[
         F.sum(F.when(F.col("c") == k, F.col("v"))).alias(k)
         for k in ("sales_cash_in", "loan_in", "purchase_out", "expense_out")])
@@ -78,13 +101,13 @@ def audit_cash(dashboard: DataFrame, ledger: Ledger, years: Iterable[int] | None
     As in the reference, this compares a yearly flow with a cumulative balance
     and subtracts every payment type, so it flags a discrepancy whenever
     earlier years or equipment/loan payments exist: the components and the
-    diff (calculated - statements) are the output.
+    diff (calculated - statements) are the output. A year that the statements
+    do not show has ``in_view`` false and no verdict.
     """
     years = None if years is None else list(years)
-    comp = cash_components(ledger)
-    view = dashboard.select("year", F.col(cash_column).alias("view_cash"))
+    comp = cash_components(ledger, years)
+    view = dashboard.select("year", F.col(cash_column).alias("view_cash"), F.lit(True).alias("in_view"))
     if years is not None:
-        comp = comp.filter(F.col("year").isin(years))
         view = view.filter(F.col("year").isin(years))
     j = comp.join(view, "year", "full")
     calc = (_zero("sales_cash_in") + _zero("loan_in") - _zero("purchase_out") - _zero("expense_out"))
@@ -95,7 +118,7 @@ def audit_cash(dashboard: DataFrame, ledger: Ledger, years: Iterable[int] | None
         calc.cast(REPORT).alias("net_cash_calculated"),
         _zero("view_cash").alias("view_cash"),
         diff.cast(REPORT).alias("diff"),
-        (F.abs(diff) < F.lit(tol)).alias("is_match"),
+        *_verdict(diff, tol),
     ).orderBy(F.col("year").asc_nulls_last())
 
 
@@ -103,7 +126,8 @@ def audit_report(audit: DataFrame) -> DataFrame:
     """Audit lines as labelled, formatted text: one row per (year, component).
 
     Labels are the column names with ``_`` as spaces in title case; amounts
-    use thousands separators and 2 decimals, as the audit logs print them.
+    use thousands separators and 2 decimals, as the audit logs print them. A
+    NULL ``is_match`` is a year outside the statements.
     """
     value_cols = [c for c, t in audit.dtypes if t.startswith("decimal")]
     long = audit.select("year", "is_match", *value_cols).unpivot(

@@ -1,11 +1,12 @@
 """Ledger postings: every source row becomes signed (year, account, amount) rows.
 
-Design (Spark-first, one scan per table):
+Design (Spark-first):
 
-* Each table is read once and first reduced to its distinct posting keys
-  (the years each rule books to, the payment type, flags), summing the value:
-  every rule is linear in the value, so this is one map-side aggregate update
-  per source row and the shuffle carries a handful of rows per partition.
+* Sales, loans and payments are read once, purchases twice (their own postings,
+  and the distinct unit costs that COGS needs). Each read is first reduced to
+  its distinct posting keys (the years each rule books to, the payment type,
+  flags), summing the value: every rule is linear in the value, so this is one
+  map-side aggregate update per source row.
 * Every rule then contributes one struct ``(rule, year, account, amt, keep)``
   per reduced row; ``inline`` turns the array into rows, ``keep`` filters them,
   and postings are summed per (rule, year, account).
@@ -14,8 +15,9 @@ Design (Spark-first, one scan per table):
   in cost), so no per-asset fan-out reaches the shuffle.
 * COGS: the reference joins each sale to every distinct (product, cost) pair.
   Summed, that is quantity x SUM(DISTINCT cost) per product, so sales are
-  first reduced to (product, year) quantities and costs to one row per
-  product; the join never fans out and a hot product is one row per year.
+  reduced to (product, years) with quantity and value, costs to one row per
+  product, and after their join all sales rules come from the one result. The
+  join never fans out and a hot product is a few rows per year.
 """
 
 from __future__ import annotations
@@ -25,9 +27,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import amount, cash_lag_date, in_years, prior_month_start
+from ..functions import amount, cash_lag_date, prior_month_start
 from ..sources.adapter import Ledger
-from .schedules import ACCRUAL_TYPES, ACCRUAL_YEARS, EQUIPMENT, LIFE_YEARS, depreciation_rate
+from .schedules import ACCRUAL_TYPES, ACCRUAL_YEARS, EQUIPMENT, LIFE_YEARS, accruable, depreciation_rate
 
 _EQ_RULE = "EQ"  # internal: equipment cost by first year, expanded into B7/B8
 
@@ -40,7 +42,7 @@ class RuleSet:
     rent_rule: bool
     ap_payment_requires_date: bool
     accrual_types: tuple[str, ...] = ACCRUAL_TYPES
-    accrual_years: tuple[int, ...] = ACCRUAL_YEARS
+    accrual_years: tuple[int, ...] | None = ACCRUAL_YEARS  # None: every year
     life: int = LIFE_YEARS
     pl_accounts: tuple[str, ...] = field(default=(
         "Revenue", "COGS", "Depr_Exp", "interest", "wage", "tax", "rent", "utility"))
@@ -89,19 +91,29 @@ def _reduce(df: DataFrame, keys: list[Column], value: Column) -> DataFrame:
     return df.groupBy(*keys).agg(F.sum(value).alias("v"))
 
 
-def sales_posts(sales: DataFrame) -> DataFrame:
+def sales_by_product(sales: DataFrame) -> DataFrame:
+    """Quantity and value per product and the years that the sales rules book to."""
     method = F.col("payment_method")
     ar = (method != "cash") & (F.month("payment_at") == 12)
-    r = _reduce(sales, [
+    return sales.groupBy(
+        "product_name",
         F.year("sale_at").alias("y_sale"),
         F.year(cash_lag_date(F.col("sale_at"), method)).alias("y_cash"),
         F.when(ar, F.year("payment_at")).alias("y_ar"),
-    ], F.col("quantity") * F.col("price"))
-    v, y_ar = F.col("v"), F.col("y_ar")
+    ).agg(F.sum("quantity").alias("qty"), F.sum(F.col("quantity") * F.col("price")).alias("value"))
+
+
+def sales_posts(by_product: DataFrame, costs: DataFrame) -> DataFrame:
+    """B1, B2, B9 and, at the products' costs, B6 and B11: all sales rules."""
+    r = (by_product.join(costs, "product_name", "left").groupBy("y_sale", "y_cash", "y_ar")
+         .agg(F.sum("value").alias("v"), F.sum(-(F.col("qty") * F.col("cost_sum"))).alias("cogs")))
+    v, cogs, y_sale, y_ar = F.col("v"), F.col("cogs"), F.col("y_sale"), F.col("y_ar")
     return _explode_posts(r, [
-        _post("B1", F.col("y_sale"), "Revenue", v),
+        _post("B1", y_sale, "Revenue", v),
         _post("B2", F.col("y_cash"), "Cash", v),
         _post("B9", y_ar, "Accounts_Receivable", v, y_ar.isNotNull()),
+        _post("B6", y_sale, "COGS", cogs),
+        _post("B11", y_sale, "Inventory", cogs),
     ])
 
 
@@ -110,6 +122,11 @@ def purchases_posts(purchases: DataFrame) -> DataFrame:
         F.year(cash_lag_date(F.col("purchase_at"), F.col("payment_method"))).alias("y_cash"),
         F.year("purchase_at").alias("y_buy"),
     ], F.col("quantity") * F.col("amount"))
+    return purchase_rules(r)
+
+
+def purchase_rules(r: DataFrame) -> DataFrame:
+    """B4 and B10 from purchases reduced to (y_cash, y_buy, v)."""
     v = F.col("v")
     return _explode_posts(r, [
         _post("B4", F.col("y_cash"), "Cash", -v),
@@ -128,7 +145,7 @@ def loans_posts(loans: DataFrame) -> DataFrame:
 
 def payments_posts(payments: DataFrame, rules: RuleSet) -> DataFrame:
     pd = F.col("payment_date")
-    accrued = F.col("payment_type").isin(list(rules.accrual_types)) & in_years(pd, rules.accrual_years)
+    accrued = accruable(rules.accrual_types, rules.accrual_years)
     # Every payments rule is conditioned on the type: keep only the types some
     # rule uses, so Parquet skips the rest and odd values never reach the shuffle.
     used = sorted(set(rules.cash_types) | set(rules.accrual_types)
@@ -182,26 +199,6 @@ def cogs_from(sold: DataFrame, costs: DataFrame) -> DataFrame:
         amount(F.sum(-(F.col("qty") * F.col("cost_sum")))).alias("amt"))
 
 
-def cogs_by_year(sales: DataFrame, purchases: DataFrame) -> DataFrame:
-    """Cost of goods sold per sale year (negative), NULL where no sale has a cost."""
-    return cogs_from(sold_quantities(sales), product_costs(purchases))
-
-
-def cogs_posts_from(per_year: DataFrame) -> DataFrame:
-    """B6 (COGS) and B11 (Inventory deduction) from COGS per year."""
-    return per_year.select(F.inline(F.array(
-        F.struct(F.lit("B6").alias("rule"), F.col("year"), F.lit("COGS").alias("account"),
-                 amount(F.col("amt")).alias("amt")),
-        F.struct(F.lit("B11").alias("rule"), F.col("year"), F.lit("Inventory").alias("account"),
-                 amount(F.col("amt")).alias("amt")),
-    )))
-
-
-def cogs_posts(sales: DataFrame, purchases: DataFrame) -> DataFrame:
-    """B6 (COGS) and B11 (Inventory deduction), one value per sale year."""
-    return cogs_posts_from(cogs_by_year(sales, purchases))
-
-
 def expand_equipment(agg: DataFrame, years: DataFrame, life: int = LIFE_YEARS) -> DataFrame:
     """Turn the EQ rows (cost by first year) into Depr_Exp and PPE_Snapshot rows.
 
@@ -217,7 +214,7 @@ def expand_equipment(agg: DataFrame, years: DataFrame, life: int = LIFE_YEARS) -
         F.when(is_eq, (F.col("year") + i).cast("int")).otherwise(F.col("year")).alias("year"),
         "rule", "account", "amt", i.alias("i"), is_eq.alias("is_eq"),
     )
-    cal = F.broadcast(years.select(F.col("year").cast("int").alias("cal_year")))
+    cal = F.broadcast(years.select(F.col("year").cast("int").alias("cal_year")).distinct())
     x = x.join(cal, x.year == cal.cal_year, "left").filter(
         ~F.col("is_eq") | F.col("cal_year").isNotNull())
     rate = depreciation_rate(i, life)
@@ -241,20 +238,23 @@ def ledger_postings(ledger: Ledger, years: DataFrame, rules: RuleSet = PIPELINE,
     the posting rows are returned unsummed; they are already reduced (a few
     rows per table partition), for callers that aggregate them anyway.
     """
-    raw = (sales_posts(ledger.sales)
+    raw = (sales_posts(sales_by_product(ledger.sales), product_costs(ledger.purchases))
            .unionByName(purchases_posts(ledger.purchases))
            .unionByName(loans_posts(ledger.loans))
            .unionByName(payments_posts(ledger.payments, rules)))
+    return expanded(raw, years, rules, end_year, by_rule)
+
+
+def expanded(raw: DataFrame, years: DataFrame, rules: RuleSet = PIPELINE, end_year: int | None = None,
+             by_rule: bool = True) -> DataFrame:
+    """Postings from reduced rows: the depreciation years generated, all summed."""
     if end_year is not None:
         raw = raw.filter(F.col("year") <= end_year)
     # The expansion is linear, so it runs on the reduced rows directly: one
     # aggregate (here, or the caller's) sums everything at the end.
     posted = expand_equipment(raw, years, rules.life)
-    cogs = cogs_posts(ledger.sales, ledger.purchases)
     if end_year is not None:
         posted = posted.filter(F.col("year") <= end_year)
-        cogs = cogs.filter(F.col("year") <= end_year)
-    out = posted.unionByName(cogs)
     if not by_rule:
-        return out
-    return out.groupBy("rule", "year", "account").agg(F.sum("amt").alias("amt"))
+        return posted
+    return posted.groupBy("rule", "year", "account").agg(F.sum("amt").alias("amt"))

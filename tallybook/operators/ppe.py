@@ -6,16 +6,16 @@ Monthly view (per asset, 10 years of calendar months):
     per year    = sum of accumulated over the year's rows, unioned with the
                   year's purchases, then a running total over years.
 
-Scale: an id with a single equipment payment (the normal case) has a
-schedule that depends only on its payment date and is linear in its amount,
-so those payments are summed per payment date first and the month grid is
-generated per distinct date (a few thousand rows whatever the data size).
-Only ids that carry several payments, whose months mix, get their own grid;
-it is reduced to (id, month) before any window, so a window partition never
-exceeds the calendar length, even when one id holds a third of all payments.
-The range join on the calendar is an equi-join on the month bucket after
-generating the 121 candidate buckets; Spark sizes that join. The division by
-n happens once per (year, n) group, in exact decimals.
+Scale: the equipment payments are first summed per (id, payment date), with
+their count; everything later runs on these sums, so an id that holds a third
+of all payments is as many rows as it has dates. A NULL id is an id like any
+other. An id with a single payment has a schedule that depends only on its
+date and is linear in its amount, so these ids are merged per date; an id with
+several payments, whose months mix, gets its own month grid, reduced to
+(id, month) before any window. The range join on the calendar is an equi-join
+on the month bucket after generating the 121 candidate buckets; Spark sizes
+that join. The division by n happens once per (year, n) group, in exact
+decimals.
 """
 
 from __future__ import annotations
@@ -38,22 +38,25 @@ def _equipment(payments: DataFrame) -> DataFrame:
 
 
 def schedule_groups(payments: DataFrame) -> DataFrame:
-    """(grp_id, grp_date, payment_date, amount): one schedule per group.
+    """(grp_id, grp_date, payment_date, m, amount): one schedule per group.
 
-    Single-payment ids are merged per payment date (grp_id NULL); ids with
-    several payments keep their rows (grp_date NULL). Both branches read the
-    same per-id aggregate, which Spark computes once (reused exchange).
+    Single-payment ids are merged per payment date (grp_id NULL, m 1, the
+    amounts summed: one asset stands for all). Other ids, NULL among them, keep
+    a row per date (grp_date NULL) that stands for m payments. Null dates have
+    no months, so their groups need no name of their own.
     """
-    eq = _equipment(payments)
-    per_id = eq.groupBy("id").agg(F.count(F.lit(1)).alias("c"),
-                                  F.min("payment_date").alias("pd"), F.sum("amount").alias("amt"))
-    single = (per_id.filter(F.col("c") == 1).groupBy("pd").agg(F.sum("amt").alias("amount"))
-              .select(F.lit(None).cast("long").alias("grp_id"), F.col("pd").alias("grp_date"),
-                      F.col("pd").alias("payment_date"), "amount"))
-    multi = (eq.join(per_id.filter(F.col("c") > 1).select("id"), "id", "left_semi")
-             .select(F.col("id").alias("grp_id"), F.lit(None).cast("date").alias("grp_date"),
-                     "payment_date", "amount"))
-    return single.unionByName(multi)
+    by_date = _equipment(payments).groupBy("id", "payment_date").agg(
+        F.count(F.lit(1)).alias("m"), F.sum("amount").alias("amount"))
+    # at most one row per date of an id in its window partition
+    all_of_id = F.sum("m").over(Window.partitionBy("id"))
+    single = F.col("of_id") == 1
+    return (by_date.withColumn("of_id", all_of_id)
+            .groupBy(F.when(~single, F.col("id")).alias("grp_id"),
+                     F.when(single, F.col("payment_date")).alias("grp_date"), "payment_date",
+                     single.alias("single"))
+            .agg(F.sum("m").alias("m"), F.sum("amount").alias("amount"))
+            .select(*_KEYS, "payment_date", F.when(F.col("single"), F.lit(1)).otherwise(F.col("m")).alias("m"),
+                    "amount"))
 
 
 def equipment_months(groups: DataFrame, calendar: DataFrame,
@@ -63,7 +66,7 @@ def equipment_months(groups: DataFrame, calendar: DataFrame,
     pd = F.col("payment_date")
     first = F.trunc(pd, "MM")
     g = groups.select(
-        *_KEYS, "payment_date", "amount",
+        *_KEYS, "payment_date", "m", "amount",
         F.explode(F.sequence(first, F.add_months(first, months), F.expr("INTERVAL 1 MONTH")))
         .alias("bucket"))
     cal = calendar.select("calendar_at", "year", month_start(F.col("calendar_at")).alias("bucket"))
@@ -74,7 +77,7 @@ def equipment_months(groups: DataFrame, calendar: DataFrame,
 def _per_group_month(groups: DataFrame, calendar: DataFrame, life_years: int) -> DataFrame:
     """Per (group, month): m rows, amount sum a, the group's month count n, running A."""
     g = equipment_months(groups, calendar, life_years).groupBy(
-        *_KEYS, "calendar_at", "year").agg(F.count(F.lit(1)).alias("m"), F.sum("amount").alias("a"))
+        *_KEYS, "calendar_at", "year").agg(F.sum("m").alias("m"), F.sum("amount").alias("a"))
     whole = Window.partitionBy(*_KEYS)
     run = Window.partitionBy(*_KEYS).orderBy("calendar_at")
     return g.select("year", "m", "a",
@@ -108,7 +111,7 @@ def periodic_depreciation_by_year(payments: DataFrame, calendar: DataFrame,
 
 def equipment_purchases_by_year(payments: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Equipment bought per year. From the schedule groups when given: they
-    carry every payment's amount (merged per date or per id), so the payments
+    carry every payment's amount (summed per date or per id and date), so the payments
     are not scanned again."""
     src = _equipment(payments) if groups is None else groups
     return src.groupBy(F.year("payment_date").alias("year")).agg(F.sum("amount").alias("amt"))

@@ -68,14 +68,10 @@ def export_csv(df: DataFrame, path: str, end_year: int | None = None,
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def to_client(df: DataFrame, max_rows: int = 10_000):
-    """A small report as a pandas frame for a client (the chart feed).
+def to_client(df: DataFrame):
+    """A statement or report as a pandas frame for a client (the chart feed).
 
-    Only bounded results go to the driver: more than ``max_rows`` rows is an
-    error rather than a silent truncation. Statements and reports here have
-    one row per year or measure.
+    These have a row per year or measure, at most 9,999 years. Write anything
+    else to a table instead.
     """
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; write it to a table instead")
     return df.toPandas()

@@ -38,7 +38,7 @@ def depreciation_schedule(payments: DataFrame, years: DataFrame,
         "id", F.year("payment_date").alias("start_year"), F.col("amount").alias("cost"))
     eq = eq.select("*", F.explode(F.sequence(F.lit(0), F.lit(life))).alias("i"))
     eq = eq.withColumn("year", (F.col("start_year") + F.col("i")).cast("int"))
-    sched = eq.join(F.broadcast(years.select(F.col("year").cast("int").alias("year"))), "year")
+    sched = eq.join(F.broadcast(years.select(F.col("year").cast("int").alias("year")).distinct()), "year")
     return sched.select(
         "id", "year",
         F.col("cost").alias("gross_val"),
@@ -47,14 +47,19 @@ def depreciation_schedule(payments: DataFrame, years: DataFrame,
     )
 
 
-def accrual_schedule(payments: DataFrame, types: Iterable[str] = ACCRUAL_TYPES,
-                     years: Iterable[int] = ACCRUAL_YEARS) -> DataFrame:
-    """Wage/utility/tax payments of the given years, accrued to the prior month.
+def accruable(types: Iterable[str], years: Iterable[int] | None) -> Column:
+    """The payments that accrue: of these types, paid in these years (``None``:
+    at any date). The year filter is a date range, so it reaches the scan."""
+    pd = F.col("payment_date")
+    dated = pd.isNotNull() if years is None else in_years(pd, years)
+    return F.col("payment_type").isin(list(types)) & dated
 
-    The year filter is a date range, so it reaches the Parquet scan.
-    """
+
+def accrual_schedule(payments: DataFrame, types: Iterable[str] = ACCRUAL_TYPES,
+                     years: Iterable[int] | None = ACCRUAL_YEARS) -> DataFrame:
+    """Wage/utility/tax payments of the given years, accrued to the prior month."""
     pd = F.col("payment_date")
-    return payments.filter(F.col("payment_type").isin(list(types)) & in_years(pd, years)).select(
+    return payments.filter(accruable(types, years)).select(
         "id",
         F.col("payment_type").alias("account"),
         "amount",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import or_zero, round2
-from .postings import LEGACY, PIPELINE, RuleSet
+from .postings import PIPELINE, RuleSet
 
 
 def running_total(value: Column, *partition: str, order: str = "year") -> Column:
@@ -26,12 +26,12 @@ def yearly_summaries(postings: DataFrame) -> DataFrame:
     """Annual movement per (year, account) and its running balance per account.
 
     ``postings`` are reduced rows, bounded by rules x years x accounts
-    whatever the data size (years of a DATE are at most 9,999). They go to a
-    single partition once; the aggregate, the window by account and any
-    later pivot or sort by year then need no further shuffle.
+    whatever the data size (years of a DATE are at most 9,999). They are summed
+    before anything meets; the sums, a row per year and account, then go to a
+    single partition, so that the window by account and any later pivot or sort
+    by year need no further shuffle.
     """
-    mov = postings.repartition(1).groupBy("year", "account").agg(
-        F.sum("amt").alias("annual_movement"))
+    mov = postings.groupBy("year", "account").agg(F.sum("amt").alias("annual_movement")).repartition(1)
     return mov.select("year", "account", "annual_movement",
                       running_total(F.col("annual_movement"), "account").alias("running_balance"))
 
@@ -44,16 +44,16 @@ BALANCES = ("Cash", "Accounts_Receivable", "Accounts_Payable", "Loan_Principal",
             "Depr_Exp")
 
 
-def dashboard(summaries: DataFrame, end_year: int, rules: RuleSet = PIPELINE,
+def dashboard(summaries: DataFrame, end_year: int | None, rules: RuleSet = PIPELINE,
               cash_name: str = "cash", inventory_name: str = "inventory",
               carry_forward: bool = False) -> DataFrame:
-    """One row per year <= end_year: 9 rounded measures, ordered by year.
+    """One row per year <= end_year (``None``: every year): 9 rounded measures, ordered by year.
 
     As in the reference, a balance account without movement in a year shows 0
     there. ``carry_forward=True`` shows its last balance instead (a window
     over the few year rows).
     """
-    s = summaries.filter(F.col("year") <= end_year)
+    s = summaries.filter(F.col("year").isNotNull() if end_year is None else F.col("year") <= end_year)
     bal = {a: _pick(a, "running_balance") for a in BALANCES}
     wide = s.groupBy("year").agg(
         _pick("Revenue", "annual_movement").alias("_rev"),
@@ -84,13 +84,3 @@ def dashboard(summaries: DataFrame, end_year: int, rules: RuleSet = PIPELINE,
 DASHBOARD_END_YEAR = 2023
 LEGACY_END_YEAR = 2031
 
-
-def dashboard_flux(postings: DataFrame, end_year: int = DASHBOARD_END_YEAR) -> DataFrame:
-    """The flux view: pipeline rules, years up to ``end_year``."""
-    return dashboard(yearly_summaries(postings), end_year, PIPELINE)
-
-
-def dashboard_aggregation(postings: DataFrame, end_year: int = LEGACY_END_YEAR) -> DataFrame:
-    """The older variant (legacy rules), with ``cash_bal`` and ``inventory_bal``."""
-    return dashboard(yearly_summaries(postings), end_year, LEGACY,
-                     cash_name="cash_bal", inventory_name="inventory_bal")

@@ -155,7 +155,7 @@ summ2 AS (
 )"""
 
 
-def _dash(end_year: int, cash: str, inventory: str) -> str:
+def _dash(end_year: int | None, cash: str, inventory: str) -> str:
     def pick(acc: str, col: str) -> str:
         return f"max(CASE WHEN account = '{acc}' THEN {col} END)"
 
@@ -175,7 +175,7 @@ dash AS (
         {r2("coalesce(" + pick('PPE_Snapshot', 'mov') + ", 0)")} AS gross_ppe,
         {r2("greatest(0, coalesce(" + pick('PPE_Snapshot', 'mov') + ", 0) + coalesce("
             + pick('Depr_Exp', 'bal') + ", 0))")} AS net_ppe
-    FROM summ2 WHERE year <= {end_year}
+    FROM summ2 WHERE {"year IS NOT NULL" if end_year is None else f"year <= {end_year}"}
     GROUP BY year
 )"""
 
@@ -197,6 +197,36 @@ span AS (
         UNION ALL SELECT loan_at, loan_at FROM loans)
 )"""
 
+ACTIVITY_CAL = """
+ycal AS (
+    SELECT CAST(y AS INTEGER) AS y FROM span, generate_series(year(lo), year(hi)) t(y)
+)"""
+
+ALL_ACCRUALS = ACCRUALS.replace("year(payment_date) IN (2021, 2022, 2023)", "payment_date IS NOT NULL")
+
+
+def _reject_branch(table: str, number: str, date: str, money: str) -> str:
+    kind = {"quantity": "INTEGER", "value": "DECIMAL(14,2)"}.get(number, "DECIMAL(12,2)")
+    cents = "DECIMAL(14,2)" if money == "value" else "DECIMAL(12,2)"
+    if number == money:
+        num = f"CASE id % 97 WHEN 0 THEN 'x' || {money} WHEN 4 THEN {money} || '5' ELSE CAST({money} AS VARCHAR) END"
+        mon = num
+    else:
+        num = f"CASE id % 97 WHEN 0 THEN 'x' || {number} ELSE CAST({number} AS VARCHAR) END"
+        mon = f"CASE id % 97 WHEN 4 THEN {money} || '5' ELSE CAST({money} AS VARCHAR) END"
+    return f"""
+SELECT '{table}' AS table_name, reason, count(*) AS n_records FROM (
+    SELECT CASE WHEN k IN (2, 3) THEN 'field_count'
+                WHEN dat IS NOT NULL AND TRY_CAST(dat AS DATE) IS NULL THEN '{date}'
+                WHEN num IS NOT NULL AND TRY_CAST(num AS {kind}) IS NULL THEN '{number}'
+                WHEN TRY_CAST(mon AS DECIMAL(38,18)) <> TRY_CAST(mon AS {cents}) THEN '{money}'
+                ELSE 'ok' END AS reason
+    FROM (SELECT id % 97 AS k, {num} AS num, {mon} AS mon,
+                 CASE id % 97 WHEN 1 THEN '2021-13-45' ELSE CAST({date} AS VARCHAR) END AS dat
+          FROM {table})
+) GROUP BY reason"""
+
+
 def _div_n(s: str) -> str:
     """s / n as DECIMAL(38,10), rounded half away from zero, in integer arithmetic.
 
@@ -208,8 +238,11 @@ def _div_n(s: str) -> str:
     return (f"CAST(sign({c}) * {q} AS DECIMAL(38,0)) * CAST(0.0000000001 AS DECIMAL(38,10))")
 
 
+EQUIPMENT_ID = "SELECT id, payment_date"
+SHARED_ID = "SELECT CASE WHEN (id // 16) % 7 <> 0 THEN id % 1000 END AS id, payment_date"
+
 MONTHLY_DEP = f"""
-eq AS (SELECT id, payment_date, amount FROM payments WHERE payment_type = 'equipment'),
+eq AS ({EQUIPMENT_ID}, amount FROM payments WHERE payment_type = 'equipment'),
 asset_months AS (
     SELECT e.id, c.calendar_at, c.year, e.amount,
            count(*) OVER (PARTITION BY e.id) AS n
@@ -286,7 +319,8 @@ SELECT year, transaction_type, {_m('round(amt, 2)')} AS total_amount,
 FROM lines"""
 
 
-def _ppe_monthly(corrected: bool) -> str:
+def _ppe_monthly(corrected: bool, shared: bool = False) -> str:
+    schedule = MONTHLY_DEP.replace(EQUIPMENT_ID, SHARED_ID) if shared else MONTHLY_DEP
     if corrected:
         body = """
 u AS (
@@ -300,7 +334,7 @@ u AS (
     SELECT year, amt FROM dep_acc
     UNION ALL SELECT year, CAST(amt AS DECIMAL(38,10)) FROM eq_buys
 )"""
-    return _with(MONTHLY_CAL, MONTHLY_DEP, body) + f"""
+    return _with(MONTHLY_CAL, schedule, body) + f"""
 SELECT year, 'Property, Plant & Equipment' AS account,
        {_m('round(sum(amt) OVER (ORDER BY year), 2)')} AS total_amount
 FROM u"""
@@ -358,6 +392,15 @@ SELECT year, account, CAST(mov AS DECIMAL(38,4)) AS annual_movement,
 
     q["dashboard_flux"] = _with(*_flux_ctes()) + "\nSELECT * FROM dash ORDER BY year"
 
+    q["dashboard_flux_full"] = _with(SPAN, ACTIVITY_CAL, DEP_SCHED, ALL_ACCRUALS, COSTS, _posts(False), SUMMARIES,
+                                     _dash(None, "cash", "inventory")) + "\nSELECT * FROM dash ORDER BY year"
+
+    q["load_rejects"] = _with() + "\nUNION ALL ".join(
+        _reject_branch(*b) for b in (("sales", "quantity", "sale_at", "price"),
+                                     ("purchases", "quantity", "purchase_at", "amount"),
+                                     ("payments", "amount", "payment_date", "amount"),
+                                     ("loans", "value", "loan_at", "value")))
+
     q["dashboard_aggregation"] = _with(*(_ledger_ctes(True) + [_dash(2031, "cash_bal", "inventory_bal")])) \
         + "\nSELECT * FROM dash ORDER BY year"
 
@@ -411,6 +454,7 @@ SELECT CAST(year AS INTEGER) AS year, 'Loan' AS account,
 FROM moves GROUP BY year ORDER BY year"""
 
     q["ppe_monthly"] = _ppe_monthly(False)
+    q["ppe_monthly_shared_ids"] = _ppe_monthly(False, shared=True)
     q["ppe_monthly_corrected"] = _ppe_monthly(True)
 
     q["ppe_half_year"] = _with("""
@@ -429,24 +473,24 @@ FROM ev GROUP BY year ORDER BY year"""
     q["retained_earnings"] = _retained(False)
     q["retained_earnings_corrected"] = _retained(True)
 
-    q["audit_revenue"] = _with(*_flux_ctes(), """
+    calc = ("coalesce(c.sales_cash_in, 0) + coalesce(c.loan_in, 0) - coalesce(c.purchase_out, 0)"
+            " - coalesce(c.expense_out, 0)")
+    for suffix, only in (("", ""), ("_2021", "WHERE year = 2021")):
+        q["audit_revenue" + suffix] = _with(*_flux_ctes(), """
 raw AS (SELECT CAST(year(sale_at) AS INTEGER) AS year, sum(quantity * price) AS r FROM sales GROUP BY 1)""") + f"""
 SELECT coalesce(d.year, r.year) AS year,
        {_m('coalesce(d.revenue, 0)')} AS view_revenue, {_m('coalesce(r.r, 0)')} AS raw_revenue,
-       {_m('coalesce(d.revenue, 0) - coalesce(r.r, 0)')} AS diff,
-       abs(coalesce(d.revenue, 0) - coalesce(r.r, 0)) < 0.01 AS is_match
-FROM dash d FULL JOIN raw r ON d.year = r.year ORDER BY 1"""
-
-    calc = ("coalesce(c.sales_cash_in, 0) + coalesce(c.loan_in, 0) - coalesce(c.purchase_out, 0)"
-            " - coalesce(c.expense_out, 0)")
-    q["audit_cash"] = _with(*_flux_ctes(), _cash_lines()) + f"""
+       {_m('coalesce(d.revenue, 0) - coalesce(r.r, 0)')} AS diff, d.year IS NOT NULL AS in_view,
+       CASE WHEN d.year IS NOT NULL THEN abs(coalesce(d.revenue, 0) - coalesce(r.r, 0)) < 0.01 END AS is_match
+FROM (SELECT * FROM dash {only}) d FULL JOIN (SELECT * FROM raw {only}) r ON d.year = r.year ORDER BY 1"""
+        q["audit_cash" + suffix] = _with(*_flux_ctes(), _cash_lines()) + f"""
 SELECT coalesce(c.year, d.year) AS year,
        {_m('coalesce(c.sales_cash_in, 0)')} AS sales_cash_in, {_m('coalesce(c.loan_in, 0)')} AS loan_in,
        {_m('coalesce(c.purchase_out, 0)')} AS purchase_out, {_m('coalesce(c.expense_out, 0)')} AS expense_out,
        {_m(calc)} AS net_cash_calculated, {_m('coalesce(d.cash, 0)')} AS view_cash,
-       {_m(f'{calc} - coalesce(d.cash, 0)')} AS diff,
-       abs({calc} - coalesce(d.cash, 0)) < 0.01 AS is_match
-FROM comp c FULL JOIN dash d ON c.year = d.year ORDER BY 1"""
+       {_m(f'{calc} - coalesce(d.cash, 0)')} AS diff, d.year IS NOT NULL AS in_view,
+       CASE WHEN d.year IS NOT NULL THEN abs({calc} - coalesce(d.cash, 0)) < 0.01 END AS is_match
+FROM (SELECT * FROM comp {only}) c FULL JOIN (SELECT * FROM dash {only}) d ON c.year = d.year ORDER BY 1"""
 
     metrics = [("revenue", "P&L", "revenue"), ("total_expenses", "P&L", "revenue - net_income"),
                ("net_income", "P&L", "net_income"), ("cash", "Balance Sheet", "cash"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import accounts, audits, calendars, ppe, reports, retained, schedules, statements
 from ..operators.postings import PIPELINE
 from ..sources.adapter import Ledger, ledger_from_driver
-from ..sources.loader import as_text, load_summary
+from ..sources.loader import as_text, load_summary, records_from_lines, reject_summary
 from ..sources.schemas import AMOUNT
 from .pipeline import build_legacy_statements, build_statements, default_years, postings_for
 
@@ -27,6 +27,29 @@ def q_load_ledger(spark, led):
     return load_summary(spark, {k: as_text(v) for k, v in led.tables().items()})
 
 
+def damaged_lines(df: DataFrame, number: str, date: str, money: str, sep: str = "\t") -> DataFrame:
+    """The rows as delimited text; of every 97 ids one has a bad number, a bad
+    date, a field too few, a field too many, or a third decimal place."""
+    k = F.col("id") % 97
+    text = as_text(df).withColumns({"__k": k})
+    text = text.withColumn(date, F.when(k == 1, F.lit("2021-13-45")).otherwise(F.col(date)))
+    text = text.withColumn(number, F.when(k == 0, F.concat(F.lit("x"), F.col(number))).otherwise(F.col(number)))
+    text = text.withColumn(money, F.when(k == 4, F.concat(F.col(money), F.lit("5"))).otherwise(F.col(money)))
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in df.columns]
+    whole, short = F.concat_ws(sep, *fields), F.concat_ws(sep, *fields[:-1])
+    return text.select(F.when(k == 2, short).when(k == 3, F.concat(whole, F.lit(sep + "z"))).otherwise(whole).alias("line"))
+
+
+DAMAGED = {"sales": ("quantity", "sale_at", "price"), "purchases": ("quantity", "purchase_at", "amount"),
+           "payments": ("amount", "payment_date", "amount"), "loans": ("value", "loan_at", "value")}
+
+
+def q_load_rejects(spark, led):
+    """The ledger as damaged text lines, loaded: records per table and reason."""
+    return reject_summary({name: records_from_lines(damaged_lines(df, *DAMAGED[name]), df.columns, sep="\t")
+                           for name, df in led.tables().items()})
+
+
 def q_calendar_yearly(spark, led):
     return calendars.calendar_yearly(spark, span=calendars.activity_span(led))
 
@@ -62,6 +85,11 @@ def q_dashboard_flux(spark, led):
     return build_statements(spark, led)
 
 
+def q_dashboard_flux_full(spark, led):
+    """Every year of the ledger, with its depreciation and accruals."""
+    return build_statements(spark, led, end_year=None)
+
+
 def q_dashboard_aggregation(spark, led):
     return build_legacy_statements(spark, led)
 
@@ -90,6 +118,12 @@ def q_ppe_monthly(spark, led):
     return ppe.ppe_monthly(led.payments, calendars.calendar_monthly(spark))
 
 
+def q_ppe_monthly_shared_ids(spark, led):
+    """The monthly schedule where assets share ids, a seventh of them the NULL id."""
+    shared = F.when(F.expr("id div 16 % 7") != 0, F.col("id") % 1000)
+    return ppe.ppe_monthly(led.payments.withColumn("id", shared), calendars.calendar_monthly(spark))
+
+
 def q_ppe_monthly_corrected(spark, led):
     return ppe.ppe_monthly(led.payments, calendars.calendar_monthly(spark),
                            corrected=True)
@@ -116,6 +150,14 @@ def q_audit_cash(spark, led):
     return audits.audit_cash(build_statements(spark, led), led)
 
 
+def q_audit_revenue_2021(spark, led):
+    return audits.audit_revenue(build_statements(spark, led), led.sales, years=[2021])
+
+
+def q_audit_cash_2021(spark, led):
+    return audits.audit_cash(build_statements(spark, led), led, years=[2021])
+
+
 def q_statement_compare(spark, led):
     return reports.statement_compare(build_statements(spark, led))
 
@@ -130,6 +172,7 @@ def q_export_rows(spark, led):
 
 LEDGER_QUERIES: dict[str, LedgerQuery] = {
     "load_ledger": q_load_ledger,
+    "load_rejects": q_load_rejects,
     "calendar_yearly": q_calendar_yearly,
     "calendar_monthly": q_calendar_monthly,
     "date_dim": q_date_dim,
@@ -138,6 +181,7 @@ LEDGER_QUERIES: dict[str, LedgerQuery] = {
     "ledger_postings": q_ledger_postings,
     "yearly_summaries": q_yearly_summaries,
     "dashboard_flux": q_dashboard_flux,
+    "dashboard_flux_full": q_dashboard_flux_full,
     "dashboard_aggregation": q_dashboard_aggregation,
     "account_ar": q_account_ar,
     "account_cash": q_account_cash,
@@ -145,12 +189,15 @@ LEDGER_QUERIES: dict[str, LedgerQuery] = {
     "account_inventory": q_account_inventory,
     "account_loan": q_account_loan,
     "ppe_monthly": q_ppe_monthly,
+    "ppe_monthly_shared_ids": q_ppe_monthly_shared_ids,
     "ppe_monthly_corrected": q_ppe_monthly_corrected,
     "ppe_half_year": q_ppe_half_year,
     "retained_earnings": q_retained_earnings,
     "retained_earnings_corrected": q_retained_earnings_corrected,
     "audit_revenue": q_audit_revenue,
     "audit_cash": q_audit_cash,
+    "audit_revenue_2021": q_audit_revenue_2021,
+    "audit_cash_2021": q_audit_cash_2021,
     "statement_compare": q_statement_compare,
     "flux_yoy": q_flux_yoy,
     "export_rows": q_export_rows,

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import datetime as dt
 import os
-import weakref
+from collections.abc import Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.calendars import (YEARLY_END, YEARLY_START, calendar_monthly, calendar_yearly,
-                                   calendar_years)
-from ..operators.schedules import accrual_schedule, depreciation_schedule
+from ..operators.calendars import (YEARLY_END, YEARLY_START, activity_span, calendar_monthly,
+                                   calendar_yearly, calendar_years)
+from ..operators.schedules import ACCRUAL_YEARS, accrual_schedule, depreciation_schedule
 from ..operators.postings import LEGACY, PIPELINE, RuleSet, ledger_postings
 from ..operators.statements import (DASHBOARD_END_YEAR, LEGACY_END_YEAR, dashboard,
                                     yearly_summaries)
@@ -24,57 +25,47 @@ from ..sources.schemas import LEDGER_SCHEMAS
 from ..sources.tables import create_or_replace_view, materialize
 
 
+DEFAULT = "default"
+
+
 def default_years(spark: SparkSession, start: dt.date = YEARLY_START,
                   end: dt.date = YEARLY_END) -> DataFrame:
     return calendar_years(calendar_yearly(spark, start, end))
 
 
-class _PlanCache:
-    """Lazy plans per ledger object. Keyed by id() but checked through a weak
-    reference, so a new ledger that reuses a freed id never gets a stale plan."""
-
-    def __init__(self) -> None:
-        self._d: dict[tuple, tuple[weakref.ref, DataFrame]] = {}
-
-    def get(self, ledger: Ledger, key: tuple, build):
-        k = (id(ledger),) + key
-        hit = self._d.get(k)
-        if hit is not None and hit[0]() is ledger:
-            return hit[1]
-        df = build()
-        self._d[k] = (weakref.ref(ledger), df)
-        return df
-
-
-_POSTINGS = _PlanCache()
+def activity_years(spark: SparkSession, ledger: Ledger) -> DataFrame:
+    """Every year from the first to the last date of any ledger activity."""
+    return calendar_years(calendar_yearly(spark, span=activity_span(ledger)))
 
 
 def postings_for(spark: SparkSession, ledger: Ledger, rules: RuleSet = PIPELINE,
                  end_year: int | None = None, years: DataFrame | None = None,
                  by_rule: bool = True) -> DataFrame:
-    """Postings of a ledger; with the default calendar the lazy plan is built
-    once per ledger and reused (it holds no data)."""
-    if years is not None:
-        return ledger_postings(ledger, years, rules, end_year=end_year, by_rule=by_rule)
-    return _POSTINGS.get(ledger, (rules.name, end_year, by_rule), lambda: ledger_postings(
-        ledger, default_years(spark), rules, end_year=end_year, by_rule=by_rule))
-
-
-# The statements are a view in the reference: built once, read by the audits
-# and reports. Here the lazy plan is built once per ledger and end year and
-# re-executed on every read (no data is cached).
-_VIEWS = _PlanCache()
-
-
-def _statements(spark: SparkSession, ledger: Ledger, rules: RuleSet, end_year: int,
-                years: DataFrame | None, carry_forward: bool = False, **names: str) -> DataFrame:
-    def build() -> DataFrame:
-        post = postings_for(spark, ledger, rules, end_year=end_year, years=years, by_rule=False)
-        return dashboard(yearly_summaries(post), end_year, rules, carry_forward=carry_forward,
-                         **names)
-    if years is not None:
-        return build()
-    return _VIEWS.get(ledger, (rules.name, end_year, carry_forward), build)
+    """Postings of a ledger; ``years`` (default: the default calendar) bound the
+    depreciation."""
+    years = default_years(spark) if years is None else years
+    return ledger_postings(ledger, years, rules, end_year=end_year, by_rule=by_rule)
+
+
+def _statements(spark: SparkSession, ledger: Ledger, rules: RuleSet, end_year: int | None, default_end: int,
+                years: DataFrame | None, accrual_years: Iterable[int] | None | str,
+                carry_forward: bool = False, **names: str) -> DataFrame:
+    """Years beyond a rule set's own end have their depreciation and accruals
+    too: the defaults of both ranges stretch to ``end_year``."""
+    later = end_year is None or end_year > default_end
+    if years is None:
+        if end_year is None:
+            years = activity_years(spark, ledger)
+        elif later:
+            years = default_years(spark, end=max(YEARLY_END, dt.date(end_year, 12, 31)))
+    if accrual_years != DEFAULT:
+        rules = replace(rules, accrual_years=None if accrual_years is None else tuple(accrual_years))
+    elif end_year is None:
+        rules = replace(rules, accrual_years=None)
+    elif later:
+        rules = replace(rules, accrual_years=tuple(range(min(rules.accrual_years), end_year + 1)))
+    post = postings_for(spark, ledger, rules, end_year=end_year, years=years, by_rule=False)
+    return dashboard(yearly_summaries(post), end_year, rules, carry_forward=carry_forward, **names)
 
 
 def _as_ledger(spark: SparkSession, ledger: Ledger | str) -> Ledger:
@@ -83,22 +74,33 @@ def _as_ledger(spark: SparkSession, ledger: Ledger | str) -> Ledger:
 
 
 def build_statements(spark: SparkSession, ledger: Ledger | str,
-                     end_year: int = DASHBOARD_END_YEAR,
-                     years: DataFrame | None = None, carry_forward: bool = False) -> DataFrame:
-    """The yearly dashboard (income statement and balance sheet measures)."""
-    return _statements(spark, _as_ledger(spark, ledger), PIPELINE, end_year, years, carry_forward)
+                     end_year: int | None = DASHBOARD_END_YEAR, years: DataFrame | None = None,
+                     carry_forward: bool = False,
+                     accrual_years: Iterable[int] | None | str = DEFAULT) -> DataFrame:
+    """The yearly dashboard (income statement and balance sheet measures).
+
+    ``end_year`` is the last year shown, ``None`` every year of the ledger.
+    ``years`` is the calendar that bounds depreciation, ``accrual_years`` the
+    payment years that accrue (``None``: all); by default both are the
+    reference's, stretched to a later ``end_year``.
+    """
+    return _statements(spark, _as_ledger(spark, ledger), PIPELINE, end_year, DASHBOARD_END_YEAR, years,
+                       accrual_years, carry_forward)
 
 
 def build_legacy_statements(spark: SparkSession, ledger: Ledger | str,
-                            end_year: int = LEGACY_END_YEAR,
-                            years: DataFrame | None = None) -> DataFrame:
-    return _statements(spark, _as_ledger(spark, ledger), LEGACY, end_year, years,
+                            end_year: int | None = LEGACY_END_YEAR, years: DataFrame | None = None,
+                            accrual_years: Iterable[int] | None | str = DEFAULT) -> DataFrame:
+    """The older variant; arguments as in ``build_statements``."""
+    return _statements(spark, _as_ledger(spark, ledger), LEGACY, end_year, LEGACY_END_YEAR, years, accrual_years,
                        cash_name="cash_bal", inventory_name="inventory_bal")
 
 
 def run_pipeline(spark: SparkSession, sources: dict, target_dir: str,
                  end_year: int = DASHBOARD_END_YEAR, fmt: str = "csv",
-                 options: dict | None = None) -> dict[str, DataFrame]:
+                 options: dict | None = None, calendar_start: dt.date = YEARLY_START,
+                 calendar_end: dt.date | None = None,
+                 accrual_years: Iterable[int] | None = None) -> dict[str, DataFrame]:
     """The whole refresh: load the raw tables, write the derived tables, create the view.
 
     1. ``load_ledger``: typed tables and rejects, written below ``target_dir``;
@@ -106,7 +108,10 @@ def run_pipeline(spark: SparkSession, sources: dict, target_dir: str,
        snapshot tables (as the reference creates them);
     3. the statements as the live view ``dashboard_flux_analysis`` over the
        loaded tables.
-    Every step is a Spark job; nothing passes through the driver.
+
+    The calendar ends with 2025, the accruals with 2023, or with a later
+    ``end_year``, unless given. Tables that are absent or have no rows are empty
+    ledger tables. Every step is a Spark job; nothing passes through the driver.
     """
     tables, rejects = load_ledger(spark, sources, os.path.join(target_dir, "raw"), fmt=fmt,
                                   options=options)
@@ -114,10 +119,13 @@ def run_pipeline(spark: SparkSession, sources: dict, target_dir: str,
         if name not in tables:
             tables[name] = spark.createDataFrame([], LEDGER_SCHEMAS[name])
     ledger = Ledger(**tables)
-    years = default_years(spark)
+    calendar_end = calendar_end or max(YEARLY_END, dt.date(end_year, 12, 31))
+    accrual_years = tuple(accrual_years or range(min(ACCRUAL_YEARS), max(*ACCRUAL_YEARS, end_year) + 1))
+    calendar = calendar_yearly(spark, calendar_start, calendar_end)
+    years = calendar_years(calendar)
     out = {
         "rejects": rejects,
-        "calendar": materialize(calendar_yearly(spark), "calendar", os.path.join(target_dir, "calendar")),
+        "calendar": materialize(calendar, "calendar", os.path.join(target_dir, "calendar")),
         "calendar_monthly": materialize(calendar_monthly(spark), "calendar_monthly",
                                         os.path.join(target_dir, "calendar_monthly")),
         "equipment_depreciation_schedule": materialize(
@@ -125,10 +133,10 @@ def run_pipeline(spark: SparkSession, sources: dict, target_dir: str,
             os.path.join(target_dir, "equipment_depreciation_schedule"),
             partition_by=["year"]),  # at most 9,999 year folders; readers filter by year
         "expense_accrual_schedule": materialize(
-            accrual_schedule(ledger.payments), "expense_accrual_schedule",
+            accrual_schedule(ledger.payments, years=accrual_years), "expense_accrual_schedule",
             os.path.join(target_dir, "expense_accrual_schedule")),
     }
     out["dashboard_flux_analysis"] = create_or_replace_view(
-        build_statements(spark, ledger, end_year), "dashboard_flux_analysis")
+        build_statements(spark, ledger, end_year, years, accrual_years=accrual_years), "dashboard_flux_analysis")
     out.update(tables)
     return out

@@ -79,18 +79,18 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 def cluster_conf(input_bytes: int, executor_cores: int = 4,
                  target_partition_bytes: int = 256 * 1024 ** 2,
-                 shuffled_fraction: float = 0.05) -> dict[str, str]:
+                 shuffled_fraction: float = 0.05, least: int = 200) -> dict[str, str]:
     """Starting settings for a cluster run over ``input_bytes`` of ledger data.
 
     Scan splits of ~256 MB. The shuffle width is sized to what is shuffled,
     not to the input: every large shuffle here carries pre-aggregated rows
     (the biggest are the product-level COGS aggregates, a few percent of the
-    input), so ~256 MB per reducer of that, clamped to 200..50,000, keeps the
-    map-output bookkeeping small; AQE coalesces further at run time.
+    input), so ~256 MB per reducer of that, and ``least`` partitions at least;
+    AQE coalesces further at run time.
     Skew-join splitting is on for the joins keyed by id or product.
     """
     shuffled = input_bytes * shuffled_fraction
-    width = min(50_000, max(200, int(shuffled // target_partition_bytes)))
+    width = max(least, int(shuffled // target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(width),
@@ -102,3 +102,18 @@ def cluster_conf(input_bytes: int, executor_cores: int = 4,
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
         "spark.executor.cores": str(executor_cores),
     }
+
+
+def size_session(spark: SparkSession, paths: list[str]) -> None:
+    """Apply ``cluster_conf`` for the files below ``paths`` to a running session.
+
+    Settings fixed at launch (executor cores) stay the submitter's.
+    """
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        total += p.getFileSystem(hadoop).getContentSummary(p).getLength()
+    for key, value in cluster_conf(total, least=max(8, spark.sparkContext.defaultParallelism)).items():
+        if key.startswith("spark.sql."):
+            spark.conf.set(key, value)

@@ -124,25 +124,13 @@ def loans_from(supplier: DataFrame) -> DataFrame:
     )
 
 
-_LEDGERS: dict[tuple[str, str], Ledger] = {}
-
-
 def ledger_from_driver(spark: SparkSession, sf_dir: str) -> Ledger:
-    """Lazy ledger over the driver's Parquet tables.
-
-    The lazy plan is built once per session and folder and then reused; it
-    holds no data, so every query still scans the files.
-    """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    led = _LEDGERS.get(key)
-    if led is None:
-        lineitem = read_table(spark, sf_dir, "lineitem")
-        part = read_table(spark, sf_dir, "part")
-        led = Ledger(
-            sales=sales_from(lineitem, part),
-            purchases=purchases_from(lineitem, part),
-            payments=payments_from(read_table(spark, sf_dir, "orders")),
-            loans=loans_from(read_table(spark, sf_dir, "supplier")),
-        )
-        _LEDGERS[key] = led
-    return led
+    """Lazy ledger over the driver's Parquet tables, with the files listed now."""
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    part = read_table(spark, sf_dir, "part")
+    return Ledger(
+        sales=sales_from(lineitem, part),
+        purchases=purchases_from(lineitem, part),
+        payments=payments_from(read_table(spark, sf_dir, "orders")),
+        loans=loans_from(read_table(spark, sf_dir, "supplier")),
+    )

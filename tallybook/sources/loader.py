@@ -2,59 +2,97 @@
 
 The reference replays a SQL dump statement by statement and skips any
 statement that fails, so one bad record never aborts the load. Here each raw
-record is parsed against the ledger schema with ``try_cast``; a record with
-an unparsable field goes to the rejects with the failing column names, the
-rest load. It is a single pass over the input: typed rows and rejects are
-written together, split by a partition column.
+record is parsed against the ledger schema. A record that has not as many
+fields as its table, a field that does not parse, or one whose value would
+change under the cast (cents cut off, a time of day dropped) goes to the
+rejects with the reason; the rest load. It is a single pass over the input:
+typed rows and rejects are written together, split by a partition column.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .schemas import LEDGER_SCHEMAS
 
 OK, REJECTED = "ok", "rejected"
+#: The reason of a record with too few or too many fields.
+FIELD_COUNT = "field_count"
+_CORRUPT = "_corrupt_record"
+
+
+def _changed(src: Column, val: Column, kind: T.DataType) -> Column:
+    """Whether a value that parsed is no longer the one that was given."""
+    if isinstance(kind, T.DecimalType):
+        return F.coalesce(src.try_cast("decimal(38,18)") != val.cast("decimal(38,18)"), F.lit(False))
+    if isinstance(kind, T.DateType):
+        return F.coalesce(src.try_cast("timestamp_ntz") != val.cast("timestamp_ntz"), F.lit(False))
+    return F.lit(False)
 
 
 def parse_records(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Typed columns of ``schema`` plus ``_status``, ``_reason`` and ``_record``.
 
-    Missing columns load as NULL. ``_record`` (the raw row as JSON) is kept
+    Missing columns load as NULL; a column that has its type already is taken
+    as it is. ``_record`` (the raw line, or else the raw row as JSON) is kept
     only for rejects.
     """
-    have = set(raw.columns)
+    have = {f.name: f.dataType for f in raw.schema.fields}
     typed, failed = [], []
     for f in schema.fields:
-        if f.name in have:
+        if f.name not in have:
+            typed.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif have[f.name] == f.dataType:
+            typed.append(F.col(f.name))
+        else:
             src = F.col(f.name)
             val = src.try_cast(f.dataType)
             typed.append(val.alias(f.name))
-            failed.append(F.when(src.isNotNull() & val.isNull(), F.lit(f.name)))
-        else:
-            typed.append(F.lit(None).cast(f.dataType).alias(f.name))
+            wrong = src.isNotNull() & (val.isNull() | _changed(src, val, f.dataType))
+            failed.append(F.when(wrong, F.lit(f.name)))
     reason = F.concat_ws(",", *failed) if failed else F.lit("")
+    record = F.to_json(F.struct(*[F.col(c) for c in raw.columns if c != _CORRUPT]))
+    if _CORRUPT in have:
+        reason = F.when(F.col(_CORRUPT).isNotNull(), F.lit(FIELD_COUNT)).otherwise(reason)
+        record = F.coalesce(F.col(_CORRUPT), record)
     bad = reason != ""
     return raw.select(
         *typed,
         F.when(bad, F.lit(REJECTED)).otherwise(F.lit(OK)).alias("_status"),
         F.when(bad, reason).alias("_reason"),
         # serialised only for rejected rows (CASE evaluates lazily)
-        F.when(bad, F.to_json(F.struct(*[F.col(c) for c in raw.columns]))).alias("_record"),
+        F.when(bad, record).alias("_record"),
     )
 
 
+def _text_schema(columns: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _CORRUPT]])
+
+
+def records_from_lines(lines: DataFrame, columns: list[str], sep: str = ",") -> DataFrame:
+    """Raw records of a column of delimited lines; a line with another number of
+    fields keeps its text in ``_corrupt_record``."""
+    ddl = ", ".join(f"`{f.name}` string" for f in _text_schema(columns).fields)
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    return lines.select(F.from_csv(F.col(lines.columns[0]), ddl, options).alias("r")).select("r.*")
+
+
 def _read(spark: SparkSession, src: DataFrame | str, fmt: str, options: dict) -> DataFrame:
     if isinstance(src, DataFrame):
         return src
-    r = spark.read.format(fmt)
-    if fmt == "csv":
-        r = r.option("header", True)
-    return r.options(**options).load(src)
+    if fmt != "csv":
+        return spark.read.format(fmt).options(**options).load(src)
+    options = {"header": True, **options}
+    # The header names the columns; only it is read here, for no type is inferred.
+    columns = spark.read.options(**options).csv(src).columns
+    if not columns:
+        return spark.createDataFrame([], _text_schema([]))
+    return (spark.read.options(**options).option("mode", "PERMISSIVE").option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", _CORRUPT).schema(_text_schema(columns)).csv(src))
 
 
 def load_ledger(spark: SparkSession, sources: dict[str, DataFrame | str],
@@ -78,7 +116,8 @@ def load_ledger(spark: SparkSession, sources: dict[str, DataFrame | str],
         if target_dir:
             path = os.path.join(target_dir, name)
             parsed.write.mode(mode).partitionBy("_status").parquet(path)
-            parsed = spark.read.parquet(path)
+            # the schema is known: a table without rows leaves no file to read it from
+            parsed = spark.read.schema(parsed.schema).parquet(path)
         tables[name] = parsed.filter(F.col("_status") == OK).select(*schema.fieldNames())
         rejects.append(parsed.filter(F.col("_status") == REJECTED).select(
             F.lit(name).alias("table_name"), F.col("_reason").alias("reason"),
@@ -120,3 +159,14 @@ def load_summary(spark: SparkSession, sources: dict[str, DataFrame]) -> DataFram
         F.sum(F.when(~ok, 1).otherwise(0)).cast("long").alias("rejected_rows"),
         F.sum(F.when(ok, F.col("money"))).cast("decimal(38,2)").alias("loaded_total"),
     )
+
+
+def reject_summary(sources: dict[str, DataFrame]) -> DataFrame:
+    """Records per table and reason of rejection; the reason of loaded ones is ``ok``."""
+    rows = None
+    for name, schema in LEDGER_SCHEMAS.items():
+        if name in sources:
+            p = parse_records(sources[name], schema).select(
+                F.lit(name).alias("table_name"), F.coalesce("_reason", F.lit(OK)).alias("reason"))
+            rows = p if rows is None else rows.unionByName(p)
+    return rows.groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("n_records"))

@@ -50,21 +50,6 @@ LOANS = T.StructType([
     T.StructField("value", LOAN_MONEY),
 ])
 
-DEPRECIATION_SCHEDULE = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("year", T.IntegerType()),
-    T.StructField("gross_val", MONEY),
-    T.StructField("annual_depreciation_expense", DEPRECIATION),
-])
-
-ACCRUAL_SCHEDULE = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("account", T.StringType()),
-    T.StructField("amount", MONEY),
-    T.StructField("accrual_date", T.DateType()),
-    T.StructField("cash_payment_date", T.DateType()),
-])
-
 LEDGER_SCHEMAS = {
     "sales": SALES,
     "purchases": PURCHASES,

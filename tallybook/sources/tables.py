@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..session import shared_path
 from .adapter import Ledger
+from .loader import OK, parse_records
 from .schemas import LEDGER_SCHEMAS
 
 
@@ -45,7 +46,8 @@ def save_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "pa
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-    return df.sparkSession.read.format(fmt).load(path)
+    # with the schema given, a table without rows reads back as well
+    return df.sparkSession.read.format(fmt).schema(df.schema).load(path).select(*df.columns)
 
 
 def materialize(df: DataFrame, name: str, path: str | None = None,
@@ -73,11 +75,6 @@ def insert_into(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("append").format(fmt).save(path)
 
 
-def drop_view(spark: SparkSession, name: str) -> None:
-    """DROP .. IF EXISTS for a registered view (silent when absent)."""
-    spark.catalog.dropTempView(name)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists on its filesystem (local, HDFS, object store)."""
     jvm = spark.sparkContext._jvm
@@ -104,19 +101,37 @@ def drop_table(spark: SparkSession, path: str) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _stored(spark: SparkSession, location: str, name: str, fmt: str) -> DataFrame:
+    df = spark.read.format(fmt).load(f"{location.rstrip('/')}/{name}")
+    missing = [f.name for f in LEDGER_SCHEMAS[name].fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{name}: missing columns {missing}")
+    return df
+
+
 def read_ledger(spark: SparkSession, location: str, fmt: str = "parquet") -> Ledger:
     """Open stored ledger tables ``location/{sales,purchases,payments,loans}``.
 
-    Columns are selected by name and cast to the ledger schema (S1, table
-    scan): extra columns are ignored, a missing one is an error. Nothing is
-    read until a query runs; filters and column pruning still reach the scan.
+    Columns are selected by name (S1, table scan): extra columns are ignored, a
+    missing one is an error. Where a column has another type than the ledger's,
+    rows whose value does not fit are left out; ``read_ledger_rejects`` lists
+    them. Nothing is read until a query runs; filters and column pruning still
+    reach the scan.
     """
     frames = {}
     for name, schema in LEDGER_SCHEMAS.items():
-        df = spark.read.format(fmt).load(f"{location.rstrip('/')}/{name}")
-        missing = [f.name for f in schema.fields if f.name not in df.columns]
-        if missing:
-            raise ValueError(f"{name}: missing columns {missing}")
-        frames[name] = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                                   for f in schema.fields])
+        df = _stored(spark, location, name, fmt).select(*schema.fieldNames())
+        if df.dtypes != [(f.name, f.dataType.simpleString()) for f in schema.fields]:
+            df = parse_records(df, schema).filter(F.col("_status") == OK).select(*schema.fieldNames())
+        frames[name] = df
     return Ledger(**frames)
+
+
+def read_ledger_rejects(spark: SparkSession, location: str, fmt: str = "parquet") -> DataFrame:
+    """(table_name, reason, record) of the stored rows that ``read_ledger`` leaves out."""
+    out = None
+    for name, schema in LEDGER_SCHEMAS.items():
+        rows = parse_records(_stored(spark, location, name, fmt), schema).filter(F.col("_status") != OK).select(
+            F.lit(name).alias("table_name"), F.col("_reason").alias("reason"), F.col("_record").alias("record"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

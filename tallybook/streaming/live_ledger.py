@@ -2,18 +2,17 @@
 
 The reference's dashboard is a view, so edits to the raw tables reach the
 statements on the next read. Here each raw table is a Structured Streaming
-source (new Parquet files in a folder). Every micro-batch is reduced with the
-same batch operators as the full build and written as small partials:
-
-* ``postings``: (rule, year, account, amt) summed within the batch;
-* ``sold``: (product_name, year, qty) for COGS;
-* ``costs``: distinct (product_name, amount) pairs for COGS.
-
-Partials are written per (table, batch_id) with dynamic partition overwrite,
-so a batch replayed after a failure replaces its own output: exactly once.
-Balances are computed when the statements are read (``live_statements``),
-because a late row changes every later running balance; COGS is recomputed
-from all partials, since a new purchase cost changes past COGS too (the
+source (new Parquet files in a folder). Every micro-batch is reduced once, by
+the batch operators' own keys, and written as one small partial:
+
+* sales: quantity and value per product and posting years;
+* purchases: value per product, unit cost and posting years;
+* payments and loans: their postings.
+
+Partials are written per (table, batch) with dynamic partition overwrite, so a
+batch replayed after a failure replaces its own output: exactly once. Balances
+are computed when the statements are read (``live_statements``), because a late
+row changes every later balance, and a new purchase cost changes past COGS (the
 reference joins every sale to every distinct cost of its product).
 """
 
@@ -21,206 +20,78 @@ from __future__ import annotations
 
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.postings import (PIPELINE, RuleSet, cogs_from, cogs_posts_from, expand_equipment,
-                                  loans_posts, payments_posts, purchases_posts, sales_posts,
-                                  sold_quantities)
+from ..functions import cash_lag_date
+from ..operators.postings import (PIPELINE, RuleSet, expanded, loans_posts, payments_posts, product_costs,
+                                  purchase_rules, sales_by_product, sales_posts)
 from ..operators.statements import dashboard, yearly_summaries
 from ..plans.pipeline import default_years
-from ..session import shared_path
 from ..sources.schemas import LEDGER_SCHEMAS
 from ..sources.tables import path_exists
 
+_POSTS = "rule string, year int, account string, amt decimal(38,4)"
+PARTIALS = {
+    "sales": "product_name string, y_sale int, y_cash int, y_ar int, qty bigint, value decimal(38,2)",
+    "purchases": "product_name string, amount decimal(12,2), y_cash int, y_buy int, v decimal(38,2)",
+    "payments": _POSTS,
+    "loans": _POSTS,
+}
+
 
-def _write(df: DataFrame, path: str, table: str, batch_id: int) -> None:
-    (df.withColumn("source_table", F.lit(table)).withColumn("batch_id", F.lit(batch_id))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("source_table", "batch_id").parquet(path))
-
-
-def _batch_writer(table: str, sink: str, rules: RuleSet):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        two_outputs = table in ("sales", "purchases")
-        if two_outputs:
-            # two writes read the batch: keep it for their duration only
-            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if table == "sales":
-                posts = sales_posts(batch)
-                _write(sold_quantities(batch).select("product_name", "year", "qty"),
-                       os.path.join(sink, "sold"), table, batch_id)
-            elif table == "purchases":
-                posts = purchases_posts(batch)
-                _write(batch.select("product_name", "amount").distinct(),
-                       os.path.join(sink, "costs"), table, batch_id)
-            elif table == "payments":
-                posts = payments_posts(batch, rules)
-            else:
-                posts = loans_posts(batch)
-            _write(posts.groupBy("rule", "year", "account").agg(F.sum("amt").alias("amt")),
-                   os.path.join(sink, "postings"), table, batch_id)
-        finally:
-            if two_outputs:
-                batch.unpersist()
-    return write
+def _partial(table: str, batch: DataFrame, rules: RuleSet) -> DataFrame:
+    if table == "sales":
+        return sales_by_product(batch).withColumn("value", F.col("value").cast("decimal(38,2)"))
+    if table == "purchases":
+        lagged = cash_lag_date(F.col("purchase_at"), F.col("payment_method"))
+        return batch.groupBy(
+            "product_name", "amount", F.year(lagged).alias("y_cash"), F.year("purchase_at").alias("y_buy"),
+        ).agg(F.sum(F.col("quantity") * F.col("amount")).cast("decimal(38,2)").alias("v"))
+    posts = payments_posts(batch, rules) if table == "payments" else loans_posts(batch)
+    return posts.groupBy("rule", "year", "account").agg(F.sum("amt").cast("decimal(38,4)").alias("amt"))
 
 
 def start_live_postings(spark: SparkSession, sources: dict[str, str], sink: str,
                         checkpoint: str | None = None, rules: RuleSet = PIPELINE,
-                        available_now: bool = False) -> list[StreamingQuery]:
+                        available_now: bool = False, files_per_trigger: int = 1000) -> list[StreamingQuery]:
     """One streaming query per raw table folder in ``sources``.
 
-    ``checkpoint`` defaults to a folder below ``spark.checkpoint.dir`` (the
-    cluster's shared folder). ``available_now`` processes what is there and
-    stops (a scheduled incremental refresh).
+    The progress is kept in ``checkpoint``, by default a folder of the sink, so
+    each sink sees all of the input. ``available_now`` processes what is there
+    and stops (a scheduled incremental refresh). ``files_per_trigger`` bounds a
+    micro-batch; a backlog is worked off in as many as it takes.
     """
     queries = []
     for table, path in sources.items():
-        stream = spark.readStream.schema(LEDGER_SCHEMAS[table]).parquet(path)
-        ckpt = os.path.join(checkpoint, table) if checkpoint else shared_path(spark, "live", table)
-        w = stream.writeStream.foreachBatch(_batch_writer(table, sink, rules)).option(
-            "checkpointLocation", ckpt)
+        def write(batch: DataFrame, batch_id: int, table: str = table) -> None:
+            (_partial(table, batch, rules).withColumn("batch_id", F.lit(batch_id))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(os.path.join(sink, table)))
+
+        stream = (spark.readStream.schema(LEDGER_SCHEMAS[table])
+                  .option("maxFilesPerTrigger", files_per_trigger).parquet(path))
+        at = os.path.join(checkpoint or os.path.join(sink, "_checkpoints"), table)
+        w = stream.writeStream.foreachBatch(write).option("checkpointLocation", at)
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
         queries.append(w.queryName(f"live_{table}").start())
     return queries
 
 
-_KINDS = {
-    "postings": ("rule string, year int, account string, amt decimal(38,4), "
-                 "source_table string, batch_id int"),
-    "sold": "product_name string, year int, qty bigint, source_table string, batch_id int",
-    "costs": "product_name string, amount decimal(12,2), source_table string, batch_id int",
-}
-# How each kind folds: postings and quantities sum, cost pairs stay distinct.
-_FOLD = {
-    "postings": (["source_table", "rule", "year", "account"], "amt"),
-    "sold": (["source_table", "product_name", "year"], "qty"),
-    "costs": (["source_table", "product_name", "amount"], None),
-}
-
-
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    if path_exists(spark, path):
-        return spark.read.parquet(path)
-    return spark.createDataFrame([], schema)
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _snapshots(spark: SparkSession, sink: str) -> list[int]:
-    """Generations of complete snapshots (those whose marker was written), ascending."""
-    root = os.path.join(sink, "snapshots")
-    if not path_exists(spark, root):
-        return []
-    fs, p = _fs(spark, root)
-    gens = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.isdigit() and path_exists(spark, os.path.join(root, name, "_COMPLETE")):
-            gens.append(int(name))
-    return sorted(gens)
-
-
-def _cols(kind: str) -> list[str]:
-    return [c.split()[0] for c in _KINDS[kind].split(", ") if not c.startswith("batch_id")]
-
-
-def _partials(spark: SparkSession, sink: str, kind: str) -> DataFrame:
-    return _read(spark, os.path.join(sink, kind), _KINDS[kind])
-
-
-def _after(parts: DataFrame, cutoffs: DataFrame | None, upto: bool = False) -> DataFrame:
-    """Partials after (or, with ``upto``, at or before) each table's cutoff."""
-    if cutoffs is None:
-        return parts if not upto else parts.limit(0)
-    j = parts.join(F.broadcast(cutoffs), "source_table", "left")  # one cutoff row per table
-    after = F.col("upto").isNull() | (F.col("batch_id") > F.col("upto"))
-    return j.filter(~after if upto else after).drop("upto")
-
-
-def _current(spark: SparkSession, sink: str, kind: str) -> DataFrame:
-    """The latest complete snapshot of ``kind`` plus the partials after its cutoffs."""
-    parts = _partials(spark, sink, kind)
-    gens = _snapshots(spark, sink)
-    if not gens:
-        return parts.select(*_cols(kind))
-    snap = os.path.join(sink, "snapshots", str(gens[-1]))
-    cut = spark.read.parquet(os.path.join(snap, "cutoffs"))
-    newer = _after(parts, cut).select(*_cols(kind))
-    return spark.read.parquet(os.path.join(snap, kind)).select(*_cols(kind)).unionByName(newer)
-
-
-def compact_live(spark: SparkSession, sink: str) -> int:
-    """Fold every complete batch into a new snapshot; returns its generation.
-
-    A batch counts as complete once its postings are written (they are written
-    last). The new snapshot is the previous one plus the partials between the
-    old and the new cutoffs, folded. It is marked complete only after all its
-    parts are written, and readers use the latest complete snapshot plus later
-    batches, so a reader never sees a batch twice or misses one. Partials
-    folded by the previous generation are then deleted: one generation of
-    grace for readers that started before this snapshot.
-    """
-    gens = _snapshots(spark, sink)
-    gen = (gens[-1] + 1) if gens else 1
-    prev = os.path.join(sink, "snapshots", str(gens[-1])) if gens else None
-    prev_cut = spark.read.parquet(os.path.join(prev, "cutoffs")) if prev else None
-    snap = os.path.join(sink, "snapshots", str(gen))
-    parts = _partials(spark, sink, "postings")
-    parts.groupBy("source_table").agg(F.max("batch_id").alias("upto")).write.parquet(
-        os.path.join(snap, "cutoffs"))
-    cut = spark.read.parquet(os.path.join(snap, "cutoffs"))
-    for kind, (keys, summed) in _FOLD.items():
-        new_rows = _after(_after(_partials(spark, sink, kind), prev_cut), cut, upto=True)
-        rows = new_rows.select(*_cols(kind))
-        if prev:
-            rows = spark.read.parquet(os.path.join(prev, kind)).select(*_cols(kind)).unionByName(rows)
-        if summed:
-            folded = rows.groupBy(*keys).agg(F.sum(summed).alias(summed))
-        else:
-            folded = rows.select(*keys).distinct()
-        folded.write.parquet(os.path.join(snap, kind))
-    fs, marker = _fs(spark, os.path.join(snap, "_COMPLETE"))
-    fs.create(marker, True).close()
-    if prev:
-        _drop_folded(spark, sink, prev)
-    return gen
-
-
-def _drop_folded(spark: SparkSession, sink: str, snap: str) -> None:
-    """Delete partial partitions at or below an older snapshot's cutoffs."""
-    for r in spark.read.parquet(os.path.join(snap, "cutoffs")).collect():  # one row per table
-        for kind in _KINDS:
-            base = os.path.join(sink, kind, f"source_table={r.source_table}")
-            if not path_exists(spark, base):
-                continue
-            fs, p = _fs(spark, base)
-            for st in fs.listStatus(p):
-                name = st.getPath().getName()
-                if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= r.upto:
-                    fs.delete(st.getPath(), True)
+def _partials(spark: SparkSession, sink: str, table: str) -> DataFrame:
+    path, schema = os.path.join(sink, table), PARTIALS[table]
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).drop("batch_id")
 
 
 def live_statements(spark: SparkSession, sink: str, end_year: int = 2023,
                     rules: RuleSet = PIPELINE, years: DataFrame | None = None) -> DataFrame:
-    """The statements from the latest snapshot and the partials written since."""
-    if years is None:
-        years = default_years(spark)
-    posts = _current(spark, sink, "postings")
-    agg = posts.groupBy("rule", "year", "account").agg(F.sum("amt").alias("amt"))
-    sold = _current(spark, sink, "sold")
-    sold = sold.groupBy("product_name", "year").agg(F.sum("qty").alias("qty"))
-    pairs = _current(spark, sink, "costs")
-    costs = pairs.groupBy("product_name").agg(F.sum_distinct("amount").alias("cost_sum"))
-    post = (expand_equipment(agg, years, rules.life)
-            .unionByName(cogs_posts_from(cogs_from(sold, costs))))
-    post = post.filter(F.col("year") <= end_year)
-    return dashboard(yearly_summaries(post), end_year, rules)
+    """The statements from all partials written so far."""
+    sales, purchases, payments, loans = (_partials(spark, sink, t) for t in PARTIALS)
+    raw = (sales_posts(sales, product_costs(purchases))
+           .unionByName(purchase_rules(purchases.groupBy("y_cash", "y_buy").agg(F.sum("v").alias("v"))))
+           .unionByName(payments).unionByName(loans))
+    posts = expanded(raw, default_years(spark) if years is None else years, rules, end_year, by_rule=False)
+    return dashboard(yearly_summaries(posts), end_year, rules)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from plan_report import shape
 from tallybook.plans.catalog import QUERIES
 from tallybook.sources.adapter import ledger_from_driver
-from tallybook.operators.postings import sales_posts
+from tallybook.operators.postings import product_costs, sales_by_product, sales_posts
 from tallybook.operators.schedules import accrual_schedule
 
 SF = "/root/testdata/sf0.001"
@@ -20,7 +22,7 @@ def test_no_nested_loop_or_cartesian_join(spark, name):
 
 def test_postings_scan_is_pruned(spark):
     led = ledger_from_driver(spark, SF)
-    plan = sales_posts(led.sales)._jdf.queryExecution().executedPlan().toString()
+    plan = sales_by_product(led.sales).groupBy("y_sale").agg({"value": "sum"})._jdf.queryExecution().executedPlan().toString()
     line = [x for x in plan.splitlines() if "FileScan parquet" in x and "l_shipdate" in x][0]
     cols = line[line.index("[") + 1:line.index("]")].split(",")
     assert len(cols) <= 5          # 5 of lineitem's 11 columns
@@ -43,6 +45,25 @@ def test_dashboard_windows_follow_one_single_partition_exchange(spark):
     assert s["single"] == 1 and s["windows"] == 1
 
 
+def test_postings_read_sales_once(spark):
+    """Sales and purchases both are reads of lineitem, told apart by the return flag."""
+    plan = QUERIES["ledger_postings"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    flags = [re.search(r"(Not\()?EqualTo\(l_returnflag,R\)", x)[0] for x in plan.splitlines()
+             if "FileScan parquet" in x and "l_returnflag" in x]
+    assert sorted(flags) == ["EqualTo(l_returnflag,R)", "EqualTo(l_returnflag,R)", "Not(EqualTo(l_returnflag,R)"]
+    plan = QUERIES["account_inventory"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert sum("FileScan parquet" in x and "l_returnflag" in x for x in plan.splitlines()) == 2
+
+
+def test_audited_years_reach_the_scans(spark):
+    from tallybook.operators.audits import cash_components
+    from tests.conftest import make_ledger, sale
+    led = make_ledger(spark, sales=[sale("2020-12-15", 1, 5, "credit"), sale("2020-12-15", 1, 7), sale("2021-12-15", 1, 9, "credit"),
+                                    sale("2021-06-15", 1, 11), sale("2020-11-30", 1, 13, "credit")])
+    got = cash_components(led, [2021]).collect()
+    assert [(r.year, r.sales_cash_in) for r in got] == [(2021, 16)]
+
+
 def _children_of(plan_text: str, node: str) -> list[str]:
     """Lines directly below each ``node`` line in an indented tree string."""
     lines = plan_text.splitlines()
@@ -60,34 +81,52 @@ def _children_of(plan_text: str, node: str) -> list[str]:
 
 def test_product_join_reads_aggregates_only(spark):
     """A product with a third of all sales is a few rows at the join."""
-    from tallybook.operators.postings import cogs_by_year
     led = ledger_from_driver(spark, SF)
-    plan = cogs_by_year(led.sales, led.purchases)._jdf.queryExecution().executedPlan().treeString()
+    df = sales_posts(sales_by_product(led.sales), product_costs(led.purchases))
+    plan = df._jdf.queryExecution().executedPlan().treeString()
     plan = plan.split("== Initial Plan ==")[-1]
-    for line in plan.splitlines():
-        if ("SortMergeJoin" in line or "BroadcastHashJoin" in line) and "product_name" in line:
-            below = _children_of(plan, line.strip(" :+-"))
-            # each side of the product join is a HashAggregate before any scan
-            firsts = [x for x in below if x.startswith(("HashAggregate", "FileScan"))]
-            assert firsts and firsts[0].startswith("HashAggregate"), firsts[:3]
+    joins = [x for x in plan.splitlines()
+             if ("SortMergeJoin" in x or "BroadcastHashJoin" in x) and "product_name" in x]
+    assert joins
+    for line in joins:
+        below = _children_of(plan, line.strip(" :+-"))
+        # each side of the product join is a HashAggregate before any scan
+        firsts = [x for x in below if x.startswith(("HashAggregate", "FileScan"))]
+        assert firsts and firsts[0].startswith("HashAggregate"), firsts[:3]
 
 
 def test_windows_never_read_raw_scans_directly(spark):
-    for name in ("dashboard_flux", "ppe_monthly", "retained_earnings", "monthly_cash"):
+    for name in ("dashboard_flux", "ppe_monthly", "retained_earnings", "monthly_cash", "account_inventory"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().treeString()
         plan = plan.split("== Initial Plan ==")[-1]
-        for line in plan.splitlines():
-            if line.strip(" :+-").startswith("Window "):
-                below = _children_of(plan, line.strip(" :+-"))
-                firsts = [x for x in below if x.startswith(("HashAggregate", "FileScan"))]
-                assert firsts and firsts[0].startswith("HashAggregate"), (name, firsts[:3])
+        windows = [x for x in plan.splitlines() if x.strip(" :+-").startswith("Window ")]
+        assert windows, name
+        for line in windows:
+            below = _children_of(plan, line.strip(" :+-"))
+            firsts = [x for x in below if x.startswith(("HashAggregate", "FileScan"))]
+            assert firsts and firsts[0].startswith("HashAggregate"), (name, firsts[:3])
 
 
 def test_cluster_conf_sizes_the_shuffle():
     from tallybook.session import cluster_conf
     tb100 = cluster_conf(100 * 1024 ** 4)
     assert int(tb100["spark.sql.shuffle.partitions"]) == int(100 * 1024 ** 4 * 0.05 // (256 * 1024 ** 2))
-    assert int(cluster_conf(10 * 1024 ** 5)["spark.sql.shuffle.partitions"]) == 50_000  # capped
+    assert int(cluster_conf(10 * 1024 ** 5)["spark.sql.shuffle.partitions"]) == int(10 * 1024 ** 5 * 0.05 // (256 * 1024 ** 2))  # no ceiling
     assert tb100["spark.sql.adaptive.enabled"] == "true"
     assert tb100["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_conf(10)["spark.sql.shuffle.partitions"]) == 200  # floor for small inputs
+
+
+def test_session_is_sized_from_the_files(spark):
+    from tallybook.session import size_session
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+            "spark.sql.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        size_session(spark, [SF])
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= 8
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(128 * 1024 ** 2)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

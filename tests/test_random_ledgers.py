@@ -50,7 +50,7 @@ def random_ledger(spark, seed, n=300, hot=False):
             d = None                                  # a sale without a date: a NULL-year group
         product = "P0" if hot and i % 3 == 0 else rng.choice(products)
         qty = None if rng.random() < 0.02 else rng.randrange(1, 20)
-        sales.append((i, d, paid, method, product, qty, _money(rng, 300)))
+        sales.append((None if rng.random() < 0.02 else i, d, paid, method, product, qty, _money(rng, 300)))
     for i in range(n // 2):
         d = _day(rng)
         amount = None if rng.random() < 0.05 else Decimal(rng.choice([100, 250, 399, 1234])) / 100
@@ -64,6 +64,8 @@ def random_ledger(spark, seed, n=300, hot=False):
         ptype = rng.choice(TYPES)
         if hot and i % 3 == 0:
             pid, ptype = 7, "equipment"                                  # one hot asset id
+        if rng.random() < 0.05:
+            pid = None                                                       # assets that share the NULL id
         d = None if rng.random() < 0.03 else _day(rng)
         payments.append((pid, d, ptype, None if rng.random() < 0.02 else _money(rng)))
     for i in range(8):
