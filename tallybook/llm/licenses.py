@@ -107,15 +107,15 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .selectExpr("doc_id", "split(unit, ' ') as w")
              .selectExpr("doc_id", "transform(sequence(1, size(w) - 1), "
                                    "k -> concat(w[k - 1], ' ', w[k])) as grams"))
-    # What a unit costs is paid in the generator above; only templates that the
-    # bounds leave and that share a bigram are measured.
+    # The distinct bigrams in common, found by hashing, bound the bags' overlap:
+    # few pairs are left whose bags are counted out.
     both = ("aggregate(t.bag, 0, (sum, b) -> sum + least(b.times, "
             "size(filter(grams, g -> g = b.gram))))")
     hits = (f"filter(transform(filter({_literal(rows)}, t -> size(grams) between t.least and t.most "
-            "and arrays_overlap(grams, t.grams)), "
+            f"and 2000 * (size(array_intersect(grams, t.grams)) + t.n - size(t.grams)) >= {permille} * (size(grams) + t.n)), "
             f"t -> struct(2000 * {both} div (size(grams) + t.n) as permille, t.license_id as license_id)), "
             f"h -> h.permille >= {permille})")
-    return (units.selectExpr("doc_id", f"{hits} as hits").where("size(hits) > 0")
+    return (units.selectExpr("doc_id", f"{hits} as hits")
             .selectExpr("doc_id", "explode(array_distinct(filter(hits, "
                                   "h -> h.permille = array_max(hits).permille))) as hit")
             .groupBy("doc_id", F.col("hit.license_id").alias("license_id"))
