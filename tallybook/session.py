@@ -44,7 +44,8 @@ def get_session(master: str | None = None, app: str = "tallybook",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master  # "local-cluster[..]" has executors of its own
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
