@@ -182,8 +182,30 @@ def repeated(table: pa.Table) -> pa.Table:
                      "mask": pa.array([np.packbits(again[b - n:b]).tobytes() for b, n in zip(stops, sizes)], pa.binary())})
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """group, docs: the documents of a task by group, compressed together."""
+    def run(batches):
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in batches:
+            group = batch.column("group").to_numpy()
+            order = np.argsort(group, kind="stable")
+            group, docs = group[order], batch.select(["doc_id", "text"]).take(pa.array(order))
+            cut = np.flatnonzero(np.r_[True, group[1:] != group[:-1]][:len(group)])
+            blobs = []
+            for a, b in zip(cut, np.r_[cut[1:], len(group)]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, docs.schema, options=options) as out:
+                    out.write_batch(docs.slice(a, b - a))
+                blobs.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array(group[cut]), pa.array(blobs, pa.binary())], names=["group", "docs"])
+
+    return rows.mapInArrow(run, "group long, docs binary")
+
+
 def _sorted(table: pa.Table) -> pa.Table:
-    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    """The documents of a group, in an order of their own."""
+    docs = pa.concat_tables([pa.ipc.open_stream(blob).read_all() for blob in table["docs"].to_pylist()])
+    return docs.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
 def _cover(group: Group, at: np.ndarray) -> np.ndarray:
@@ -200,11 +222,11 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark = docs.sparkSession
     docs = id_text(docs, id_col, text_col)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    width = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_groups = max(width // 4, -(-total // GROUP_BYTES))
-    sample_ranges, window_ranges = (1 << max(width, share * total // RANGE_BYTES).bit_length() for share in (1, 8))
-    rows = docs.withColumn("group", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups)))
-    by_group = rows.groupBy("group")
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_groups = max(width, -(-total // GROUP_BYTES))
+    # a sample in nine positions, at the most every position a candidate
+    sample_ranges, window_ranges = (1 << (max(width, share * total // RANGE_BYTES) - 1).bit_length() for share in (1, 8))
+    by_group = _packed(docs.withColumn("group", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups)))).groupBy("group")
     ddl = "range long, group long, keys binary, twice binary"
 
     def samples(table: pa.Table) -> pa.Table:
@@ -215,8 +237,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def answers(keys: DataFrame, name: str) -> DataFrame:
         return stage(keys.groupBy("range").applyInArrow(repeated, "group long, range long, mask binary"), name)
 
-    def marked(table: pa.Table, masks: pa.Table) -> tuple[Group, np.ndarray, Keys]:
-        group = Group(_sorted(table)["text"].to_pylist())
+    def marked(docs: pa.Table, masks: pa.Table) -> tuple[Group, np.ndarray, Keys]:
+        group = Group(docs["text"].to_pylist())
         keys = group.sample_keys()
         keys.sort(sample_ranges)
         at = group.candidates(keys.spread(_of(masks, 0)))
@@ -231,10 +253,11 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         if not table.num_rows:
             return pa.table({c: pa.array([], t) for c, t in zip(("range", "group", "keys", "twice"),
                                                                (pa.int64(), pa.int64(), pa.binary(), pa.binary()))})
-        return marked(table, masks)[2].rows(table["group"][0].as_py())
+        return marked(_sorted(table), masks)[2].rows(table["group"][0].as_py())
 
     def cut(table: pa.Table, masks: pa.Table) -> pa.Table:
-        group, at, windows = marked(table, masks)
+        docs = _sorted(table)
+        group, at, windows = marked(docs, masks)
         hit = _cover(group, at[windows.spread(_of(masks, 1))])
         spans, kept = [[] for _ in group.raw], list(group.raw)
         for k, a, b in zip(group.long, group.starts[:-1].tolist(), group.starts[1:].tolist()):
@@ -244,7 +267,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 spans[k] = [{"start": s, "end": e} for s, e in edge.reshape(-1, 2).tolist()]
                 kept[k] = np.frombuffer(group.raw[k], np.uint8)[~own].tobytes()
         span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-        return pa.table({"doc_id": _sorted(table)["doc_id"], "n_bytes": pa.array([len(b) for b in group.raw], pa.int64()),
+        return pa.table({"doc_id": docs["doc_id"], "n_bytes": pa.array([len(b) for b in group.raw], pa.int64()),
                          "spans": pa.array(spans, pa.list_(span)), "kept": pa.array(kept, pa.binary())})
 
     first = answers(by_group.applyInArrow(samples, ddl), "names").withColumn("step", F.lit(0))
