@@ -6,15 +6,18 @@
    the bits of minima that differ, and its population count estimates how many
    do, sharply so at high similarity.
 2. Documents of equal sets are one class from here on, however many there are.
-3. Classes that share a band's hash are a bucket. Each class first proposes
-   the least class of each of its buckets, which makes as many pairs as there
-   are members. Set sizes, then sketches, rule out pairs; what is left is
-   confirmed on the full sets, the most similar proposal of each class first,
-   the others only if the two are not connected by then.
-4. What these stars cannot see, pairs of a bucket in different components that
-   were never proposed, is listed by joining the members of such buckets, and
-   confirmed likewise. No pair within a component is ever listed, so a large
-   group of near copies costs its size, not its square.
+3. Classes that share a band's hash are a bucket. Its pivot is the class with
+   the most company over all its buckets: the middle of a group of copies. Each
+   class proposes the pivot that it shares most bands with; set sizes, then
+   the sketches, rule out what is too far, and the rest is confirmed on the full
+   sets. So a group costs its size, not its square.
+4. Pairs of a bucket that are still in different components may be linked
+   nonetheless. All classes of such buckets are compared exactly, by prefix
+   filtering: with shingles in order of rarity, a pair similar enough shares a
+   shingle early enough in both, and odd sketches of the whole sets, which
+   differ in no more bits than the sets in shingles, do not differ in too many.
+   Pairs within a component are never listed, and
+   far fewer pairs pass than share a bucket. These are confirmed as well.
 5. Components by star steps; the smallest doc_id of each names it.
 
 A pair at similarity s is missed by all bands with probability
@@ -35,7 +38,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm.common import column, documents, id_text, numbered, stage
@@ -72,7 +75,14 @@ def minima(sets: np.ndarray, seeds: np.ndarray, block: int = 2048) -> np.ndarray
 
 
 def odd_sketch(low: np.ndarray) -> np.ndarray:
-    bit = mix(low + np.arange(len(low), dtype=np.uint64) * _C[1], 77) % np.uint64(SKETCH_BITS)
+    """Of minima, each of which counts with its number."""
+    return parity(low + np.arange(len(low), dtype=np.uint64) * _C[1])
+
+
+def parity(members: np.ndarray) -> np.ndarray:
+    """Odd sketch of a set: a bit is set if an odd number of members hash to it. Two
+    sketches differ in no more bits than the sets have members not in common."""
+    bit = mix(members, 77) % np.uint64(SKETCH_BITS)
     odd = np.bincount(bit.astype(np.int64), minlength=SKETCH_BITS) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
@@ -115,37 +125,76 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """node, words: the whole set of each node, from the text of a row that has it."""
+    """node, words, parity: the whole set of each node, from the text of a row that
+    has it, and the odd sketch of the whole set."""
     def run(batches):
         hashes: dict[bytes, int] = {}
         for batch in batches:
             if len(hashes) > 500_000:
                 hashes.clear()
-            sets = [shingles(t or "", k, hashes).tobytes() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()),
-                                              pa.array(sets, pa.binary())], names=["set_key", "words"])
+            sets = [shingles(t or "", k, hashes) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                                              pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                                              pa.array([parity(s) for s in sets], pa.list_(pa.int64()))],
+                                             names=["set_key", "words", "parity"])
 
     text = docs.join(nodes.select("first_id").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("first_id")),
                      "left_semi").select("text")
-    return (text.mapInArrow(run, "set_key binary, words binary").join(nodes.select("set_key", "node"), "set_key")
-            .groupBy("node").agg(F.first("words").alias("words")))
+    return (text.mapInArrow(run, "set_key binary, words array<long>, parity array<long>")
+            .join(nodes.select("set_key", "node"), "set_key")
+            .groupBy("node").agg(F.first("words").alias("words"), F.first("parity").alias("parity")))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) of the pairs whose whole sets are similar enough."""
+    def arrays(column: pa.ListArray) -> list[np.ndarray]:
+        return np.split(column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())[:-1])
+
     def run(batches):
         for batch in batches:
             good = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(arrays(batch.column(2)), arrays(batch.column(3))) if batch.num_rows else ():
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
+    sets = sets.select("node", "words")
     return (pairs.select("a", "b").join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
             .select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
+def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a pair once: sets of different roots that can be similar enough.
+
+    ``sets``: node, root, words, parity. Exact: in any order of the shingles, two sets
+    of sizes n and m with an overlap of at least
+    percent * (n + m) / (100 + percent) have their first common shingle at
+    places i and j with 1 + min(n - i, m - j) no less than that. Rare shingles
+    come first, those of one set only before all others; these take places but
+    need no rows. And the odd sketches of the whole sets differ in no more bits
+    than the sets in shingles, of which (100 - percent) * (n + m) / (100 + percent)
+    are allowed.
+    """
+    each = sets.select("node", "root", F.size("words").alias("n"), F.explode("words").alias("w"))
+    shared = each.groupBy("w").agg(F.count("*").alias("times")).where("times > 1")
+    of_node = Window.partitionBy("node")  # no more rows than its text has words
+    rows = (each.join(shared, "w")
+            .withColumn("place", F.col("n") - F.count("*").over(of_node) + F.row_number().over(of_node.orderBy("times", "w")))
+            .where(f"100 * (n - place + 1) >= {percent} * n").select("w", "node", "root", "n", "place"))
+    rows = stage(rows.join(sets.select("node", "parity"), "node").select("w", "node", "root", "n", "place", "parity"), "prefixes")
+    # Of each shingle, the root with the most rows needs no pairs among its own.
+    big = (rows.groupBy("w", "root").agg(F.count("*").alias("m")).groupBy("w")
+           .agg(F.max_by("root", "m").alias("big"), F.count("*").alias("roots")).where("roots > 1"))
+    few = rows.join(big.select("w", "big"), "w").where("root <> big")
+    left, right = few.toDF("w", "a", "ra", "na", "ia", "pa", "big"), rows.toDF("w", "b", "rb", "nb", "ib", "pb")
+    differ = "+".join(f"bit_count(pa[{j}] ^ pb[{j}])" for j in range(SKETCH_BITS // 64))
+    return (left.join(right, "w").where(
+        f"ra <> rb and (rb = big or a < b) and 100 * least(na, nb) >= {percent} * greatest(na, nb) "
+        f"and {100 + percent} * (1 + least(na - ia, nb - ib)) >= {percent} * (na + nb) "
+        f"and {100 + percent} * ({differ}) <= {100 - percent} * (na + nb)")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
                bands: int = 30, rows: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
@@ -168,41 +217,27 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def _links(docs: DataFrame, nodes: DataFrame, k: int, percent: int, minima_: int) -> DataFrame:
     """Stars (a, b) over the nodes that have a link."""
     bucketed = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = bucketed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1")
-    members = stage(bucketed.join(shared.select("bucket", "pivot"), "bucket"), "members")
-    sets = stage(_sets(docs, nodes.join(members.select("node").distinct(), "node", "left_semi"), k), "sets")
+    shared = bucketed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = stage(bucketed.join(shared, "bucket"), "members")
+    company = members.groupBy("node").agg(F.sum("n").alias("company"))
+    pivots = members.join(company, "node").groupBy("bucket").agg(F.max_by("node", "company").alias("pivot"))
+    sets = stage(_sets(docs, nodes.join(company.select("node"), "node", "left_semi"), k), "sets")
+
     one, two = (nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
                 for x in "ab")
     differ = "+".join(f"bit_count(sa[{j}] ^ sb[{j}])" for j in range(SKETCH_BITS // 64))
+    proposed = (members.join(pivots, "bucket").where("node <> pivot").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b"))
+                .count().groupBy("a").agg(F.max_by("b", "count").alias("b"))
+                .join(one, "a").join(two, "b")
+                .where(f"{differ} <= {sketch_limit(percent, minima_)} and 100 * least(na, nb) >= {percent} * greatest(na, nb)"))
+    links = stars(_confirmed(stage(proposed.select("a", "b"), "proposed"), sets, percent))
 
-    def likely(pairs: DataFrame) -> DataFrame:
-        return (pairs.join(one, "a").join(two, "b").withColumn("bits", F.expr(differ))
-                .where(f"bits <= {sketch_limit(percent, minima_)} and "
-                       f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b", "bits"))
-
-    def apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
-        """Pairs whose two are in different components so far."""
-        for x in "ab":
-            pairs = pairs.join(links.toDF(x, f"r{x}"), x, "left").withColumn(f"r{x}", F.coalesce(f"r{x}", x))
-        return pairs.where("ra <> rb").drop("ra", "rb")
-
-    proposed = stage(likely(members.where("node <> pivot").selectExpr("node as a", "pivot as b").distinct()), "proposed")
-    best = proposed.groupBy("a").agg(F.min_by("b", "bits").alias("b"))
-    links = stars(_confirmed(best, sets, percent))
-    tried = apart(proposed.join(best, ["a", "b"], "left_anti"), links)
-    links = stars(links.unionAll(_confirmed(tried, sets, percent)))
-    # Buckets over more than one component, and who of them is where.
+    # Buckets over more than one component, and all who are in them.
     placed = members.join(links.toDF("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
-    mixed = placed.join(mixed.where("low < high and n > 2").select("bucket"), "bucket").select("bucket", "node", "root")
-    mixed = stage(mixed.join(nodes.select("node", "n", "sketch"), "node"), "mixed")
-    left, right = (mixed.select("bucket", F.col("node").alias(x), F.col("root").alias(f"r{x}"),
-                                F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
-    rest = (left.join(right, "bucket").where("a < b and ra <> rb")
-            .where(f"{differ} <= {sketch_limit(percent, minima_)} and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-            .select("a", "b").distinct()
-            .join(proposed.selectExpr("least(a, b) as a", "greatest(a, b) as b"), ["a", "b"], "left_anti"))
-    return stars(links.unionAll(_confirmed(stage(rest, "rest"), sets, percent)))
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    apart = placed.join(mixed, "bucket").select("node", "root").distinct()
+    rest = stage(prefix_pairs(sets.join(apart, "node"), percent), "rest")
+    return stars(links.unionAll(_confirmed(rest, sets, percent)))
 
 
 def one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -216,3 +251,20 @@ def one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
 def op2_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's near-duplicate components of all documents."""
     return components(documents(spark, sf_dir), k=3, percent=85)
+
+
+ORACLE = r"""
+with recursive words as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+shingles as (select distinct doc_id, unnest(case when len(w) >= 3
+    then list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from words),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as n from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id
+    group by 1, 2),
+links as (select a, b from common c join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+    where 100 * c.n >= 85 * (x.n + y.n - c.n)),
+reach as (select doc_id as a, doc_id as b from documents union select r.a, l.b from reach r join links l on l.a = r.b),
+least as (select a, min(b) as component_id from reach group by a)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, l.component_id, d.doc_id = l.component_id as kept
+from documents d join least l on l.a = d.doc_id left join sizes s on s.doc_id = d.doc_id"""

@@ -8,11 +8,13 @@ over all keys.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 
 _MUL = np.uint64(0xFF51AFD7ED558CCD)
+_ALL = 0xFFFFFFFFFFFFFFFF
 
 
 def mix(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -65,6 +67,26 @@ class PerfectHash:
             base += size
         return out
 
+    def finder(self) -> Callable[[int], int]:
+        """``lookup`` of one key at a time, in plain integers."""
+        sizes, words, ranks = self.sizes.tolist(), self.words.tolist(), self.ranks.tolist()
+        seeds = [(k * 0x9E3779B97F4A7C15 + 0x1234567) & _ALL for k in range(len(sizes))]
+
+        def find(key: int) -> int:
+            base = 0
+            for size, seed in zip(sizes, seeds):
+                x = key ^ seed
+                x = ((x ^ (x >> 33)) * 0xFF51AFD7ED558CCD) & _ALL
+                x = ((x ^ (x >> 29)) * 0xC4CEB9FE1A85EC53) & _ALL
+                at = (x ^ (x >> 32)) % size + base
+                word = words[at >> 6]
+                if word >> (at & 63) & 1:
+                    return ranks[at >> 6] + (word & ((1 << (at & 63)) - 1)).bit_count()
+                base += size
+            return 0
+
+        return find
+
     def to_bytes(self) -> bytes:
         head = np.array([len(self.sizes), len(self.words)], np.int64)
         return b"".join(a.tobytes() for a in (head, self.sizes, self.words, self.ranks))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallybook.llm import licenses, line_dedup
+from tallybook.llm import licenses, line_dedup, near_dup, suffix_dedup
 from tallybook.llm.byte_bpe import op4_byte_bpe
 from tallybook.llm.licenses import op10_license_scan
 from tallybook.llm.decontaminate import op5_decontaminate
@@ -14,7 +14,13 @@ from tallybook.llm.secrets import op8_secret_scan
 from tallybook.llm.suffix_dedup import op1_suffix_dedup
 from tallybook.llm.token_counts import op3_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_near_dup, op3_token_counts, op4_byte_bpe, op5_decontaminate, op6_pii, op7_quality_rules, op8_secret_scan,
-                                  op9_line_dedup, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (
+    op1_suffix_dedup, op2_minhash_near_dup, op3_token_counts, op4_byte_bpe, op5_decontaminate,
+    op6_pii, op7_quality_rules, op8_secret_scan, op9_line_dedup, op10_license_scan)}
 
-ORACLE: dict[str, str] = {"op9_line_dedup": line_dedup.ORACLE, "op10_license_scan": licenses.oracle()}
+ORACLE: dict[str, str] = {
+    "op1_suffix_dedup": suffix_dedup.ORACLE,
+    "op2_minhash_near_dup": near_dup.ORACLE,
+    "op9_line_dedup": line_dedup.ORACLE,
+    "op10_license_scan": licenses.oracle(),
+}

@@ -132,6 +132,18 @@ def test_quality_features_and_verdicts(spark, tmp_path):
     assert kept.columns == clashing(frame(spark, rows)).columns
 
 
+def test_a_wrong_language_label_is_no_reason_to_reject(spark):
+    rnd = random.Random(12)
+    one = [(k, prose(rnd, 150), "en") for k in range(30)]
+    two = [(100 + k, " ".join(rnd.choice("zum vom beim auf dem die das wenn ßüö äöü".split()) for _ in range(150)), "de") for k in range(30)]
+    docs = spark.createDataFrame(one + two + [(200, prose(rnd, 150), "de")], "doc_id long, text string, lang string")
+    # windows repeat in the second language's small vocabulary: judged without that rule
+    judge = quality.Judge({"en": ({w: 1 for w in "the of and to in".split()}, [30, 50, 0, 0, 0, 18, 2, 0]),
+                           "de": ({w: 1 for w in "zum vom auf dem".split()}, [5, 20, 50, 0, 0, 20, 0, 0])})
+    got = {r["doc_id"]: r["kept"] for r in quality.quality(docs, judge=judge).collect()}
+    assert got[200] and all(got[k] for k in range(30))
+
+
 def test_js_distance():
     assert quality.js_distance([1, 0], [0, 1]) == 1
     assert quality.js_distance([2, 6], [1, 3]) == 0
@@ -202,6 +214,7 @@ def test_perfect_hash_is_minimal():
         keys = np.unique(np.random.default_rng(n).integers(0, 1 << 63, n, dtype=np.uint64))
         ph = PerfectHash.from_bytes(PerfectHash.build(keys).to_bytes())
         assert sorted(ph.lookup(keys).tolist()) == list(range(len(keys)))
+        assert list(map(ph.finder(), keys[:500].tolist())) == ph.lookup(keys[:500]).tolist()
     with pytest.raises(ValueError):
         PerfectHash.build(np.array([5, 5], np.uint64))
 
