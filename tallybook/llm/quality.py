@@ -4,7 +4,9 @@ Each document's histograms of character classes and of common words are
 compared with those of its language by Jensen-Shannon distance (base 2, the
 square root of the divergence, 0 to 1). The language references are trained
 here: sums over all documents of a language that pass the base rules, each
-document weighing its own length. Common words are the ``n_common`` most
+document weighing its own length. A document that is far from its own
+language's reference, but near another's, is one with a wrong label, and kept.
+Common words are the ``n_common`` most
 frequent words of at most ``common_len`` code points (function words; a bound
 on the word's length bounds the counted vocabulary, not the documents). A
 distance counts only from a minimum length on, below which a histogram says
@@ -12,8 +14,8 @@ little: ``min_letters`` characters for classes, ``min_words`` words for words;
 and the limit of the word distance, whose noise falls with the root of the
 length, is ``max_word`` + 1 / sqrt(n_words).
 
-Null text: no words. A null or unseen language is a language of its own; one
-whose reference is empty rejects nothing. Null and repeated doc_ids are judged
+Null text: no words. A null language is a language of its own; one without
+reference rejects nothing. Null and repeated doc_ids are judged
 like any other row; an empty table gives an empty result.
 """
 
@@ -184,15 +186,26 @@ class Judge:
         """The features, both distances, base_failed, kept."""
         got = Text.of(text)
         base = got.features(text)
-        n, failed = base[0], base_failed(base[0], base[4])
+        failed = base_failed(base[0], base[4])
+        own = self.distances(got, text, lang)
+        for other in () if failed or self.near(own, base[0]) else self.refs:
+            if self.near(found := self.distances(got, text, other), base[0]):
+                own = found
+                break
+        return (*base, *own, failed, not failed and self.near(own, base[0]))
+
+    def near(self, distances: tuple[float, float], n_words: int) -> bool:
+        return distances[0] <= self.max_class and distances[1] <= self.max_word + 1 / math.sqrt(max(n_words, 1))
+
+    def distances(self, got: Text, text: str, lang: str | None) -> tuple[float, float]:
+        """To the reference of one language, of classes and of words."""
         common, classes = self.refs.get(lang, ({}, []))
         class_js = js_distance(got.class_counts(), classes) if any(classes) and len(text) >= self.min_letters else 0.0
         word_js = 0.0
-        if common and n >= self.min_words:
+        if common and len(got.ids) >= self.min_words:
             count = [got.count.get(w, 0) for w in self.words_of[lang]]
             word_js = js_distance(count, list(common.values())) if any(count) else 1.0
-        return (*base, class_js, word_js, failed,
-                not failed and class_js <= self.max_class and word_js <= self.max_word + 1 / math.sqrt(n))
+        return class_js, word_js
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
