@@ -86,8 +86,9 @@ class Group:
         self.starts = np.r_[0, np.cumsum(sizes)]
         self.data = b"".join(raw[k] for k in self.long)
         self.size = len(self.data)
-        room = np.repeat(self.starts[1:], sizes) - np.arange(self.size)
-        self.samples = np.flatnonzero(np.isin(np.arange(self.size) % MODULUS, COVER) & (room >= NAME))
+        room = np.repeat(self.starts[1:].astype(np.int32), sizes) - np.arange(self.size, dtype=np.int32)
+        places = np.sort(np.concatenate([np.arange(c, self.size, MODULUS) for c in COVER]))
+        self.samples = places[room[places] >= NAME]
         self.starts_window = room >= WINDOW
 
     def _chunks(self):
@@ -282,3 +283,20 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(documents(spark, sf_dir)).selectExpr(
         "doc_id", "n_bytes", "n_bytes - octet_length(kept) as n_removed", "cast(size(spans) as long) as n_spans",
         "sha2(kept, 256) as kept_sha256")
+
+
+ORACLE = r"""
+with docs as (select doc_id, hex(encode(coalesce(text, ''))) as h, cast(strlen(coalesce(text, '')) as bigint) as n from documents),
+chunks as (select doc_id, n, base, h[2 * base + 1 : 2 * base + 598] as c
+    from (select doc_id, h, n, unnest(range(0, n, 100)) as base from docs)),
+places as (select doc_id, n, base + k as p, c[2 * k + 1 : 2 * k + 2] as x, case when base + k + 200 <= n then md5_number(c[2 * k + 1 : 2 * k + 400]) end as s
+    from (select *, unnest(range(0, least(100, n - base))) as k from chunks)),
+again as (select s from places where s is not null group by s having count(*) > 1),
+marked as (select doc_id, p, x, coalesce(max(case when a.s is not null then p end) over (partition by doc_id order by p) > p - 200, false) as gone
+    from places left join again a using (s)),
+runs as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by p), false) as first from marked),
+cut as (select doc_id, count(*) filter (gone) as n_removed, count(*) filter (first) as n_spans,
+    sha256(unhex(coalesce(string_agg(x, '' order by p) filter (not gone), ''))) as kept_sha256 from runs group by doc_id)
+select doc_id, n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+    coalesce(kept_sha256, sha256('')) as kept_sha256
+from docs left join cut using (doc_id)"""
