@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,29 +40,28 @@ from pyspark.sql import DataFrame, SparkSession
 from tallybook.llm.common import documents, id_text, keep_rows
 
 _WORD = re.compile(r"\w+")
-_PAD = -1
+#: Items whose walks and samples a task keeps.
+MADE = 2000
 
 
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def _bits(symbols: np.ndarray, step: int, seed: int) -> np.ndarray:
-    x = (symbols + 2).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x ^= np.uint64((step * 0xD6E8FEB86659FD93 + seed * 0xCA5A826395121157) & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((x >> np.uint64(40)) & np.uint64(1)).astype(np.int64)
+def embed(windows: np.ndarray, moves: np.ndarray, pad: int) -> np.ndarray:
+    """CGK embeddings (walk, row, place) of rows of n symbols, to 2n places.
 
-
-def embed(windows: np.ndarray, seed: int) -> np.ndarray:
-    """CGK embedding of each row of n symbols, to 2n places."""
+    ``moves`` (walk, place, symbol) are the random bits by which a walk moves on.
+    """
     rows, n = windows.shape
-    at, all_rows = np.zeros(rows, np.int64), np.arange(rows)
-    out = np.full((rows, 2 * n), _PAD, np.int64)
+    windows = np.concatenate([windows, np.full((rows, 1), pad)], 1)
+    at, row = np.zeros((len(moves), rows), np.int64), np.arange(rows)
+    walk = np.arange(len(moves))[:, None]
+    out = np.empty((len(moves), rows, 2 * n), np.int64)
     for j in range(2 * n):
-        symbol = np.where(at < n, windows[all_rows, np.minimum(at, n - 1)], _PAD)
-        out[:, j] = symbol
-        at += _bits(symbol, j, seed)
+        symbol = windows[row, np.minimum(at, n)]
+        out[:, :, j] = symbol
+        at += moves[walk, j, symbol]
     return out
 
 
@@ -77,11 +77,50 @@ def least_distance(item: np.ndarray, text: np.ndarray) -> int:
     return int(row.min())
 
 
+class Item:
+    """What the search of one item needs: its words as symbols 1, 2, ... (0 is any
+    other word), the bag of its bigrams, walks, samples and its own embedding."""
+
+    def __init__(self, words: np.ndarray, walks: int, bits: int, tables: int):
+        self.known = np.unique(words)
+        self.n, self.pad = len(words), len(self.known) + 1
+        self.symbols = self.of(words)
+        self.pairs, self.times = np.unique(self._pairs(self.symbols), return_counts=True)
+        rng = np.random.default_rng(5)
+        self.moves = rng.integers(0, 2, (walks, 2 * self.n, self.pad + 1), np.uint8)
+        self.places = rng.integers(0, 2 * self.n, (tables, bits))
+        self.walk = np.arange(tables)[:, None] % walks
+        self.own = embed(self.symbols[None], self.moves, self.pad)[:, 0]
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.known, words), len(self.known) - 1)
+        return np.where(self.known[at] == words, at + 1, 0)
+
+    def _pairs(self, symbols: np.ndarray) -> np.ndarray:
+        code = symbols[:-1] * self.pad + symbols[1:]
+        return code[(symbols[:-1] > 0) & (symbols[1:] > 0)]
+
+    def shared(self, symbols: np.ndarray) -> int:
+        """Size of the bag of bigrams that the item and a region share."""
+        pairs, times = np.unique(self._pairs(symbols), return_counts=True)
+        if not len(pairs) or not len(self.pairs):
+            return 0
+        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        return int(np.minimum(times, self.times[at])[self.pairs[at] == pairs].sum())
+
+    def agrees(self, symbols: np.ndarray) -> bool:
+        """Whether some window of the region agrees with the item in a whole sample."""
+        symbols = np.concatenate([symbols, np.full(max(0, self.n - len(symbols)), self.pad)])
+        windows = np.lib.stride_tricks.sliding_window_view(symbols, self.n)
+        same = embed(windows, self.moves, self.pad) == self.own[:, None]
+        return bool(same[self.walk, :, self.places].all(1).any())
+
+
 class Items:
     """A block of items: vocabulary, bigram postings, embeddings."""
 
     def __init__(self, items: list[tuple[int, str]], percent: int, walks: int, bits: int, tables: int):
-        self.walks, self.vocabulary, self.ids, self.words = walks, {}, [], []
+        self.vocabulary, self.ids, self.words = {}, [], []
         for item, text in items:
             w = [self.vocabulary.setdefault(x, len(self.vocabulary) + 1) for x in words_of(text or "")]
             if w:
@@ -90,6 +129,7 @@ class Items:
         n = np.array([len(w) for w in self.words], np.int64)
         self.edits = n * (100 - percent) // 100
         self.need = np.maximum(n - 1 - 2 * self.edits, 1)
+        self.reach = n + self.edits
         self.size = len(self.vocabulary) + 1
         # A one-word item has the "bigram" (0, word), met wherever the word stands.
         pairs = [np.unique(w[:-1] * self.size + w[1:]) if len(w) > 1 else w for w in self.words]
@@ -99,9 +139,7 @@ class Items:
         self.codes, first = np.unique(code[order], return_index=True)
         self.owner, self.first = owner[order], np.r_[first, len(code)]
         self.singles = any(len(w) == 1 for w in self.words)
-        rng = np.random.default_rng(5)
-        self.samples = [[rng.integers(0, 2 * len(w), bits) for _ in range(tables)] for w in self.words]
-        self.embedded: dict[tuple[int, int], np.ndarray] = {}
+        self.shape, self.made = (walks, bits, tables), {}
 
     def _hits(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(item, place) of each bigram of the text that an item has, by item and place."""
@@ -122,40 +160,38 @@ class Items:
         order = np.lexsort((places, item))
         return item[order], places[order]
 
-    def _agrees(self, item: int, windows: np.ndarray) -> bool:
-        for walk in range(self.walks):
-            if (item, walk) not in self.embedded:
-                self.embedded[item, walk] = embed(self.words[item][None], walk)[0]
-            same = embed(windows, walk) == self.embedded[item, walk]
-            if any(same[:, s].all(1).any() for s in self.samples[item][walk::self.walks]):
-                return True
-        return False
+    def item(self, k: int) -> Item:
+        if k not in self.made:
+            if len(self.made) > MADE:
+                self.made.clear()
+            self.made[k] = Item(self.words[k], *self.shape)
+        return self.made[k]
 
     def search(self, text: str) -> list[tuple[int, int, int]]:
         """(item_id, n_words, distance) of the items that the text holds."""
         w = words_of(text)
         get = self.vocabulary.get
-        ids = np.fromiter((get(x, 0) for x in w), np.int64, len(w))
+        ids = np.fromiter(map(get, w, repeat(0)), np.int64, len(w))
         if not ids.any():
             return []
         item, place = self._hits(ids)
+        # Runs of an item's ``need`` bigrams within n + edits words: the surroundings of each,
+        # merged to regions.
+        last = np.arange(len(item)) + self.need[item] - 1
+        last[last >= len(item)] = 0
+        dense = (item[last] == item) & (place[last] >= place) & (place[last] - place < self.reach[item])
         out = []
-        for k in np.flatnonzero(np.bincount(item, minlength=len(self.ids)) >= self.need).tolist():
-            n, edits, need = len(self.words[k]), int(self.edits[k]), int(self.need[k])
-            p = place[item == k]
-            # Runs of need bigrams within n + edits words, merged to regions.
-            dense = np.flatnonzero(p[need - 1:] - p[:len(p) - need + 1] < n + edits)
-            if not len(dense):
-                continue
-            lo = np.maximum(p[dense + need - 1] - n - edits, 0)
-            hi = np.minimum(p[dense] + n + edits + 1, len(ids))
+        for k in np.unique(item[dense]).tolist():
+            n, edits, reach = len(self.words[k]), int(self.edits[k]), int(self.reach[k])
+            own = dense & (item == k)
+            lo = np.maximum(place[last[own]] - reach, 0)
+            hi = np.minimum(place[own] + reach + 1, len(ids))
             cut = np.flatnonzero(np.r_[True, lo[1:] > np.maximum.accumulate(hi)[:-1]])
             best = edits + 1
             for a, b in zip(lo[cut], np.maximum.reduceat(hi, cut)):
-                region = ids[a:b]
-                padded = np.r_[region, np.full(max(0, n - len(region)), _PAD)]
-                if self._agrees(k, np.lib.stride_tricks.sliding_window_view(padded, n)):
-                    best = min(best, least_distance(self.words[k], region))
+                region = self.item(k).of(ids[a:b])
+                if (n == 1 or self.item(k).shared(region) >= self.need[k]) and self.item(k).agrees(region):
+                    best = min(best, least_distance(self.item(k).symbols, region))
             if best <= edits:
                 out.append((self.ids[k], n, best))
         return out
