@@ -5,8 +5,8 @@ best segmentation under a unigram model has the forward score
 
     best(prefix) = max over pieces s ending the prefix of best(prefix - s) + score(s)
 
-which depends on the prefix alone. So the distinct pre-tokens of a task go
-into a trie, each node's score is computed once, when it is made, from its
+which depends on the prefix alone. So the distinct pre-tokens go into a
+trie, each node's score is computed once, when it is made, from its
 ancestors' scores, and the number of pieces of the best segmentation stays at
 the node where the pre-token ends. A character that is no piece becomes its
 UTF-8 bytes, one token each.
@@ -14,8 +14,8 @@ UTF-8 bytes, one token each.
 The vocabulary file's pieces are ranked; a piece of rank r scores
 -log(r + RANK_SHIFT). Equal scores prefer fewer tokens.
 
-One pass, no shuffle. The trie is emptied when it exceeds ``max_nodes``
-(memory, not results, depends on it); a pre-token of more than LONG characters
+One pass, no shuffle. A worker keeps its trie from task to task and empties it
+when it exceeds ``max_nodes`` (memory, not results, depends on it); a pre-token of more than LONG characters
 is scored by itself. Null or empty text: 0 words, 0 tokens. Null and repeated
 doc_ids are counted like any other row; an empty table gives an empty result.
 """
@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import math
 from array import array
-from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -106,22 +105,53 @@ class Trie:
         return self.tokens[node]
 
 
+class Counts(dict):
+    """Word -> its tokens, from the trie when first met; two generations, as what
+    is remembered of frequent words saves walking the trie again."""
+
+    def __init__(self, trie: Trie, max_known: int = 300_000):
+        super().__init__()
+        self.trie, self.old, self.max_known = trie, {}, max_known
+
+    def __missing__(self, word: bytes) -> int:
+        n = self.old.get(word)
+        if n is None:
+            n = self.trie.count(MARK + word.decode())
+        self[word] = n
+        return n
+
+    def of(self, text: str) -> tuple[int, int]:
+        """Words and tokens of a text."""
+        if len(self) > self.max_known:
+            self.old = dict(self)
+            self.clear()
+        words = text.encode().split()  # bytes split at ASCII blanks and nowhere else
+        return len(words), sum(map(self.__getitem__, words))
+
+
+#: The counts of this worker process, if it had a task before.
+_LAST: list[Counts] = []
+
+
+def _counts(pieces: dict[str, float], max_nodes: int) -> Counts:
+    if not _LAST or _LAST[0].trie.pieces != pieces or _LAST[0].trie.max_nodes != max_nodes:
+        _LAST[:] = [Counts(Trie(pieces, max_nodes))]
+    return _LAST[0]
+
+
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  pieces: dict[str, float] | None = None, max_nodes: int = 400_000) -> DataFrame:
     """doc_id, n_words, n_tokens."""
     table = read_pieces() if pieces is None else pieces  # a fixed vocabulary, about 1 MB
 
     def run(batches):
-        trie = Trie(table, max_nodes)
+        counts = _counts(table, max_nodes)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                # bytes.split() splits at ASCII blanks and nowhere else
-                counts = [Counter((t or "").encode().split()) for t in part.column(1).to_pylist()]
-                size = {w: trie.count(MARK + w.decode()) for w in sorted(set().union(*counts))}
+                n = [counts.of(t or "") for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([c.total() for c in counts], pa.int64()),
-                     pa.array([sum(n * size[w] for w, n in c.items()) for c in counts], pa.int64())],
+                    [part.column(0), *(pa.array(c, pa.int64()) for c in (zip(*n) if n else ((), ())))],
                     names=["doc_id", "n_words", "n_tokens"])
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_words long, n_tokens long")
