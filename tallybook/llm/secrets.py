@@ -4,7 +4,11 @@ Base kinds are found by form (an assigned value, an access key, a long
 lower-case hex run). The method adds ``random``: runs of 20 or more characters
 that mix letters with digits, whose encoding is inferred (base32, base64, hex,
 letters and digits) and which pass a battery of randomness tests over that
-alphabet: chi-squared uniformity, runs about the median, serial correlation.
+alphabet: chi-squared uniformity, runs about the median, serial correlation. A run that
+fits no encoding (a path with a base64url token) is cut at '+' and '/', and at
+'-' and '_', and the pieces of both cuts are tested; of pieces that overlap and
+pass, the one with the higher p is reported. A rejected run with a '/' may be a
+path: its pieces are tested in the same way, in a step of their own.
 The hypothesis of each test is "drawn uniformly from the alphabet", so a true
 secret fails a test only by chance. The worst of the three p-values
 (Bonferroni) goes through a Benjamini-Hochberg step per document, weighted by
@@ -31,7 +35,10 @@ BASE_KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+")
+#: A run starts after '=' as after any other sign; '=' belongs to it only as padding at its end.
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:={1,6}(?![A-Za-z0-9+/_=-]))?")
+#: A run that mixes signs of both base64 alphabets is cut by either reading.
+_READINGS = (re.compile(r"[A-Za-z0-9_-]+=*"), re.compile(r"[A-Za-z0-9+/]+=*"))
 
 _UPPER, _LOWER, _DIGIT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: Encodings, narrowest alphabet first; a run gets the first that holds it.
@@ -90,19 +97,36 @@ def _encoded(run: str) -> tuple[str, list[int], int] | None:
     return None
 
 
-def random_spans(text: str, taken: list[tuple[str, int, int]], min_length: int, rate: float) -> list[tuple]:
-    """Runs that the battery does not reject, as (start, end, encoding, p)."""
-    tests = []
+def _pieces(text: str) -> list[tuple[int, int]]:
+    """Runs that fit an encoding, and the pieces of those that fit none."""
+    out = []
     for m in _RUN.finditer(text):
-        s, e = m.span()
         run = m[0]
+        if ("+" in run or "/" in run) and ("-" in run or "_" in run):
+            out += _cut(run, m.start())
+        else:
+            out.append(m.span())
+    return out
+
+
+def _cut(run: str, at: int) -> list[tuple[int, int]]:
+    return sorted({(at + p.start(), at + p.end()) for r in _READINGS for p in r.finditer(run)})
+
+
+def _judged(text: str, spans: list[tuple[int, int]], taken: list[tuple[str, int, int]], min_length: int,
+            rate: float) -> tuple[list[tuple], list[tuple]]:
+    """Of ``spans`` those with letters and digits, as (start, end, encoding, p):
+    not rejected, and rejected."""
+    tests = []
+    for s, e in spans:
+        run = text[s:e]
         if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run) \
                 or any(a < e and s < b for _, a, b in taken):
             continue
         if (got := _encoded(run)) and len(got[1]) >= min_length:
             tests.append((s, e, got[0], min(1.0, 3 * min(battery(got[1], got[2]))), len(got[1])))
     if not tests:
-        return []
+        return [], []
     mean = sum(t[4] for t in tests) / len(tests)
     order = sorted(range(len(tests)), key=lambda k: tests[k][3] * mean / tests[k][4])
     cut = 0
@@ -110,7 +134,19 @@ def random_spans(text: str, taken: list[tuple[str, int, int]], min_length: int,
         if tests[k][3] * mean / tests[k][4] <= rate * rank / len(tests):
             cut = rank
     gone = set(order[:cut])
-    return [t[:4] for k, t in enumerate(tests) if k not in gone]
+    return [t[:4] for k, t in enumerate(tests) if k not in gone], [tests[k][:4] for k in sorted(gone)]
+
+
+def random_spans(text: str, taken: list[tuple[str, int, int]], min_length: int, rate: float) -> list[tuple]:
+    """Runs that the battery does not reject, as (start, end, encoding, p)."""
+    kept, gone = _judged(text, _pieces(text), taken, min_length, rate)
+    again = [p for s, e, _, _ in gone if "/" in text[s:e] for p in _cut(text[s:e], s) if p != (s, e)]
+    kept += _judged(text, again, taken, min_length, rate)[0]
+    out: list[tuple] = []
+    for t in sorted(kept, key=lambda t: (-t[3], t[0])):
+        if not any(t[0] < e and s < t[1] for s, e, _, _ in out):
+            out.append(t)
+    return sorted(out)
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

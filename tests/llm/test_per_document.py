@@ -100,6 +100,15 @@ def test_random_runs_are_secrets_and_words_are_not(spark):
     assert found[200:] == [0] * 5
 
 
+def test_random_values_after_names_and_in_paths(spark):
+    value, url = "q8Zr3LkP0vXy7TnWb2Hd", "dGhpc-9pXc1Ah_dG9rZW4xQz7K"
+    texts = [(f"export KEY={value} now", value), (f"/x?a=1&sig={value}&b=2", value), (f"auth={value}xa==", value + "xa=="),
+             (f"GET /v1/files/{url}/raw", url), (f"some_name/{value}xy", value + "xy"),
+             (f"var/www/html/site/uploads/files/images/{value}", value)]
+    got = secrets.secret_spans(frame(spark, [(k, t) for k, (t, _) in enumerate(texts)])).orderBy("doc_id").collect()
+    assert [[t[s["start"]:s["end"]] for s in r["spans"]] for r, (t, _) in zip(got, texts)] == [[v] for _, v in texts]
+
+
 def quality_plain(t):
     words = re.findall(r"[^\x20\x09-\x0D]+", t)
     grams = Counter(zip(words, words[1:], words[2:]))
