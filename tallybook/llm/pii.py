@@ -30,6 +30,13 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+#: Lengths of the countries' IBANs, blanks not counted.
+IBAN_LENGTH = {country: n for n, said in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}.items() for country in said.split()}
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9])")
 _NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
@@ -92,6 +99,23 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def _ibans(text: str) -> list[tuple[int, int]]:
+    """IBANs by mod-97. A proposal may hold words or numbers that follow the IBAN:
+    it is tried at its country's length first, if that ends at a blank, then
+    whole. After a proposal without IBAN the search goes on inside it."""
+    out, at = [], 0
+    while m := _IBAN.search(text, at):
+        said, at = m[0], m.start() + 1
+        ends = [k for k in range(len(said)) if said[k] == " "] + [len(said)]
+        fixed = [k for k in ends if k - said.count(" ", 0, k) == IBAN_LENGTH.get(said[:2])]
+        for k in (*fixed, len(said)):
+            if mod97(said[:k]):
+                at = m.start() + k
+                out.append((m.start(), at))
+                break
+    return out
+
+
 def _score(kind: str, base: float, text: str, start: int, end: int) -> float:
     near = text[max(0, start - CONTEXT):start] + "\n" + text[end:end + CONTEXT // 2]
     return base + 0.4 * bool(NEAR[kind].search(near)) - 0.3 * bool(AGAINST.search(near))
@@ -100,16 +124,15 @@ def _score(kind: str, base: float, text: str, start: int, end: int) -> float:
 def more_spans(text: str, taken: list[tuple[str, int, int]], min_score: float) -> list[tuple[str, int, int, float]]:
     """Weaker kinds: checksum, then context; none that overlaps ``taken`` or an
     earlier one of these."""
-    found = [("iban", 0.9, m) for m in _IBAN.finditer(text) if mod97(m[0])]
-    found += [("short_card", 0.3, m) for m in _CARD.finditer(text)
+    found = [("iban", 0.9, s) for s in _ibans(text)]
+    found += [("short_card", 0.3, m.span()) for m in _CARD.finditer(text)
               if m.end() - m.start() >= 13 and 13 <= len(d := _digits(m[0])) <= 15 and luhn(d)]
-    found += [("local_phone", 0.3, m) for m in _LOCAL_PHONE.finditer(text)]
-    found += [("national_id", 0.3, m) for m in _NATIONAL.finditer(text)]
+    found += [("local_phone", 0.3, m.span()) for m in _LOCAL_PHONE.finditer(text)]
+    found += [("national_id", 0.3, m.span()) for m in _NATIONAL.finditer(text)]
     if not found:
         return []
     busy, out = [s[1:] for s in taken], []
-    for kind, base, m in found:
-        s, e = m.span()
+    for kind, base, (s, e) in found:
         score = _score(kind, base, text, s, e)
         if score >= min_score and not any(a < e and s < b for a, b in busy):
             out.append((kind, s, e, score))

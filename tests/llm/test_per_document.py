@@ -89,6 +89,15 @@ def test_more_personal_kinds_need_checksum_or_context(spark):
     assert got[0]["spans"][0]["start"] == 5 and got[0]["spans"][0]["end"] == 32
 
 
+def test_ibans_followed_by_words_and_numbers(spark):
+    es, be, de = "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00"
+    texts = [(f"IBAN {es} BIC CAIXESBB", [es]), (f"{be} EUR 50", [be]), (f"{es.replace(' ', '')} BIC", [es.replace(" ", "")]),
+             (f"{be} 1500 INTERNATIONAL", [be]), (f"REF AB12 {es} {de} BIC", [es, de]), (f"{be[:-1]}5 EUR 50", [])]
+    got = pii.pii_spans(frame(spark, [(k, t) for k, (t, _) in enumerate(texts)])).orderBy("doc_id").collect()
+    assert [[t[s["start"]:s["end"]] for s in r["spans"] if s["kind"] == "iban"] for r, (t, _) in zip(got, texts)] == [
+        w for _, w in texts]
+
+
 def test_random_runs_are_secrets_and_words_are_not(spark):
     rnd = random.Random(9)
     alnum = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
