@@ -7,8 +7,11 @@ here: sums over all documents of a language that pass the base rules, each
 document weighing its own length. A document that is far from its own
 language's reference, but near another's, is one with a wrong label, and kept.
 Common words are the ``n_common`` most
-frequent words of at most ``common_len`` code points (function words; a bound
-on the word's length bounds the counted vocabulary, not the documents). A
+frequent words, of any length. Where they make up less than ``min_cover`` of a
+language's words (languages written without blanks, whose "words" are phrases),
+the language has no word reference: 50 words or more that hold none of them
+would say nothing. A document that is far from its own language by words only
+is not held against languages without word reference. A
 distance counts only from a minimum length on, below which a histogram says
 little: ``min_letters`` characters for classes, ``min_words`` words for words;
 and the limit of the word distance, whose noise falls with the root of the
@@ -29,7 +32,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm.common import column, documents, keep_rows, numbered
@@ -128,45 +131,73 @@ def _typed(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFr
                                  lang.cast("string").alias("lang"))
 
 
+#: Code points of text whose counts a task holds at a time.
+PART = 1 << 24
+
+
+def top_items(counts: DataFrame, n: int) -> DataFrame:
+    """Of (lang, kind, item, n) the ``n`` most frequent items of each language and kind."""
+    top = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "item"))), 1, n)
+    return (counts.groupBy("lang", "kind").agg(F.explode(top).alias("t"))
+            .select("lang", "kind", "t.item", (-F.col("t.m")).alias("n")))
+
+
 def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-               common_len: int = 4, n_common: int = 64) -> dict[str | None, tuple[dict[str, int], list[int]]]:
+               n_common: int = 64, min_cover: float = 0.2) -> dict[str | None, tuple[dict[str, int], list[int]]]:
     """Per language: counts of its common words, and of character classes.
 
     One pass over all documents. Each task adds up (language, word) counts of
-    its documents before anything is shuffled. What comes to the driver is
-    ``n_common`` words and eight classes a language.
+    ``PART`` code points of its documents at a time before anything is shuffled.
+    What comes to the driver is ``n_common`` words, eight classes and the number
+    of words a language.
     """
+    def rows(parts):
+        for lang, (words, classes) in parts.items():
+            yield from ((lang, "w", w.decode(), n) for w, n in words.items())
+            yield from ((lang, "c", c, n) for c, n in zip(CLASSES, classes))
+            yield lang, "all", "", words.total()
+
+    def batch_of(parts):
+        lang, kind, item, n = zip(*rows(parts))
+        return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(kind, pa.string()),
+                                           pa.array(item, pa.string()), pa.array(n, pa.int64())],
+                                          names=["lang", "kind", "item", "n"])
+
     def run(batches):
+        parts, size = {}, 0
         for batch in batches:
-            count: Counter = Counter()
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 got = Text.of(text or "")
                 if base_failed(len(got.ids), got.n_repeat_words()):
                     continue
-                for w, n in got.count.items():
-                    if len(w) <= 4 * common_len and len(c := w.decode()) <= common_len:
-                        count[lang, "w", c] += n
+                words, classes = parts.setdefault(lang, (Counter(), [0] * len(CLASSES)))
+                words.update(got.count)
                 for k, n in enumerate(got.class_counts()):
-                    count[lang, "c", CLASSES[k]] += n
-            if count:
-                lang, kind, item = zip(*count)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lang, pa.string()), pa.array(kind, pa.string()), pa.array(item, pa.string()),
-                     pa.array(list(count.values()), pa.int64())], names=["lang", "kind", "item", "n"])
+                    classes[k] += n
+                size += len(text)
+                if size >= PART:
+                    yield batch_of(parts)
+                    parts, size = {}, 0
+        if parts:
+            yield batch_of(parts)
 
     counts = (_typed(docs, id_col, text_col, lang_col).select("text", "lang")
               .mapInArrow(run, "lang string, kind string, item string, n long")
               .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")))
-    top = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "item"))), 1, n_common)
-    kept = counts.groupBy("lang", "kind").agg(top.alias("top")).collect()
+    kept = top_items(counts, max(n_common, len(CLASSES))).collect()
     out: dict = {}
-    for r in kept:
+    n_words: dict = {}
+    for r in sorted(kept, key=lambda r: (-r["n"], r["item"])):
         words, classes = out.setdefault(r["lang"], ({}, [0] * len(CLASSES)))
-        for t in r["top"]:
-            if r["kind"] == "w":
-                words[t["item"]] = -t["m"]
-            else:
-                classes[CLASSES.index(t["item"])] = -t["m"]
+        if r["kind"] == "c":
+            classes[CLASSES.index(r["item"])] = r["n"]
+        elif r["kind"] == "all":
+            n_words[r["lang"]] = r["n"]
+        elif len(words) < n_common:
+            words[r["item"]] = r["n"]
+    for lang, (words, _) in out.items():
+        if sum(words.values()) < min_cover * n_words[lang]:
+            words.clear()
     return out
 
 
@@ -189,6 +220,8 @@ class Judge:
         failed = base_failed(base[0], base[4])
         own = self.distances(got, text, lang)
         for other in () if failed or self.near(own, base[0]) else self.refs:
+            if not self.refs[other][0] and own[0] <= self.max_class:
+                continue
             if self.near(found := self.distances(got, text, other), base[0]):
                 own = found
                 break

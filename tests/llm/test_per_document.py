@@ -162,6 +162,24 @@ def test_a_wrong_language_label_is_no_reason_to_reject(spark):
     assert got[200] and all(got[k] for k in range(30))
 
 
+def test_words_without_blanks_and_long_common_words(spark):
+    rnd = random.Random(13)
+    kana = [chr(k) for k in range(0x3042, 0x3090)]
+
+    def phrases(k):
+        said = ["".join(rnd.choice(kana) for _ in range(rnd.randint(6, 12))) for _ in range(80)]
+        return " ".join(said + ["".join(rnd.choice(kana[:9]) for _ in range(2))] * (k % 3 == 0))
+
+    ja = [(k, phrases(k), "ja") for k in range(60)]
+    long = ["ensimmäinen", "kuitenkin", "jälkeen", "sitten", "kaikkien"]
+    fi = [(100 + k, " ".join(rnd.choice(long) if rnd.random() < 0.5 else "".join(rnd.choice("aeiklmnost") for _ in range(8))
+                             for _ in range(120)), "fi") for k in range(30)]
+    docs = spark.createDataFrame(ja + fi, "doc_id long, text string, lang string")
+    refs = quality.references(docs)
+    assert set(long) <= set(refs["fi"][0]) and not refs["ja"][0] and any(refs["ja"][1])
+    assert all(r["kept"] for r in quality.quality(docs).collect())
+
+
 def test_js_distance():
     assert quality.js_distance([1, 0], [0, 1]) == 1
     assert quality.js_distance([2, 6], [1, 3]) == 0
