@@ -180,6 +180,17 @@ def test_words_without_blanks_and_long_common_words(spark):
     assert all(r["kept"] for r in quality.quality(docs).collect())
 
 
+def test_top_items_are_cut_before_they_meet(spark):
+    rnd = random.Random(14)
+    rows = [(lang, kind, f"w{k}", rnd.randint(1, 40)) for lang in ("en", None) for kind in "wc" for k in range(500)]
+    got = quality.top_items(spark.createDataFrame(rows, "lang string, kind string, item string, n long"), 9)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and plan.count("WindowGroupLimit") >= 2
+    want = [r for lang in ("en", None) for kind in "wc"
+            for r in sorted((r for r in rows if r[:2] == (lang, kind)), key=lambda r: (-r[3], r[2]))[:9]]
+    assert rows_of(got.select("lang", "kind", "item", "n")) == sorted(want, key=repr)
+
+
 def test_js_distance():
     assert quality.js_distance([1, 0], [0, 1]) == 1
     assert quality.js_distance([2, 6], [1, 3]) == 0
