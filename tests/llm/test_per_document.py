@@ -299,6 +299,18 @@ def test_license_units_against_plain_dice(spark):
     assert got == want and {i for i, _ in got} >= {1, 2, 3, 5, 6, 8, None}
 
 
+def test_usual_wordings_and_sibling_licences(spark):
+    gnu = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+           "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.")
+    lines = [("This work is licensed under the MIT License.", "MIT"), ("This work is licensed under CC BY 4.0.", "CC-BY-4.0"),
+             ("This library is released under the BSD 2-Clause License.", "BSD-2-Clause"), (gnu, "GPL-2.0"),
+             (gnu.replace("version 2", "version 3").replace("software;", "software:"), "GPL-3.0"),
+             ("This project is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+             ("Licensed under the LGPL v2.1", "LGPL-2.1"), ("The program is free and works without a license of any kind.", None)]
+    got = {(r["doc_id"], r["license_id"]) for r in licenses.license_scan(frame(spark, [(k, t) for k, (t, _) in enumerate(lines)])).collect()}
+    assert got == {(k, lic) for k, (_, lic) in enumerate(lines) if lic}
+
+
 def test_license_scan_runs_no_python(spark):
     plan = licenses.license_scan(frame(spark, [(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|BroadcastNestedLoop|Cartesian", plan)
