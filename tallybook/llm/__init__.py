@@ -1,4 +1,4 @@
-"""Operators for preparing training text at scale (the ten numbered operators).
+"""Operators for preparing training text at scale (the thirteen numbered operators).
 
 Nothing else in the library imports this subpackage.
 """

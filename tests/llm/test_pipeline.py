@@ -65,5 +65,5 @@ def test_empty_documents(spark, tmp_path):
 
 def test_all_are_registered():
     names = list(entry.queries())
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert len(corpus_pipeline.STAGES) == 5
