@@ -135,7 +135,11 @@ def purchase_rules(r: DataFrame) -> DataFrame:
 
 
 def loans_posts(loans: DataFrame) -> DataFrame:
-    r = _reduce(loans, [F.year("loan_at").alias("y_loan")], F.col("value"))
+    return loan_rules(_reduce(loans, [F.year("loan_at").alias("y_loan")], F.col("value")))
+
+
+def loan_rules(r: DataFrame) -> DataFrame:
+    """B3 and B12 from loans reduced to (y_loan, v)."""
     v = F.col("v")
     return _explode_posts(r, [
         _post("B3", F.col("y_loan"), "Cash", v),
@@ -143,20 +147,29 @@ def loans_posts(loans: DataFrame) -> DataFrame:
     ])
 
 
-def payments_posts(payments: DataFrame, rules: RuleSet) -> DataFrame:
+def payment_keys(rules: RuleSet) -> list[Column]:
+    """What the payments rules depend on: type, year, and the accrual year, which is
+    set only for accrued payments, so it doubles as the accrual flag."""
     pd = F.col("payment_date")
     accrued = accruable(rules.accrual_types, rules.accrual_years)
-    # Every payments rule is conditioned on the type: keep only the types some
-    # rule uses, so Parquet skips the rest and odd values never reach the shuffle.
-    used = sorted(set(rules.cash_types) | set(rules.accrual_types)
+    return [F.col("payment_type").alias("ptype"), F.year(pd).alias("y_pay"),
+            F.when(accrued, F.year(prior_month_start(pd))).alias("y_accr")]
+
+
+def posted_types(rules: RuleSet) -> list[str]:
+    """Payment types that some rule uses: every payments rule is conditioned on the type."""
+    return sorted(set(rules.cash_types) | set(rules.accrual_types)
                   | {"loan", EQUIPMENT} | ({"rent"} if rules.rent_rule else set()))
-    payments = payments.filter(F.col("payment_type").isin(used))
-    r = _reduce(payments, [
-        F.col("payment_type").alias("ptype"),
-        F.year(pd).alias("y_pay"),
-        # set only for accrued payments, so it doubles as the accrual flag
-        F.when(accrued, F.year(prior_month_start(pd))).alias("y_accr"),
-    ], F.col("amount"))
+
+
+def payments_posts(payments: DataFrame, rules: RuleSet) -> DataFrame:
+    # Only the used types: Parquet skips the rest and odd values never reach the shuffle.
+    payments = payments.filter(F.col("payment_type").isin(posted_types(rules)))
+    return payment_rules(_reduce(payments, payment_keys(rules), F.col("amount")), rules)
+
+
+def payment_rules(r: DataFrame, rules: RuleSet) -> DataFrame:
+    """B5 and B13 to B17 and the equipment from payments reduced to (ptype, y_pay, y_accr, v)."""
     v, ptype, y_pay, y_accr = F.col("v"), F.col("ptype"), F.col("y_pay"), F.col("y_accr")
     is_accr = y_accr.isNotNull()
     posts = [

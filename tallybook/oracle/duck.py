@@ -12,6 +12,8 @@ INTEGER, dates to DATE, on both sides.
 
 from __future__ import annotations
 
+import re
+
 # Fixed values (same as the Spark side): adapter, rule lists, defaults.
 PIPELINE_CASH_TYPES = "('interest', 'wage', 'utility', 'tax', 'rent')"
 LEGACY_CASH_TYPES = "('equipment', 'interest', 'wage', 'utility', 'tax', 'loan', 'rent')"
@@ -283,6 +285,70 @@ comp AS (
 )"""
 
 
+#: The tables after the edits of the registered query; the first condition that holds counts.
+EDITED = ["""
+e_sales AS (
+    SELECT id, CASE WHEN id % 17 = 1 THEN sale_at WHEN id % 19 = 2 THEN CAST(sale_at + INTERVAL 12 MONTH AS DATE) ELSE sale_at END AS sale_at,
+           payment_at,
+           CASE WHEN id % 17 = 1 OR id % 19 = 2 THEN payment_method WHEN id % 23 = 3 THEN 'cash' ELSE payment_method END AS payment_method,
+           product_name,
+           CASE WHEN id % 17 = 1 THEN quantity + 3 WHEN id % 19 = 2 OR id % 23 = 3 THEN quantity WHEN id % 29 = 4 THEN NULL
+                ELSE quantity END AS quantity, price
+    FROM sales WHERE (id % 13 = 0) IS NOT TRUE
+)""", """
+e_purchases AS (
+    SELECT id, CASE WHEN id % 7 = 1 THEN purchase_at WHEN id % 17 = 2 THEN CAST(purchase_at - INTERVAL 12 MONTH AS DATE)
+                    ELSE purchase_at END AS purchase_at, payment_at, payment_method, product_name, quantity,
+           CAST(CASE WHEN id % 7 = 1 THEN amount + 1 ELSE amount END AS DECIMAL(12,2)) AS amount
+    FROM purchases WHERE (id % 11 = 0) IS NOT TRUE
+)""", """
+e_payments AS (
+    SELECT id, CASE WHEN id % 9 = 5 OR id % 14 = 1 THEN payment_date WHEN id % 22 = 2 THEN CAST(payment_date + INTERVAL 11 MONTH AS DATE)
+                    ELSE payment_date END AS payment_date,
+           CASE WHEN id % 9 = 5 THEN payment_type WHEN id % 14 = 1 THEN 'rent' ELSE payment_type END AS payment_type,
+           CAST(CASE WHEN id % 9 = 5 THEN amount * 2 ELSE amount END AS DECIMAL(12,2)) AS amount
+    FROM payments WHERE (id % 10 = 3) IS NOT TRUE
+)""", """
+e_loans AS (
+    SELECT id, loan_at, CASE WHEN id % 5 = 1 THEN NULL ELSE value END AS value FROM loans WHERE (id % 9 = 0) IS NOT TRUE
+)"""]
+
+SALES_COLUMNS = ("id", "sale_at", "payment_at", "payment_method", "product_name", "quantity", "price")
+PURCHASE_COLUMNS = ("id", "purchase_at", "payment_at", "payment_method", "product_name", "quantity", "amount")
+
+
+def _keyed_branch(table: str, columns: tuple[str, ...], number: str, money: str) -> str:
+    """The last writer of each id of one table over all deliveries, and the rejects."""
+    def load(n: int, where: str, op: str = "NULL", **values: str) -> str:
+        text = ", ".join(f"{values.get(c, f'CAST({c} AS VARCHAR)')} AS {c}" for c in columns)
+        return f"SELECT {text}, {op} AS op, {n} AS load FROM {table} WHERE {where}"
+
+    kind = {"quantity": "INTEGER", "value": "DECIMAL(14,2)"}
+    deliveries = "\n    UNION ALL ".join([
+        load(3, "id % 14 = 2"), load(3, "id % 12 = 1", "'d'"), load(3, "id % 31 = 7", id="NULL"),
+        *2 * [load(2, "id % 5 = 4"), load(2, "id % 6 = 1", **{money: f"'1' || CAST({money} AS VARCHAR)"}), load(2, "id % 7 = 2", "'D'")],
+        load(1, "id % 5 <> 4"), load(1, "id % 37 = 5", **{number: "'x'"})])
+    casts = [f"({c} IS NOT NULL AND TRY_CAST({c} AS {kind.get(c, 'DECIMAL(12,2)')}) IS NULL)" for c in {number, money}]
+    cents = kind.get(money, "DECIMAL(12,2)")
+    # Rows of an id in one load: the greatest, column by column.
+    typed = {number: f"TRY_CAST({number} AS {kind.get(number, 'DECIMAL(12,2)')})", money: f"TRY_CAST({money} AS {cents})"}
+    places = ", ".join(f"{typed.get(c, c)} DESC NULLS LAST" for c in columns if c != "id")
+    return f"""
+SELECT '{table}' AS table_name, count(live) AS live_rows, CAST(sum(live) AS BIGINT) AS load_numbers,
+       CAST(sum(money) AS DECIMAL(38,2)) AS live_total, count(CASE WHEN gone THEN 1 END) AS deleted_keys,
+       {', '.join(f'count(CASE WHEN bad = {n} THEN 1 END) AS rejects_{n}' for n in (1, 2, 3))}
+FROM (
+    WITH given AS (
+    {deliveries}),
+    judged AS (SELECT *, id IS NULL OR {' OR '.join(casts)} AS wrong, coalesce(upper(op) = 'D', false) AS gone FROM given),
+    good AS (SELECT load, gone, TRY_CAST({money} AS {cents}) AS money,
+                    row_number() OVER (PARTITION BY id ORDER BY load DESC, gone DESC, {places}) AS place
+             FROM judged WHERE NOT wrong)
+    SELECT CASE WHEN NOT gone THEN load END AS live, gone, CASE WHEN NOT gone THEN money END AS money, NULL AS bad
+    FROM good WHERE place = 1
+    UNION ALL SELECT NULL, NULL, NULL, load FROM (SELECT DISTINCT * FROM judged WHERE wrong))"""
+
+
 def _m(x: str) -> str:
     return f"CAST({x} AS DECIMAL(38,2))"
 
@@ -524,4 +590,14 @@ FROM lagged"""
     q["export_rows"] = _with() + """
 SELECT id, sale_at, payment_at, payment_method, product_name, quantity, price
 FROM sales WHERE year(sale_at) <= 2023"""
+
+    after = [re.sub(r"\b(sales|purchases|payments|loans)\b", r"e_\1", x) for x in (DEP_SCHED, ACCRUALS, COSTS, _posts(False))]
+    q["postings_after_edits"] = _with(*EDITED, YEARLY_CAL, *after) + """
+SELECT rule, CAST(year AS INTEGER) AS year, account, CAST(sum(amt) AS DECIMAL(38,4)) AS amt
+FROM posts GROUP BY rule, year, account"""
+
+    q["keyed_load"] = _with() + "\nUNION ALL ".join(_keyed_branch(*t) for t in (
+        ("sales", SALES_COLUMNS, "quantity", "price"), ("purchases", PURCHASE_COLUMNS, "quantity", "amount"),
+        ("payments", ("id", "payment_date", "payment_type", "amount"), "amount", "amount"),
+        ("loans", ("id", "loan_at", "value"), "value", "value")))
     return q

@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import accounts, audits, calendars, ppe, reports, retained, schedules, statements
+from ..operators import accounts, audits, calendars, changes, ppe, reports, retained, schedules, statements
 from ..operators.postings import PIPELINE
+from ..refresh import keyed
 from ..sources.adapter import Ledger, ledger_from_driver
 from ..sources.loader import as_text, load_summary, records_from_lines, reject_summary
 from ..sources.schemas import AMOUNT
@@ -170,6 +171,86 @@ def q_export_rows(spark, led):
     return reports.export_rows(led.sales)
 
 
+def edited(df: DataFrame, gone, changed: list[tuple]) -> tuple[DataFrame, DataFrame]:
+    """Stand-in edits of a table: its rows that are deleted or changed, and the changed
+    ones as they are afterwards. ``changed``: (condition, column, new value), the first
+    that holds."""
+    hit = gone
+    for cond, _, _ in changed:
+        hit = hit | cond
+    new, taken = df.filter(hit & ~gone), F.lit(False)
+    values: dict = {}
+    for cond, name, value in changed:
+        values[name] = F.when(cond & ~taken, value).otherwise(values.get(name, F.col(name)))
+        taken = taken | cond
+    return df.filter(hit), new.withColumns(values)
+
+
+def ledger_edits(led: Ledger) -> dict[str, tuple[DataFrame, DataFrame]]:
+    k = F.col("id")
+    return {
+        "sales": edited(led.sales, k % 13 == 0, [
+            (k % 17 == 1, "quantity", F.col("quantity") + 3), (k % 19 == 2, "sale_at", F.add_months("sale_at", 12)),
+            (k % 23 == 3, "payment_method", F.lit("cash")), (k % 29 == 4, "quantity", F.lit(None).cast("int"))]),
+        "purchases": edited(led.purchases, k % 11 == 0, [
+            (k % 7 == 1, "amount", (F.col("amount") + 1).cast("decimal(12,2)")),
+            (k % 17 == 2, "purchase_at", F.add_months("purchase_at", -12))]),
+        "payments": edited(led.payments, k % 10 == 3, [
+            (k % 9 == 5, "amount", (F.col("amount") * 2).cast("decimal(12,2)")), (k % 14 == 1, "payment_type", F.lit("rent")),
+            (k % 22 == 2, "payment_date", F.add_months("payment_date", 11))]),
+        "loans": edited(led.loans, k % 9 == 0, [(k % 5 == 1, "value", F.lit(None).cast("decimal(14,2)"))]),
+    }
+
+
+def q_postings_after_edits(spark, led):
+    """All posting rules from weighted records: the ledger put in, then the old rows of
+    the edits taken out and the new ones put in; two states, added up."""
+    edits = ledger_edits(led)
+    states = {t: changes.merged(t, changes.state_of(t, df).unionByName(changes.state_of(t, changes.replaced(*edits[t]))))
+              for t, df in led.tables().items()}
+    p = changes.postings_from(states, default_years(spark))
+    return p.select("rule", "year", "account", F.col("amt").cast(AMOUNT).alias("amt"))
+
+
+def delivered(df: DataFrame, number: str, money: str) -> DataFrame:
+    """Stand-in deliveries of a table as text, with the number of their load: 1 has most
+    records, 2 new ones, updates and deletions, 3 more of these; 2 comes a second time,
+    and some records come without a key or with a bad number."""
+    k = F.col("id").cast("long")
+
+    def load(n, where, op=None, **values):
+        return F.when(where, F.struct(*(values.get(c, F.col(c)).cast("string").alias(c) for c in df.columns),
+                                      F.lit(op).cast("string").alias("_op"), F.lit(n).alias("load")))
+
+    two = [load(2, k % 5 == 4), load(2, k % 6 == 1, **{money: F.concat(F.lit("1"), F.col(money).cast("string"))}),
+           load(2, k % 7 == 2, "D")]
+    three = [load(3, k % 14 == 2), load(3, k % 12 == 1, "d"), load(3, k % 31 == 7, id=F.lit(None))]
+    one = [load(1, k % 5 != 4), load(1, k % 37 == 5, **{number: F.lit("x")})]
+    return df.select(F.explode(F.array(*three, *two, *one, *two)).alias("r")).filter("r is not null").select("r.*")
+
+
+def q_keyed_load(spark, led):
+    """Loads that come late and twice, merged by key: per table the rows that stand and
+    their money, the keys that are deleted, the rejects of each load."""
+    money = {"sales": "price", "purchases": "amount", "payments": "amount", "loans": "value"}
+    rows = None
+    for name, df in led.tables().items():
+        number = "quantity" if name in ("sales", "purchases") else money[name]
+        raw = delivered(df, number, money[name])
+        records = keyed.typed_load(raw, df.schema, F.col("load"))
+        gone, load = F.col(keyed.DELETED), F.col(keyed.LOAD)
+        won = keyed.winners(records).select(F.when(~gone, load).alias("live"), gone.alias("gone"),
+                                            F.when(~gone, F.col(money[name])).alias("money"), F.lit(None).cast("long").alias("bad"))
+        bad = keyed.rejects(records, name).select(
+            F.lit(None).cast("long").alias("live"), F.lit(None).cast("boolean").alias("gone"),
+            F.lit(None).cast(won.schema["money"].dataType).alias("money"), F.col("load").alias("bad"))
+        one = won.unionByName(bad).select(F.lit(name).alias("table_name"), "live", "gone", F.col("money").cast("decimal(38,2)"), "bad")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.groupBy("table_name").agg(
+        F.count("live").alias("live_rows"), F.sum("live").alias("load_numbers"), F.sum("money").cast("decimal(38,2)").alias("live_total"),
+        F.count_if("gone").alias("deleted_keys"), *(F.count(F.when(F.col("bad") == n, 1)).alias(f"rejects_{n}") for n in (1, 2, 3)))
+
+
 LEDGER_QUERIES: dict[str, LedgerQuery] = {
     "load_ledger": q_load_ledger,
     "load_rejects": q_load_rejects,
@@ -201,6 +282,8 @@ LEDGER_QUERIES: dict[str, LedgerQuery] = {
     "statement_compare": q_statement_compare,
     "flux_yoy": q_flux_yoy,
     "export_rows": q_export_rows,
+    "postings_after_edits": q_postings_after_edits,
+    "keyed_load": q_keyed_load,
 }
 
 

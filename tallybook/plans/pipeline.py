@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.calendars import (YEARLY_END, YEARLY_START, activity_span, calendar_monthly,
                                    calendar_yearly, calendar_years)
@@ -19,10 +20,12 @@ from ..operators.schedules import ACCRUAL_YEARS, accrual_schedule, depreciation_
 from ..operators.postings import LEGACY, PIPELINE, RuleSet, ledger_postings
 from ..operators.statements import (DASHBOARD_END_YEAR, LEGACY_END_YEAR, dashboard,
                                     yearly_summaries)
+from ..refresh.graph import Derived, refresh
 from ..sources.adapter import Ledger, ledger_from_driver
-from ..sources.loader import load_ledger
+from ..sources.loader import OK, load_ledger
 from ..sources.schemas import LEDGER_SCHEMAS
-from ..sources.tables import create_or_replace_view, materialize
+from ..sources.tables import create_or_replace_view
+from ..sources.versions import read_version
 
 
 DEFAULT = "default"
@@ -101,42 +104,53 @@ def run_pipeline(spark: SparkSession, sources: dict, target_dir: str,
                  options: dict | None = None, calendar_start: dt.date = YEARLY_START,
                  calendar_end: dt.date | None = None,
                  accrual_years: Iterable[int] | None = None) -> dict[str, DataFrame]:
-    """The whole refresh: load the raw tables, write the derived tables, create the view.
+    """The whole refresh: load the raw tables, rebuild what is stale, create the view.
 
-    1. ``load_ledger``: typed tables and rejects, written below ``target_dir``;
-    2. the calendar and the depreciation and accrual schedules, written as
-       snapshot tables (as the reference creates them);
+    1. ``load_ledger``: typed tables and rejects, each the next version of its table
+       below ``target_dir``, unless the records are the same as before;
+    2. the calendars and the depreciation and accrual schedules (as the reference
+       creates them), those only whose inputs or settings have changed (``refresh``);
     3. the statements as the live view ``dashboard_flux_analysis`` over the
        loaded tables.
 
-    The calendar ends with 2025, the accruals with 2023, or with a later
-    ``end_year``, unless given. Tables that are absent or have no rows are empty
-    ledger tables. Every step is a Spark job; nothing passes through the driver.
+    Every table is published when it is whole: a run that fails leaves the tables
+    before readable and is made up for by the next one. The calendar ends with 2025,
+    the accruals with 2023, or with a later ``end_year``, unless given. Tables that
+    are absent or have no rows are empty ledger tables. Every step is a Spark job;
+    nothing passes through the driver.
     """
-    tables, rejects = load_ledger(spark, sources, os.path.join(target_dir, "raw"), fmt=fmt,
-                                  options=options)
-    for name in ("sales", "purchases", "payments", "loans"):
-        if name not in tables:
-            tables[name] = spark.createDataFrame([], LEDGER_SCHEMAS[name])
+    raw = os.path.join(target_dir, "raw")
+    sources = {n: sources.get(n, spark.createDataFrame([], s)) for n, s in LEDGER_SCHEMAS.items()}
+    tables, rejects = load_ledger(spark, sources, raw, fmt=fmt, options=options, versioned=True)
     ledger = Ledger(**tables)
     calendar_end = calendar_end or max(YEARLY_END, dt.date(end_year, 12, 31))
     accrual_years = tuple(accrual_years or range(min(ACCRUAL_YEARS), max(*ACCRUAL_YEARS, end_year) + 1))
-    calendar = calendar_yearly(spark, calendar_start, calendar_end)
-    years = calendar_years(calendar)
-    out = {
-        "rejects": rejects,
-        "calendar": materialize(calendar, "calendar", os.path.join(target_dir, "calendar")),
-        "calendar_monthly": materialize(calendar_monthly(spark), "calendar_monthly",
-                                        os.path.join(target_dir, "calendar_monthly")),
-        "equipment_depreciation_schedule": materialize(
-            depreciation_schedule(ledger.payments, years), "equipment_depreciation_schedule",
-            os.path.join(target_dir, "equipment_depreciation_schedule"),
-            partition_by=["year"]),  # at most 9,999 year folders; readers filter by year
-        "expense_accrual_schedule": materialize(
-            accrual_schedule(ledger.payments, years=accrual_years), "expense_accrual_schedule",
-            os.path.join(target_dir, "expense_accrual_schedule")),
-    }
+    derived = derived_tables(calendar_start, calendar_end, accrual_years)
+    refresh(spark, target_dir, derived, at={n: os.path.join(raw, n) for n in LEDGER_SCHEMAS})
+    out = {"rejects": rejects}
+    for t in derived:
+        out[t.name] = create_or_replace_view(read_version(spark, os.path.join(target_dir, t.name)), t.name)
+    years = calendar_years(out["calendar"])
     out["dashboard_flux_analysis"] = create_or_replace_view(
         build_statements(spark, ledger, end_year, years, accrual_years=accrual_years), "dashboard_flux_analysis")
     out.update(tables)
     return out
+
+
+def derived_tables(calendar_start: dt.date, calendar_end: dt.date, accrual_years: tuple[int, ...]) -> list[Derived]:
+    """The snapshot tables of ``run_pipeline`` and what they are made from. Raw
+    payments hold their rejects too (``_status``)."""
+    def loaded(payments: DataFrame) -> DataFrame:
+        return payments.filter(F.col("_status") == OK)
+
+    return [
+        Derived("calendar", (), lambda spark, _: calendar_yearly(spark, calendar_start, calendar_end),
+                settings=f"{calendar_start}..{calendar_end}"),
+        Derived("calendar_monthly", (), lambda spark, _: calendar_monthly(spark)),
+        Derived("equipment_depreciation_schedule", ("payments", "calendar"),
+                lambda spark, t: depreciation_schedule(loaded(t["payments"]), calendar_years(t["calendar"])),
+                partition_by=("year",)),  # at most 9,999 year folders; readers filter by year
+        Derived("expense_accrual_schedule", ("payments",),
+                lambda spark, t: accrual_schedule(loaded(t["payments"]), years=accrual_years),
+                settings=",".join(map(str, accrual_years))),
+    ]

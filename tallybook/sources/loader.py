@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .schemas import LEDGER_SCHEMAS
+from .versions import frame_of, save_version
 
 OK, REJECTED = "ok", "rejected"
 #: The reason of a record with too few or too many fields.
@@ -97,13 +98,15 @@ def _read(spark: SparkSession, src: DataFrame | str, fmt: str, options: dict) ->
 
 def load_ledger(spark: SparkSession, sources: dict[str, DataFrame | str],
                 target_dir: str | None = None, fmt: str = "csv", mode: str = "overwrite",
-                options: dict | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+                options: dict | None = None, versioned: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
     """Full refresh of the raw ledger tables.
 
     ``sources`` maps table name to a DataFrame or a path. Absent tables are
     skipped silently. With ``target_dir`` every table is written once (typed
     rows and rejects in one pass, partitioned by status) and read back, so the
-    returned frames no longer depend on the raw input. Returns the typed
+    returned frames no longer depend on the raw input. ``versioned``: as the next
+    version of the table (``sources.versions``), unless its records are those of the
+    last one; readers of that one never see a half-written table. Returns the typed
     tables and one rejects frame ``(table_name, reason, record)``.
     """
     options = options or {}
@@ -115,9 +118,12 @@ def load_ledger(spark: SparkSession, sources: dict[str, DataFrame | str],
         parsed = parse_records(_read(spark, sources[name], fmt, options), schema)
         if target_dir:
             path = os.path.join(target_dir, name)
-            parsed.write.mode(mode).partitionBy("_status").parquet(path)
-            # the schema is known: a table without rows leaves no file to read it from
-            parsed = spark.read.schema(parsed.schema).parquet(path)
+            if versioned:
+                parsed = frame_of(spark, path, save_version(parsed, path, ["_status"], unless_same=True))
+            else:
+                parsed.write.mode(mode).partitionBy("_status").parquet(path)
+                # the schema is known: a table without rows leaves no file to read it from
+                parsed = spark.read.schema(parsed.schema).parquet(path)
         tables[name] = parsed.filter(F.col("_status") == OK).select(*schema.fieldNames())
         rejects.append(parsed.filter(F.col("_status") == REJECTED).select(
             F.lit(name).alias("table_name"), F.col("_reason").alias("reason"),

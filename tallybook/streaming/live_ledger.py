@@ -1,19 +1,18 @@
-"""Live statements: keep the postings up to date from streams of ledger rows.
+"""Live statements: keep the postings up to date from streams of ledger changes.
 
 The reference's dashboard is a view, so edits to the raw tables reach the
 statements on the next read. Here each raw table is a Structured Streaming
-source (new Parquet files in a folder). Every micro-batch is reduced once, by
-the batch operators' own keys, and written as one small partial:
-
-* sales: quantity and value per product and posting years;
-* purchases: value per product, unit cost and posting years;
-* payments and loans: their postings.
-
-Partials are written per (table, batch) with dynamic partition overwrite, so a
-batch replayed after a failure replaces its own output: exactly once. Balances
-are computed when the statements are read (``live_statements``), because a late
-row changes every later balance, and a new purchase cost changes past COGS (the
-reference joins every sale to every distinct cost of its product).
+source (new Parquet files in a folder) of ledger rows, with a weight ``w`` where
+a row is withdrawn (-1) rather than put in (+1, or no ``w``): an edit is the old row
+with -1 and the new one with +1. Every micro-batch is reduced once to the state
+that its changes add (``operators.changes``) and listed as one small partial.
+
+A batch replayed after a failure replaces its own partial: exactly once.
+``compact_live_postings`` merges partials level by level, beside running streams and
+readers. Balances are computed when the statements are read (``live_statements``),
+because a late row changes every later balance, and a purchase that comes or goes
+may change past COGS (the reference joins every sale to every distinct cost of its
+product).
 """
 
 from __future__ import annotations
@@ -21,36 +20,15 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import cash_lag_date
-from ..operators.postings import (PIPELINE, RuleSet, expanded, loans_posts, payments_posts, product_costs,
-                                  purchase_rules, sales_by_product, sales_posts)
+from ..operators.changes import STATES, WEIGHT, merged, postings_from, state_of
+from ..operators.postings import PIPELINE, RuleSet
 from ..operators.statements import dashboard, yearly_summaries
 from ..plans.pipeline import default_years
+from ..refresh.partials import add_batch, compact, read_partials
 from ..sources.schemas import LEDGER_SCHEMAS
-from ..sources.tables import path_exists
-
-_POSTS = "rule string, year int, account string, amt decimal(38,4)"
-PARTIALS = {
-    "sales": "product_name string, y_sale int, y_cash int, y_ar int, qty bigint, value decimal(38,2)",
-    "purchases": "product_name string, amount decimal(12,2), y_cash int, y_buy int, v decimal(38,2)",
-    "payments": _POSTS,
-    "loans": _POSTS,
-}
-
-
-def _partial(table: str, batch: DataFrame, rules: RuleSet) -> DataFrame:
-    if table == "sales":
-        return sales_by_product(batch).withColumn("value", F.col("value").cast("decimal(38,2)"))
-    if table == "purchases":
-        lagged = cash_lag_date(F.col("purchase_at"), F.col("payment_method"))
-        return batch.groupBy(
-            "product_name", "amount", F.year(lagged).alias("y_cash"), F.year("purchase_at").alias("y_buy"),
-        ).agg(F.sum(F.col("quantity") * F.col("amount")).cast("decimal(38,2)").alias("v"))
-    posts = payments_posts(batch, rules) if table == "payments" else loans_posts(batch)
-    return posts.groupBy("rule", "year", "account").agg(F.sum("amt").cast("decimal(38,4)").alias("amt"))
 
 
 def start_live_postings(spark: SparkSession, sources: dict[str, str], sink: str,
@@ -66,11 +44,9 @@ def start_live_postings(spark: SparkSession, sources: dict[str, str], sink: str,
     queries = []
     for table, path in sources.items():
         def write(batch: DataFrame, batch_id: int, table: str = table) -> None:
-            (_partial(table, batch, rules).withColumn("batch_id", F.lit(batch_id))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(os.path.join(sink, table)))
+            add_batch(state_of(table, batch, rules), os.path.join(sink, table), batch_id)
 
-        stream = (spark.readStream.schema(LEDGER_SCHEMAS[table])
+        stream = (spark.readStream.schema(T.StructType([*LEDGER_SCHEMAS[table].fields, T.StructField(WEIGHT, T.LongType())]))
                   .option("maxFilesPerTrigger", files_per_trigger).parquet(path))
         at = os.path.join(checkpoint or os.path.join(sink, "_checkpoints"), table)
         w = stream.writeStream.foreachBatch(write).option("checkpointLocation", at)
@@ -79,19 +55,16 @@ def start_live_postings(spark: SparkSession, sources: dict[str, str], sink: str,
     return queries
 
 
-def _partials(spark: SparkSession, sink: str, table: str) -> DataFrame:
-    path, schema = os.path.join(sink, table), PARTIALS[table]
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).drop("batch_id")
+def compact_live_postings(spark: SparkSession, sink: str, fanout: int = 8) -> dict[str, int]:
+    """Merge the partials of every table, ``fanout`` at a time; merges done by table.
+
+    A scheduled job; streams may go on writing and readers reading meanwhile."""
+    return {t: compact(spark, os.path.join(sink, t), lambda rows, t=t: merged(t, rows), fanout) for t in STATES}
 
 
 def live_statements(spark: SparkSession, sink: str, end_year: int = 2023,
                     rules: RuleSet = PIPELINE, years: DataFrame | None = None) -> DataFrame:
     """The statements from all partials written so far."""
-    sales, purchases, payments, loans = (_partials(spark, sink, t) for t in PARTIALS)
-    raw = (sales_posts(sales, product_costs(purchases))
-           .unionByName(purchase_rules(purchases.groupBy("y_cash", "y_buy").agg(F.sum("v").alias("v"))))
-           .unionByName(payments).unionByName(loans))
-    posts = expanded(raw, default_years(spark) if years is None else years, rules, end_year, by_rule=False)
+    states = {t: merged(t, read_partials(spark, os.path.join(sink, t), ddl)) for t, ddl in STATES.items()}
+    posts = postings_from(states, default_years(spark) if years is None else years, rules, end_year, by_rule=False)
     return dashboard(yearly_summaries(posts), end_year, rules)
