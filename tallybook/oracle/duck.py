@@ -596,6 +596,40 @@ FROM sales WHERE year(sale_at) <= 2023"""
 SELECT rule, CAST(year AS INTEGER) AS year, account, CAST(sum(amt) AS DECIMAL(38,4)) AS amt
 FROM posts GROUP BY rule, year, account"""
 
+    q["open_receivables"] = _with(MONTHLY_CAL) + """
+SELECT c.calendar_at AS month, count(*) AS n_open, CAST(sum(s.quantity * s.price) AS DECIMAL(38,2)) AS open_value
+FROM mcal c JOIN sales s ON s.payment_method <> 'cash' AND s.sale_at <= c.calendar_at
+     AND c.calendar_at < coalesce(s.payment_at, DATE '9999-12-31')
+GROUP BY c.calendar_at"""
+
+    q["cash_by_record"] = _with("""
+flows AS (
+    SELECT 'sales' AS source, id, payment_at AS moved_at, CAST(quantity * price AS DECIMAL(38,2)) AS amt FROM sales
+    UNION ALL SELECT 'purchases', id, payment_at, -(quantity * amount) FROM purchases
+    UNION ALL SELECT 'loans', id, loan_at, value FROM loans
+    UNION ALL SELECT 'payments', id, payment_date, -amount FROM payments
+)""") + """
+SELECT source, id, moved_at, amt, CAST(sum(amt) OVER (ORDER BY moved_at ASC NULLS LAST) AS DECIMAL(38,2)) AS balance
+FROM flows"""
+
+    q["payments_by_type"] = _with() + """
+SELECT id, payment_date, payment_type, amount,
+       CAST(sum(amount) OVER (PARTITION BY payment_type ORDER BY payment_date ASC NULLS LAST) AS DECIMAL(38,2)) AS paid
+FROM payments"""
+
+    columns = ", ".join(SALES_COLUMNS)
+    q["locate_differences"] = _with(f"""
+copy AS (
+    SELECT id, sale_at, CASE WHEN id % 1009 = 7 THEN NULL ELSE payment_at END AS payment_at, payment_method, product_name,
+           CASE WHEN id % 997 = 5 THEN quantity + 1 ELSE quantity END AS quantity, price
+    FROM sales WHERE id % 101 <> 3 OR id IS NULL
+    UNION ALL SELECT {columns} FROM sales WHERE id % 499 = 9
+),
+two AS (SELECT {columns}, 1 AS l, 0 AS r FROM sales UNION ALL SELECT {columns}, 0, 1 FROM copy)""") + f"""
+SELECT CAST(year(sale_at) AS INTEGER) AS year, CAST(month(sale_at) AS INTEGER) AS month, {columns},
+       CAST(sum(l) AS BIGINT) AS n_left, CAST(sum(r) AS BIGINT) AS n_right
+FROM two GROUP BY ALL HAVING sum(l) <> sum(r)"""
+
     q["keyed_load"] = _with() + "\nUNION ALL ".join(_keyed_branch(*t) for t in (
         ("sales", SALES_COLUMNS, "quantity", "price"), ("purchases", PURCHASE_COLUMNS, "quantity", "amount"),
         ("payments", ("id", "payment_date", "payment_type", "amount"), "amount", "amount"),

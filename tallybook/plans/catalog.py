@@ -7,12 +7,14 @@ postings and summaries, which carry depreciation at 4 places); years are int.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import accounts, audits, calendars, changes, ppe, reports, retained, schedules, statements
+from ..operators import (accounts, audits, balances, calendars, changes, intervals, locate, ppe, reports, retained, schedules,
+                         statements)
 from ..operators.postings import PIPELINE
 from ..refresh import keyed
 from ..sources.adapter import Ledger, ledger_from_driver
@@ -251,6 +253,45 @@ def q_keyed_load(spark, led):
         F.count_if("gone").alias("deleted_keys"), *(F.count(F.when(F.col("bad") == n, 1)).alias(f"rejects_{n}") for n in (1, 2, 3)))
 
 
+def q_open_receivables(spark, led):
+    """At the first of each calendar month, the credit sales that are not paid yet: number and
+    value. A sale without payment date stays open."""
+    open_until = F.coalesce("payment_at", F.lit(dt.date(9999, 12, 31))).alias("until")
+    spans = (led.sales.filter(F.col("payment_method") != "cash").groupBy("sale_at", open_until)
+             .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("quantity") * F.col("price")).alias("v")))
+    months = calendars.calendar_monthly(spark).select(F.col("calendar_at").alias("month"))
+    met = intervals.interval_join(months, spans, "month", "sale_at", "until")
+    return met.groupBy("month").agg(F.sum("n").cast("long").alias("n_open"), F.sum("v").cast("decimal(38,2)").alias("open_value"))
+
+
+def q_cash_by_record(spark, led):
+    """Cash after every single record of all four tables, by its payment date."""
+    def flow(df, name, date, amt):
+        return df.select(F.lit(name).alias("source"), "id", F.col(date).alias("moved_at"), amt.cast("decimal(38,2)").alias("amt"))
+
+    flows = (flow(led.sales, "sales", "payment_at", F.col("quantity") * F.col("price"))
+             .unionByName(flow(led.purchases, "purchases", "payment_at", -(F.col("quantity") * F.col("amount"))))
+             .unionByName(flow(led.loans, "loans", "loan_at", F.col("value")))
+             .unionByName(flow(led.payments, "payments", "payment_date", -F.col("amount"))))
+    return balances.running_records(flows, "amt", "moved_at").withColumn("balance", F.col("balance").cast("decimal(38,2)"))
+
+
+def q_payments_by_type(spark, led):
+    """What has been paid of a type after each payment."""
+    out = balances.running_records(led.payments, "amount", "payment_date", ("payment_type",), out="paid")
+    return out.withColumn("paid", F.col("paid").cast("decimal(38,2)"))
+
+
+def q_locate_differences(spark, led):
+    """The sales records in which a copy with stand-in damage differs from the ledger."""
+    k = F.col("id")
+    copy = led.sales.filter((k % 101 != 3) | k.isNull()).withColumns({
+        "quantity": F.when(k % 997 == 5, F.col("quantity") + 1).otherwise(F.col("quantity")),
+        "payment_at": F.when(k % 1009 == 7, F.lit(None)).otherwise(F.col("payment_at"))})
+    out = locate.locate_differences(led.sales, copy.unionByName(led.sales.filter(k % 499 == 9)), "sale_at", "product_name")
+    return out.select("year", "month", *led.sales.columns, "n_left", "n_right")
+
+
 LEDGER_QUERIES: dict[str, LedgerQuery] = {
     "load_ledger": q_load_ledger,
     "load_rejects": q_load_rejects,
@@ -284,6 +325,10 @@ LEDGER_QUERIES: dict[str, LedgerQuery] = {
     "export_rows": q_export_rows,
     "postings_after_edits": q_postings_after_edits,
     "keyed_load": q_keyed_load,
+    "open_receivables": q_open_receivables,
+    "cash_by_record": q_cash_by_record,
+    "payments_by_type": q_payments_by_type,
+    "locate_differences": q_locate_differences,
 }
 
 
