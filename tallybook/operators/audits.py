@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import amount, cash_lag_date, in_years
 from ..sources.adapter import Ledger
 from ..sources.schemas import REPORT
+from .postings import AUDITED
 
 TOLERANCE = 0.01
 
@@ -122,6 +123,46 @@ def audit_cash(dashboard: DataFrame, ledger: Ledger, years: Iterable[int] | None
     ).orderBy(F.col("year").asc_nulls_last())
 
 
+def _audited(summaries: DataFrame, end_year: int, years: Iterable[int] | None, view: str, measure: str,
+             parts: tuple[str, ...]) -> DataFrame:
+    """Per year the statements' measure, whether they show the year, and the components,
+    from summaries that carry both (``AUDITED``): one aggregate over a row per year and
+    account. Years that have neither are left out."""
+    account, shown = F.col("account"), F.coalesce(F.col("year") <= end_year, F.lit(False))
+    own = ~account.isin(list(AUDITED)) & shown
+    # A year that only other components know has no row.
+    s = summaries.filter(own | account.isin(list(parts)))
+    if years is not None:
+        s = s.filter(F.col("year").isin(list(years)))
+    return s.groupBy("year").agg(
+        F.max(F.when(own & (account == view), F.round(F.col(measure), 2))).alias("view"), F.max(own).alias("in_view"),
+        *[F.max(F.when(account == p, F.col("annual_movement"))).alias(p) for p in parts])
+
+
+def audit_revenue_of(summaries: DataFrame, end_year: int, years: Iterable[int] | None = None,
+                     tol: float = TOLERANCE) -> DataFrame:
+    """``audit_revenue`` of the statements up to ``end_year`` that the summaries make.
+
+    The raw sums come from the same reading of the sales, so this checks what the
+    statements make of the reduced rows. ``audit_revenue`` checks any dashboard, a stored
+    one too, against a reading of its own."""
+    j = _audited(summaries, end_year, years, "Revenue", "annual_movement", ("raw_revenue",))
+    diff = _zero("view") - _zero("raw_revenue")
+    return j.select("year", _zero("view").alias("view_revenue"), _zero("raw_revenue").alias("raw_revenue"),
+                    diff.cast(REPORT).alias("diff"), *_verdict(diff, tol)).orderBy(F.col("year").asc_nulls_last())
+
+
+def audit_cash_of(summaries: DataFrame, end_year: int, years: Iterable[int] | None = None, tol: float = TOLERANCE) -> DataFrame:
+    """``audit_cash`` of the statements up to ``end_year`` that the summaries make; see ``audit_revenue_of``."""
+    parts = ("sales_cash_in", "loan_in", "purchase_out", "expense_out")
+    j = _audited(summaries, end_year, years, "Cash", "running_balance", parts)
+    calc = _zero("sales_cash_in") + _zero("loan_in") - _zero("purchase_out") - _zero("expense_out")
+    diff = calc - _zero("view")
+    return j.select("year", *[_zero(k).alias(k) for k in parts], calc.cast(REPORT).alias("net_cash_calculated"),
+                    _zero("view").alias("view_cash"), diff.cast(REPORT).alias("diff"),
+                    *_verdict(diff, tol)).orderBy(F.col("year").asc_nulls_last())
+
+
 def audit_report(audit: DataFrame) -> DataFrame:
     """Audit lines as labelled, formatted text: one row per (year, component).
 

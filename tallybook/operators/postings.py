@@ -103,7 +103,11 @@ def sales_by_product(sales: DataFrame) -> DataFrame:
     ).agg(F.sum("quantity").alias("qty"), F.sum(F.col("quantity") * F.col("price")).alias("value"))
 
 
-def sales_posts(by_product: DataFrame, costs: DataFrame) -> DataFrame:
+#: Components of the audits, carried beside the accounts as accounts of their own.
+AUDITED = ("raw_revenue", "sales_cash_in", "loan_in", "purchase_out", "expense_out")
+
+
+def sales_posts(by_product: DataFrame, costs: DataFrame, audit: bool = False) -> DataFrame:
     """B1, B2, B9 and, at the products' costs, B6 and B11: all sales rules."""
     r = (by_product.join(costs, "product_name", "left").groupBy("y_sale", "y_cash", "y_ar")
          .agg(F.sum("value").alias("v"), F.sum(-(F.col("qty") * F.col("cost_sum"))).alias("cogs")))
@@ -114,36 +118,39 @@ def sales_posts(by_product: DataFrame, costs: DataFrame) -> DataFrame:
         _post("B9", y_ar, "Accounts_Receivable", v, y_ar.isNotNull()),
         _post("B6", y_sale, "COGS", cogs),
         _post("B11", y_sale, "Inventory", cogs),
+        *([_post("A1", y_sale, "raw_revenue", v), _post("A2", F.col("y_cash"), "sales_cash_in", v)] if audit else []),
     ])
 
 
-def purchases_posts(purchases: DataFrame) -> DataFrame:
+def purchases_posts(purchases: DataFrame, audit: bool = False) -> DataFrame:
     r = _reduce(purchases, [
         F.year(cash_lag_date(F.col("purchase_at"), F.col("payment_method"))).alias("y_cash"),
         F.year("purchase_at").alias("y_buy"),
     ], F.col("quantity") * F.col("amount"))
-    return purchase_rules(r)
+    return purchase_rules(r, audit)
 
 
-def purchase_rules(r: DataFrame) -> DataFrame:
+def purchase_rules(r: DataFrame, audit: bool = False) -> DataFrame:
     """B4 and B10 from purchases reduced to (y_cash, y_buy, v)."""
     v = F.col("v")
     return _explode_posts(r, [
         _post("B4", F.col("y_cash"), "Cash", -v),
         _post("B10", F.col("y_buy"), "Inventory", v),
+        *([_post("A4", F.col("y_cash"), "purchase_out", v)] if audit else []),
     ])
 
 
-def loans_posts(loans: DataFrame) -> DataFrame:
-    return loan_rules(_reduce(loans, [F.year("loan_at").alias("y_loan")], F.col("value")))
+def loans_posts(loans: DataFrame, audit: bool = False) -> DataFrame:
+    return loan_rules(_reduce(loans, [F.year("loan_at").alias("y_loan")], F.col("value")), audit)
 
 
-def loan_rules(r: DataFrame) -> DataFrame:
+def loan_rules(r: DataFrame, audit: bool = False) -> DataFrame:
     """B3 and B12 from loans reduced to (y_loan, v)."""
     v = F.col("v")
     return _explode_posts(r, [
         _post("B3", F.col("y_loan"), "Cash", v),
         _post("B12", F.col("y_loan"), "Loan_Principal", v),
+        *([_post("A3", F.col("y_loan"), "loan_in", v)] if audit else []),
     ])
 
 
@@ -162,13 +169,15 @@ def posted_types(rules: RuleSet) -> list[str]:
                   | {"loan", EQUIPMENT} | ({"rent"} if rules.rent_rule else set()))
 
 
-def payments_posts(payments: DataFrame, rules: RuleSet) -> DataFrame:
+def payments_posts(payments: DataFrame, rules: RuleSet, audit: bool = False) -> DataFrame:
     # Only the used types: Parquet skips the rest and odd values never reach the shuffle.
-    payments = payments.filter(F.col("payment_type").isin(posted_types(rules)))
-    return payment_rules(_reduce(payments, payment_keys(rules), F.col("amount")), rules)
+    # The cash audit counts payments of every type.
+    if not audit:
+        payments = payments.filter(F.col("payment_type").isin(posted_types(rules)))
+    return payment_rules(_reduce(payments, payment_keys(rules), F.col("amount")), rules, audit)
 
 
-def payment_rules(r: DataFrame, rules: RuleSet) -> DataFrame:
+def payment_rules(r: DataFrame, rules: RuleSet, audit: bool = False) -> DataFrame:
     """B5 and B13 to B17 and the equipment from payments reduced to (ptype, y_pay, y_accr, v)."""
     v, ptype, y_pay, y_accr = F.col("v"), F.col("ptype"), F.col("y_pay"), F.col("y_accr")
     is_accr = y_accr.isNotNull()
@@ -183,6 +192,8 @@ def payment_rules(r: DataFrame, rules: RuleSet) -> DataFrame:
     ]
     if rules.rent_rule:
         posts.append(_post("B15", y_pay, "rent", -v, ptype == "rent"))
+    if audit:
+        posts.append(_post("A5", y_pay, "expense_out", v))
     return _explode_posts(r, posts)
 
 
@@ -242,19 +253,22 @@ def expand_equipment(agg: DataFrame, years: DataFrame, life: int = LIFE_YEARS) -
 
 
 def ledger_postings(ledger: Ledger, years: DataFrame, rules: RuleSet = PIPELINE,
-                    end_year: int | None = None, by_rule: bool = True) -> DataFrame:
+                    end_year: int | None = None, by_rule: bool = True, audit: bool = False) -> DataFrame:
     """Postings summed per (rule, year, account): the union of the 17 rules.
 
+    ``audit``: with the audits' components as rows of their own (``AUDITED``), from the
+    same reading of each table.
+
     ``years`` are the calendar years that bound the depreciation schedule.
     With ``end_year`` set, later years are dropped before the shuffle; this is
     safe for running balances, which only look back. With ``by_rule=False``
     the posting rows are returned unsummed; they are already reduced (a few
     rows per table partition), for callers that aggregate them anyway.
     """
-    raw = (sales_posts(sales_by_product(ledger.sales), product_costs(ledger.purchases))
-           .unionByName(purchases_posts(ledger.purchases))
-           .unionByName(loans_posts(ledger.loans))
-           .unionByName(payments_posts(ledger.payments, rules)))
+    raw = (sales_posts(sales_by_product(ledger.sales), product_costs(ledger.purchases), audit)
+           .unionByName(purchases_posts(ledger.purchases, audit))
+           .unionByName(loans_posts(ledger.loans, audit))
+           .unionByName(payments_posts(ledger.payments, rules, audit)))
     return expanded(raw, years, rules, end_year, by_rule)
 
 

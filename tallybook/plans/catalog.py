@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from ..operators import (accounts, audits, balances, calendars, changes, intervals, locate, ppe, reports, retained, schedules,
                          statements)
 from ..operators.postings import PIPELINE
+from ..operators.statements import DASHBOARD_END_YEAR
 from ..refresh import keyed
 from ..sources.adapter import Ledger, ledger_from_driver
 from ..sources.loader import as_text, load_summary, records_from_lines, reject_summary
 from ..sources.schemas import AMOUNT
-from .pipeline import build_legacy_statements, build_statements, default_years, postings_for
+from .pipeline import audit_summaries, build_legacy_statements, build_statements, default_years, postings_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 LedgerQuery = Callable[[SparkSession, Ledger], DataFrame]
@@ -146,19 +147,19 @@ def q_retained_earnings_corrected(spark, led):
 
 
 def q_audit_revenue(spark, led):
-    return audits.audit_revenue(build_statements(spark, led), led.sales)
+    return audits.audit_revenue_of(audit_summaries(spark, led), DASHBOARD_END_YEAR)
 
 
 def q_audit_cash(spark, led):
-    return audits.audit_cash(build_statements(spark, led), led)
+    return audits.audit_cash_of(audit_summaries(spark, led), DASHBOARD_END_YEAR)
 
 
 def q_audit_revenue_2021(spark, led):
-    return audits.audit_revenue(build_statements(spark, led), led.sales, years=[2021])
+    return audits.audit_revenue_of(audit_summaries(spark, led), DASHBOARD_END_YEAR, years=[2021])
 
 
 def q_audit_cash_2021(spark, led):
-    return audits.audit_cash(build_statements(spark, led), led, years=[2021])
+    return audits.audit_cash_of(audit_summaries(spark, led), DASHBOARD_END_YEAR, years=[2021])
 
 
 def q_statement_compare(spark, led):

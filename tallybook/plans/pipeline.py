@@ -91,6 +91,14 @@ def build_statements(spark: SparkSession, ledger: Ledger | str,
                        accrual_years, carry_forward)
 
 
+def audit_summaries(spark: SparkSession, ledger: Ledger | str, years: DataFrame | None = None,
+                    rules: RuleSet = PIPELINE) -> DataFrame:
+    """Yearly summaries that carry the audits' components, one reading of each table:
+    for ``audits.audit_revenue_of`` and ``audits.audit_cash_of``."""
+    years = default_years(spark) if years is None else years
+    return yearly_summaries(ledger_postings(_as_ledger(spark, ledger), years, rules, by_rule=False, audit=True))
+
+
 def build_legacy_statements(spark: SparkSession, ledger: Ledger | str,
                             end_year: int | None = LEGACY_END_YEAR, years: DataFrame | None = None,
                             accrual_years: Iterable[int] | None | str = DEFAULT) -> DataFrame:
