@@ -1,13 +1,15 @@
 """Operator 10 [native]: licence notices by Dice coefficient over word bigrams.
 
-A document's units are its lines, its paragraphs (parted by blank lines) and
-the whole text, normalised: lower case, runs of anything but letters and
+A document's units are its lines, its paragraphs (parted by blank lines), its
+sentences (parted by blanks after ``.``, ``!`` or ``?``, within lines and over them)
+and the whole text, normalised: lower case, runs of anything but letters and
 digits one blank. A unit of n words has the bag of its n - 1 word bigrams, and
 
     dice(A, T) = 2 * |A and T as bags| / (|A| + |T|)
 
 which is at least t only if t / (2 - t) * |T| <= |A| <= (2 - t) / t * |T|.
-Word counts alone prune by these bounds, before any bigram is made.
+Word counts alone prune by these bounds, before any bigram is made, and an index
+from the templates' rarest bigrams leads to the few templates that a unit can reach.
 
 Built-in functions only; the templates are a literal of fixed size in the
 plan. One pass, and one small shuffle of the hits. Null or empty text: no
@@ -18,6 +20,7 @@ of a row count once; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from fractions import Fraction
 
@@ -159,19 +162,48 @@ def template_rows(templates: dict[str, list[str]], permille: int) -> list[tuple]
     return out
 
 
-def _literal(rows: list[tuple]) -> str:
-    def quoted(s: str) -> str:
-        return "'" + s.replace("'", "''") + "'"
+#: Places of the literal index; a bigram's list is looked up by its checksum.
+_INDEX = 4096
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
 
+def _literal(rows: list[tuple]) -> str:
+    """The templates, by number."""
     parts = []
     for name, n, least, most, grams in rows:
-        bag = ", ".join(f"named_struct('gram', {quoted(g)}, 'times', {k})" for g, k in grams)
-        said = ", ".join(quoted(g) for g, _ in grams)
-        parts.append(f"named_struct('license_id', {quoted(name)}, 'n', {n}, 'least', {least}, 'most', {most}, "
-                     f"'grams', array({said}), 'bag', array({bag}))")
+        bag = ", ".join(f"named_struct('gram', {_quoted(g)}, 'times', {k})" for g, k in grams)
+        parts.append(f"named_struct('license_id', {_quoted(name)}, 'n', {n}, 'least', {least}, 'most', {most}, "
+                     f"'bag', array({bag}))")
     return f"array({', '.join(parts)})"
 
 
+def index_of(rows: list[tuple]) -> dict[str, list[int]]:
+    """Bigram -> numbers of the templates that it leads to. A unit that reaches the limit
+    misses ``n - least`` of a template's bigrams at the most, so it has one of any
+    ``n - least + 1``: the rarest ones are indexed."""
+    times = Counter(g for *_, grams in rows for g, _ in grams)
+    out: dict[str, list[int]] = {}
+    for number, (_, n, least, _, grams) in enumerate(rows, 1):
+        need = n - int(least) + 1
+        for g, k in sorted(grams, key=lambda x: (times[x[0]], x[0])):
+            if need <= 0:
+                break
+            out.setdefault(g, []).append(number)
+            need -= k
+    return out
+
+
+def _index_literal(rows: list[tuple]) -> str:
+    places: list[list[str]] = [[] for _ in range(_INDEX)]
+    for g, numbers in sorted(index_of(rows).items()):
+        places[zlib.crc32(g.encode()) % _INDEX].append(f"named_struct('gram', {_quoted(g)}, 'at', array({', '.join(map(str, numbers))}))")
+    none = "filter(array(named_struct('gram', '', 'at', array(0))), x -> false)"
+    return "array(" + ", ".join(f"array({', '.join(p)})" if p else none for p in places) + ")"
+
+
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  templates: dict[str, list[str]] | None = None, permille: int = 800) -> DataFrame:
     """doc_id, license_id, n_units, best_permille: the units of a document with
@@ -179,38 +211,41 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     to another's."""
     rows = template_rows(templates or TEMPLATES, permille)
     least, most = min(r[2] for r in rows), max(r[3] for r in rows)
-    # Whole documents without any key word go before they are split, units after.
-    keys = key_words(rows, permille)
-
-    def keyed(col: str) -> str:
-        return " or ".join(f"contains({col}, '{w}')" for w in keys)
-
-    normal = F.expr(r"regexp_replace(lower(text), '[^\\p{L}\\p{N}\\n]+', ' ')")
-    units = (id_text(docs, id_col, text_col).where("text is not null").select("doc_id", normal.alias("t"))
-             .where(keyed("t"))
-             .selectExpr("doc_id", r"""explode(array_distinct(transform(
-                 concat(split(t, '\\n'), split(t, '\\n ?(\\n ?)+'), array(t)),
-                 u -> trim(regexp_replace(u, '[ \\n]+', ' '))))) as unit""")
+    # Whole words of which every hit has one: first of the document, then of the unit.
+    word = "|".join(key_words(rows, permille))
+    units = (id_text(docs, id_col, text_col).where("text is not null").select("doc_id", F.lower("text").alias("t"))
+             .where(F.col("t").rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{word})(?![\p{{L}}\p{{N}}])"))
+             .select("doc_id", F.explode(F.array_distinct(F.transform(F.expr(UNITS), _unit))).alias("unit"))
              .where(f"length(unit) - length(replace(unit, ' ', '')) between {least} and {most}")
-             .where(keyed("unit"))
+             .where(F.concat(F.lit(" "), "unit", F.lit(" ")).rlike(f" (?:{word}) "))
              .selectExpr("doc_id", "split(unit, ' ') as w")
              .selectExpr("doc_id", "transform(sequence(1, size(w) - 1), "
                                    "k -> concat(w[k - 1], ' ', w[k])) as grams"))
-    # The distinct bigrams in common, found by hashing, bound the bags' overlap:
-    # few pairs are left whose bags are counted out.
-    both = ("aggregate(t.bag, 0, (sum, b) -> sum + least(b.times, "
-            "size(filter(grams, g -> g = b.gram))))")
-    hits = (f"filter(transform(filter({_literal(rows)}, t -> size(grams) between t.least and t.most "
-            f"and 2000 * (size(array_intersect(grams, t.grams)) + t.n - size(t.grams)) >= {permille} * (size(grams) + t.n)), "
+    # The unit's bigrams lead to few templates; their bags are counted out.
+    numbers = (f"array_distinct(flatten(transform(grams, g -> flatten(transform(filter(element_at({_index_literal(rows)}, "
+               f"int(crc32(cast(g as binary)) % {_INDEX}) + 1), e -> e.gram = g), e -> e.at)))))")
+    near = units.selectExpr("grams", "doc_id", f"transform({numbers}, k -> element_at({_literal(rows)}, k)) as near")
+    both = "aggregate(t.bag, 0, (sum, b) -> sum + least(b.times, size(filter(grams, g -> g = b.gram))))"
+    hits = (f"filter(transform(filter(near, t -> size(grams) between t.least and t.most), "
             f"t -> struct(2000 * {both} div (size(grams) + t.n) as permille, t.license_id as license_id)), "
             f"h -> h.permille >= {permille})")
-    return (units.selectExpr("doc_id", f"{hits} as hits")
+    return (near.selectExpr("doc_id", f"{hits} as hits")
             .selectExpr("doc_id", "explode(array_distinct(filter(hits, "
                                   "h -> h.permille = array_max(hits).permille))) as hit")
             .groupBy("doc_id", F.col("hit.license_id").alias("license_id"))
             .agg(F.count("*").alias("n_units"), F.max("hit.permille").cast("long").alias("best_permille")))
 
 
+#: Units of a lower-cased text ``t``: lines, paragraphs, sentences of lines and of the text, all of it.
+UNITS = r"""concat(split(t, '\\n'), split(t, '\\n[^\\p{L}\\p{N}\\n]*\\n'),
+    split(regexp_replace(t, '([.!?])[ \\t\\r\\f]+', '$1\n'), '\\n'),
+    split(regexp_replace(t, '([.!?])[ \\t\\r\\f\\n]+', '$1\u0001'), '\\x01'), array(t))"""
+
+
+def _unit(u):
+    return F.trim(F.regexp_replace(u, r"[^\p{L}\p{N}]+", " "))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices of every document."""
     return license_scan(documents(spark, sf_dir))
@@ -224,16 +259,17 @@ def oracle() -> str:
         rows.append(f"('{name}', {n}, [{bag}])")
     return f"""
 with templates(license_id, n, bag) as (values {', '.join(rows)}),
-norm as (select doc_id, regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g') as t from documents),
-units as (select distinct doc_id, trim(regexp_replace(u, '[ \\n]+', ' ', 'g')) as unit from (
-  select doc_id, unnest(list_concat(list_concat(string_split(t, chr(10)),
-    string_split_regex(t, '\\n ?(\\n ?)+')), [t])) as u from norm)),
+low as (select doc_id, lower(text) as t from documents),
+units as (select distinct doc_id, trim(regexp_replace(u, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) as unit from (
+  select doc_id, unnest(list_concat(list_concat(list_concat(string_split(t, chr(10)), string_split_regex(t, '\\n[^\\p{{L}}\\p{{N}}\\n]*\\n')),
+    list_concat(string_split(regexp_replace(t, '([.!?])[ \\t\\r\\f]+', '\\1' || chr(10), 'g'), chr(10)),
+      string_split(regexp_replace(t, '([.!?])[ \\t\\r\\f\\n]+', '\\1' || chr(1), 'g'), chr(1)))), [t])) as u from low)),
 words as (select doc_id, unit, string_split(unit, ' ') as w from units
-  where length(unit) - length(replace(unit, ' ', '')) between 1 and 400),
+  where length(unit) - length(replace(unit, ' ', '')) >= 1),
 grams as (select doc_id, unit, list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]) as g from words),
 tried as (select distinct doc_id, unit, license_id, 2000 * cast(list_sum(list_transform(bag,
     lambda b: least(b.times, len(list_filter(g, lambda x: x = b.gram))))) as bigint) // (len(g) + n) as permille
-  from grams join templates on list_has_any(g, list_transform(bag, lambda b: b.gram)))
+  from grams join templates on 2 * len(g) <= 3 * n and list_has_any(g, list_transform(bag, lambda b: b.gram)))
 select doc_id, license_id, count(*) as n_units, max(permille) as best_permille
 from (select *, max(permille) over (partition by doc_id, unit) as top from tried)
 where permille >= 800 and permille = top group by doc_id, license_id"""
