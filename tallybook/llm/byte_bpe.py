@@ -23,7 +23,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm.common import documents, id_text, sha
+from tallybook.llm.common import documents, held, id_text, sha
 from tallybook.llm.perfect_hash import PerfectHash
 
 
@@ -123,14 +123,8 @@ class Encoder(dict):
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids))
 
 
-#: The encoder of this worker process, if it had a task before: (pattern, ranks, encoder).
-_LAST: list[tuple[str, dict[bytes, int], Encoder]] = []
-
-
 def _encoder(ranks: dict[bytes, int], pattern: str) -> Encoder:
-    if not _LAST or _LAST[0][:2] != (pattern, ranks):
-        _LAST[:] = [(pattern, ranks, Encoder(ranks, pattern))]
-    return _LAST[0][2]
+    return held("byte_bpe", (pattern, ranks), lambda: Encoder(ranks, pattern))
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: dict[bytes, int] | None = None,

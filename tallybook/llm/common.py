@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.session import ensure_checkpoint_dir
+from tallybook.sources.tables import drop_table
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -89,6 +90,25 @@ def map_texts(docs: DataFrame, row: Callable[[str], tuple], fields: list[tuple[s
     return docs.mapInArrow(run, f"doc_id long, {ddl}")
 
 
+#: What this worker process keeps from task to task: (whose, by which parameters, object).
+_HELD: list[tuple] = []
+
+
+def held(whose: str, key, make: Callable[[], object]):
+    """An object that the tasks of one operator share in a worker process. It goes when
+    another operator's tasks, or those with other parameters, come to the process: a
+    worker never holds the memory of two."""
+    if not _HELD or _HELD[0][0] != whose or _HELD[0][1] != key:
+        _HELD.clear()
+        _HELD.append((whose, key, make()))
+    return _HELD[0][2]
+
+
+def let_go() -> None:
+    """Free what earlier tasks of other operators have left in this worker process."""
+    _HELD.clear()
+
+
 def sha(text: str | bytes) -> str:
     return hashlib.sha256(text.encode() if isinstance(text, str) else text).hexdigest()
 
@@ -107,4 +127,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete what ``stage`` has written for these frames. For tables that nothing reads any
+    more, also no task that may run again: all that was made from them is written."""
+    for df in frames:
+        path = getattr(df, "_staged", None)
+        if path:
+            drop_table(df.sparkSession, path)

@@ -11,14 +11,18 @@ frequent words, of any length. Where they make up less than ``min_cover`` of a
 language's words (languages written without blanks, whose "words" are phrases),
 the language has no word reference: 50 words or more that hold none of them
 would say nothing. A document that is far from its own language by words only
-is not held against languages without word reference. A
+is not held against languages without word reference. A language needs
+``min_docs`` documents to be a reference, and the ``max_refs`` languages of most words
+are; a document of another language is held against all references at once, by
+the classes that hardly depend on the language (letters, digits, sentence marks, other
+marks; blanks left out), and rejected if it is far from each. A
 distance counts only from a minimum length on, below which a histogram says
 little: ``min_letters`` characters for classes, ``min_words`` words for words;
 and the limit of the word distance, whose noise falls with the root of the
 length, is ``max_word`` + 1 / sqrt(n_words).
 
-Null text: no words. A null language is a language of its own; one without
-reference rejects nothing. Null and repeated doc_ids are judged
+Null text: no words. A null language is a language of its own, and so is that of a
+table without the column. Without any reference nothing is rejected but by the base rules. Null and repeated doc_ids are judged
 like any other row; an empty table gives an empty result.
 """
 
@@ -27,15 +31,17 @@ from __future__ import annotations
 import math
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import column, documents, keep_rows, numbered
+from tallybook.llm.common import column, documents, keep_rows, let_go, numbered, release, stage
 
 #: Character classes: vowels and consonants as ASCII letters of their own kind,
 #: other letters, upper case, digits, blanks, sentence marks, other marks.
@@ -123,16 +129,31 @@ def js_distance(p: list[float], q: list[float]) -> float:
     return math.sqrt(max(d / 2, 0.0))
 
 
+def _has(docs: DataFrame, name: str) -> bool:
+    return name.lower() in [c.lower() for c in docs.columns]
+
+
 def _typed(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    has_lang = lang_col.lower() in [c.lower() for c in docs.columns]
-    lang = F.col(column(docs, lang_col)) if has_lang else F.lit(None)
+    lang = F.col(column(docs, lang_col)) if _has(docs, lang_col) else F.lit(None)
     return numbered(docs).select(F.col(column(docs, id_col)).cast("long").alias("doc_id"),
                                  F.col(column(docs, text_col)).cast("string").alias("text"),
                                  lang.cast("string").alias("lang"))
 
 
-#: Code points of text whose counts a task holds at a time.
-PART = 1 << 24
+#: What a task holds at a time of its counts: distinct words, and bytes of them; and rows
+#: of a batch that it hands on.
+PART_WORDS, PART_BYTES, SLICE = 100_000, 4 << 20, 8192
+
+#: The classes in groups that hardly depend on the language; None: left out.
+COARSE = (0, 0, 0, 0, 1, None, 2, 3)
+
+
+def coarse(classes: list[int]) -> list[int]:
+    out = [0] * 4
+    for group, n in zip(COARSE, classes):
+        if group is not None:
+            out[group] += n
+    return out
 
 
 def top_items(counts: DataFrame, n: int) -> DataFrame:
@@ -147,59 +168,89 @@ def top_items(counts: DataFrame, n: int) -> DataFrame:
     return first(first(salted, "lang", "kind", "salt").drop("salt"), "lang", "kind")
 
 
-def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-               n_common: int = 64, min_cover: float = 0.2) -> dict[str | None, tuple[dict[str, int], list[int]]]:
-    """Per language: counts of its common words, and of character classes.
+class Parts:
+    """A task's counts by language, handed on whenever they reach their bounds."""
+
+    def __init__(self):
+        self.words: dict[str | None, Counter] = {}
+        self.rest: dict[str | None, list[int]] = {}
+        self.held = self.size = 0
+
+    def add(self, lang: str | None, got: Text) -> None:
+        words = self.words.setdefault(lang, Counter())
+        before = len(words)
+        words.update(got.count)
+        self.held += len(words) - before
+        self.size += (len(words) - before) * (sum(map(len, got.count)) // max(1, len(got.count)))
+        rest = self.rest.setdefault(lang, [0] * (len(CLASSES) + 2))
+        for k, n in enumerate((*got.class_counts(), len(got.ids), 1)):
+            rest[k] += n
+
+    def full(self) -> bool:
+        return self.held >= PART_WORDS or self.size >= PART_BYTES or len(self.rest) >= PART_WORDS
+
+    def rows(self) -> Iterator[tuple]:
+        """(lang, kind, item, n), and nothing is held any more."""
+        for lang, rest in self.rest.items():
+            yield from ((lang, "c", c, n) for c, n in zip((*CLASSES, "words", "docs"), rest))
+        self.rest = {}
+        while self.words:
+            lang, words = self.words.popitem()
+            while words:
+                word, n = words.popitem()
+                yield lang, "w", word.decode(), n
+        self.held = self.size = 0
+
 
-    One pass over all documents. Each task adds up (language, word) counts of
-    ``PART`` code points of its documents at a time before anything is shuffled.
-    What comes to the driver is ``n_common`` words, eight classes and the number
-    of words a language.
+def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+               n_common: int = 64, min_cover: float = 0.2, min_docs: int = 20,
+               max_refs: int = 200) -> dict[str | None, tuple[dict[str, int], list[int]]]:
+    """Per language of ``min_docs`` documents, the ``max_refs`` of most words at the
+    most: counts of its common words, and of character classes.
+
+    One pass over all documents. Each task adds up (language, word) counts of bounded
+    size before anything is shuffled. What comes to the driver is ``n_common`` words and
+    the classes of ``max_refs`` languages.
     """
-    def rows(parts):
-        for lang, (words, classes) in parts.items():
-            yield from ((lang, "w", w.decode(), n) for w, n in words.items())
-            yield from ((lang, "c", c, n) for c, n in zip(CLASSES, classes))
-            yield lang, "all", "", words.total()
-
-    def batch_of(parts):
-        lang, kind, item, n = zip(*rows(parts))
-        return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(kind, pa.string()),
-                                           pa.array(item, pa.string()), pa.array(n, pa.int64())],
-                                          names=["lang", "kind", "item", "n"])
+    def batches_of(rows):
+        while part := list(islice(rows, SLICE)):
+            lang, kind, item, n = zip(*part)
+            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(kind, pa.string()),
+                                              pa.array(item, pa.string()), pa.array(n, pa.int64())],
+                                             names=["lang", "kind", "item", "n"])
 
     def run(batches):
-        parts, size = {}, 0
+        let_go()
+        parts = Parts()
         for batch in batches:
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                got = Text.of(text or "")
-                if base_failed(len(got.ids), got.n_repeat_words()):
-                    continue
-                words, classes = parts.setdefault(lang, (Counter(), [0] * len(CLASSES)))
-                words.update(got.count)
-                for k, n in enumerate(got.class_counts()):
-                    classes[k] += n
-                size += len(text)
-                if size >= PART:
-                    yield batch_of(parts)
-                    parts, size = {}, 0
-        if parts:
-            yield batch_of(parts)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    got = Text.of(text or "")
+                    if base_failed(len(got.ids), got.n_repeat_words()):
+                        continue
+                    parts.add(lang, got)
+                    if parts.full():
+                        yield from batches_of(parts.rows())
+        yield from batches_of(parts.rows())
 
     counts = (_typed(docs, id_col, text_col, lang_col).select("text", "lang")
               .mapInArrow(run, "lang string, kind string, item string, n long")
               .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")))
-    kept = top_items(counts, max(n_common, len(CLASSES))).collect()
-    out: dict = {}
-    n_words: dict = {}
-    for r in sorted(kept, key=lambda r: (-r["n"], r["item"])):
-        words, classes = out.setdefault(r["lang"], ({}, [0] * len(CLASSES)))
-        if r["kind"] == "c":
-            classes[CLASSES.index(r["item"])] = r["n"]
-        elif r["kind"] == "all":
-            n_words[r["lang"]] = r["n"]
-        elif len(words) < n_common:
-            words[r["item"]] = r["n"]
+    # Some rows a language are counted twice over, words once: the table is written.
+    counts = stage(counts, "word-counts")
+    known = (counts.where("kind = 'c'").groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("item", "n"))).alias("c"))
+             .where(F.col("c")["docs"] >= min_docs).orderBy(F.desc(F.col("c")["words"]), "lang").limit(max_refs))
+    out, n_words = {}, {}
+    for lang, c in known.collect():
+        out[lang], n_words[lang] = ({}, [c[k] for k in CLASSES]), c["words"]
+    if out:
+        named = F.col("lang").isin([x for x in out if x is not None])
+        of_these = (named | F.col("lang").isNull()) if None in out else named
+        kept = top_items(counts.where("kind = 'w'").where(of_these), n_common).collect()
+        for r in sorted(kept, key=lambda r: (-r["n"], r["item"])):
+            out[r["lang"]][0][r["item"]] = r["n"]
+    release(counts)
     for lang, (words, _) in out.items():
         if sum(words.values()) < min_cover * n_words[lang]:
             words.clear()
@@ -217,12 +268,23 @@ class Judge:
 
     def __post_init__(self):
         self.words_of = {lang: [w.encode() for w in common] for lang, (common, _) in self.refs.items()}
+        self.coarse_refs = [coarse(classes) for _, classes in self.refs.values()]
+
+    def stranger(self, got: Text, text: str) -> float:
+        """Distance of a text whose language has no reference: of coarse classes, to the nearest one."""
+        if len(text) < self.min_letters or not self.coarse_refs:
+            return 0.0
+        own = coarse(got.class_counts())
+        return min(js_distance(own, ref) for ref in self.coarse_refs)
 
     def __call__(self, text: str, lang: str | None) -> tuple:
         """The features, both distances, base_failed, kept."""
         got = Text.of(text)
         base = got.features(text)
         failed = base_failed(base[0], base[4])
+        if lang not in self.refs:
+            far = self.stranger(got, text)
+            return (*base, far, 0.0, failed, not failed and far <= self.max_class)
         own = self.distances(got, text, lang)
         for other in () if failed or self.near(own, base[0]) else self.refs:
             if not self.refs[other][0] and own[0] <= self.max_class:
@@ -257,6 +319,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                         ("base_failed", pa.bool_()), ("kept", pa.bool_())])
 
     def run(batches):
+        let_go()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -271,7 +334,9 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The documents that pass, with all their columns."""
     judge = Judge(references(docs, id_col, text_col, lang_col))
-    return keep_rows(docs, lambda: lambda text, lang: judge(text or "", lang)[-1], [text_col, lang_col])
+    if _has(docs, lang_col):
+        return keep_rows(docs, lambda: lambda text, lang: judge(text or "", lang)[-1], [text_col, lang_col])
+    return keep_rows(docs, lambda: lambda text: judge(text or "", None)[-1], [text_col])
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

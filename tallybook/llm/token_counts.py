@@ -28,7 +28,7 @@ from array import array
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm.common import documents, id_text
+from tallybook.llm.common import documents, held, id_text
 
 MARK = "▁"
 RANK_SHIFT = 10
@@ -129,14 +129,8 @@ class Counts(dict):
         return len(words), sum(map(self.__getitem__, words))
 
 
-#: The counts of this worker process, if it had a task before.
-_LAST: list[Counts] = []
-
-
 def _counts(pieces: dict[str, float], max_nodes: int) -> Counts:
-    if not _LAST or _LAST[0].trie.pieces != pieces or _LAST[0].trie.max_nodes != max_nodes:
-        _LAST[:] = [Counts(Trie(pieces, max_nodes))]
-    return _LAST[0]
+    return held("token_counts", (max_nodes, pieces), lambda: Counts(Trie(pieces, max_nodes)))
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
