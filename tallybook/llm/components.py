@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import stage
+from tallybook.llm.common import release, stage
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,8 @@ def stars(edges: DataFrame) -> DataFrame:
 
     ``edges``: (a long, b long), a <> b, in any order, repeated or not."""
     while True:
-        edges = stage(_small(_large(edges)), "stars")
+        before, edges = edges, stage(_small(_large(edges)), "stars")
+        release(before)
         twice = edges.groupBy("a").count().where("count > 1").limit(1)
         chained = edges.join(edges.select(F.col("a").alias("c")), F.col("b") == F.col("c"), "left_semi").limit(1)
         if twice.isEmpty() and chained.isEmpty():

@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import column, documents, numbered, stage
+from tallybook.llm.common import column, documents, numbered, release, stage
 
 FANOUT = 8
 #: Leaves in a range partition, about.
@@ -118,6 +118,7 @@ def placed(leaves: DataFrame, name: str, block_levels: int) -> DataFrame:
 
     ddl = ", ".join(f"{n} {t}" for n, t in dealt.dtypes)
     dealt = stage(dealt.mapInArrow(run, f"{ddl}, nth long"), f"{name}-sorted")
+    release(leaves)
     counts = dealt.groupBy("grp", "part").agg(F.count("*").alias("n"))
     group = Window.partitionBy("grp")
     before = group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -172,11 +173,14 @@ def exchange(blocks: DataFrame, r: int) -> DataFrame:
 
 def butterfly(blocks: DataFrame, name: str) -> DataFrame:
     """All rounds: ``root`` is the group's, ``upper`` the path from the block's root to it."""
-    blocks = stage(blocks, f"{name}-blocks")
+    start = blocks = stage(blocks, f"{name}-blocks")
     most, r = blocks.agg(F.max("blocks")).first()[0] or 0, 0
     while most > FANOUT ** r:
         blocks, r = exchange(blocks, r), r + 1
-    return stage(blocks, f"{name}-met") if r else blocks
+    if r:
+        blocks = stage(blocks, f"{name}-met")
+        release(start)
+    return blocks
 
 
 def manifest(docs: DataFrame, fields: list[str], group_col: str, key_col: str,

@@ -16,7 +16,8 @@
    filtering: with shingles in order of rarity, a pair similar enough shares a
    shingle early enough in both, and odd sketches of the whole sets, which
    differ in no more bits than the sets in shingles, do not differ in too many.
-   Pairs within a component are never listed, and
+   Sets meet by shingle and size, so texts that share a frame, but less than the
+   threshold, do not meet in it. Pairs within a component are never listed, and
    far fewer pairs pass than share a bucket. These are confirmed as well.
 5. Components by star steps; the smallest doc_id of each names it.
 
@@ -41,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import column, documents, id_text, numbered, stage
+from tallybook.llm.common import column, documents, id_text, numbered, release, stage
 from tallybook.llm.components import stars
 from tallybook.llm.perfect_hash import mix
 
@@ -163,36 +164,65 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
-def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a pair once: sets of different roots that can be similar enough.
+#: Sizes of one band differ by 2 % at the most.
+_BAND = math.log(1.02)
 
-    ``sets``: node, root, words, parity. Exact: in any order of the shingles, two sets
-    of sizes n and m with an overlap of at least
-    percent * (n + m) / (100 + percent) have their first common shingle at
-    places i and j with 1 + min(n - i, m - j) no less than that. Rare shingles
-    come first, those of one set only before all others; these take places but
-    need no rows. And the odd sketches of the whole sets differ in no more bits
-    than the sets in shingles, of which (100 - percent) * (n + m) / (100 + percent)
-    are allowed.
-    """
+
+def prefix_rows(sets: DataFrame, percent: int) -> DataFrame:
+    """w, node, root, n, left: the shingles that a set may share first with another one
+    similar enough, ``left`` of them from this one on. Rare shingles come first, those
+    of one set only before all others; these take places but need no rows."""
     each = sets.select("node", "root", F.size("words").alias("n"), F.explode("words").alias("w"))
     shared = each.groupBy("w").agg(F.count("*").alias("times")).where("times > 1")
     of_node = Window.partitionBy("node")  # no more rows than its text has words
-    rows = (each.join(shared, "w")
-            .withColumn("place", F.col("n") - F.count("*").over(of_node) + F.row_number().over(of_node.orderBy("times", "w")))
-            .where(f"100 * (n - place + 1) >= {percent} * n").select("w", "node", "root", "n", "place"))
-    rows = stage(rows.join(sets.select("node", "parity"), "node").select("w", "node", "root", "n", "place", "parity"), "prefixes")
-    # Of each shingle, the root with the most rows needs no pairs among its own.
-    big = (rows.groupBy("w", "root").agg(F.count("*").alias("m")).groupBy("w")
-           .agg(F.max_by("root", "m").alias("big"), F.count("*").alias("roots")).where("roots > 1"))
-    few = rows.join(big.select("w", "big"), "w").where("root <> big")
-    left, right = few.toDF("w", "a", "ra", "na", "ia", "pa", "big"), rows.toDF("w", "b", "rb", "nb", "ib", "pb")
+    return (each.join(shared, "w")
+            .withColumn("left", F.count("*").over(of_node) - F.row_number().over(of_node.orderBy("times", "w")) + 1)
+            .where(f"100 * left >= {percent} * n").select("w", "node", "root", "n", "left"))
+
+
+def prefix_candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b, na, nb), a the smaller set, of pairs of different roots that meet in a shingle
+    from which on both can still hold all that they have to share; a pair as often as
+    it meets.
+
+    An overlap of percent * (n + m) / (100 + percent) is asked for, so from a first
+    common shingle on with ``left`` more, a set has partners up to a certain size only:
+    the smaller set goes to the bands of these sizes, the larger one to its own. A
+    shingle that very many sets share brings together only those of fitting sizes:
+    sets that have too much of their own before it have no fitting size at all.
+    """
+    def band(n: str) -> str:
+        return f"int(floor(ln({n}) / {_BAND}))"
+
+    most = f"least(100 * n div {percent}, {100 + percent} * left div {percent} - n)"
+    small = (rows.withColumn("most", F.expr(most)).where("most >= n")
+             .withColumn("band", F.explode(F.expr(f"sequence({band('n')}, {band('most')})"))))
+    large = rows.withColumn("band", F.expr(band("n")))
+    # Of each shingle and band, the root with the most rows needs no pairs among its own.
+    big = (large.groupBy("w", "band", "root").agg(F.count("*").alias("m")).groupBy("w", "band")
+           .agg(F.max_by("root", "m").alias("big")))
+    fits = (f"ra <> rb and (na < nb or (na = nb and a < b)) and nb <= most "
+            f"and {100 + percent} * least(la, lb) >= {percent} * (na + nb)")
+    one = small.join(big.select("w", "band", "big"), ["w", "band"]).toDF("w", "band", "a", "ra", "na", "la", "most", "big")
+    two = large.join(big.select("w", "band", "big"), ["w", "band"]).toDF("w", "band", "b", "rb", "nb", "lb", "big")
+    met = (one.where("ra <> big").join(two.drop("big"), ["w", "band"])
+           .unionByName(one.where("ra = big").join(two.where("rb <> big").drop("big"), ["w", "band"])))
+    return met.where(fits).select("a", "b", "na", "nb")
+
+
+def prefix_pairs(sets: DataFrame, percent: int, rows: DataFrame | None = None) -> DataFrame:
+    """(a, b), a pair once: sets of different roots that can be similar enough.
+
+    ``sets``: node, root, words, parity. Exact by prefixes (``prefix_candidates``); and
+    the odd sketches of the whole sets differ in no more bits than the sets in
+    shingles, of which (100 - percent) * (n + m) / (100 + percent) are allowed.
+    ``rows``: the sets' ``prefix_rows``, where they are written already.
+    """
+    pairs = prefix_candidates(prefix_rows(sets, percent) if rows is None else rows, percent).distinct()
     differ = "+".join(f"bit_count(pa[{j}] ^ pb[{j}])" for j in range(SKETCH_BITS // 64))
-    return (left.join(right, "w").where(
-        f"ra <> rb and (rb = big or a < b) and 100 * least(na, nb) >= {percent} * greatest(na, nb) "
-        f"and {100 + percent} * (1 + least(na - ia, nb - ib)) >= {percent} * (na + nb) "
-        f"and {100 + percent} * ({differ}) <= {100 - percent} * (na + nb)")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    one, two = (sets.select(F.col("node").alias(x), F.col("parity").alias(f"p{x}")) for x in "ab")
+    return (pairs.join(one, "a").join(two, "b").where(f"{100 + percent} * ({differ}) <= {100 - percent} * (na + nb)")
+            .select("a", "b"))
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
@@ -230,14 +260,21 @@ def _links(docs: DataFrame, nodes: DataFrame, k: int, percent: int, minima_: int
                 .count().groupBy("a").agg(F.max_by("b", "count").alias("b"))
                 .join(one, "a").join(two, "b")
                 .where(f"{differ} <= {sketch_limit(percent, minima_)} and 100 * least(na, nb) >= {percent} * greatest(na, nb)"))
-    links = stars(_confirmed(stage(proposed.select("a", "b"), "proposed"), sets, percent))
+    proposed = stage(proposed.select("a", "b"), "proposed")
+    links = stars(_confirmed(proposed, sets, percent))
+    release(proposed)
 
     # Buckets over more than one component, and all who are in them.
     placed = members.join(links.toDF("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     apart = placed.join(mixed, "bucket").select("node", "root").distinct()
-    rest = stage(prefix_pairs(sets.join(apart, "node"), percent), "rest")
-    return stars(links.unionAll(_confirmed(rest, sets, percent)))
+    mixed_sets = sets.join(apart, "node")
+    prefixes = stage(prefix_rows(mixed_sets, percent), "prefixes")
+    rest = stage(prefix_pairs(sets, percent, prefixes), "rest")
+    release(prefixes)
+    out = stars(links.unionAll(_confirmed(rest, sets, percent)))
+    release(members, sets, links, rest)
+    return out
 
 
 def one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
