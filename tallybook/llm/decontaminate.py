@@ -6,20 +6,22 @@ word edits of it (insert, delete, replace).
 
 1. Exact filter. k edits spoil at most 2k of the item's n - 1 word bigrams, so
    n - 1 - 2k of them stand within n + k words of the document. Places that
-   have fewer are left; none that matches is.
+   have fewer are left; none that matches is. (From ``percent`` = 67 up; a lower one
+   is an error.) This bound searches; what it leaves over is judged by steps 2 to 4.
 2. CGK random walks embed each item-sized window around the remaining places:
    step j copies the current word and moves on by a random bit of (walk, j,
    word). Windows few edits apart are then few places apart in Hamming distance.
-3. Bit-sampling LSH: ``tables`` samples of ``bits`` places, over ``walks``
-   walks. A window that agrees with the item in a whole sample makes its
-   surroundings a candidate. A window at Hamming share h is missed with
-   probability (1 - (1 - h)^bits)^tables, for h = 0.6 and the defaults 6e-8,
-   and several windows cover a passage.
+3. Bit-sampling LSH: samples of ``bits`` places, over ``walks`` walks. A window that
+   agrees with the item in a whole sample makes its surroundings a candidate.
+   A window whose embedding differs in a share h of its places is missed with
+   probability (1 - (1 - h)^bits)^samples: there are as many samples as the target
+   ``recall`` asks for at h = SHARE, and several windows cover a passage.
 4. Exact verification: the least edit distance of the item to any window of
    the surroundings, by dynamic programming.
 
-The items are a stated query set, taken in blocks of ``block_words`` words at
-most (a documented bound of what each task holds); every block meets all rows.
+The items are a stated query set, taken in blocks of about ``block_chars`` characters (what
+the driver and each task hold of it), one after the other; every block meets all rows.
+Items below ``min_words`` words are left out: a word or two stand in many clean texts.
 
 One row a document row and item: doc_id, item_id, n_words, distance (least).
 Null texts, and items of no words, match nothing. A one-word item matches
@@ -29,15 +31,18 @@ row; an empty table on either side gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
+from collections.abc import Iterator
 from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallybook.llm.common import documents, id_text, keep_rows
+from tallybook.llm.common import documents, id_text, keep_rows, let_go, numbered, stage
 
 _WORD = re.compile(r"\w+")
 #: Items whose walks and samples a task keeps.
@@ -48,6 +53,20 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+#: Rows of a region that are embedded at a time.
+ROWS = 256
+#: The least percentage for which the bigram bound loses nothing: an item of three words
+#: at a third of edits has no bigram left.
+LEAST_PERCENT = 67
+#: Share of places in which the embeddings of the item and of a passage at the edit limit differ, at the most.
+SHARE = 0.6
+
+
+def tables_for(recall: float, bits: int, share: float = SHARE) -> int:
+    """Samples of ``bits`` places of which one agrees with probability ``recall``."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - (1 - share) ** bits))
+
+
 def embed(windows: np.ndarray, moves: np.ndarray, pad: int) -> np.ndarray:
     """CGK embeddings (walk, row, place) of rows of n symbols, to 2n places.
 
@@ -112,8 +131,11 @@ class Item:
         """Whether some window of the region agrees with the item in a whole sample."""
         symbols = np.concatenate([symbols, np.full(max(0, self.n - len(symbols)), self.pad)])
         windows = np.lib.stride_tricks.sliding_window_view(symbols, self.n)
-        same = embed(windows, self.moves, self.pad) == self.own[:, None]
-        return bool(same[self.walk, :, self.places].all(1).any())
+        for at in range(0, len(windows), ROWS):  # a region may be as long as a document
+            same = embed(windows[at:at + ROWS], self.moves, self.pad) == self.own[:, None]
+            if same[self.walk, :, self.places].all(1).any():
+                return True
+        return False
 
 
 class Items:
@@ -127,6 +149,8 @@ class Items:
                 self.ids.append(item)
                 self.words.append(np.array(w, np.int64))
         n = np.array([len(w) for w in self.words], np.int64)
+        if percent < LEAST_PERCENT:
+            raise ValueError(f"percent must be {LEAST_PERCENT} or more")
         self.edits = n * (100 - percent) // 100
         self.need = np.maximum(n - 1 - 2 * self.edits, 1)
         self.reach = n + self.edits
@@ -181,9 +205,10 @@ class Items:
         last[last >= len(item)] = 0
         dense = (item[last] == item) & (place[last] >= place) & (place[last] - place < self.reach[item])
         out = []
-        for k in np.unique(item[dense]).tolist():
+        starts = np.flatnonzero(dense)  # by item, as the hits are
+        found, cuts = np.unique(item[starts], return_index=True)
+        for k, own in zip(found.tolist(), np.split(starts, cuts[1:])):
             n, edits, reach = len(self.words[k]), int(self.edits[k]), int(self.reach[k])
-            own = dense & (item == k)
             lo = np.maximum(place[last[own]] - reach, 0)
             hi = np.minimum(place[own] + reach + 1, len(ids))
             cut = np.flatnonzero(np.r_[True, lo[1:] > np.maximum.accumulate(hi)[:-1]])
@@ -197,29 +222,28 @@ class Items:
         return out
 
 
-def blocks(items: list[tuple[int, str]], block_words: int) -> list[list[tuple[int, str]]]:
-    out, size = [[]], 0
-    for item, text in items:
-        n = len(words_of(text or ""))
-        if out[-1] and size + n > block_words:
-            out.append([])
-            size = 0
-        out[-1].append((item, text))
-        size += n
-    return out
-
-
-def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_words: int) -> list[list[tuple[int, str]]]:
-    items = id_text(benchmark, item_col, item_text_col).orderBy("doc_id", "text").collect()
-    return blocks([(r[0], r[1]) for r in items], block_words)
+def item_blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_chars: int,
+                min_words: int) -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of about ``block_chars`` characters (an item is not cut), one
+    fetched after the other: dealt by a hash, sized by one sum. At least one block."""
+    items = id_text(benchmark, item_col, item_text_col)
+    n_blocks = max(1, math.ceil((items.agg(F.sum(F.length("text"))).first()[0] or 0) / block_chars))
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)))
+    for k in range(n_blocks):
+        rows = [(r[0], r[1]) for r in dealt.where(F.col("block") == k).select("doc_id", "text").collect()]
+        kept = [(i, t) for i, t in rows if len(words_of(t or "")) >= min_words]
+        yield sorted(kept, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text", percent: int = 80, walks: int = 8, bits: int = 2,
-          tables: int = 96, block_words: int = 2_000_000) -> DataFrame:
+          recall: float = 0.999999, block_chars: int = 16_000_000, min_words: int = 1) -> DataFrame:
     """doc_id, item_id, n_words, distance."""
     def searched(block: list[tuple[int, str]]) -> DataFrame:
+        tables = tables_for(recall, bits)
+
         def run(batches):
+            let_go()
             items = Items(block, percent, walks, bits, tables)
             for batch in batches:
                 rows = [(doc, *hit) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
@@ -230,21 +254,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
         return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, item_id long, n_words long, distance long")
 
-    return reduce(DataFrame.unionAll, map(searched, _blocks(benchmark, item_col, item_text_col, block_words)))
+    found: list[DataFrame] = []
+    for block in item_blocks(benchmark, item_col, item_text_col, block_chars, min_words):
+        found.append(searched(block))
+        if len(found) > 1:  # the hits so far are written: no plan keeps the block before
+            found[-2:] = [stage(found[-2], "hits") if len(found) == 2 else found[-2], stage(found[-1], "hits")]
+    return reduce(DataFrame.unionAll, found)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-          item_text_col: str = "text", percent: int = 80, walks: int = 8, bits: int = 2, tables: int = 96,
-          block_words: int = 2_000_000) -> DataFrame:
-    """The documents that hold no item, with all their columns."""
+          item_text_col: str = "text", percent: int = 80, walks: int = 8, bits: int = 2, recall: float = 0.999999,
+          block_chars: int = 16_000_000, min_words: int = 1) -> DataFrame:
+    """The documents that hold no item of ``min_words`` words or more, with all their columns."""
     def without(rest: DataFrame, block: list[tuple[int, str]]) -> DataFrame:
+        tables = tables_for(recall, bits)
+
         def judge():
+            let_go()
             items = Items(block, percent, walks, bits, tables)
             return lambda text: not (text and items.search(text))
 
         return keep_rows(rest, judge, [text_col])
 
-    return reduce(without, _blocks(benchmark, item_col, item_text_col, block_words), docs)
+    left = docs
+    for k, block in enumerate(item_blocks(benchmark, item_col, item_text_col, block_chars, min_words)):
+        left = without(stage(numbered(left), "clean").toDF(*docs.columns) if k else left, block)
+    return left
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
