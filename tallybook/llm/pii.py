@@ -1,9 +1,11 @@
 """Operator 6: personal data by pattern, checksum and context.
 
-Regular expressions propose spans; validators (Luhn, mod-97, number ranges)
-confirm them; words near a weak proposal raise or lower its score. The four
+Regular expressions propose spans; validators confirm them (Luhn; mod-97; the ranges in
+which local phone numbers and social security numbers are given out); whole words near a
+weak proposal, in seven languages, raise or lower its score. The four
 base kinds need no context. Further kinds are reported from ``min_score`` up
-and never overlap a base span.
+and never overlap a base span. Names, addresses, dates of birth, other countries' national
+numbers and local phone numbers of other plans are not looked for.
 
 Every pattern is linear in the text: a run is entered at its first character
 only. Offsets are code points, end exclusive. Null or empty text: no spans.
@@ -37,20 +39,33 @@ IBAN_LENGTH = {country: n for n, said in {
     25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
     28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
     31: "MT SC", 32: "LC", 33: "RU"}.items() for country in said.split()}
-_LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9])")
-_NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+#: Ten digits of the North American plan: area and exchange codes start with 2 to 9 and do not
+#: end in 11, and no area code has a 9 in the middle.
+_LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?[2-9](?!11)[0-8][0-9]\)?[\x20.-][2-9](?!11)[0-9]{2}[.-][0-9]{4}(?![0-9])")
+#: Area, group and serial of a social security number: never 000, 666 or 9xx, never 00, never 0000.
+_NATIONAL = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 
 #: Words that raise the score of a kind when they stand within CONTEXT
 #: characters before it or half as many behind it.
 CONTEXT = 48
+def _words(said: str) -> re.Pattern:
+    """Any of the words (with a plural s) or phrases, whole."""
+    return re.compile(rf"(?<!\w)(?:{'|'.join(sorted(map(re.escape, said.split(', ')), key=len, reverse=True))})s?(?!\w)", re.I)
+
+
 NEAR = {
-    "iban": re.compile(r"iban|bank|account|konto|cuenta|compte", re.I),
-    "short_card": re.compile(r"card|visa|amex|credit|debit|karte|tarjeta|carte", re.I),
-    "local_phone": re.compile(r"phone|tel\b|call|mobile|fax|telefon|téléphone|teléfono", re.I),
-    "national_id": re.compile(r"ssn|social security|national id|passport|ausweis", re.I),
+    "iban": _words("iban, bic, swift, bank, bank account, account, konto, kontonummer, bankverbindung, cuenta, compte, conto, conta, "
+                   "rekening, rekeningnummer"),
+    "short_card": _words("card, credit card, debit card, visa, amex, american express, diners, credit, debit, karte, kreditkarte, "
+                         "tarjeta, carte, carte bancaire, carta, cartão, kaart"),
+    "local_phone": _words("phone, telephone, tel, call, mobile, cell, fax, contact, text, telefon, handy, téléphone, teléfono, móvil, "
+                          "telefono, cellulare, telefone, telemóvel, telefoon, llamar, appeler, anrufen"),
+    "national_id": _words("ssn, social security, social security number, social, national id, tax id, taxpayer, passport, ausweis, "
+                          "sozialversicherungsnummer, seguro social, sécurité sociale, numéro de sécurité sociale, codice fiscale"),
 }
 #: Words that lower it.
-AGAINST = re.compile(r"order|invoice|version|isbn|serial|ticket|part no", re.I)
+AGAINST = _words("order, order no, invoice, version, isbn, issn, serial, serial no, ticket, part, part no, sku, tracking, reference, "
+                 "bestellung, rechnung, auftrag, pedido, factura, commande, facture, ordine, fattura, bestelling, factuur")
 
 
 def luhn(digits: str) -> bool:
