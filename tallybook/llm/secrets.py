@@ -9,11 +9,21 @@ fits no encoding (a path with a base64url token) is cut at '+' and '/', and at
 '-' and '_', and the pieces of both cuts are tested; of pieces that overlap and
 pass, the one with the higher p is reported. A rejected run with a '/' may be a
 path: its pieces are tested in the same way, in a step of their own.
-The hypothesis of each test is "drawn uniformly from the alphabet", so a true
-secret fails a test only by chance. The worst of the three p-values
-(Bonferroni) goes through a Benjamini-Hochberg step per document, weighted by
-length: long runs, whose tests have power, must stand a stricter test than
-short ones. What is not rejected is reported.
+
+Two kinds of error are bounded apart:
+
+* True secrets lost (``loss``). The hypothesis of the battery is "drawn uniformly from
+  the alphabet", so a true secret fails it only by chance; a run is out if the worst of
+  its three p-values, by Bonferroni, is below ``loss``.
+* False reports (``rate``). The hypothesis is "words of a text, run together": the mean
+  log-likelihood of the run's letter pairs, case folded, with all digits as one sign, in a
+  model of words joined without blanks, as in identifiers. It is rejected where the pairs
+  are too unlikely for text. Over the runs of a document a Benjamini-Hochberg step, weighted
+  by length (long runs, whose test has more power, may have more of the level), keeps
+  the expected share of text among the reports below ``rate``.
+
+The model is trained here on the words of a public tokenizer's vocabulary file of many
+languages, each by its rank.
 
 Offsets are code points, end exclusive. Null or empty text: no spans. Null and
 repeated doc_ids are scanned and returned like any other; an empty table gives
@@ -24,10 +34,13 @@ from __future__ import annotations
 
 import math
 import re
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from tallybook.llm.byte_bpe import read_ranks
 from tallybook.llm.common import documents, id_text, map_texts
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -89,6 +102,53 @@ def battery(values: list[int], size: int) -> tuple[float, float, float]:
     return chi, min(run_p, 1.0), min(serial, 1.0)
 
 
+class TextModel:
+    """Log2 probability of a sign after another in words that are run together: a to z
+    folded, 26 for a digit. Pairs of digits and other signs say nothing."""
+
+    def __init__(self, words: list[tuple[str, float]]):
+        pairs, first, last = (np.zeros((27, 27)), np.zeros(27), np.zeros(27))
+        for word, weight in words:
+            x = [ord(c) - 97 for c in word]
+            np.add.at(pairs, (x[:-1], x[1:]), weight)
+            first[x[0]] += weight
+            last[x[-1]] += weight
+        total = first.sum()
+        # Words follow each other in any order, and one in twenty is followed by a number.
+        pairs += np.outer(last, first) / total
+        pairs[:26, 26] += last[:26] / 20
+        pairs[26, :26] += first[:26] / 20
+        pairs /= pairs.sum()
+        smooth = pairs + 1e-6
+        logs = np.log2(smooth / smooth.sum(1, keepdims=True))
+        self.mean = float((pairs * logs).sum())
+        self.spread = math.sqrt(float((pairs * logs ** 2).sum()) - self.mean ** 2)
+        self.logs = logs.tolist()
+
+    def p_text(self, run: str) -> float:
+        """How likely text is to have pairs that are no more likely than the run's; 1 without pairs."""
+        total, n, before = 0.0, 0, None
+        for c in run.lower():
+            sign = ord(c) - 97 if "a" <= c <= "z" else 26 if c in _DIGIT else None
+            if before is not None and sign is not None and not sign == before == 26:
+                total += self.logs[before][sign]
+                n += 1
+            before = sign
+        return _tail((self.mean - total / n) / (self.spread / math.sqrt(n))) if n else 1.0
+
+
+def text_model(path: str | None = None) -> TextModel:
+    """From the words (blank, then letters of a to z) of a vocabulary file of ranks."""
+    import public_tokenizers
+
+    words = []
+    for token, rank in read_ranks(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).items():
+        word = token[1:].lower()
+        if token[:1] == b" " and len(word) > 2 and all(97 <= c <= 122 for c in word):
+            words.append((word.decode(), 1 / (rank + 1000)))
+    return TextModel(words)
+
+
 def _encoded(run: str) -> tuple[str, list[int], int] | None:
     body = run.rstrip("=")
     for name, places in _PLACES:
@@ -113,52 +173,59 @@ def _cut(run: str, at: int) -> list[tuple[int, int]]:
     return sorted({(at + p.start(), at + p.end()) for r in _READINGS for p in r.finditer(run)})
 
 
-def _judged(text: str, spans: list[tuple[int, int]], taken: list[tuple[str, int, int]], min_length: int,
-            rate: float) -> tuple[list[tuple], list[tuple]]:
-    """Of ``spans`` those with letters and digits, as (start, end, encoding, p):
-    not rejected, and rejected."""
-    tests = []
-    for s, e in spans:
-        run = text[s:e]
-        if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run) \
-                or any(a < e and s < b for _, a, b in taken):
-            continue
-        if (got := _encoded(run)) and len(got[1]) >= min_length:
-            tests.append((s, e, got[0], min(1.0, 3 * min(battery(got[1], got[2]))), len(got[1])))
-    if not tests:
-        return [], []
-    mean = sum(t[4] for t in tests) / len(tests)
-    order = sorted(range(len(tests)), key=lambda k: tests[k][3] * mean / tests[k][4])
-    cut = 0
-    for rank, k in enumerate(order, 1):
-        if tests[k][3] * mean / tests[k][4] <= rate * rank / len(tests):
-            cut = rank
-    gone = set(order[:cut])
-    return [t[:4] for k, t in enumerate(tests) if k not in gone], [tests[k][:4] for k in sorted(gone)]
-
-
-def random_spans(text: str, taken: list[tuple[str, int, int]], min_length: int, rate: float) -> list[tuple]:
-    """Runs that the battery does not reject, as (start, end, encoding, p)."""
-    kept, gone = _judged(text, _pieces(text), taken, min_length, rate)
-    again = [p for s, e, _, _ in gone if "/" in text[s:e] for p in _cut(text[s:e], s) if p != (s, e)]
-    kept += _judged(text, again, taken, min_length, rate)[0]
-    out: list[tuple] = []
-    for t in sorted(kept, key=lambda t: (-t[3], t[0])):
-        if not any(t[0] < e and s < t[1] for s, e, _, _ in out):
-            out.append(t)
-    return sorted(out)
+@dataclass
+class Judge:
+    """The tests and their levels."""
+    model: TextModel
+    min_length: int = 20
+    rate: float = 0.01
+    loss: float = 0.02
+
+    def judged(self, text: str, spans: list[tuple[int, int]], taken: list[tuple[str, int, int]]) -> tuple[list[tuple], list[tuple]]:
+        """Of ``spans`` those with letters and digits, as (start, end, encoding, p of the
+        battery): reported, and others."""
+        tests = []
+        for s, e in spans:
+            run = text[s:e]
+            if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run) \
+                    or any(a < e and s < b for _, a, b in taken):
+                continue
+            if (got := _encoded(run)) and len(got[1]) >= self.min_length:
+                p = min(1.0, 3 * min(battery(got[1], got[2])))
+                tests.append((s, e, got[0], p, len(got[1]), self.model.p_text(run)))
+        if not tests:
+            return [], []
+        mean = sum(t[4] for t in tests) / len(tests)
+        level = [t[5] * mean / t[4] for t in tests]
+        order = sorted(range(len(tests)), key=level.__getitem__)
+        cut = max((rank for rank, k in enumerate(order, 1) if level[k] <= self.rate * rank / len(tests)), default=0)
+        no_text = set(order[:cut])
+        kept = [k for k, t in enumerate(tests) if k in no_text and t[3] >= self.loss]
+        return [tests[k][:4] for k in kept], [t[:4] for k, t in enumerate(tests) if k not in kept]
+
+    def random_spans(self, text: str, taken: list[tuple[str, int, int]]) -> list[tuple]:
+        """The reported runs, as (start, end, encoding, p)."""
+        kept, gone = self.judged(text, _pieces(text), taken)
+        again = [p for s, e, _, _ in gone if "/" in text[s:e] for p in _cut(text[s:e], s) if p != (s, e)]
+        kept += self.judged(text, again, taken)[0]
+        out: list[tuple] = []
+        for t in sorted(kept, key=lambda t: (-t[3], t[0])):
+            if not any(t[0] < e and s < t[1] for s, e, _, _ in out):
+                out.append(t)
+        return sorted(out)
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 min_length: int = 20, rate: float = 0.05) -> DataFrame:
+                 judge: Judge | None = None) -> DataFrame:
     """doc_id and ``spans``: array of (kind, start, end, encoding, p) per document,
-    base kinds first, each group by start. ``rate`` is the expected share of true
-    secrets among the runs that the battery throws out."""
+    base kinds first, each group by start."""
+    judge = judge or Judge(text_model())
+
     def row(text: str) -> tuple:
         base = base_spans(text)
         out = [{"kind": k, "start": s, "end": e, "encoding": None, "p": None} for k, s, e in base]
         return (out + [{"kind": "random", "start": s, "end": e, "encoding": enc, "p": p}
-                       for s, e, enc, p in random_spans(text, base, min_length, rate)],)
+                       for s, e, enc, p in judge.random_spans(text, base)],)
 
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                       ("encoding", pa.string()), ("p", pa.float64())])
