@@ -16,7 +16,8 @@ Tables between the steps are written to the shared folder.
 
 Defined results: every row is a document, also where doc_ids repeat (rows of
 the largest doc_id all keep the line). A null doc_id counts as smaller than
-any other. Null and empty texts have one empty line. An empty table gives an
+any other; such documents are told apart by their texts, so no group of theirs meets
+in one task. Null and empty texts have one empty line. An empty table gives an
 empty result. Further columns of the input, whatever their names, are left
 alone.
 """
@@ -104,74 +105,84 @@ def _shard(n_shards: int):
     return F.pmod(F.shiftrightunsigned("lo", 20), F.lit(n_shards)).cast("long")
 
 
-def _pack_probes(docs: DataFrame, min_chars: int, n_shards: int, cells: dict[int, int]) -> DataFrame:
-    """shard, cell, keys, ids: a task's probes, packed by cell."""
-    cells_of = np.ones(n_shards, np.int64)
-    cells_of[list(cells)] = list(cells.values())
+def _text_id(text: str | None) -> int:
+    """What stands for a null doc_id: equal texts lose equal lines. As Spark's xxhash64."""
+    n = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return n - (1 << 64) if n >> 63 else n
+
 
+def _pack_probes(docs: DataFrame, min_chars: int, n_shards: int, cells_of: np.ndarray) -> DataFrame:
+    """shard, cell, none, keys, ids: a task's probes, packed by cell; ``none``: of null
+    doc_ids, whose texts' hashes are the ids."""
     def run(batches):
         for batch in batches:
-            ids, keys = [], []
+            ids, none, keys = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = _keys(text, min_chars)
-                ids += [int(_NONE) if doc is None else doc] * len(own)
+                ids += [_text_id(text) if doc is None else doc] * len(own)
+                none += [doc is None] * len(own)
                 keys += own
             if not keys:
                 continue
-            half, doc = _halves(keys), np.array(ids, np.int64)
+            half, doc, none = _halves(keys), np.array(ids, np.int64), np.array(none)
             shard = ((half[:, 0] >> np.uint64(20)) % np.uint64(n_shards)).astype(np.int64)
             cell = ((doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % cells_of[shard]
-            order = np.lexsort((cell, shard))
-            half, doc, shard, cell = half[order], doc[order], shard[order], cell[order]
-            cut = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (cell[1:] != cell[:-1])])
+            order = np.lexsort((none, cell, shard))
+            half, doc, none, shard, cell = half[order], doc[order], none[order], shard[order], cell[order]
+            cut = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (cell[1:] != cell[:-1]) | (none[1:] != none[:-1])])
             stop = np.r_[cut[1:], len(doc)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard[cut]), pa.array(cell[cut]),
+                [pa.array(shard[cut]), pa.array(cell[cut]), pa.array(none[cut]),
                  pa.array([half[a:b].tobytes() for a, b in zip(cut, stop)], pa.binary()),
                  pa.array([doc[a:b].tobytes() for a, b in zip(cut, stop)], pa.binary())],
-                names=["shard", "cell", "keys", "ids"])
+                names=["shard", "cell", "none", "keys", "ids"])
 
-    return docs.mapInArrow(run, "shard long, cell long, keys binary, ids binary")
+    return docs.mapInArrow(run, "shard long, cell long, none boolean, keys binary, ids binary")
 
 
 def _probe(probes: pa.Table, shards: pa.Table) -> pa.Table:
-    """doc_id, key for each probe whose line goes: shared, and not in its last document."""
-    out_ids, out_keys = [], []
+    """doc_id, none, key for each probe whose line goes: shared, and not in its last document."""
+    out_ids, out_none, out_keys = [], [], []
     if shards.num_rows:
         s = shards.slice(0, 1).to_pylist()[0]
         ph = PerfectHash.from_bytes(s["hash"])
         prints, last = np.frombuffer(s["prints"], np.uint64), np.frombuffer(s["last"], np.int64)
         rest = {(a, b): c for a, b, c in np.frombuffer(s["rest"], np.int64).reshape(-1, 3).tolist()}
-        for keys, ids in zip(probes["keys"].to_pylist(), probes["ids"].to_pylist()):
+        for none, keys, ids in zip(*(probes[c].to_pylist() for c in ("none", "keys", "ids"))):
             half, doc = np.frombuffer(keys, np.uint64).reshape(-1, 2), np.frombuffer(ids, np.int64)
+            own = np.full(len(doc), _NONE) if none else doc  # as the largest doc_id would say it
             slot = ph.lookup(half[:, 0])
-            gone = (prints[slot] == half[:, 1]) & (last[slot] != doc)
+            gone = (prints[slot] == half[:, 1]) & (last[slot] != own)
             if rest:
                 for k, (a, b) in enumerate(half.view(np.int64).tolist()):
-                    gone[k] |= rest.get((a, b), doc[k]) != doc[k]
+                    gone[k] |= rest.get((a, b), own[k]) != own[k]
             out_ids.append(doc[gone])
+            out_none += [none] * int(gone.sum())
             out_keys += [half[k].tobytes() for k in np.flatnonzero(gone)]
     doc = np.concatenate(out_ids) if out_ids else np.empty(0, np.int64)
-    return pa.table({"doc_id": pa.array(doc, mask=doc == _NONE), "key": pa.array(out_keys, pa.binary())})
+    return pa.table({"doc_id": pa.array(doc), "none": pa.array(out_none, pa.bool_()), "key": pa.array(out_keys, pa.binary())})
 
 
 def lost_keys(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """doc_id, keys: the hashed line keys that each document loses, of (doc_id, text)."""
+    """doc_id, none, keys: the hashed line keys that each document loses, of (doc_id, text).
+    ``none``: the doc_id is null, and its text's hash stands for it."""
     spark = docs.sparkSession
     keys = stage(shared_keys(docs, min_chars, min_docs), "lines")
     n_shards = max(-(-keys.count() // SHARD_KEYS), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # Probes of shared lines by shard, from the counts: a number a shard. What
-    # is not shared spreads over the shards by its hash and needs no salt.
-    heavy = keys.groupBy(_shard(n_shards).alias("shard")).agg(F.sum("n").alias("n")).where(F.col("n") > CELL_PROBES)
-    cells = {r["shard"]: -(-r["n"] // CELL_PROBES) for r in heavy.collect()}
-    salted = F.create_map(*(F.lit(x) for kv in cells.items() for x in kv)) if cells else None
-    n_cells = F.coalesce(salted[F.col("shard")], F.lit(1)) if cells else F.lit(1)
-    shards = (build_shards(keys, n_shards)
-              .withColumn("cell", F.explode(F.sequence(F.lit(0), n_cells - 1))).withColumn("cell", F.col("cell").cast("long")))
-    probes = _pack_probes(docs, min_chars, n_shards, cells)
+    # Probes of shared lines by shard, from the counts. What is not shared spreads over
+    # the shards by its hash and needs no salt. A task needs the number of cells of
+    # every shard: eight bytes for SHARD_KEYS keys.
+    cells = stage(keys.groupBy(_shard(n_shards).alias("shard")).agg(F.sum("n").alias("n")).where(F.col("n") > CELL_PROBES)
+                  .selectExpr("shard", f"bigint(ceil(n / {CELL_PROBES})) as cells"), "cells")
+    cells_of = np.ones(n_shards, np.int64)
+    heavy = cells.toArrow()
+    cells_of[heavy["shard"].to_numpy()] = heavy["cells"].to_numpy()
+    shards = (build_shards(keys, n_shards).join(cells, "shard", "left")
+              .withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("cells", F.lit(1)) - 1))).drop("cells"))
+    probes = _pack_probes(docs, min_chars, n_shards, cells_of)
     gone = (probes.groupBy("shard", "cell").cogroup(shards.groupBy("shard", "cell"))
-            .applyInArrow(_probe, "doc_id long, key binary"))
-    return gone.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
+            .applyInArrow(_probe, "doc_id long, none boolean, key binary"))
+    return gone.groupBy("doc_id", "none").agg(F.collect_set("key").alias("keys"))
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -181,8 +192,11 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lost = lost_keys(id_text(docs, id_col, text_col), min_chars, min_docs)
     names = [f"__c{k}" for k in range(len(docs.columns))]
     plain, key, text = numbered(docs), column(docs, id_col), names.index(column(docs, text_col))
-    lost = lost.withColumnsRenamed({"doc_id": "__id", "keys": "__keys"}).hint("shuffle_hash")
-    joined = plain.join(lost, F.col(key).cast("long").eqNullSafe(F.col("__id")), "left").drop("__id")
+    lost = lost.withColumnsRenamed({"doc_id": "__id", "none": "__none", "keys": "__keys"}).hint("shuffle_hash")
+    ident = F.col(key).cast("long")
+    ident = F.when(ident.isNull(), F.xxhash64(F.coalesce(F.col(f"__c{text}").cast("string"), F.lit("")))).otherwise(ident)
+    on = (ident == F.col("__id")) & (F.col(key).cast("long").isNull() == F.col("__none"))
+    joined = plain.join(lost, on, "left").drop("__id", "__none")
     schema = T.StructType([*plain.schema.fields, T.StructField("__n_lines", T.LongType()),
                            T.StructField("__n_dropped", T.LongType())])
 

@@ -98,6 +98,55 @@ def test_ibans_followed_by_words_and_numbers(spark):
         w for _, w in texts]
 
 
+def test_ranges_of_numbers_and_whole_context_words(spark):
+    texts = [("ssn 000-12-3456", 0), ("ssn 666-12-3456", 0), ("ssn 912-12-3456", 0), ("ssn 123-00-3456", 0), ("ssn 123-45-0000", 0),
+             ("ssn 123-45-6789", 1), ("SSNs: 123-45-6789", 1), ("classn 123-45-6789", 0),
+             ("locally 212.555.0199", 0), ("call 212.555.0199", 1), ("border hotel 555-234-5678", 0), ("tel 555-234-5678", 1),
+             ("phone 155-234-5678", 0), ("phone 555-123-4567", 0), ("phone 511-234-5678", 0), ("phone 555-911-4567", 0), ("phone order 555-234-5678", 0),
+             ("Handy 555-234-5678", 1), ("cellulare: 555-234-5678", 1), ("numéro de sécurité sociale 123-45-6789", 1)]
+    got = pii.pii_spans(frame(spark, [(k, t) for k, (t, _) in enumerate(texts)])).orderBy("doc_id").collect()
+    assert [len(r["spans"]) for r in got] == [n for _, n in texts], [(t, len(r["spans"])) for (t, n), r in zip(texts, got) if len(r["spans"]) != n]
+
+
+def identifiers(rnd, n):
+    """Names as programs have them: words run together in some style, with a number in it."""
+    words = ("get set user account by id from database name list value index find make create update delete request response handler "
+             "config file path load save parse stream buffer reader writer factory manager service client server session header body "
+             "data time format number array object method field key queue tree node graph matrix vector image audio video button event "
+             "window thread process memory network address domain invoice total average last next previous begin").split()
+    out = []
+    while len(out) < n:
+        w = [rnd.choice(words) for _ in range(rnd.randint(4, 8))]
+        w.insert(rnd.randint(1, len(w)), str(rnd.randint(1, 99)))
+        name = rnd.choice([w[0] + "".join(x.capitalize() for x in w[1:]), "_".join(w), "-".join(w), "_".join(w).upper()])
+        if len(name) >= 24:
+            out.append(name)
+    return out
+
+
+def test_few_identifiers_and_most_random_runs_are_reported(spark):
+    rnd = random.Random(19)
+    alphabets = {name: letters for name, letters in secrets.ENCODINGS if name != "hex"}
+    for name, letters in alphabets.items():
+        runs = []
+        while len(runs) < 150:
+            r = "".join(rnd.choice(letters) for _ in range(rnd.randint(24, 40)))
+            if any(c.isdigit() for c in r) and any(c.isalpha() for c in r) and not r.strip("-_+/") != r:
+                runs.append(r)
+        found = secrets.secret_spans(frame(spark, [(k, f"here {r} it is") for k, r in enumerate(runs)])).collect()
+        assert sum(bool(r["spans"]) for r in found) >= 0.9 * len(runs), (name, sum(bool(r["spans"]) for r in found))
+    names = identifiers(rnd, 400)
+    alone = secrets.secret_spans(frame(spark, [(k, f"call {x} here") for k, x in enumerate(names)])).collect()
+    assert sum(bool(r["spans"]) for r in alone) < 0.05 * len(names)
+    # beside true secrets, which lower the bar of the step-up procedure
+    strong = ["".join(rnd.choice(alphabets["base62"]) for _ in range(40)) for _ in range(5)]
+    texts = [" ".join(strong) + " " + " ".join(names[k:k + 20]) for k in range(0, 400, 20)]
+    got = secrets.secret_spans(frame(spark, list(enumerate(texts)))).collect()
+    wrong = sum(t[s["start"]:s["end"]] not in strong for r in got for t in [texts[r["doc_id"]]] for s in r["spans"])
+    assert wrong < 0.05 * sum(len(r["spans"]) for r in got)
+    assert not any(s["kind"] == "random" for r in alone for s in r["spans"] if names[r["doc_id"]].startswith("getUserAccountById2"))
+
+
 def test_random_runs_are_secrets_and_words_are_not(spark):
     rnd = random.Random(9)
     alnum = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
@@ -278,11 +327,18 @@ def test_license_units_against_plain_dice(spark):
     near = " ".join(w for k, w in enumerate(cut) if k % 17)
     rows = [(1, prose(rnd, 50) + "\n" + gpl + "\n" + prose(rnd, 50)), (2, mit.replace(". ", ".\n")), (3, near), (4, "MIT License"),
             (5, "\n\n".join([prose(rnd, 30), mit, prose(rnd, 20)])), (6, gpl.upper()), (7, prose(rnd, 300)), (8, gpl), (8, gpl),
-            *[(100 + k, t) for k, (_, t) in enumerate(edge_rows(rnd))], (None, "Released under the MIT License.")]
+            *[(100 + k, t) for k, (_, t) in enumerate(edge_rows(rnd))], (None, "Released under the MIT License."),
+            (9, "This is a nice tool. Released under the MIT License. Send patches."),
+            (10, "Copyright (c) 2020 Foo Bar.  Released under\nthe MIT License! More of it here"),
+            (11, "permit, omit, sa, nc, cc 0 and committed: nothing of the kind " * 9)]
     want = {}
     for i, t in rows:
-        norm = re.sub(r"[^\w\n]+", " ", (t or "").lower().replace("_", " "))
-        units = {re.sub(r"[ \n]+", " ", u).strip() for u in [*norm.split("\n"), *re.split(r"\n ?(?:\n ?)+", norm), norm]}
+        low = (t or "").lower()
+        norm = re.sub(r"[^\w\n]+", " ", low.replace("_", " "))
+        parts = [*norm.split("\n"), *re.split(r"\n ?(?:\n ?)+", norm), norm]
+        for line in [*low.split("\n"), low]:
+            parts += re.split(r"(?<=[.!?])[ \t\r\f\n]+", line)
+        units = {re.sub(r"[\W_]+", " ", u).strip() for u in parts}
         for u in units:
             if " " in u:
                 hits = {}
@@ -296,7 +352,18 @@ def test_license_units_against_plain_dice(spark):
                         want[i, name] = (n + 1, max(best, p))
     got = {(r["doc_id"], r["license_id"]): (r["n_units"], r["best_permille"])
            for r in licenses.license_scan(clashing(frame(spark, rows), ["unit", "grams"])).collect()}
-    assert got == want and {i for i, _ in got} >= {1, 2, 3, 5, 6, 8, None}
+    assert got == want and {i for i, _ in got} >= {1, 2, 3, 5, 6, 8, None, 9, 10} and 11 not in {i for i, _ in got}
+
+
+def test_index_leads_to_every_template_in_reach():
+    rows = licenses.template_rows(licenses.TEMPLATES, 800)
+    index = licenses.index_of(rows)
+    rnd = random.Random(3)
+    for number, (_, n, least, most, grams) in enumerate(rows, 1):
+        bag = Counter(dict(grams))
+        for _ in range(20):  # the least that a unit may share with the template
+            kept = rnd.sample(sorted(bag.elements()), int(least))
+            assert any(number in index.get(g, ()) for g in kept)
 
 
 def test_usual_wordings_and_sibling_licences(spark):
@@ -321,3 +388,67 @@ def test_license_scan_runs_no_python(spark):
     lambda d: byte_bpe.encode(d), lambda d: licenses.license_scan(d)])
 def test_empty_table(spark, apply):
     assert rows_of(apply(frame(spark, []))) == []
+
+
+def test_counts_of_a_task_are_bounded_and_whole():
+    import pyarrow as pa  # noqa: F401
+    rnd = random.Random(15)
+    parts, want, most = quality.Parts(), Counter(), 0
+    got: Counter = Counter()
+    bound, quality.PART_WORDS = quality.PART_WORDS, 500
+    try:
+        for k in range(60):
+            text = prose(rnd, 120)
+            one = quality.Text.of(text)
+            lang = rnd.choice(["en", "de", None])
+            want.update({(lang, "w", w.decode()): n for w, n in one.count.items()})
+            want.update({(lang, "c", "docs"): 1, (lang, "c", "words"): len(one.ids)})
+            parts.add(lang, one)
+            most = max(most, parts.held)
+            if parts.full():
+                for lang_, kind, item, n in parts.rows():
+                    got[lang_, kind, item] += n
+                assert not parts.words and not parts.held
+        for lang_, kind, item, n in parts.rows():
+            got[lang_, kind, item] += n
+    finally:
+        quality.PART_WORDS = bound
+    assert most < 500 + 200
+    assert {k: n for k, n in got.items() if k[1] == "w" or k[2] in ("docs", "words")} == dict(want)
+
+
+def test_rare_labels_are_no_reference(spark):
+    rnd = random.Random(16)
+    junk = " ".join("".join(rnd.choice("0123456789#%&|<>*~") for _ in range(6)) for _ in range(120))
+    rows = [(k, prose(rnd, 150), "en") for k in range(40)]
+    rows += [(100 + k, prose(rnd, 150), f"l{k}") for k in range(60)]  # each a label of its own
+    rows += [(200, junk, "en"), (201, junk, "zz"), (202, junk, None), (203, prose(rnd, 150), None)]
+    kana = [chr(k) for k in range(0x3042, 0x3090)]
+    rows += [(204, " ".join("".join(rnd.choice(kana) for _ in range(8)) for _ in range(80)), "ja")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    refs = quality.references(docs)
+    assert set(refs) == {"en"}
+    assert set(quality.references(docs, min_docs=1, max_refs=7)) > {"en"} and len(quality.references(docs, min_docs=1, max_refs=7)) == 7
+    got = {r["doc_id"]: r["kept"] for r in quality.quality(docs).collect()}
+    assert [i for i, kept in sorted(got.items()) if not kept] == [200, 201, 202]
+
+
+def test_quality_of_a_table_without_lang(spark):
+    rnd = random.Random(17)
+    docs = spark.createDataFrame([(k, prose(rnd, 120)) for k in range(30)] + [(50, "a b"), (51, None)], "doc_id long, text string")
+    kept = quality.accepted(docs)
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(30)) and kept.columns == ["doc_id", "text"]
+    assert [r["kept"] for r in quality.quality(docs).orderBy("doc_id").collect()] == [True] * 30 + [False] * 2
+
+
+def test_a_worker_holds_one_operators_memory():
+    from tallybook.llm import common
+
+    made = []
+    make = lambda x: lambda: made.append(x) or [x]
+    first = common.held("a", 1, make("a1"))
+    assert common.held("a", 1, make("no")) is first
+    common.held("b", 1, make("b1"))
+    common.held("a", 1, make("a2"))
+    common.let_go()
+    assert made == ["a1", "b1", "a2"] and not common._HELD
