@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm import byte_bpe, decontaminate, line_dedup, near_dup, quality
-from tallybook.llm.common import documents, stage
+from tallybook.llm.common import documents, release, stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +30,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents that hold a benchmark item of five words or more go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), min_words=5)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,5 +53,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = documents(spark, sf_dir)
     for name, apply in STAGES[:-1]:
-        docs = stage(apply(spark, docs, sf_dir), name.replace(" ", "-"))
+        before, docs = docs, stage(apply(spark, docs, sf_dir), name.replace(" ", "-"))
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)
