@@ -64,6 +64,21 @@ def test_audited_years_reach_the_scans(spark):
     assert [(r.year, r.sales_cash_in) for r in got] == [(2021, 16)]
 
 
+@pytest.mark.parametrize("name", ["audit_revenue", "audit_cash", "audit_revenue_2021", "audit_cash_2021"])
+def test_audits_read_each_table_once(spark, name):
+    """Statements and components together: the scans of the dashboard alone."""
+    assert shape(QUERIES[name](spark, SF))["scans"] == shape(QUERIES["dashboard_flux"](spark, SF))["scans"] <= 9
+
+
+def test_audits_of_stored_statements_agree_with_the_shared_reading(spark):
+    from tallybook.operators import audits
+    from tallybook.plans.pipeline import build_statements
+    led = ledger_from_driver(spark, SF)
+    built = build_statements(spark, led)
+    for name, own in (("audit_revenue", audits.audit_revenue(built, led.sales)), ("audit_cash", audits.audit_cash(built, led))):
+        assert sorted(map(tuple, own.collect())) == sorted(map(tuple, QUERIES[name](spark, SF).collect()))
+
+
 def _children_of(plan_text: str, node: str) -> list[str]:
     """Lines directly below each ``node`` line in an indented tree string."""
     lines = plan_text.splitlines()
