@@ -70,19 +70,28 @@ def live(records: DataFrame, key: str = "id") -> DataFrame:
     return winners(records, key).filter(~F.col(DELETED)).drop(LOAD, SEQ, DELETED)
 
 
-def load_changes(before: DataFrame, load: DataFrame, key: str = "id") -> DataFrame:
+def load_changes(others: DataFrame, load: DataFrame, earlier: DataFrame | None = None, key: str = "id") -> DataFrame:
     """What a load changes, as ledger rows with ``w``: -1 for a row that no longer
     stands, +1 for one that stands now. Records of unchanged keys yield nothing, and
-    so does a load that comes again or too late."""
-    columns = [c for c in before.columns if c not in ("_status", "_reason", "_record", LOAD, SEQ, DELETED)]
-    ok = [df.filter(F.col("_status") == OK).select(*columns, LOAD, SEQ, DELETED, F.lit(new).alias("__new"))
-          for df, new in ((before, False), (load, True))]
-    touched = ok[1].select(F.col(key).alias("__touched")).distinct()
-    old = ok[0].join(touched, F.col(key) == F.col("__touched"), "left_semi")
-    both = old.unionByName(ok[1]).groupBy(F.col(key).alias("__key")).agg(
-        F.max(F.when(~F.col("__new"), _record(columns))).alias("old"), F.max(_record(columns)).alias("now"))
+    so does a load that comes again or too late.
+
+    ``others``: the records that are there; ``earlier``: those of an earlier delivery of the
+    load, which this one replaces (not among ``others``).
+    """
+    columns = [c for c in others.columns if c not in ("_status", "_reason", "_record", LOAD, SEQ, DELETED)]
+
+    def tagged(df: DataFrame, was: bool, now: bool) -> DataFrame:
+        return df.filter(F.col("_status") == OK).select(*columns, LOAD, SEQ, DELETED, F.lit(was).alias("__was"), F.lit(now).alias("__now"))
+
+    new = tagged(load, False, True)
+    if earlier is not None:
+        new = new.unionByName(tagged(earlier, True, False))
+    touched = new.select(F.col(key).alias("__touched")).distinct()
+    rest = tagged(others, True, True).join(touched, F.col(key) == F.col("__touched"), "left_semi")
+    both = rest.unionByName(new).groupBy(F.col(key).alias("__key")).agg(
+        F.max(F.when(F.col("__was"), _record(columns))).alias("old"), F.max(F.when(F.col("__now"), _record(columns))).alias("now"))
     stood = F.col("old").isNotNull() & ~F.col(f"old.{DELETED}")
-    stands = ~F.col(f"now.{DELETED}")
+    stands = F.col("now").isNotNull() & ~F.col(f"now.{DELETED}")
     same = F.lit(True)
     for c in columns:
         same = same & F.col(f"old.{c}").eqNullSafe(F.col(f"now.{c}"))
@@ -101,20 +110,29 @@ def stored_records(spark: SparkSession, table: str, version: Version | None = No
     return None if version is None else frame_of(spark, table, version)
 
 
-def add_load(raw: DataFrame, table: str, name: str, load: int, key: str = "id") -> Version:
-    """Load records of ledger table ``name`` into the stored ``table``."""
-    spark = raw.sparkSession
+def write_load(raw: DataFrame, table: str, name: str, load: int, key: str = "id") -> tuple[str, DataFrame]:
+    """The folder with the load's typed records and rejects, written but not listed, and its frame."""
     typed = typed_load(raw, LEDGER_SCHEMAS[name], load, key)
     folder = f"load={load}-{uuid.uuid4().hex[:8]}"
     typed.write.parquet(f"{table}/{folder}")
+    return folder, raw.sparkSession.read.schema(typed.schema).parquet(f"{table}/{folder}").select(*typed.columns)
+
+
+def with_load(base: Version | None, load: int, folder: str, records: DataFrame) -> Version:
+    """The version after ``base`` that lists the load, in place of an earlier delivery of it."""
+    loads = dict(base.notes["loads"]) if base else {}
+    folders = [f for f in (base.folders if base else ()) if f != loads.get(str(load))]
+    loads[str(load)] = folder
+    return Version(next_number(base), (*folders, folder), records.schema.json(), tuple(records.columns), {"loads": loads})
+
+
+def add_load(raw: DataFrame, table: str, name: str, load: int, key: str = "id") -> Version:
+    """Load records of ledger table ``name`` into the stored ``table``."""
+    spark = raw.sparkSession
+    folder, records = write_load(raw, table, name, load, key)
     for _ in range(TRIES):
-        base = current_version(spark, table)
-        loads = dict(base.notes["loads"]) if base else {}
-        folders = [f for f in (base.folders if base else ()) if f != loads.get(str(load))]
-        loads[str(load)] = folder
         try:
-            return publish(spark, table, Version(next_number(base), (*folders, folder), typed.schema.json(),
-                                                 tuple(typed.columns), {"loads": loads}))
+            return publish(spark, table, with_load(current_version(spark, table), load, folder, records))
         except Conflict:
             continue
     raise Conflict(f"{table}: overtaken {TRIES} times")

@@ -60,21 +60,30 @@ def _edit(spark: SparkSession, table: str, schema: T.StructType,
     raise Conflict(f"{table}: overtaken {TRIES} times")
 
 
-def add_batch(partial: DataFrame, table: str, batch: int) -> Version | None:
-    """Write a batch's partial and list it, in place of an earlier delivery of the batch."""
-    spark = partial.sparkSession
-    if any(s.level and s.lo <= batch <= s.hi for s in segments(current_version(spark, table))):
-        return current_version(spark, table)
+def write_partial(partial: DataFrame, table: str, batch: int) -> str:
+    """The folder with a batch's partial, written but not listed."""
     folder = f"batch_id={batch}-{uuid.uuid4().hex[:8]}"
     partial.write.parquet(f"{table}/{folder}")
-    new = Segment(batch, batch, 0, folder)
+    return folder
+
 
+def list_batches(spark: SparkSession, table: str, schema: T.StructType, folders: dict[int, str]) -> Version | None:
+    """List written partials by batch, in place of earlier deliveries; those merged already stay as they are."""
     def change(listed: list[Segment]) -> list[Segment] | None:
-        if any(s.level and s.lo <= batch <= s.hi for s in listed):
-            return None
-        return [s for s in listed if s.level or s.lo != batch] + [new]
+        fresh = {n: f for n, f in folders.items() if not any(s.level and s.lo <= n <= s.hi for s in listed)}
+        kept = [s for s in listed if s.level or s.lo not in fresh]
+        after = kept + [Segment(n, n, 0, f) for n, f in fresh.items()]
+        return None if set(after) == set(listed) else after
+
+    return _edit(spark, table, schema, change)
 
-    return _edit(spark, table, partial.schema, change)
+
+def add_batch(partial: DataFrame, table: str, batch: int) -> Version | None:
+    """Write a batch's partial and list it, in place of an earlier delivery of the batch."""
+    spark = partial.sparkSession
+    if any(s.level and s.lo <= batch <= s.hi for s in segments(current_version(spark, table))):
+        return current_version(spark, table)
+    return list_batches(spark, table, partial.schema, {batch: write_partial(partial, table, batch)})
 
 
 def due(listed: list[Segment], fanout: int) -> list[Segment]:
@@ -112,7 +121,11 @@ def compact(spark: SparkSession, table: str, merge: Callable[[DataFrame], DataFr
     return done
 
 
-def read_partials(spark: SparkSession, table: str, schema: str) -> DataFrame:
-    """All listed rows, not added up; empty where no batch has come yet."""
-    version = current_version(spark, table)
-    return spark.createDataFrame([], schema) if version is None else frame_of(spark, table, version)
+def read_partials(spark: SparkSession, table: str, schema: str, version: Version | None = None,
+                  more: tuple[str, ...] = ()) -> DataFrame:
+    """All rows listed (now, or by ``version``), not added up, and those of the written
+    folders ``more``; empty where there are none."""
+    version = version or current_version(spark, table)
+    folders = (*(version.folders if version else ()), *more)
+    empty = spark.createDataFrame([], schema)
+    return frame_of(spark, table, Version(0, folders, empty.schema.json(), tuple(empty.columns))) if folders else empty

@@ -44,7 +44,8 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm.org.apache.hadoop.fs.Path
 
 
-def _published(spark: SparkSession, table: str) -> list[int]:
+def published(spark: SparkSession, table: str) -> list[int]:
+    """The numbers of the versions there are."""
     fs, at, _ = _fs(spark, f"{table}/_versions")
     if not fs.exists(at):
         return []
@@ -54,7 +55,7 @@ def _published(spark: SparkSession, table: str) -> list[int]:
 
 def current_version(spark: SparkSession, table: str, number: int | None = None) -> Version | None:
     """The version ``number``, by default the latest; ``None`` if nothing is published."""
-    known = _published(spark, table)
+    known = published(spark, table)
     if not known or (number is not None and number not in known):
         return None
     fs, at, path = _fs(spark, f"{table}/_versions/{known[-1] if number is None else number:0{_DIGITS}d}.json")
@@ -146,7 +147,7 @@ def drop_old_versions(spark: SparkSession, table: str, keep: int = 2) -> list[st
     For a time when no reader holds an older version and no writer is at work: data
     that is not published yet counts as unused.
     """
-    known = _published(spark, table)
+    known = published(spark, table)
     kept = known[-keep:]
     used = {f for n in kept for f in current_version(spark, table, n).folders}
     fs, top, path = _fs(spark, table)

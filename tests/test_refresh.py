@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallybook.operators import changes
 from tallybook.operators.postings import ledger_postings
 from tallybook.plans.pipeline import build_statements, default_years, run_pipeline
-from tallybook.refresh import graph, keyed, partials
+from tallybook.refresh import graph, keyed, partials, statements
 from tallybook.sources import versions
 from tallybook.sources.adapter import Ledger, ledger_from_driver
 from tallybook.sources.loader import as_text
@@ -416,3 +416,83 @@ def test_load_changes_feed_the_states(spark, tmp_path):
     states = {t: changes.state_of(t, df) for t, df in none.tables().items()}
     states["payments"] = changes.merged("payments", state)
     assert from_states(spark, states) == rebuilt(spark, Ledger(none.sales, none.purchases, live, none.loans))
+
+
+# --- statements from keyed loads -----------------------------------------------------------------
+
+def raw_load(spark, rnd, name, n):
+    """Records of a load as text; some deletions, bad and repeated ones."""
+    rows = random_rows(rnd, n)[name]
+    text = [tuple(None if v is None else str(v) for v in r) for r in rows]
+    text = [(str(rnd.randrange(25)), *r[1:], "D" if rnd.random() < 0.15 else None) for r in text]
+    ddl = ", ".join(f"{f.name} string" for f in LEDGER_SCHEMAS[name].fields) + ", _op string"
+    return spark.createDataFrame(text, ddl)
+
+
+def as_rebuilt(spark, folder):
+    return rebuilt(spark, statements.loaded_ledger(spark, folder))
+
+
+def test_statements_follow_loads_late_again_and_changed(spark, tmp_path, monkeypatch):
+    folder, rnd = str(tmp_path / "f"), random.Random(31)
+    loads = {(t, n): raw_load(spark, rnd, t, 12) for t in ("purchases", "payments") for n in range(1, 5)}
+    loads[("sales", 1)] = raw_load(spark, rnd, "sales", 25)
+    assert rows_of(statements.current_statements(spark, folder, default_years(spark))) == []
+    order = [("sales", 1), *[("purchases", n) for n in (2, 1, 4, 3)], *[("payments", n) for n in (1, 3, 2)]]
+    for at in order:
+        statements.apply_load(loads[at], folder, at[0], at[1])
+    assert from_states(spark, statements.current_states(spark, folder)) == as_rebuilt(spark, folder)
+    # again, and again with other records
+    statements.apply_load(loads["purchases", 2], folder, "purchases", 2)
+    statements.apply_load(raw_load(spark, rnd, "purchases", 15), folder, "purchases", 1)
+    statements.apply_load(raw_load(spark, rnd, "payments", 15), folder, "payments", 3)
+    want = as_rebuilt(spark, folder)
+    assert from_states(spark, statements.current_states(spark, folder)) == want
+    # a load that dies before it is published is not seen, one that dies after it is
+    late = loads["payments", 4]
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(statements, "publish", dies)
+        with pytest.raises(KeyboardInterrupt):
+            statements.apply_load(late, folder, "payments", 4)
+    assert from_states(spark, statements.current_states(spark, folder)) == want == as_rebuilt(spark, folder)
+    assert statements.compact_states(spark, folder, fanout=2)["purchases"] >= 2
+    assert from_states(spark, statements.current_states(spark, folder)) == want
+    with monkeypatch.context() as m:
+        m.setattr(statements, "list_batches", dies)
+        with pytest.raises(KeyboardInterrupt):
+            statements.apply_load(late, folder, "payments", 4)
+    at = f"{folder}/states/payments"
+    assert len(statements._unlisted(spark, folder, "payments", versions.current_version(spark, at))) == 1
+    want = as_rebuilt(spark, folder)
+    assert from_states(spark, statements.current_states(spark, folder)) == want
+    statements.compact_states(spark, folder, fanout=2)
+    assert not statements._unlisted(spark, folder, "payments", versions.current_version(spark, at))
+    assert from_states(spark, statements.current_states(spark, folder)) == want
+    # folded records give further loads the same changes
+    keyed.fold(spark, f"{folder}/raw/payments")
+    statements.apply_load(raw_load(spark, rnd, "payments", 20), folder, "payments", 5)
+    assert from_states(spark, statements.current_states(spark, folder)) == as_rebuilt(spark, folder) != want
+    built = build_statements(spark, statements.loaded_ledger(spark, folder))
+    assert rows_of(statements.current_statements(spark, folder, default_years(spark))) == rows_of(built)
+
+
+def test_a_second_loader_that_comes_first(spark, tmp_path, monkeypatch):
+    """Two loads start from one version: the slower one compares again with what stands."""
+    folder, rnd = str(tmp_path / "f"), random.Random(33)
+    first, second = (raw_load(spark, rnd, "payments", 20) for _ in range(2))
+    real, raced = statements.publish, []
+
+    def slower(spark_, table, version):
+        if not raced:
+            raced.append(1)
+            statements.apply_load(second, folder, "payments", 2)
+        return real(spark_, table, version)
+
+    monkeypatch.setattr(statements, "publish", slower)
+    statements.apply_load(first, folder, "payments", 1)
+    assert from_states(spark, statements.current_states(spark, folder)) == as_rebuilt(spark, folder)
+    assert versions.current_version(spark, f"{folder}/raw/payments").number == 1
