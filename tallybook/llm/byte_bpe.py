@@ -23,7 +23,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm.common import documents, held, id_text, sha
+from tallybook.llm.common import documents, held, id_text, sha, tidy
 from tallybook.llm.perfect_hash import PerfectHash
 
 
@@ -169,7 +169,7 @@ def _run(docs, id_col, text_col, ranks, pattern, slice_rows, row, fields, ddl) -
                     [part.column(0)] + [pa.array(c, t) for c, (_, t) in zip(zip(*rows), fields)],
                     names=["doc_id", *(f for f, _ in fields)])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, f"doc_id long, {ddl}")
+    return id_text(docs, id_col, text_col).mapInArrow(tidy(run), f"doc_id long, {ddl}")
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import os
 import shutil
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -67,7 +69,7 @@ def keep_rows(docs: DataFrame, judge: Callable[[], Callable[..., bool]], cols: l
                 part = batch.slice(k, 256)
                 yield part.filter(pa.array([keep(*v) for v in zip(*(part.column(i).to_pylist() for i in at))], pa.bool_()))
 
-    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+    return plain.mapInArrow(tidy(run), plain.schema).toDF(*docs.columns)
 
 
 def map_texts(docs: DataFrame, row: Callable[[str], tuple], fields: list[tuple[str, pa.DataType]],
@@ -87,7 +89,7 @@ def map_texts(docs: DataFrame, row: Callable[[str], tuple], fields: list[tuple[s
                 arrays = [part.column(0)] + [pa.array(c, type=t) for c, (_, t) in zip(cols, fields)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return docs.mapInArrow(run, f"doc_id long, {ddl}")
+    return docs.mapInArrow(tidy(run), f"doc_id long, {ddl}")
 
 
 #: What this worker process keeps from task to task: (whose, by which parameters, object).
@@ -109,6 +111,27 @@ def let_go() -> None:
     _HELD.clear()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of ``rows`` rows: what a task makes of a piece is all it holds."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for ``mapInArrow``, after which the worker process, which waits for its next
+    task with what it has, gives freed memory back to the system."""
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)(0)  # of the GNU C library
+
+    return tidied
+
+
 def sha(text: str | bytes) -> str:
     return hashlib.sha256(text.encode() if isinstance(text, str) else text).hexdigest()
 

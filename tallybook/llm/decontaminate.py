@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import documents, id_text, keep_rows, let_go, numbered, stage
+from tallybook.llm.common import documents, id_text, keep_rows, let_go, numbered, stage, tidy
 
 _WORD = re.compile(r"\w+")
 #: Items whose walks and samples a task keeps.
@@ -252,7 +252,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
                                                  names=["doc_id", "item_id", "n_words", "distance"])
 
-        return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, item_id long, n_words long, distance long")
+        return id_text(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id long, item_id long, n_words long, distance long")
 
     found: list[DataFrame] = []
     for block in item_blocks(benchmark, item_col, item_text_col, block_chars, min_words):

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.llm.common import column, documents, id_text, numbered, stage
+from tallybook.llm.common import column, documents, id_text, numbered, slices, stage, tidy
 from tallybook.llm.perfect_hash import PerfectHash
 
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -64,7 +64,7 @@ def _halves(keys: list[bytes]) -> np.ndarray:
 def shared_keys(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     """lo, hi, n, last: the keys of ``min_docs`` documents or more."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 2048):
             ids, keys = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = _keys(text, min_chars)
@@ -74,7 +74,7 @@ def shared_keys(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(half[:, 0]), pa.array(half[:, 1]), pa.array(ids, pa.int64())],
                                              names=["lo", "hi", "doc_id"])
 
-    return (docs.mapInArrow(run, "lo long, hi long, doc_id long").groupBy("lo", "hi")
+    return (docs.mapInArrow(tidy(run), "lo long, hi long, doc_id long").groupBy("lo", "hi")
             .agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs))
 
 
@@ -137,7 +137,7 @@ def _pack_probes(docs: DataFrame, min_chars: int, n_shards: int, cells_of: np.nd
                  pa.array([doc[a:b].tobytes() for a, b in zip(cut, stop)], pa.binary())],
                 names=["shard", "cell", "none", "keys", "ids"])
 
-    return docs.mapInArrow(run, "shard long, cell long, none boolean, keys binary, ids binary")
+    return docs.mapInArrow(tidy(run), "shard long, cell long, none boolean, keys binary, ids binary")
 
 
 def _probe(probes: pa.Table, shards: pa.Table) -> pa.Table:
@@ -201,7 +201,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            T.StructField("__n_dropped", T.LongType())])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 2048):
             kept, before, dropped = [], [], []
             for t, gone in zip(batch.column(text).to_pylist(), batch.column(len(names)).to_pylist()):
                 lines = (t or "").encode().split(b"\n")
@@ -217,7 +217,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([*cols, pa.array(before, pa.int64()), pa.array(dropped, pa.int64())],
                                              names=[*names, "__n_lines", "__n_dropped"])
 
-    return joined.mapInArrow(run, schema).toDF(*docs.columns, "__n_lines", "__n_dropped")
+    return joined.mapInArrow(tidy(run), schema).toDF(*docs.columns, "__n_lines", "__n_dropped")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

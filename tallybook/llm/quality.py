@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import column, documents, keep_rows, let_go, numbered, release, stage
+from tallybook.llm.common import column, documents, keep_rows, let_go, numbered, release, stage, tidy
 
 #: Character classes: vowels and consonants as ASCII letters of their own kind,
 #: other letters, upper case, digits, blanks, sentence marks, other marks.
@@ -235,7 +235,7 @@ def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         yield from batches_of(parts.rows())
 
     counts = (_typed(docs, id_col, text_col, lang_col).select("text", "lang")
-              .mapInArrow(run, "lang string, kind string, item string, n long")
+              .mapInArrow(tidy(run), "lang string, kind string, item string, n long")
               .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")))
     # Some rows a language are counted twice over, words once: the table is written.
     counts = stage(counts, "word-counts")
@@ -327,7 +327,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0)] + [pa.array(c, f.type) for c, f in zip(zip(*rows), list(schema)[1:])], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    return docs.mapInArrow(tidy(run), "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
                                 "n_repeat_words long, class_js double, word_js double, base_failed boolean, kept boolean")
 
 

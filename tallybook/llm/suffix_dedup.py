@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import documents, id_text, stage
+from tallybook.llm.common import documents, id_text, stage, tidy
 
 WINDOW = 200
 #: A perfect difference set: each difference modulo 91 occurs once.
@@ -200,7 +200,7 @@ def _packed(rows: DataFrame) -> DataFrame:
                 blobs.append(sink.getvalue().to_pybytes())
             yield pa.RecordBatch.from_arrays([pa.array(group[cut]), pa.array(blobs, pa.binary())], names=["group", "docs"])
 
-    return rows.mapInArrow(run, "group long, docs binary")
+    return rows.mapInArrow(tidy(run), "group long, docs binary")
 
 
 def _sorted(table: pa.Table) -> pa.Table:

@@ -28,7 +28,7 @@ from array import array
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm.common import documents, held, id_text
+from tallybook.llm.common import documents, held, id_text, tidy
 
 MARK = "▁"
 RANK_SHIFT = 10
@@ -148,7 +148,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     [part.column(0), *(pa.array(c, pa.int64()) for c in (zip(*n) if n else ((), ())))],
                     names=["doc_id", "n_words", "n_tokens"])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_words long, n_tokens long")
+    return id_text(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id long, n_words long, n_tokens long")
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -143,7 +143,7 @@ def test_negatives_against_all_pairs(spark, part):
              (2000, None, 1), (2001, [1.0, None, 2.0, 0.0, 0.0, 0.0], 1), (2002, [float("nan")] * 6, 1),
              (2003, [float("inf")] * 6, 1), (2004, [], 1), (2005, [0.0] * 6, 1), (2006, [1.0, -2.0], 1),
              (2010, [-0.001] * 9, 0), (-10, hot, 0)]
-    df = spark.createDataFrame(rows, VECTORS).withColumn("Label2", F.lit("x"))
+    df = spark.createDataFrame(rows, VECTORS).select("*", *(F.lit("x").alias(n) for n in ("LABEL", "Vec_Id", "row", "q", "slots", "grp")))
     got = hard_negatives.hard_negatives(df, F.col("vec_id") % 10 == 0, part=part)
     assert rows_of(got) == negatives_plain(rows, lambda i, lab: i % 10 == 0)
 
@@ -260,7 +260,7 @@ def records(rnd, sizes):
     (4, {"en": 300}), (1, {f"l{k}": k % 11 + 1 for k in range(70)}), (1, {"en": 1}), (1, {"en": 8}), (1, {"en": 4097})])
 def test_manifest_against_a_plain_tree(spark, levels, sizes):
     rnd = random.Random(levels)
-    rows = records(rnd, sizes) + [(5, "Twice", next(iter(sizes)), "s", 1)] * 3 + [(None, "No Id", next(iter(sizes)), None, None)] * 2
+    rows = records(rnd, sizes) + [(6, "A Very Long Text " * 20_000, next(iter(sizes)), "s", 1), (5, "Twice", next(iter(sizes)), "s", 1)] * 3 + [(None, "No Id", next(iter(sizes)), None, None)] * 2
     got = manifest_of(spark, rows, with_path=False, block_levels=levels).collect()
     assert sorted((tuple(r) for r in got), key=repr) == manifest_plain(rows)
 
