@@ -42,11 +42,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import column, documents, id_text, numbered, release, stage
+from tallybook.llm.common import column, documents, id_text, numbered, release, slices, stage, tidy
 from tallybook.llm.components import stars
 from tallybook.llm.perfect_hash import mix
 
 SKETCH_BITS = 512
+#: Words whose hashes a task remembers.
+KNOWN = 150_000
 #: What a sketch's estimate may lie below the threshold.
 MARGIN = 0.2
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -102,8 +104,8 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
         seeds[:, 1] |= np.uint64(1)
         number = np.arange(bands, dtype=np.uint64)
         hashes: dict[bytes, int] = {}
-        for batch in batches:
-            if len(hashes) > 500_000:
+        for batch in slices(batches, 512):
+            if len(hashes) > KNOWN:
                 hashes.clear()
             out = []
             for text in batch.column(1).to_pylist():
@@ -122,7 +124,7 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
                  pa.array(cols[2], pa.list_(pa.int64())), pa.array(cols[3], pa.list_(pa.int64()))],
                 names=["doc_id", "n_shingles", "set_key", "bands", "sketch"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, sketch array<long>")
+    return docs.mapInArrow(tidy(run), "doc_id long, n_shingles long, set_key binary, bands array<long>, sketch array<long>")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
@@ -130,8 +132,8 @@ def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     has it, and the odd sketch of the whole set."""
     def run(batches):
         hashes: dict[bytes, int] = {}
-        for batch in batches:
-            if len(hashes) > 500_000:
+        for batch in slices(batches, 512):
+            if len(hashes) > KNOWN:
                 hashes.clear()
             sets = [shingles(t or "", k, hashes) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
@@ -141,7 +143,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
 
     text = docs.join(nodes.select("first_id").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("first_id")),
                      "left_semi").select("text")
-    return (text.mapInArrow(run, "set_key binary, words array<long>, parity array<long>")
+    return (text.mapInArrow(tidy(run), "set_key binary, words array<long>, parity array<long>")
             .join(nodes.select("set_key", "node"), "set_key")
             .groupBy("node").agg(F.first("words").alias("words"), F.first("parity").alias("parity")))
 
@@ -161,7 +163,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     sets = sets.select("node", "words")
     return (pairs.select("a", "b").join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-            .select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
+            .select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long"))
 
 
 #: Sizes of one band differ by 2 % at the most.
@@ -169,24 +171,27 @@ _BAND = math.log(1.02)
 
 
 def prefix_rows(sets: DataFrame, percent: int) -> DataFrame:
-    """w, node, root, n, left: the shingles that a set may share first with another one
-    similar enough, ``left`` of them from this one on. Rare shingles come first, those
-    of one set only before all others; these take places but need no rows."""
+    """w, node, root, n, left, parity: the shingles that a set may share first with another
+    one similar enough, ``left`` of them from this one on. Rare shingles come first,
+    those of one set only before all others; these take places but need no rows."""
     each = sets.select("node", "root", F.size("words").alias("n"), F.explode("words").alias("w"))
     shared = each.groupBy("w").agg(F.count("*").alias("times")).where("times > 1")
     of_node = Window.partitionBy("node")  # no more rows than its text has words
-    return (each.join(shared, "w")
+    rows = (each.join(shared, "w")
             .withColumn("left", F.count("*").over(of_node) - F.row_number().over(of_node.orderBy("times", "w")) + 1)
             .where(f"100 * left >= {percent} * n").select("w", "node", "root", "n", "left"))
+    return rows.join(sets.select("node", "parity"), "node").select("w", "node", "root", "n", "left", "parity")
+
 
+def prefix_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a the smaller set, a pair once: sets of different roots that can be similar enough.
 
-def prefix_candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b, na, nb), a the smaller set, of pairs of different roots that meet in a shingle
-    from which on both can still hold all that they have to share; a pair as often as
-    it meets.
+    ``rows``: the sets' ``prefix_rows``. Exact: sets of n and m shingles are asked for an
+    overlap of percent * (n + m) / (100 + percent), so both still have to hold that many
+    from a first common shingle on, and the odd sketches of the whole sets differ in no
+    more bits than the sets may in shingles, (100 - percent) * (n + m) / (100 + percent).
 
-    An overlap of percent * (n + m) / (100 + percent) is asked for, so from a first
-    common shingle on with ``left`` more, a set has partners up to a certain size only:
+    With ``left`` shingles from there on, a set has partners up to a certain size only:
     the smaller set goes to the bands of these sizes, the larger one to its own. A
     shingle that very many sets share brings together only those of fitting sizes:
     sets that have too much of their own before it have no fitting size at all.
@@ -201,28 +206,15 @@ def prefix_candidates(rows: DataFrame, percent: int) -> DataFrame:
     # Of each shingle and band, the root with the most rows needs no pairs among its own.
     big = (large.groupBy("w", "band", "root").agg(F.count("*").alias("m")).groupBy("w", "band")
            .agg(F.max_by("root", "m").alias("big")))
-    fits = (f"ra <> rb and (na < nb or (na = nb and a < b)) and nb <= most "
-            f"and {100 + percent} * least(la, lb) >= {percent} * (na + nb)")
-    one = small.join(big.select("w", "band", "big"), ["w", "band"]).toDF("w", "band", "a", "ra", "na", "la", "most", "big")
-    two = large.join(big.select("w", "band", "big"), ["w", "band"]).toDF("w", "band", "b", "rb", "nb", "lb", "big")
-    met = (one.where("ra <> big").join(two.drop("big"), ["w", "band"])
-           .unionByName(one.where("ra = big").join(two.where("rb <> big").drop("big"), ["w", "band"])))
-    return met.where(fits).select("a", "b", "na", "nb")
-
-
-def prefix_pairs(sets: DataFrame, percent: int, rows: DataFrame | None = None) -> DataFrame:
-    """(a, b), a pair once: sets of different roots that can be similar enough.
-
-    ``sets``: node, root, words, parity. Exact by prefixes (``prefix_candidates``); and
-    the odd sketches of the whole sets differ in no more bits than the sets in
-    shingles, of which (100 - percent) * (n + m) / (100 + percent) are allowed.
-    ``rows``: the sets' ``prefix_rows``, where they are written already.
-    """
-    pairs = prefix_candidates(prefix_rows(sets, percent) if rows is None else rows, percent).distinct()
     differ = "+".join(f"bit_count(pa[{j}] ^ pb[{j}])" for j in range(SKETCH_BITS // 64))
-    one, two = (sets.select(F.col("node").alias(x), F.col("parity").alias(f"p{x}")) for x in "ab")
-    return (pairs.join(one, "a").join(two, "b").where(f"{100 + percent} * ({differ}) <= {100 - percent} * (na + nb)")
-            .select("a", "b"))
+    fits = (f"ra <> rb and (na < nb or (na = nb and a < b)) and nb <= most "
+            f"and {100 + percent} * least(la, lb) >= {percent} * (na + nb) "
+            f"and {100 + percent} * ({differ}) <= {100 - percent} * (na + nb)")
+    one = small.join(big, ["w", "band"]).toDF("w", "band", "a", "ra", "na", "la", "pa", "most", "big")
+    two = large.join(big, ["w", "band"]).toDF("w", "band", "b", "rb", "nb", "lb", "pb", "big")
+    met = (one.where("ra <> big").join(two.drop("big"), ["w", "band"]).where(fits).select("a", "b")
+           .unionAll(one.where("ra = big").join(two.where("rb <> big").drop("big"), ["w", "band"]).where(fits).select("a", "b")))
+    return met.distinct()
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
@@ -268,9 +260,8 @@ def _links(docs: DataFrame, nodes: DataFrame, k: int, percent: int, minima_: int
     placed = members.join(links.toDF("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     apart = placed.join(mixed, "bucket").select("node", "root").distinct()
-    mixed_sets = sets.join(apart, "node")
-    prefixes = stage(prefix_rows(mixed_sets, percent), "prefixes")
-    rest = stage(prefix_pairs(sets, percent, prefixes), "rest")
+    prefixes = stage(prefix_rows(sets.join(apart, "node"), percent), "prefixes")
+    rest = stage(prefix_pairs(prefixes, percent), "rest")
     release(prefixes)
     out = stars(links.unionAll(_confirmed(rest, sets, percent)))
     release(members, sets, links, rest)
