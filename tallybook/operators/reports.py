@@ -22,33 +22,34 @@ def statement_compare(dashboard: DataFrame, years: Iterable[int] = COMPARE_YEARS
     """P&L (revenue, total expenses = revenue - net income, net income) and
     balance-sheet measures (cash, debt, inventory), one column per year.
 
-    The pivot values are given, so Spark needs no extra pass to find them.
+    One aggregate picks each measure of each year, NULL where the statements lack it;
+    its one row is then turned, so the few rows of the statements are not shuffled.
     """
     years = list(years)
     d = dashboard.filter(F.col("year").isin(years)).withColumn(
         "total_expenses", (F.col("revenue") - F.col("net_income")).cast(REPORT))
     metrics = list(PL_METRICS) + list(BALANCE_METRICS)
-    long = d.select("year", *[F.col(m).cast(REPORT).alias(m) for m in metrics]).unpivot(
-        "year", metrics, "metric", "value")
-    long = long.withColumn("label", F.concat(F.lit("y"), F.col("year").cast("string")))
-    wide = long.groupBy("metric").pivot("label", [f"y{y}" for y in years]).agg(F.max("value"))
-    section = F.when(F.col("metric").isin(list(PL_METRICS)), F.lit("P&L")).otherwise(
-        F.lit("Balance Sheet"))
-    return wide.select("metric", section.alias("section"), *[f"y{y}" for y in years])
+    picked = d.agg(*[F.max(F.when(F.col("year") == y, F.col(m).cast(REPORT))).alias(f"{m}_{y}") for m in metrics for y in years])
+    rows = [F.struct(F.lit(m).alias("metric"), F.lit("P&L" if m in PL_METRICS else "Balance Sheet").alias("section"),
+                     *[F.col(f"{m}_{y}").alias(f"y{y}") for y in years]) for m in metrics]
+    return picked.select(F.inline(F.array(*rows)))
 
 
 def flux_yoy(dashboard: DataFrame, measures: Iterable[str] = FLUX_MEASURES) -> DataFrame:
     """Year-over-year change of each measure, in percent of |previous value|.
 
-    NULL when there is no previous year or its value is NULL or zero.
+    NULL when there is no previous year or its value is NULL or zero. All measures
+    look back in one window over the years (at most 9,999 rows); then each year's row is
+    turned into one per measure.
     """
     measures = list(measures)
-    long = dashboard.select("year", *[F.col(m).cast(REPORT).alias(m) for m in measures]).unpivot(
-        "year", measures, "measure", "value")
-    w = Window.partitionBy("measure").orderBy(F.col("year").asc_nulls_last())
-    prev = F.lag("value").over(w)
-    return long.select("measure", "year", "value", prev.alias("prev_value"),
-                       pct_change(F.col("value"), prev).alias("yoy_pct"))
+    by_year = Window.orderBy(F.col("year").asc_nulls_last())
+    both = dashboard.select("year", *[F.col(m).cast(REPORT).alias(m) for m in measures],
+                            *[F.lag(F.col(m).cast(REPORT)).over(by_year).alias(f"prev_{m}") for m in measures])
+    rows = [F.struct(F.lit(m).alias("measure"), F.col("year"), F.col(m).alias("value"), F.col(f"prev_{m}").alias("prev_value"))
+            for m in measures]
+    return both.select(F.inline(F.array(*rows))).select(
+        "measure", "year", "value", "prev_value", pct_change(F.col("value"), F.col("prev_value")).alias("yoy_pct"))
 
 
 def export_rows(sales: DataFrame, end_year: int = 2023) -> DataFrame:

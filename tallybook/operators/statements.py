@@ -46,8 +46,9 @@ BALANCES = ("Cash", "Accounts_Receivable", "Accounts_Payable", "Loan_Principal",
 
 def dashboard(summaries: DataFrame, end_year: int | None, rules: RuleSet = PIPELINE,
               cash_name: str = "cash", inventory_name: str = "inventory",
-              carry_forward: bool = False) -> DataFrame:
-    """One row per year <= end_year (``None``: every year): 9 rounded measures, ordered by year.
+              carry_forward: bool = False, ordered: bool = True) -> DataFrame:
+    """One row per year <= end_year (``None``: every year): 9 rounded measures, ordered by year
+    (unless a report follows, which has no use for the order).
 
     As in the reference, a balance account without movement in a year shows 0
     there. ``carry_forward=True`` shows its last balance instead (a window
@@ -67,7 +68,7 @@ def dashboard(summaries: DataFrame, end_year: int | None, rules: RuleSet = PIPEL
         w = Window.orderBy(F.col("year").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
         b = {a: F.last(c, ignorenulls=True).over(w) for a, c in b.items()}
     ppe = or_zero(F.col("_ppe"))
-    return wide.select(
+    out = wide.select(
         "year",
         round2(or_zero(F.col("_rev"))).alias("revenue"),
         round2(F.col("_ni")).alias("net_income"),
@@ -78,7 +79,8 @@ def dashboard(summaries: DataFrame, end_year: int | None, rules: RuleSet = PIPEL
         round2(or_zero(b["Inventory"])).alias(inventory_name),
         round2(ppe).alias("gross_ppe"),
         round2(F.greatest(F.lit(0).cast("decimal(1,0)"), ppe + or_zero(b["Depr_Exp"]))).alias("net_ppe"),
-    ).orderBy(F.col("year").asc_nulls_last())
+    )
+    return out.orderBy(F.col("year").asc_nulls_last()) if ordered else out
 
 
 DASHBOARD_END_YEAR = 2023

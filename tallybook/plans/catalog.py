@@ -163,11 +163,11 @@ def q_audit_cash_2021(spark, led):
 
 
 def q_statement_compare(spark, led):
-    return reports.statement_compare(build_statements(spark, led))
+    return reports.statement_compare(build_statements(spark, led, ordered=False))
 
 
 def q_flux_yoy(spark, led):
-    return reports.flux_yoy(build_statements(spark, led))
+    return reports.flux_yoy(build_statements(spark, led, ordered=False))
 
 
 def q_export_rows(spark, led):

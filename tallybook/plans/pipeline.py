@@ -52,7 +52,7 @@ def postings_for(spark: SparkSession, ledger: Ledger, rules: RuleSet = PIPELINE,
 
 def _statements(spark: SparkSession, ledger: Ledger, rules: RuleSet, end_year: int | None, default_end: int,
                 years: DataFrame | None, accrual_years: Iterable[int] | None | str,
-                carry_forward: bool = False, **names: str) -> DataFrame:
+                carry_forward: bool = False, ordered: bool = True, **names: str) -> DataFrame:
     """Years beyond a rule set's own end have their depreciation and accruals
     too: the defaults of both ranges stretch to ``end_year``."""
     later = end_year is None or end_year > default_end
@@ -68,7 +68,7 @@ def _statements(spark: SparkSession, ledger: Ledger, rules: RuleSet, end_year: i
     elif later:
         rules = replace(rules, accrual_years=tuple(range(min(rules.accrual_years), end_year + 1)))
     post = postings_for(spark, ledger, rules, end_year=end_year, years=years, by_rule=False)
-    return dashboard(yearly_summaries(post), end_year, rules, carry_forward=carry_forward, **names)
+    return dashboard(yearly_summaries(post), end_year, rules, carry_forward=carry_forward, ordered=ordered, **names)
 
 
 def _as_ledger(spark: SparkSession, ledger: Ledger | str) -> Ledger:
@@ -79,7 +79,7 @@ def _as_ledger(spark: SparkSession, ledger: Ledger | str) -> Ledger:
 def build_statements(spark: SparkSession, ledger: Ledger | str,
                      end_year: int | None = DASHBOARD_END_YEAR, years: DataFrame | None = None,
                      carry_forward: bool = False,
-                     accrual_years: Iterable[int] | None | str = DEFAULT) -> DataFrame:
+                     accrual_years: Iterable[int] | None | str = DEFAULT, ordered: bool = True) -> DataFrame:
     """The yearly dashboard (income statement and balance sheet measures).
 
     ``end_year`` is the last year shown, ``None`` every year of the ledger.
@@ -88,7 +88,7 @@ def build_statements(spark: SparkSession, ledger: Ledger | str,
     reference's, stretched to a later ``end_year``.
     """
     return _statements(spark, _as_ledger(spark, ledger), PIPELINE, end_year, DASHBOARD_END_YEAR, years,
-                       accrual_years, carry_forward)
+                       accrual_years, carry_forward, ordered)
 
 
 def audit_summaries(spark: SparkSession, ledger: Ledger | str, years: DataFrame | None = None,
