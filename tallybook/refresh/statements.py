@@ -21,7 +21,7 @@ from ..operators.postings import PIPELINE, RuleSet
 from ..operators.statements import DASHBOARD_END_YEAR, dashboard, yearly_summaries
 from ..sources.adapter import Ledger
 from ..sources.versions import Conflict, Version, current_version, frame_of, publish, published
-from .keyed import load_changes, read_live, with_load, write_load
+from .keyed import fold, load_changes, read_live, with_load, write_load
 from .partials import TRIES, compact, list_batches, read_partials, segments, write_partial
 
 
@@ -87,6 +87,16 @@ def compact_states(spark: SparkSession, folder: str, fanout: int = 8) -> dict[st
     return {t: compact(spark, f"{folder}/states/{t}", lambda rows, t=t: merged(t, rows), fanout) for t in STATES}
 
 
+def maintain(spark: SparkSession, folder: str, fanout: int = 8, most_folders: int = 32) -> None:
+    """What a schedule runs beside loads and readers: merge states, and fold the records of
+    tables with more than ``most_folders`` loads since their last fold."""
+    compact_states(spark, folder, fanout)
+    for t in STATES:
+        version = current_version(spark, f"{folder}/raw/{t}")
+        if version is not None and len(version.folders) > most_folders:
+            fold(spark, f"{folder}/raw/{t}")
+
+
 def loaded_ledger(spark: SparkSession, folder: str) -> Ledger:
     """The ledger tables as they stand."""
     return Ledger(**{t: read_live(spark, f"{folder}/raw/{t}", t) for t in STATES})

@@ -82,7 +82,8 @@ def records_from_lines(lines: DataFrame, columns: list[str], sep: str = ",") ->
     return lines.select(F.from_csv(F.col(lines.columns[0]), ddl, options).alias("r")).select("r.*")
 
 
-def _read(spark: SparkSession, src: DataFrame | str, fmt: str, options: dict) -> DataFrame:
+def read_raw(spark: SparkSession, src: DataFrame | str, fmt: str, options: dict) -> DataFrame:
+    """Raw records of a frame or a path; of CSV as text, lines with another number of fields kept whole."""
     if isinstance(src, DataFrame):
         return src
     if fmt != "csv":
@@ -115,7 +116,7 @@ def load_ledger(spark: SparkSession, sources: dict[str, DataFrame | str],
     for name, schema in LEDGER_SCHEMAS.items():
         if name not in sources:
             continue
-        parsed = parse_records(_read(spark, sources[name], fmt, options), schema)
+        parsed = parse_records(read_raw(spark, sources[name], fmt, options), schema)
         if target_dir:
             path = os.path.join(target_dir, name)
             if versioned:

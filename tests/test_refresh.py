@@ -496,3 +496,30 @@ def test_a_second_loader_that_comes_first(spark, tmp_path, monkeypatch):
     statements.apply_load(first, folder, "payments", 1)
     assert from_states(spark, statements.current_states(spark, folder)) == as_rebuilt(spark, folder)
     assert versions.current_version(spark, f"{folder}/raw/payments").number == 1
+
+
+def test_command_line_loads(spark, tmp_path, capsys):
+    from tallybook.__main__ import main
+    led = ledger_from_driver(spark, SF)
+    once = {t: df.groupBy("id").count().filter("count = 1").select("id") for t, df in led.tables().items()}
+    led = Ledger(**{t: df.join(once[t], "id", "left_semi") for t, df in led.tables().items()})  # ids that are keys
+    for n, cond, op in ((1, "true", None), (2, "id % 5 = 2", "D")):
+        for t, df in led.tables().items():
+            as_text(df.filter(cond)).withColumn("_op", F.lit(op).cast("string")).write.option("header", True).csv(str(tmp_path / f"raw{n}" / t))
+    target = str(tmp_path / "kept")
+
+    def said(n):
+        main(["load", "--raw", str(tmp_path / f"raw{n}"), "--target", target, "--load", str(n)])
+        lines = capsys.readouterr().out.splitlines()
+        assert all(x.endswith(" 0 rejected records") for x in lines[:4])
+        return sorted(tuple(x.split("\t")) for x in lines[5:])
+
+    def built(led):
+        return sorted(tuple("" if v is None else str(v) for v in r) for r in build_statements(spark, led).collect())
+
+    assert said(1) == built(led)
+    assert said(2) == built(Ledger(**{t: df.filter("id % 5 <> 2") for t, df in led.tables().items()}))
+    assert said(2) == said(1)  # both again: nothing changes
+    statements.maintain(spark, target, fanout=2, most_folders=1)
+    assert len(versions.current_version(spark, f"{target}/raw/sales").folders) == 1
+    assert rows_of(statements.loaded_ledger(spark, target).loans) == rows_of(led.loans.filter("id % 5 <> 2"))
