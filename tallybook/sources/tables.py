@@ -1,8 +1,8 @@
 """Table persistence: snapshots, materialized views, live views, drops.
 
 PostgreSQL tables and views map onto Spark as follows: a derived snapshot or
-materialized view is a Parquet table written in one overwrite (rebuilt
-explicitly); a live view is a temp view over a lazy plan, recomputed on every
+materialized view is a Parquet table by version, rebuilt explicitly and seen
+when it is whole; a live view is a temp view over a lazy plan, recomputed on every
 read. Written tables go below the shared folder of the cluster
 (``spark.checkpoint.dir``) unless a path is given.
 """
@@ -17,6 +17,7 @@ from ..session import shared_path
 from .adapter import Ledger
 from .loader import OK, parse_records
 from .schemas import LEDGER_SCHEMAS
+from .versions import frame_of, read_version, save_version
 
 
 def read_tables(spark: SparkSession, names: list[str], fmt: str = "parquet",
@@ -35,10 +36,16 @@ def read_tables(spark: SparkSession, names: list[str], fmt: str = "parquet",
             r = r.option("dbtable", name).options(**(partitioning or {}).get(name, {}))
             out[name] = r.load()
         else:
-            out[name] = r.load(f"{location.rstrip('/')}/{name}")
+            out[name] = _open(spark, f"{location.rstrip('/')}/{name}", fmt, options)
     return out
 
 
+def _open(spark: SparkSession, path: str, fmt: str, options: dict | None = None) -> DataFrame:
+    """A table of files, or the current version of a table by version."""
+    versioned = read_version(spark, path) if fmt == "parquet" else None
+    return spark.read.format(fmt).options(**(options or {})).load(path) if versioned is None else versioned
+
+
 def save_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
                partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` and return a frame that reads the written files."""
@@ -54,12 +61,14 @@ def materialize(df: DataFrame, name: str, path: str | None = None,
                 partition_by: list[str] | None = None) -> DataFrame:
     """CREATE MATERIALIZED VIEW / CREATE TABLE AS: snapshot ``df`` and register it.
 
-    Writing also cuts the lineage: readers no longer replay the source plan,
-    and a lost executor re-reads files instead of recomputing the stage.
+    The snapshot is the next version of the table at ``path`` (``sources.versions``): readers
+    see it when it is whole, and a build that fails leaves the one before. Writing also
+    cuts the lineage: readers no longer replay the source plan, and a lost executor
+    re-reads files instead of recomputing the stage.
     """
     spark = df.sparkSession
     target = path or shared_path(spark, "tables", name)
-    out = save_table(df, target, partition_by=partition_by)
+    out = frame_of(spark, target, save_version(df, target, partition_by))
     out.createOrReplaceTempView(name)
     return out
 
@@ -102,7 +111,7 @@ def drop_table(spark: SparkSession, path: str) -> None:
 
 
 def _stored(spark: SparkSession, location: str, name: str, fmt: str) -> DataFrame:
-    df = spark.read.format(fmt).load(f"{location.rstrip('/')}/{name}")
+    df = _open(spark, f"{location.rstrip('/')}/{name}", fmt)
     missing = [f.name for f in LEDGER_SCHEMAS[name].fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"{name}: missing columns {missing}")

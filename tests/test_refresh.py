@@ -149,6 +149,18 @@ def test_a_writer_that_dies_before_publishing_is_not_seen(spark, tmp_path, monke
     assert versions.current_version(spark, table).number == 1
 
 
+def test_a_materialized_view_is_rebuilt_unseen(spark, tmp_path):
+    from tallybook.sources.tables import materialize, read_tables
+    path = str(tmp_path / "mv")
+    materialize(spark.range(4), "mv", path)
+    broken = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        materialize(broken, "mv", path)
+    assert spark.table("mv").count() == 4 == read_tables(spark, ["mv"], location=str(tmp_path))["mv"].count()
+    materialize(spark.range(6).selectExpr("id", "id % 2 as p"), "mv", path, ["p"])
+    assert spark.table("mv").count() == 6 == read_tables(spark, ["mv"], location=str(tmp_path))["mv"].count()
+
+
 def test_the_second_of_two_writers_is_refused(spark, tmp_path):
     table = str(tmp_path / "t")
     first = versions.save_version(spark.range(5), table)
