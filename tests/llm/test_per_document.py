@@ -452,3 +452,97 @@ def test_a_worker_holds_one_operators_memory():
     common.held("a", 1, make("a2"))
     common.let_go()
     assert made == ["a1", "b1", "a2"] and not common._HELD
+
+
+def plain_class(c):
+    """A character's class, told anew: vowels, consonants, other letters, upper case, digits, blanks, sentence marks, others."""
+    import unicodedata
+    if c in " \t\n\r\x0b\x0c":
+        return 5
+    if c in "aeiou":
+        return 0
+    if c in "bcdfghjklmnpqrstvwxyz":
+        return 1
+    kind = unicodedata.category(c)
+    if kind in ("Lu", "Lt"):
+        return 3
+    if kind[0] in "LM":
+        return 2
+    if kind[0] == "N":
+        return 4
+    return 6 if c in ".,;:!?'\"()-" else 7
+
+
+def plain_distance(p, q):
+    if not sum(p) or not sum(q):
+        return 0.0
+    p, q = [x / sum(p) for x in p], [x / sum(q) for x in q]
+    h = lambda v: -sum(x * math.log2(x) for x in v if x)
+    return math.sqrt(max(0.0, h([(a + b) / 2 for a, b in zip(p, q)]) - (h(p) + h(q)) / 2))
+
+
+def test_verdicts_against_a_plain_recomputation(spark):
+    """References, distances and verdicts of documents in three languages, junk and strangers."""
+    rnd = random.Random(29)
+    lexicon = {g: ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 8))) for _ in range(400)]
+               for g, letters in (("en", "etaoinshrdlu"), ("de", "enisratdhuläöü"), ("ru", "оеаинтсрвлкм"))}
+
+    def text(g, n):
+        return " ".join(lexicon[g][min(int(rnd.expovariate(0.02)), 399)] + rnd.choice(["", "", "", ",", "."]) for _ in range(n))
+
+    rows = [(k, text(g, rnd.randint(60, 200)), g) for k, g in enumerate(["en"] * 40 + ["de"] * 30 + ["ru"] * 25)]
+    junk = lambda n: " ".join("".join(rnd.choice("0123456789$%&|<>#") for _ in range(7)) for _ in range(n))
+    rows += [(200, junk(80), "en"), (201, junk(80), "xx"), (202, text("en", 90), "de"), (203, text("ru", 90), "xx"), (204, text("de", 20), "de"),
+             (205, " ".join("".join(rnd.choice("bcdfgjkqvwxz") for _ in range(6)) for _ in range(100)), "en"), (206, None, "en"),
+             (207, text("en", 70).upper(), "en"), (208, text("en", 70), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+    counts = {}
+    for _, t, g in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        bad = len(words) < 50 or 100 * quality_plain(t or "")[4] > 50 * len(words)
+        if not bad:
+            n, classes, common = counts.setdefault(g, [0, [0] * 8, Counter()])
+            counts[g][0] = n + 1
+            for c in t:
+                classes[plain_class(c)] += 1
+            common.update(words)
+    refs = {}
+    for g, (n, classes, common) in counts.items():
+        if n >= 20:
+            top = dict(sorted(common.items(), key=lambda x: (-x[1], x[0].encode()))[:64])
+            refs[g] = (classes, top if sum(top.values()) >= 0.2 * common.total() else {})
+    assert set(refs) == {"en", "de", "ru"}
+
+    def distances(t, words, g):
+        classes, top = refs[g]
+        own = [0] * 8
+        for c in t:
+            own[plain_class(c)] += 1
+        d = plain_distance(own, classes) if len(t) >= 200 else 0.0
+        have = [words.count(w) for w in top]
+        e = 0.0 if not top or len(words) < 50 else plain_distance(have, list(top.values())) if any(have) else 1.0
+        return d, e
+
+    def verdict(t, g):
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        if len(words) < 50 or 100 * quality_plain(t)[4] > 50 * len(words):
+            return None
+        near = lambda x: x[0] <= 0.25 and x[1] <= 0.75 + 1 / math.sqrt(len(words))
+        if g not in refs:
+            merge = lambda v: [v[0] + v[1] + v[2] + v[3], v[4], v[6], v[7]]
+            own = [0] * 8
+            for c in t:
+                own[plain_class(c)] += 1
+            return len(t) < 200 or min(plain_distance(merge(own), merge(classes)) for classes, _ in refs.values()) <= 0.25
+        own = distances(t, words, g)
+        return near(own) or any(near(distances(t, words, o)) for o in refs if refs[o][1] or own[0] > 0.25)
+
+    got = {r["doc_id"]: r for r in quality.quality(docs).collect()}
+    for i, t, g in rows:
+        want = verdict(t or "", g)
+        assert got[i]["base_failed"] == (want is None) and got[i]["kept"] == bool(want), (i, g, want, got[i])
+        if want and g in refs and i < 100:
+            d, e = distances(t, re.findall(r"[^\x20\x09-\x0D]+", t), g)
+            assert abs(got[i]["class_js"] - d) < 1e-6 and abs(got[i]["word_js"] - e) < 1e-6
+    assert not got[200]["kept"] and not got[201]["kept"] and got[202]["kept"] and got[203]["kept"] and got[208]["kept"]
