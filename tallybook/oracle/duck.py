@@ -317,8 +317,9 @@ SALES_COLUMNS = ("id", "sale_at", "payment_at", "payment_method", "product_name"
 PURCHASE_COLUMNS = ("id", "purchase_at", "payment_at", "payment_method", "product_name", "quantity", "amount")
 
 
-def _keyed_branch(table: str, columns: tuple[str, ...], number: str, money: str) -> str:
-    """The last writer of each id of one table over all deliveries, and the rejects."""
+def _records(table: str, columns: tuple[str, ...], number: str, money: str) -> str:
+    """All delivered records of a table as text, ``wrong`` or not, ``gone`` or not, and
+    their ``place``: 1 for the last writer of each id among the right ones."""
     def load(n: int, where: str, op: str = "NULL", **values: str) -> str:
         text = ", ".join(f"{values.get(c, f'CAST({c} AS VARCHAR)')} AS {c}" for c in columns)
         return f"SELECT {text}, {op} AS op, {n} AS load FROM {table} WHERE {where}"
@@ -328,25 +329,43 @@ def _keyed_branch(table: str, columns: tuple[str, ...], number: str, money: str)
         load(3, "id % 14 = 2"), load(3, "id % 12 = 1", "'d'"), load(3, "id % 31 = 7", id="NULL"),
         *2 * [load(2, "id % 5 = 4"), load(2, "id % 6 = 1", **{money: f"'1' || CAST({money} AS VARCHAR)"}), load(2, "id % 7 = 2", "'D'")],
         load(1, "id % 5 <> 4"), load(1, "id % 37 = 5", **{number: "'x'"})])
-    casts = [f"({c} IS NOT NULL AND TRY_CAST({c} AS {kind.get(c, 'DECIMAL(12,2)')}) IS NULL)" for c in {number, money}]
-    cents = kind.get(money, "DECIMAL(12,2)")
+    typed = {c: f"TRY_CAST({c} AS {kind.get(c, 'DECIMAL(12,2)')})" for c in (number, money)}
+    wrong = " OR ".join(f"({c} IS NOT NULL AND {typed[c]} IS NULL)" for c in sorted(typed))
     # Rows of an id in one load: the greatest, column by column.
-    typed = {number: f"TRY_CAST({number} AS {kind.get(number, 'DECIMAL(12,2)')})", money: f"TRY_CAST({money} AS {cents})"}
     places = ", ".join(f"{typed.get(c, c)} DESC NULLS LAST" for c in columns if c != "id")
     return f"""
+    SELECT *, row_number() OVER (PARTITION BY id, wrong ORDER BY load DESC, gone DESC, {places}) AS place
+    FROM (SELECT *, id IS NULL OR {wrong} AS wrong, coalesce(upper(op) = 'D', false) AS gone FROM (
+    {deliveries}))"""
+
+
+def _keyed_branch(table: str, columns: tuple[str, ...], number: str, money: str) -> str:
+    """The last writer of each id of one table over all deliveries, and the rejects."""
+    cents = "DECIMAL(14,2)" if money == "value" else "DECIMAL(12,2)"
+    own = ", ".join(columns)
+    return f"""
 SELECT '{table}' AS table_name, count(live) AS live_rows, CAST(sum(live) AS BIGINT) AS load_numbers,
        CAST(sum(money) AS DECIMAL(38,2)) AS live_total, count(CASE WHEN gone THEN 1 END) AS deleted_keys,
        {', '.join(f'count(CASE WHEN bad = {n} THEN 1 END) AS rejects_{n}' for n in (1, 2, 3))}
 FROM (
-    WITH given AS (
-    {deliveries}),
-    judged AS (SELECT *, id IS NULL OR {' OR '.join(casts)} AS wrong, coalesce(upper(op) = 'D', false) AS gone FROM given),
-    good AS (SELECT load, gone, TRY_CAST({money} AS {cents}) AS money,
-                    row_number() OVER (PARTITION BY id ORDER BY load DESC, gone DESC, {places}) AS place
-             FROM judged WHERE NOT wrong)
-    SELECT CASE WHEN NOT gone THEN load END AS live, gone, CASE WHEN NOT gone THEN money END AS money, NULL AS bad
-    FROM good WHERE place = 1
-    UNION ALL SELECT NULL, NULL, NULL, load FROM (SELECT DISTINCT * FROM judged WHERE wrong))"""
+    WITH records AS ({_records(table, columns, number, money)})
+    SELECT CASE WHEN NOT gone THEN load END AS live, gone, CASE WHEN NOT gone THEN TRY_CAST({money} AS {cents}) END AS money, NULL AS bad
+    FROM records WHERE NOT wrong AND place = 1
+    UNION ALL SELECT NULL, NULL, NULL, load FROM (SELECT DISTINCT {own}, op, load FROM records WHERE wrong))"""
+
+
+def _kept(table: str, columns: tuple[str, ...], number: str, money: str) -> str:
+    """The table as it stands after all deliveries."""
+    kinds = {"id": "BIGINT", "quantity": "INTEGER", "price": "DECIMAL(12,2)", "amount": "DECIMAL(12,2)", "value": "DECIMAL(14,2)",
+             "payment_method": "VARCHAR", "product_name": "VARCHAR", "payment_type": "VARCHAR"}
+    typed = ", ".join(f"CAST({c} AS {kinds.get(c, 'DATE')}) AS {c}" for c in columns)
+    return f"""
+e_{table} AS (SELECT {typed} FROM ({_records(table, columns, number, money)}) WHERE NOT wrong AND place = 1 AND NOT gone)"""
+
+
+LOADED = (("sales", SALES_COLUMNS, "quantity", "price"), ("purchases", PURCHASE_COLUMNS, "quantity", "amount"),
+          ("payments", ("id", "payment_date", "payment_type", "amount"), "amount", "amount"),
+          ("loans", ("id", "loan_at", "value"), "value", "value"))
 
 
 def _m(x: str) -> str:
@@ -630,8 +649,9 @@ SELECT CAST(year(sale_at) AS INTEGER) AS year, CAST(month(sale_at) AS INTEGER) A
        CAST(sum(l) AS BIGINT) AS n_left, CAST(sum(r) AS BIGINT) AS n_right
 FROM two GROUP BY ALL HAVING sum(l) <> sum(r)"""
 
-    q["keyed_load"] = _with() + "\nUNION ALL ".join(_keyed_branch(*t) for t in (
-        ("sales", SALES_COLUMNS, "quantity", "price"), ("purchases", PURCHASE_COLUMNS, "quantity", "amount"),
-        ("payments", ("id", "payment_date", "payment_type", "amount"), "amount", "amount"),
-        ("loans", ("id", "loan_at", "value"), "value", "value")))
+    q["keyed_load"] = _with() + "\nUNION ALL ".join(_keyed_branch(*t) for t in LOADED)
+
+    q["postings_from_loads"] = _with(*(_kept(*t) for t in LOADED), YEARLY_CAL, *after) + """
+SELECT rule, CAST(year AS INTEGER) AS year, account, CAST(sum(amt) AS DECIMAL(38,4)) AS amt
+FROM posts GROUP BY rule, year, account"""
     return q

@@ -8,6 +8,7 @@ postings and summaries, which carry depreciation at 4 places); years are int.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ from ..operators import (accounts, audits, balances, calendars, changes, interva
 from ..operators.postings import PIPELINE
 from ..operators.statements import DASHBOARD_END_YEAR
 from ..refresh import keyed
+from ..refresh import statements as kept
+from ..session import shared_path
 from ..sources.adapter import Ledger, ledger_from_driver
 from ..sources.loader import as_text, load_summary, records_from_lines, reject_summary
 from ..sources.schemas import AMOUNT
@@ -254,6 +257,21 @@ def q_keyed_load(spark, led):
         F.count_if("gone").alias("deleted_keys"), *(F.count(F.when(F.col("bad") == n, 1)).alias(f"rejects_{n}") for n in (1, 2, 3)))
 
 
+def q_postings_from_loads(spark, led):
+    """All posting rules from the states that keyed loads have left behind: three numbered
+    loads of each table, the first one last, each compared with the records of its keys, its
+    changes reduced to a state, the states merged. Written below the shared folder."""
+    folder = shared_path(spark, f"loads-{uuid.uuid4().hex}")
+    for name, df in led.tables().items():
+        raw = delivered(df, *{"sales": ("quantity", "price"), "purchases": ("quantity", "amount"),
+                              "payments": ("amount", "amount"), "loans": ("value", "value")}[name])
+        for n in (2, 3, 1):
+            kept.apply_load(raw.filter(F.col("load") == n).drop("load"), folder, name, n)
+    kept.compact_states(spark, folder, fanout=2)
+    p = changes.postings_from(kept.current_states(spark, folder), default_years(spark))
+    return p.select("rule", "year", "account", F.col("amt").cast(AMOUNT).alias("amt"))
+
+
 def q_open_receivables(spark, led):
     """At the first of each calendar month, the credit sales that are not paid yet: number and
     value. A sale without payment date stays open."""
@@ -326,6 +344,7 @@ LEDGER_QUERIES: dict[str, LedgerQuery] = {
     "export_rows": q_export_rows,
     "postings_after_edits": q_postings_after_edits,
     "keyed_load": q_keyed_load,
+    "postings_from_loads": q_postings_from_loads,
     "open_receivables": q_open_receivables,
     "cash_by_record": q_cash_by_record,
     "payments_by_type": q_payments_by_type,
