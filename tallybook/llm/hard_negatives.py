@@ -36,13 +36,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm.common import column, numbered, stage
 
 #: Anchors that the centroids are fitted on, centroids, anchors of a group, candidates of a part.
-FIT, CLUSTERS, GROUP, PART = 2048, 32, 20_000, 131_072
+FIT, CLUSTERS, GROUP, PART = 2048, 32, 20_000, 65_536
+#: Scores that a task holds at a time.
+SCORES = 4 << 20
 _LAST = np.iinfo(np.int64).max  # stands for a null id among ties
 
 
@@ -144,7 +147,8 @@ def walk(members: dict, cands: dict, centroid: np.ndarray, same: bool, k: int, b
     wide. ``same``: candidates of the member's own label, else of all others.
     """
     unit, norm = _unit(members["q"])
-    cand_unit, cand_norm = _unit(cands["q"])
+    cand_unit, cand_norm = cands["unit"] if "unit" in cands else _unit(cands["q"])
+    block = max(1, min(block, SCORES // max(1, len(norm))))
     # Exact products: doubles where they hold every sum, whole numbers of any size elsewhere.
     top = np.abs(members["q"]).max(initial=0) * np.abs(cands["q"]).max(initial=0) * max(1, members["q"].shape[1])
     exact = (lambda m: m) if top < 2 ** 53 else np.vectorize(int, otypes=[object])
@@ -199,14 +203,15 @@ def _cell(centroids: np.ndarray, same: bool, k: int):
         if anchors.num_rows and cands.num_rows:
             c = {"row": cands["row"].to_numpy(), "label": cands["label"].to_numpy(), "q": matrix(cands["q"]),
                  "ident": cands["vec_id"].fill_null(int(_LAST)).to_numpy()}
+            width = max(c["q"].shape[1], centroids.shape[1], int(pc.max(pc.list_value_length(anchors["q"])).as_py()))
+            c["q"] = _wide(c["q"], width)
+            c["unit"] = _unit(c["q"])  # for all clusters
             cluster = anchors["cluster"].to_numpy()
             for number in np.unique(cluster):
                 own = anchors.take(pa.array(np.flatnonzero(cluster == number)))
-                q = matrix(own["q"])
-                width = max(q.shape[1], c["q"].shape[1], centroids.shape[1])
-                m = {"row": own["row"].to_numpy(), "label": own["label"].to_numpy(), "q": _wide(q, width),
+                m = {"row": own["row"].to_numpy(), "label": own["label"].to_numpy(), "q": _wide(matrix(own["q"]), width),
                      "low": _slots(own["slots"], "low", -np.inf), "high": _slots(own["slots"], "high", np.inf)}
-                got, _ = walk(m, {**c, "q": _wide(c["q"], width)}, _wide(centroids[[number]], width)[0], same, k)
+                got, _ = walk(m, c, _wide(centroids[[number]], width)[0], same, k)
                 slots = m["low"].shape[1]
                 ident = cands["vec_id"].take(pa.array(got.place))
                 out.append(pa.table({"row": pa.array(m["row"][got.member // max(slots, 1)]), "slot": pa.array(got.member % max(slots, 1)),

@@ -168,6 +168,8 @@ def test_walk_stops_early_on_clustered_vectors():
     centroid = hard_negatives.fit(q[at], 1)[0]
     found, scored = hard_negatives.walk(members, cands, centroid, True, 5)
     assert scored <= 50 * 4096  # of 50 * 20,000 pairs
+    small, _ = hard_negatives.walk(members, cands, centroid, True, 5, block=100)
+    assert (small.place == found.place).all() and (small.member == found.member).all()
     s = q[at] @ q.T
     for m in range(50):
         ok = [c for c in np.lexsort((np.arange(20_000), -s[m])) if own[c] % 3 == own[at[m]] % 3 and c != at[m]][:5]
