@@ -22,7 +22,7 @@ from ..refresh import keyed
 from ..refresh import statements as kept
 from ..session import shared_path
 from ..sources.adapter import Ledger, ledger_from_driver
-from ..sources.loader import as_text, load_summary, records_from_lines, reject_summary
+from ..sources.loader import OK, as_text, load_summary, records_from_lines, reject_summary
 from ..sources.schemas import AMOUNT
 from .pipeline import audit_summaries, build_legacy_statements, build_statements, default_years, postings_for
 
@@ -222,17 +222,22 @@ def delivered(df: DataFrame, number: str, money: str) -> DataFrame:
     """Stand-in deliveries of a table as text, with the number of their load: 1 has most
     records, 2 new ones, updates and deletions, 3 more of these; 2 comes a second time,
     and some records come without a key or with a bad number."""
-    k = F.col("id").cast("long")
-
-    def load(n, where, op=None, **values):
-        return F.when(where, F.struct(*(values.get(c, F.col(c)).cast("string").alias(c) for c in df.columns),
-                                      F.lit(op).cast("string").alias("_op"), F.lit(n).alias("load")))
-
-    two = [load(2, k % 5 == 4), load(2, k % 6 == 1, **{money: F.concat(F.lit("1"), F.col(money).cast("string"))}),
-           load(2, k % 7 == 2, "D")]
-    three = [load(3, k % 14 == 2), load(3, k % 12 == 1, "d"), load(3, k % 31 == 7, id=F.lit(None))]
-    one = [load(1, k % 5 != 4), load(1, k % 37 == 5, **{number: F.lit("x")})]
-    return df.select(F.explode(F.array(*three, *two, *one, *two)).alias("r")).filter("r is not null").select("r.*")
+    def load(n, where, op=None, change=None):
+        return F.when(where, F.struct(F.lit(op).cast("string").alias("_op"), F.lit(n).alias("load"), F.lit(change).cast("string").alias("change")))
+
+    k = F.col("__k")
+    two = [load(2, k % 5 == 4), load(2, k % 6 == 1, change="money"), load(2, k % 7 == 2, "D")]
+    three = [load(3, k % 14 == 2), load(3, k % 12 == 1, "d"), load(3, k % 31 == 7, change="key")]
+    one = [load(1, k % 5 != 4), load(1, k % 37 == 5, change="number")]
+    # The rows become text once, and a delivery is its marks: the code stays of a size that the JVM compiles.
+    text = df.select(*(F.col(c).cast("string").alias(c) for c in df.columns), F.col("id").cast("long").alias("__k"))
+    each = text.select("*", F.explode(F.array(*three, *two, *one, *two)).alias("r")).filter("r is not null")
+    change = F.coalesce(F.col("r.change"), F.lit(""))
+    values = {c: F.col(c) for c in df.columns}
+    values[number] = F.when(change == "number", F.lit("x")).otherwise(values[number])
+    values[money] = F.when(change == "money", F.concat(F.lit("1"), F.col(money))).otherwise(values[money])
+    values["id"] = F.when(change != "key", F.col("id"))
+    return each.select(*(v.alias(c) for c, v in values.items()), "r._op", "r.load")
 
 
 def q_keyed_load(spark, led):
@@ -243,14 +248,11 @@ def q_keyed_load(spark, led):
     for name, df in led.tables().items():
         number = "quantity" if name in ("sales", "purchases") else money[name]
         raw = delivered(df, number, money[name])
-        records = keyed.typed_load(raw, df.schema, F.col("load"))
-        gone, load = F.col(keyed.DELETED), F.col(keyed.LOAD)
-        won = keyed.winners(records).select(F.when(~gone, load).alias("live"), gone.alias("gone"),
-                                            F.when(~gone, F.col(money[name])).alias("money"), F.lit(None).cast("long").alias("bad"))
-        bad = keyed.rejects(records, name).select(
-            F.lit(None).cast("long").alias("live"), F.lit(None).cast("boolean").alias("gone"),
-            F.lit(None).cast(won.schema["money"].dataType).alias("money"), F.col("load").alias("bad"))
-        one = won.unionByName(bad).select(F.lit(name).alias("table_name"), "live", "gone", F.col("money").cast("decimal(38,2)"), "bad")
+        settled = keyed.settled(keyed.typed_load(raw, df.schema, F.col("load")))
+        won, gone, load = F.col("_status") == OK, F.col(keyed.DELETED), F.col(keyed.LOAD)
+        one = settled.select(
+            F.lit(name).alias("table_name"), F.when(won & ~gone, load).alias("live"), F.when(won, gone).alias("gone"),
+            F.when(won & ~gone, F.col(money[name])).cast("decimal(38,2)").alias("money"), F.when(~won, load).alias("bad"))
         rows = one if rows is None else rows.unionByName(one)
     return rows.groupBy("table_name").agg(
         F.count("live").alias("live_rows"), F.sum("live").alias("load_numbers"), F.sum("money").cast("decimal(38,2)").alias("live_total"),

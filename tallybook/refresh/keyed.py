@@ -70,6 +70,24 @@ def live(records: DataFrame, key: str = "id") -> DataFrame:
     return winners(records, key).filter(~F.col(DELETED)).drop(LOAD, SEQ, DELETED)
 
 
+def settled(records: DataFrame, key: str = "id") -> DataFrame:
+    """``winners`` and, each once a load, the rejects of typed records, in one pass over them: the
+    winners of status ``ok`` with their record, the rejects with their load, reason and record.
+
+    One aggregate, grouped by key or by reject, so that the records are made and
+    shuffled once and rejects without a key are spread."""
+    columns = [c for c in records.columns if c not in ("_status", "_reason", "_record", LOAD, SEQ, DELETED)]
+    ok = F.col("_status") == OK
+    reject = F.when(F.col("_status") == REJECTED, F.struct(LOAD, "_reason", "_record"))
+    groups = records.groupBy(F.when(ok, F.col(key)).alias("__key"), reject.alias("__reject")).agg(
+        F.max(F.when(ok, _record(columns))).alias("r"))
+    return groups.select(
+        *(F.col(f"r.{c}").alias(c) for c in columns), F.coalesce(f"r.{LOAD}", f"__reject.{LOAD}").alias(LOAD),
+        *(F.col(f"r.{c}").alias(c) for c in (SEQ, DELETED)),
+        F.when(F.col("__reject").isNull(), F.lit(OK)).otherwise(F.lit(REJECTED)).alias("_status"),
+        F.col("__reject._reason").alias("_reason"), F.col("__reject._record").alias("_record"))
+
+
 def load_changes(others: DataFrame, load: DataFrame, earlier: DataFrame | None = None, key: str = "id") -> DataFrame:
     """What a load changes, as ledger rows with ``w``: -1 for a row that no longer
     stands, +1 for one that stands now. Records of unchanged keys yield nothing, and

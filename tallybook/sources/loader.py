@@ -27,11 +27,16 @@ _CORRUPT = "_corrupt_record"
 
 
 def _changed(src: Column, val: Column, kind: T.DataType) -> Column:
-    """Whether a value that parsed is no longer the one that was given."""
+    """Whether a value that parsed is no longer the one that was given. The whole value is
+    parsed only where it may be another: a number spelled unlike the one kept, a date with
+    something after its day."""
+    text = src.cast("string")
     if isinstance(kind, T.DecimalType):
-        return F.coalesce(src.try_cast("decimal(38,18)") != val.cast("decimal(38,18)"), F.lit(False))
+        exact = src.try_cast("decimal(38,18)") != val.cast("decimal(38,18)")
+        return (text != val.cast("string")) & F.coalesce(exact, F.lit(False))
     if isinstance(kind, T.DateType):
-        return F.coalesce(src.try_cast("timestamp_ntz") != val.cast("timestamp_ntz"), F.lit(False))
+        exact = src.try_cast("timestamp_ntz") != val.cast("timestamp_ntz")
+        return (text.contains(" ") | text.contains("T")) & F.coalesce(exact, F.lit(False))
     return F.lit(False)
 
 
@@ -41,17 +46,20 @@ def parse_records(raw: DataFrame, schema: T.StructType) -> DataFrame:
     Missing columns load as NULL; a column that has its type already is taken
     as it is. ``_record`` (the raw line, or else the raw row as JSON) is kept
     only for rejects.
+
+    In steps: each field is parsed once, and what follows reads the parsed value. As one
+    expression a wide table's code is beyond what the JVM compiles (8000 bytes a method).
     """
     have = {f.name: f.dataType for f in raw.schema.fields}
-    typed, failed = [], []
+    parsed, typed, failed = {}, [], []
     for f in schema.fields:
         if f.name not in have:
             typed.append(F.lit(None).cast(f.dataType).alias(f.name))
         elif have[f.name] == f.dataType:
             typed.append(F.col(f.name))
         else:
-            src = F.col(f.name)
-            val = src.try_cast(f.dataType)
+            src, val = F.col(f.name), F.col(f"__parsed_{f.name}")
+            parsed[f"__parsed_{f.name}"] = src.try_cast(f.dataType)
             typed.append(val.alias(f.name))
             wrong = src.isNotNull() & (val.isNull() | _changed(src, val, f.dataType))
             failed.append(F.when(wrong, F.lit(f.name)))
@@ -60,11 +68,11 @@ def parse_records(raw: DataFrame, schema: T.StructType) -> DataFrame:
     if _CORRUPT in have:
         reason = F.when(F.col(_CORRUPT).isNotNull(), F.lit(FIELD_COUNT)).otherwise(reason)
         record = F.coalesce(F.col(_CORRUPT), record)
-    bad = reason != ""
-    return raw.select(
+    bad = F.col("__reason") != ""
+    return raw.withColumns(parsed).withColumn("__reason", reason).select(
         *typed,
         F.when(bad, F.lit(REJECTED)).otherwise(F.lit(OK)).alias("_status"),
-        F.when(bad, reason).alias("_reason"),
+        F.when(bad, F.col("__reason")).alias("_reason"),
         # serialised only for rejected rows (CASE evaluates lazily)
         F.when(bad, record).alias("_record"),
     )

@@ -55,6 +55,24 @@ def test_postings_read_sales_once(spark):
     assert sum("FileScan parquet" in x and "l_returnflag" in x for x in plan.splitlines()) == 2
 
 
+def test_keyed_loads_are_made_and_read_once(spark):
+    """Winners and rejects come from one reading of the loads: of sales and of purchases one of lineitem each."""
+    plan = QUERIES["keyed_load"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert sum("FileScan parquet" in x and "l_returnflag" in x for x in plan.splitlines()) == 2
+
+
+def test_keyed_loads_are_compiled(spark):
+    """No method beyond the 8000 bytes up to which the JVM compiles; longer ones are interpreted."""
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        code = spark.sparkContext._jvm.PythonSQLUtils.explainString(QUERIES["keyed_load"](spark, SF)._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert len(sizes) > 8 and max(sizes) < 8000
+
+
 def test_audited_years_reach_the_scans(spark):
     from tallybook.operators.audits import cash_components
     from tests.conftest import make_ledger, sale

@@ -406,6 +406,36 @@ def test_a_load_writes_its_own_records_only(spark, tmp_path):
     assert spark.read.parquet(*[str(p) for p in (tmp_path / "t").glob("load=2-*")]).count() == len(TWO)
 
 
+def test_settled_is_the_winners_and_the_rejects(spark):
+    """Ties, deletions, records that come twice, and rejects with and without a key."""
+    rnd, records = random.Random(5), None
+    for n in (2, 1, 2, 3):
+        rows = [(rnd.choice(["1", "2", "3", "4", None]), rnd.choice(["2021-01-01", None, "x"]), rnd.choice(["wage", "rent", None]),
+                 rnd.choice(["1", "2.5", "y", None]), rnd.choice([None, None, "d"]), rnd.choice([None, "1"])) for _ in range(25)]
+        one = keyed.typed_load(spark.createDataFrame(rows + rows[:5], PAY), LEDGER_SCHEMAS["payments"], n)
+        records = one if records is None else records.unionByName(one)
+    got = keyed.settled(records)
+    assert got.columns == records.columns
+    own = [*LEDGER_SCHEMAS["payments"].fieldNames(), keyed.LOAD, keyed.SEQ, keyed.DELETED]
+    won, lost = keyed.winners(records).select(own).collect(), keyed.rejects(records, "payments").collect()
+    assert {r["id"] for r in won} == {1, 2, 3, 4} and len(lost) > 5
+    assert sorted(map(tuple, got.filter("_status = 'ok'").select(own).collect()), key=repr) == sorted(map(tuple, won), key=repr)
+    assert sorted(map(tuple, keyed.rejects(got, "payments").collect())) == sorted(map(tuple, lost))
+    assert got.count() == len(won) + len(lost)
+
+
+def test_values_spelled_otherwise(spark):
+    """A field is right if it keeps its value, however it is spelled."""
+    right = [("2021-01-01", "10"), (" 2021-01-01 ", " 10.50 "), ("2021-1-1", "1e1"), ("2021-01-01 00:00:00", "10.500"), ("2021-01-01T00:00", "+10"),
+             ("2021", "-0"), ("2021-02", ".5"), (None, None)]
+    wrong = [("2021-01-01 10:00:00", "1", "payment_date"), ("2021-01-01T00:00:01", "1", "payment_date"), ("2021-02-30", "1", "payment_date"),
+             ("2021-01-01", "10.501", "amount"), ("2021-01-01", "1e-3", "amount"), ("2021-01-01", "1e10", "amount"),
+             ("x", "", "payment_date,amount")]
+    raw = spark.createDataFrame([(str(i), d, "wage", a, None, None) for i, (d, a, *_) in enumerate(right + wrong)], PAY)
+    got = keyed.typed_load(raw, LEDGER_SCHEMAS["payments"], 1).orderBy("id").collect()
+    assert [r["_reason"] for r in got] == [None] * len(right) + [w[2] for w in wrong]
+
+
 def test_load_changes_feed_the_states(spark, tmp_path):
     """Keyed loads -> weighted records -> states equal the statements of what stands."""
     table, rnd = str(tmp_path / "t"), random.Random(2)
