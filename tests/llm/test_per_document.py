@@ -366,6 +366,52 @@ def test_index_leads_to_every_template_in_reach():
             assert any(number in index.get(g, ()) for g in kept)
 
 
+def test_license_literals_are_folded(spark):
+    """A lambda in them is not: the index would be made anew for every bigram of every unit."""
+    rows = licenses.template_rows(licenses.TEMPLATES, 800)
+    for made in (licenses._index_literal(rows), licenses._literal(rows)):
+        assert "lambda" not in spark.sql(f"select {made} as x")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_every_unit_in_reach_has_a_key_bigram():
+    rows = licenses.template_rows(licenses.TEMPLATES, 800)
+    keys = licenses.key_bigrams(rows)
+    found = re.compile(licenses._tree(keys))
+    assert all(found.fullmatch(g) and found.fullmatch(g.replace(" ", "\n# ")) for g in keys) and "of the" not in keys
+    for _, n, least, _, grams in rows:
+        assert sum(k for g, k in grams if g in keys) > n - least  # more than such a unit misses
+
+
+def test_license_units_of_texts_of_notices(spark):
+    """Notices between all kinds of ends: of lines, paragraphs, sentences, blocks, with signs of the text's own."""
+    rnd = random.Random(21)
+    notices = [t for texts in licenses.TEMPLATES.values() for t in texts[:4]]
+    ends = [" ", "\n", "\n\n", ". ", ".\n", ".\n\n", "!\t\n \n", ".\n#\n", "\n # \n", "?\r\n\r\n", "\x01", "\x02", ".\x02\n\n", "_",
+            "é", "İ", "\u4e2d", "\U0001d49c", "\U0001f389", ", ", "\n * "]
+    rows = []
+    for i in range(120):
+        t = ""
+        for _ in range(rnd.randint(1, 5)):
+            words = rnd.choice(notices).split(" ")
+            some = [w for w in words if rnd.random() > 0.04]
+            t += rnd.choice([prose(rnd, rnd.randint(1, 8)), "", ""]) + rnd.choice(ends)
+            t += "".join(w + (rnd.choice(ends) if rnd.random() < 0.06 else " ") for w in some) + rnd.choice(ends)
+        rows.append((i, rnd.choice([t, t.upper(), t + rnd.choice(ends) + t])))
+    want = {}
+    for i, t in rows:
+        low = t.lower()
+        parts = [*low.split("\n"), *re.split(r"\n(?:(?!\n)[\W_])*\n", low), *re.sub(r"([.!?])[ \t\r\f]+", "\\1\n", low).split("\n"),
+                 *re.sub(r"([.!?])[ \t\r\f\n]+", "\\1\x01", low).split("\x01"), low]
+        for u in {re.sub(r"[\W_]+", " ", u).strip() for u in parts}:
+            hits = {name: max(dice_plain(u, licenses._normal(x)) for x in texts) for name, texts in licenses.TEMPLATES.items()} if " " in u else {}
+            for name, p in hits.items():
+                if p >= 800 and p == max(hits.values()):
+                    n, best = want.get((i, name), (0, 0))
+                    want[i, name] = (n + 1, max(best, p))
+    got = {(r["doc_id"], r["license_id"]): (r["n_units"], r["best_permille"]) for r in licenses.license_scan(frame(spark, rows)).collect()}
+    assert got == want and len(want) > 80
+
+
 def test_usual_wordings_and_sibling_licences(spark):
     gnu = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
            "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.")
